@@ -105,6 +105,11 @@ class Tables:
         )
 
 
+def even(x: str, digits: int) -> str:
+    """Half-even rounding of a double's shortest decimal form, as Spark's ``bround`` does it."""
+    return f"CAST(round_even(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 17)), {digits}) AS DOUBLE)"
+
+
 VIDEOS = "videos AS (SELECT p_partkey AS video_id, p_brand AS account_id, p_name AS title FROM part)"
 METRICS = """metrics AS (SELECT l_partkey AS video_id, CAST(sum(l_quantity) AS BIGINT) AS view_count,
   count(*) AS like_count, count(*) FILTER (l_returnflag = 'R') AS comment_count,

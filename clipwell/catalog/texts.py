@@ -1 +1,316 @@
+"""Bound scalar expressions over whole texts."""
 
+from pyspark.sql import functions as F
+
+from clipwell.catalog import bindings as b
+from clipwell.catalog.registry import query
+from clipwell.functions import coerce as co
+from clipwell.functions import lexicons as lx
+from clipwell.functions import nodes
+from clipwell.functions import numbers as nm
+from clipwell.functions import text as tx
+
+_LINK = "'https://v.example/video/' || (1000000000 + page_id) || '/' || url"
+
+
+@query("str1_ids_in_text", f"""WITH x AS (SELECT page_id, {_LINK} AS link, 'acc_' || page_id || '_' || page_id * 7 AS stem,
+  regexp_extract_all(html, '[0-9]{{3,}}') AS runs FROM pages) SELECT page_id,
+  coalesce((SELECT r FROM (SELECT unnest(x.runs) AS r, generate_subscripts(x.runs, 1) AS i) ORDER BY length(r) DESC, i LIMIT 1), '') AS longest,
+  regexp_extract(link, '([0-9]{{10,}})', 1) AS first_run, regexp_extract(link, '/video/([^/?#]+)', 1) AS segment,
+  regexp_extract(link, '/video/([0-9]+)', 1) AS digits, regexp_extract(stem, '_([^_]+)$', 1) AS suffix FROM x""")
+def _(t):
+    k = F.col("page_id")
+    link = F.concat(F.lit("https://v.example/video/"), (k + 1000000000).cast("string"), F.lit("/"), F.col("url"))
+    stem = F.concat_ws("_", F.lit("acc"), k, k * 7)
+    return t.raw("pages").select(
+        "page_id",
+        tx.longest_digit_run("html", 3).alias("longest"),
+        tx.first_digit_run(link).alias("first_run"),
+        tx.path_segment_id(link).alias("segment"),
+        tx.path_digits_id(link).alias("digits"),
+        tx.suffix_id(stem).alias("suffix"),
+    )
+
+
+@query("str2_account_names", """SELECT page_id, replace(CASE WHEN p = '' THEN regexp_extract(url, '://([^/?#]+)', 1) ELSE p END,
+  ' ', '_') AS account_id, trim(translate(url, '?？', '')) AS bare FROM (SELECT *,
+  trim(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/') AS p FROM pages)""")
+def _(t):
+    return t.raw("pages").select("page_id", tx.account_key("url").alias("account_id"), tx.bare_name("url").alias("bare"))
+
+
+@query("str3_urls", r"""SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || '/video/' || page_id AS canonical,
+  regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[?#].*$', '') AS host_path,
+  CASE WHEN s = '' THEN 'unknown' ELSE s END AS slug FROM (SELECT *, left(trim(
+  regexp_replace(url, '[\\/:*?"<>|\s_]+', '_', 'g'), '._ '), 80) AS s FROM pages)""")
+def _(t):
+    return t.raw("pages").select(
+        "page_id",
+        tx.canonical_url("url", F.col("page_id").cast("string")).alias("canonical"),
+        tx.host_and_path("url").alias("host_path"),
+        tx.slug("url").alias("slug"),
+    )
+
+
+def _duck_unescape(c: str) -> str:
+    for entity, char in lx.ENTITIES.items():
+        c = f"replace({c}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    return c
+
+
+@query("str4_clean_comment", f"""SELECT page_id, trim(regexp_replace(translate({_duck_unescape('html')}, chr(8203) || chr(65279),
+  '  '), '[\\s 　]+', ' ', 'g')) AS cleaned FROM pages""")
+def _(t):
+    return t.raw("pages").select("page_id", tx.clean_comment("html").alias("cleaned"))
+
+
+_STRIPPED = r"""regexp_replace(regexp_replace(html, '(?is)(<script[^>]*>.*?</script>|<style[^>]*>.*?</style>)', ' ', 'g'),
+  '(?is)<[^>]+>', ' ', 'g')"""
+
+
+@query("str5_visible_text", f"""SELECT page_id, trim(regexp_replace({_duck_unescape(_STRIPPED)},
+  '[\\s 　]+', ' ', 'g')) AS body FROM pages""")
+def _(t):
+    return t.raw("pages").select("page_id", tx.visible_text("html").alias("body"))
+
+
+_stop = ", ".join(f"'{w}'" for w in lx.STOPWORDS)
+TOKENS_SQL = r"list_filter(regexp_extract_all(lower({c}), '[a-z0-9_]{{2,}}|[\x{{4e00}}-\x{{9fff}}]{{2,}}'), lambda x: x NOT IN ({stop}))"
+
+
+@query("str6_tokens", f"""SELECT token, count(*) AS n FROM (SELECT unnest({TOKENS_SQL.format(c='text', stop=_stop)}) AS token
+  FROM documents) GROUP BY token""")
+def _(t):
+    found = tx.token_rows(t.raw("documents"), [], "text")
+    return found.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+TITLE_WORDS = {
+    "has_method": ("small", "eau"), "has_material": ("ring", "the"), "has_parent_child": ("red", "der"),
+    "has_interaction": ("blue", "una"), "has_subject": ("widget", "one"), "has_persona": ("gear", "Que"),
+}
+GRADE = "[1-9]th|large|[Ee]r"
+
+
+def any_sql(c: str, words) -> str:
+    return "(" + " OR ".join(f"contains({c}, '{w}')" for w in words) + ")"
+
+
+TITLE_SQL = (
+    "length({t}) AS title_len, CAST(contains({t}, '?') AS INT) AS has_question, CAST(contains({t}, '!') AS INT) AS has_exclaim, "
+    f"CAST(regexp_matches({{t}}, '{GRADE}') AS INT) AS has_grade, "
+    + ", ".join(f"CAST({any_sql('{t}', w)} AS INT) AS {n}" for n, w in TITLE_WORDS.items())
+)
+
+
+@query("str7_title_features", f"""WITH {b.POSTS} SELECT video_id, tt AS title_clean, {TITLE_SQL.format(t='tt')},
+  length(tt) - length(replace(tt, '#', '')) AS hashtag_count FROM (SELECT video_id, trim(replace(title, ' la ', '')) AS tt FROM posts)""")
+def _(t):
+    feats = tx.title_features("title", TITLE_WORDS, GRADE, " la ")
+    return t.posts().select("video_id", *[c.alias(n) for n, c in feats.items()])
+
+
+TOPICS_SQL = (
+    "list_filter([" + ", ".join(
+        f"CASE WHEN {any_sql('lower({c})', w)} THEN '{n}' END" for n, w in b.BOUND_TOPICS.items()
+    ) + "], lambda x: x IS NOT NULL)"
+)
+
+
+@query("str8_topics", f"""WITH {b.COMMENTS}, x AS (SELECT comment_id, {TOPICS_SQL.format(c='text')} AS ts FROM comments)
+  SELECT comment_id, CASE WHEN len(ts) = 0 THEN 'other' ELSE array_to_string(ts, ',') END AS topics FROM x""")
+def _(t):
+    return t.comments().select(
+        "comment_id", F.array_join(tx.topics(F.col("text"), b.BOUND_TOPICS, "other"), ",").alias("topics")
+    )
+
+
+SENTIMENT_SQL = "CASE " + " ".join(
+    f"WHEN {any_sql('{c}', w)} THEN '{n}'" for n, w in b.BOUND_SENTIMENTS.items()
+) + " ELSE 'neutral' END"
+
+
+@query("str9_sentiment", f"WITH {b.COMMENTS} SELECT comment_id, {SENTIMENT_SQL.format(c='text')} AS mood FROM comments")
+def _(t):
+    return t.comments().select("comment_id", tx.sentiment(F.col("text"), b.BOUND_SENTIMENTS, "neutral").alias("mood"))
+
+
+@query("str10_pattern_presence", f"""SELECT doc_id, {any_sql('left(text, 80)', b.BOUND_HEAD)} AS in_head,
+  {any_sql('right(text, 120)', b.BOUND_HEAD)} AS in_tail, {any_sql('text', b.BOUND_HEAD)} AS anywhere,
+  CAST((length(text) - length(replace(text, 'the', ''))) // 3 + (length(text) - length(replace(text, 'eau', ''))) // 3
+  AS BIGINT) AS n FROM documents""")
+def _(t):
+    c = F.col("text")
+    return t.raw("documents").select(
+        "doc_id",
+        tx.contains_in(c, b.BOUND_HEAD, head=80).alias("in_head"),
+        tx.contains_in(c, b.BOUND_HEAD, tail=120).alias("in_tail"),
+        tx.contains_in(c, b.BOUND_HEAD).alias("anywhere"),
+        tx.occurrences(c, ("the", "eau")).cast("bigint").alias("n"),
+    )
+
+
+COMPACT_SQL = r"regexp_replace({c}, '[\s\p{{Z}}]+', '', 'g')"
+READABILITY_SQL = (
+    "CASE WHEN length({t}) > 0 THEN "
+    + b.even(r"(length(regexp_replace({t}, '[^\p{{L}}\p{{N}}]', '', 'g')) / length({t}) * 0.7::DOUBLE"
+             " + least(1.0::DOUBLE, length({t}) / 80.0::DOUBLE) * 0.3::DOUBLE)", 4) + " ELSE 0 END"
+)
+OVERLAP_SQL = (
+    "CASE WHEN length({a}) > 0 AND length({b}) > 0 THEN len(list_intersect(list_distinct(string_split({a}, '')), "
+    "list_distinct(string_split({b}, '')))) / len(list_distinct(list_concat(string_split({a}, ''), string_split({b}, '')))) ELSE 0 END"
+)
+
+
+@query("str11_readability", f"""SELECT doc_id, {READABILITY_SQL.format(t='ct')} AS readability,
+  CASE WHEN length(ct) > 0 THEN {b.even("least(1.0::DOUBLE, len(regexp_extract_all(ct, 'the|eau|ung')) * 6.0::DOUBLE / length(ct))", 4)}
+  ELSE 0 END AS density, round_even({OVERLAP_SQL.format(a='text', b='lang')}, 6) AS overlap
+  FROM (SELECT *, {COMPACT_SQL.format(c='text')} AS ct FROM documents)""")
+def _(t):
+    c = F.col("text")
+    return t.raw("documents").select(
+        "doc_id",
+        tx.readability(c).alias("readability"),
+        tx.keyword_density(c, "the|eau|ung").alias("density"),
+        F.bround(tx.char_overlap(c, F.col("lang")), 6).alias("overlap"),
+    )
+
+
+@query("str12_mojibake_repair")
+def _(t):
+    return t.raw("conversations").select("conv_id", "turn", tx.repaired_text("text").alias("text"))
+
+
+@query("hsh1_content_hashes", f"""WITH {b.COMMENTS} SELECT comment_id,
+  sha1(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS content_hash,
+  sha256('comment|' || video_id || '|' || comment_id || '|' || text || '|' || turn || '||') AS identity,
+  left(sha1(comment_id), 16) AS job FROM (SELECT * REPLACE ({_duck_unescape('text')} AS text) FROM comments)""")
+def _(t):
+    c = t.comments().withColumn("text", tx.unescaped(F.col("text")))
+    return c.select(
+        "comment_id",
+        tx.content_hash("text").alias("content_hash"),
+        tx.identity_hash("comment", F.col("video_id"), F.col("comment_id"), F.col("text"), F.col("turn"),
+                         F.lit(None), co.iso_text(F.lit(None).cast("timestamp"))).alias("identity"),
+        tx.short_hash(F.col("comment_id")).alias("job"),
+    )
+
+
+_COUNT_TEXT = """CASE o_orderkey % 4 WHEN 0 THEN CAST(o_custkey AS VARCHAR) || '万' WHEN 1 THEN '1,' || lpad(CAST(o_custkey % 1000
+  AS VARCHAR), 3, '0') WHEN 2 THEN CAST(o_custkey AS VARCHAR) || '.5w' ELSE 'n/a' END"""
+
+
+@query("num1_count_texts", f"""SELECT o_orderkey, CASE WHEN k = 0 THEN o_custkey * 10000 WHEN k = 1 THEN 1000 + o_custkey % 1000
+  WHEN k = 2 THEN CAST(round_even(o_custkey + 0.5::DOUBLE, 0) AS BIGINT) END AS page_count, CASE WHEN k = 0 THEN o_custkey * 10000
+  WHEN k = 1 THEN 1000 + o_custkey % 1000 WHEN k = 2 THEN o_custkey * 10000 + 5000 ELSE 0 END AS comment_count
+  FROM (SELECT *, o_orderkey % 4 AS k FROM orders)""")
+def _(t):
+    txt = F.expr(_COUNT_TEXT.replace("VARCHAR", "STRING"))
+    return t.raw("orders").select(
+        "o_orderkey", nm.page_count(txt).alias("page_count"), nm.comment_count_text(txt).alias("comment_count")
+    )
+
+
+@query("num2_rates", f"""WITH {b.BATCH} SELECT account_id, round_even(greatest(0.0::DOUBLE, least(1.0::DOUBLE,
+  coalesce(detail_success / nullif(videos_seen, 0), 0))), 6) AS share, round_even(coalesce(comments_success /
+  nullif(warnings_count, 0), 0) * 100.0::DOUBLE, 2) AS pct, CAST(greatest(0, least(100, round_even(coalesce(100.0::DOUBLE *
+  comments_success / nullif(detail_success, 0), 0), 0))) AS BIGINT) AS score FROM batch""")
+def _(t):
+    a = t.batch_accounts()
+    return a.select(
+        "account_id",
+        F.bround(nm.share_of(F.col("detail_success"), F.col("videos_seen")), 6).alias("share"),
+        nm.percentage(F.col("comments_success"), F.col("warnings_count")).alias("pct"),
+        nm.score100(nm.rate(F.col("comments_success"), F.col("detail_success")) * 100.0).alias("score"),
+    )
+
+
+def _steps_sql(c, cuts, last):
+    return "CASE " + " ".join(f"WHEN {c} >= {v} THEN '{n}'" for v, n in cuts) + f" ELSE '{last}' END"
+
+
+@query("num3_buckets", f"""SELECT event_id, {_steps_sql('value', [(150, 'bright'), (95, 'balanced')], 'dark')} AS brightness,
+  {_steps_sql('value', [(55, 'high'), (20, 'medium')], 'low')} AS saturation,
+  {_steps_sql('value', [(140, 'high'), (80, 'medium')], 'low')} AS contrast,
+  {_steps_sql('(value * 0.45::DOUBLE + user_id * 0.25::DOUBLE + value * 0.30::DOUBLE)', [(45, 'dynamic'), (18, 'mixed')], 'stable')} AS rhythm,
+  {_steps_sql('value', [(45, 'long'), (15, 'medium')], 'short')} AS duration,
+  {_steps_sql('greatest(event_id, user_id)', [(3000, '4k_like'), (1800, 'high'), (1000, 'standard')], 'low')} AS resolution,
+  CASE WHEN event_id > 0 THEN {_steps_sql('event_id * 1000', [(4000000, 'high'), (1500000, 'medium')], 'low')} ELSE 'unknown' END AS bitrate,
+  CASE WHEN value >= 150 AND user_id BETWEEN 40 AND 220 THEN 'high' WHEN value >= 90 THEN 'medium' ELSE 'low' END AS readable
+  FROM events""")
+def _(t):
+    v, u, e = F.col("value"), F.col("user_id"), F.col("event_id")
+    return t.raw("events").select(
+        "event_id",
+        nm.brightness(v).alias("brightness"), nm.saturation(v).alias("saturation"), nm.contrast(v).alias("contrast"),
+        nm.rhythm(v, u, v).alias("rhythm"), nm.duration_bucket(v).alias("duration"),
+        nm.resolution(e, u).alias("resolution"), nm.bitrate(e * 1000).alias("bitrate"),
+        nm.subtitle_readability(u, v).alias("readable"),
+    )
+
+
+@query("num4_sample_points", """SELECT event_id, """ + b.even("""least(value * 0.15::DOUBLE + value * 0.7::DOUBLE / 4 * i,
+  greatest(value - 0.1::DOUBLE, 0))""", 3) + " AS at, i AS pos FROM events, range(5) r(i)")
+def _(t):
+    pts = t.raw("events").select("event_id", F.posexplode(nm.sample_points(F.col("value"), 5)).alias("pos", "at"))
+    return pts.select("event_id", "at", F.col("pos").cast("bigint").alias("pos"))
+
+
+@query("num5_range_scores", """SELECT event_id, round_even(CASE WHEN value BETWEEN 20 AND 60 THEN 100 ELSE greatest(0,
+  100.0::DOUBLE - least(abs(value - 20), abs(value - 60), abs(value - 40)) / 100 * 100.0::DOUBLE) END, 6) AS range_score,
+  round_even(greatest(0, 100.0::DOUBLE - abs(value - 40) / 220.0::DOUBLE * 100.0::DOUBLE), 6) AS speech,
+  round_even(CASE WHEN value <= 1.2 THEN 100 WHEN value <= 1.8 THEN 80 ELSE greatest(20, 80.0::DOUBLE -
+  (value - 1.8::DOUBLE) * 16.0::DOUBLE) END, 6) AS person FROM events""")
+def _(t):
+    v = F.col("value")
+    target = F.struct(F.lit(20.0).alias("low"), F.lit(40.0).alias("mid"), F.lit(60.0).alias("high"))
+    return t.raw("events").select(
+        "event_id",
+        F.bround(nm.range_score(v, target, 100.0), 6).alias("range_score"),
+        F.bround(nm.speech_score(v, F.lit(40.0)), 6).alias("speech"),
+        F.bround(nm.person_score(v), 6).alias("person"),
+    )
+
+
+@query("dat1_timestamps", """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN date_trunc('second', ts) WHEN event_id % 3 = 1
+  THEN date_trunc('day', ts) END AS at, CASE WHEN event_id % 3 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00')
+  WHEN event_id % 3 = 1 THEN strftime(ts, '%Y-%m-%dT00:00:00+00:00') ELSE '' END AS iso FROM events""")
+def _(t):
+    k, ts = F.col("event_id") % 3, F.col("ts")
+    raw = (
+        F.when(k == 0, F.unix_timestamp(ts).cast("string"))
+        .when(k == 1, F.date_format(ts, "yyyy-MM-dd")).otherwise(F.lit("junk"))
+    )
+    at = co.timestamp_of(raw)
+    return t.events().select("event_id", at.cast("timestamp_ntz").alias("at"), co.iso_text(at).alias("iso"))
+
+
+@query("arr1_tags", """SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN lang || '|' || source WHEN 1 THEN lang || '|x'
+  WHEN 2 THEN source ELSE 'platform:' || lang || '|source:' || source END AS tags FROM documents""")
+def _(t):
+    k = F.col("doc_id") % 4
+    raw = (
+        F.when(k == 0, F.to_json(F.array("lang", "source")))
+        .when(k == 1, F.concat("lang", F.lit(", x , ")))
+        .when(k == 2, F.col("source")).otherwise(F.lit(" "))
+    )
+    default = co.default_tags({"platform": "lang", "category_lv1": F.lit(None).cast("string"), "source": "source"})
+    return t.raw("documents").select("doc_id", F.array_join(co.tag_list(raw, default), "|").alias("tags"))
+
+
+@query("jsn1_node_fields", """SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN role ELSE 'n' || conv_id END AS author,
+  CASE WHEN turn % 2 = 0 THEN CAST(conv_id AS VARCHAR) ELSE 'u' || turn END AS author_id,
+  trim(regexp_replace(text, '\\s+', ' ', 'g')) AS content FROM conversations""")
+def _(t):
+    even = F.col("turn") % 2 == 0
+    flat = F.to_json(F.struct("text", F.col("role").alias("nickname"), F.col("conv_id").alias("uid"), F.lit(True).alias("name")))
+    deep = F.to_json(F.struct(
+        F.struct(F.col("text").alias("value")).alias("content"),
+        F.struct(F.concat(F.lit("n"), "conv_id").alias("nick_name"), F.concat(F.lit("u"), "turn").alias("user_id")).alias("user"),
+    ))
+    c = t.raw("conversations").select("conv_id", "turn", F.try_parse_json(F.when(even, flat).otherwise(deep)).alias("v"))
+    v = F.col("v")
+    return c.select(
+        "conv_id", "turn", nodes.author_name(v).alias("author"), nodes.author_id(v).alias("author_id"),
+        nodes.comment_text(v).alias("content"),
+    )

@@ -67,18 +67,19 @@ def truthy(c: Column) -> Column:
 
 
 def timestamp_of(c: str | Column) -> Column:
-    """Timestamp from epoch seconds/milliseconds, ISO text or a date; naive means UTC."""
+    """Timestamp from epoch seconds, ISO text or a date; naive text means the session zone (UTC)."""
     t = text(c)
-    epoch = t.try_cast("double")
-    seconds = F.when(epoch > 1e11, epoch / 1000.0).otherwise(epoch)
-    return F.when(t.rlike(r"^[0-9]+(\.[0-9]+)?$"), F.timestamp_micros((seconds * 1000000).cast("bigint"))).otherwise(
-        F.try_to_timestamp(t)
-    )
+    epoch = F.when(t.rlike(r"^[0-9]+(\.[0-9]+)?$"), t.try_cast("double"))
+    return F.coalesce(F.timestamp_micros((epoch * 1000000).try_cast("bigint")), F.try_to_timestamp(t))
 
 
 def iso_text(ts: Column) -> Column:
-    """ISO rendering with explicit UTC offset, '' for null (used in identity hashes)."""
-    return F.coalesce(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+00:00'"), F.lit(""))
+    """ISO rendering with UTC offset and micros only when present, '' for null (identity hashes)."""
+    seconds = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    micros = F.date_format(ts, ".SSSSSS")
+    return F.coalesce(
+        F.concat(seconds, F.when(micros != ".000000", micros).otherwise(F.lit("")), F.lit("+00:00")), F.lit("")
+    )
 
 
 def tag_list(c: str | Column, default: Column | None = None) -> Column:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from clipwell.functions import lexicons as lx
 from clipwell.functions.coerce import col, filled, text
@@ -142,10 +143,20 @@ def plausible_comment(c: Column) -> Column:
 
 # -- tokens, titles, topics, sentiment ----------------------------------------
 
+def raw_tokens(c: str | Column) -> Column:
+    return F.regexp_extract_all(F.lower(col(c)), F.lit(lx.TOKEN_PATTERN), 1)
+
+
 def tokens(c: str | Column, stopwords: Sequence[str] = lx.STOPWORDS) -> Column:
-    found = F.regexp_extract_all(F.lower(text(c)), F.lit(lx.TOKEN_PATTERN), 1)
-    stop = F.array(*[F.lit(w) for w in stopwords]) if stopwords else F.array().cast("array<string>")
-    return F.filter(found, lambda t: ~F.array_contains(stop, t))
+    return F.filter(raw_tokens(c), lambda t: ~t.isin(*stopwords))
+
+
+def token_rows(
+    df: DataFrame, keys: Sequence[str], c: str | Column, stopwords: Sequence[str] = lx.STOPWORDS, name: str = "token"
+) -> DataFrame:
+    """One row per token occurrence; the stop words are dropped after the explode, inside codegen."""
+    out = df.select(*keys, F.explode(raw_tokens(c)).alias(name))
+    return out.where(~F.col(name).isin(*stopwords)) if stopwords else out
 
 
 def title_features(
@@ -252,7 +263,7 @@ def short_hash(c: Column, size: int = 16) -> Column:
     return F.left(F.sha1(c.cast("binary")), F.lit(size))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def repaired_text(values: pd.Series) -> pd.Series:
     """Latin-1 text that is really GBK, decoded when that raises the CJK share.
 

@@ -17,6 +17,7 @@ def spark_session(app: str = "clipwell", cores: int | str | None = None) -> Spar
         SparkSession.builder.appName(app)
         .master(f"local[{cores}]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
