@@ -75,12 +75,11 @@ def missing_ids(have: DataFrame, known: DataFrame, key: str = "video_id") -> Dat
 def observed(rows: DataFrame, index: DataFrame, keys: Sequence[str], name: str = "observed") -> DataFrame:
     """Flag rows found in the index; an empty index keeps every row."""
     marks = index.select(*keys).distinct().withColumn("__hit", F.lit(True))
-    any_row = index.select(F.lit(1).alias("__x")).limit(1).agg((F.count(F.lit(1)) == 0).alias("__empty"))
+    empty = index.select(F.lit(1).alias("x")).limit(1).agg((F.count(F.lit(1)) == 0).alias("empty")).scalar()
     return (
         rows.join(marks, list(keys), "left")
-        .join(F.broadcast(any_row))
-        .withColumn(name, F.coalesce(F.col("__hit"), F.lit(False)) | F.col("__empty"))
-        .drop("__hit", "__empty")
+        .withColumn(name, F.coalesce(F.col("__hit"), F.lit(False)) | empty)
+        .drop("__hit")
     )
 
 

@@ -120,7 +120,11 @@ def order_statistics(
     )
     run = with_running_total(counted, [*keys, "__v"], "__c", "__run")
     sizes = run.groupBy(*keys).agg(F.max("__run").alias("__end"), F.sum("__c").alias("n"))
-    joined = run.join(sizes, list(keys)) if keys else run.join(F.broadcast(sizes))
+    if keys:
+        joined = run.join(sizes, list(keys))
+    else:
+        whole = sizes.select(F.struct("__end", "n").alias("__s")).scalar()
+        joined = run.withColumn("__s", whole).withColumns({"__end": F.col("__s.__end"), "n": F.col("__s.n")})
     upto = F.col("__run") - (F.col("__end") - F.col("n"))
     found = []
     for name, rank in picks.items():

@@ -45,11 +45,8 @@ def head_and_tail(
 def top_fraction(df: DataFrame, order: Sequence[Column], fraction: float, name: str = "in_top") -> DataFrame:
     """Flag the first max(1, floor(n * fraction)) rows of the whole table."""
     ranked = with_row_number(df, order, "__rank")
-    size = ranked.agg(F.count(F.lit(1)).alias("__total"))
-    keep = F.greatest(F.lit(1), F.floor(F.col("__total") * F.lit(fraction)))
-    return (
-        ranked.join(F.broadcast(size)).withColumn(name, F.col("__rank") <= keep).drop("__rank", "__total")
-    )
+    keep = ranked.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(fraction))).alias("k")).scalar()
+    return ranked.withColumn(name, F.col("__rank") <= keep).drop("__rank")
 
 
 def numbered_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, total: str) -> DataFrame:
@@ -74,9 +71,9 @@ def spread_sample(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
 
 
 def chunked(df: DataFrame, order: Sequence[Column], size: int, name: str = "chunk_no") -> DataFrame:
-    """Fixed-size chunk numbers (0-based) over the whole table's order."""
+    """Fixed-size chunk numbers (1-based) over the whole table's order."""
     ranked = with_row_number(df, order, "__rank")
-    return ranked.withColumn(name, F.floor((F.col("__rank") - 1) / F.lit(size)).cast("bigint")).drop("__rank")
+    return ranked.withColumn(name, (F.floor((F.col("__rank") - 1) / F.lit(size)) + 1).cast("bigint")).drop("__rank")
 
 
 def first_k_per_key_limited(
