@@ -110,6 +110,11 @@ def even(x: str, digits: int) -> str:
     return f"CAST(round_even(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 17)), {digits}) AS DOUBLE)"
 
 
+def mean(x: str, digits: int) -> str:
+    """Twin of ``rounded``: cut to 10 digits first, then half-even."""
+    return even(f"round_even({x}, 10)", digits)
+
+
 VIDEOS = "videos AS (SELECT p_partkey AS video_id, p_brand AS account_id, p_name AS title FROM part)"
 METRICS = """metrics AS (SELECT l_partkey AS video_id, CAST(sum(l_quantity) AS BIGINT) AS view_count,
   count(*) AS like_count, count(*) FILTER (l_returnflag = 'R') AS comment_count,

@@ -17,11 +17,21 @@ YI = "亿"
 def rate(num: Column, den: Column, digits: int | None = None) -> Column:
     """num/den, 0 when the denominator is not positive."""
     r = F.coalesce(F.when(den > 0, F.try_divide(num.cast("double"), den.cast("double"))), F.lit(0.0))
-    return r if digits is None else F.bround(r, digits)
+    return r if digits is None else rounded(r, digits)
+
+
+def rounded(c: Column, digits: int) -> Column:
+    """Half-even rounding of a computed mean or ratio.
+
+    The value is first cut to 10 digits, so the order in which a cluster adds
+    up doubles cannot flip a tie.
+    """
+    return F.bround(F.bround(c, 10), digits)
 
 
 def bounded(c: Column, low: float = 0.0, high: float = 1.0) -> Column:
-    return F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), c))
+    """Clamp; null stays null (``greatest`` and ``least`` alone would skip it)."""
+    return F.when(c.isNotNull(), F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), c)))
 
 
 def share_of(num: Column, den: Column) -> Column:
@@ -35,7 +45,7 @@ def percentage(num: Column, den: Column) -> Column:
 
 def score100(c: Column) -> Column:
     """Half-even rounded integer clamped to 0-100."""
-    return F.greatest(F.lit(0), F.least(F.lit(100), F.bround(c, 0).cast("int"))).cast("bigint")
+    return bounded(F.bround(c, 0), 0.0, 100.0).cast("bigint")
 
 
 def steps(c: Column, cuts: Sequence[tuple[float, str]], otherwise: str) -> Column:

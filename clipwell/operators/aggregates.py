@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipwell.functions.coerce import text
-from clipwell.functions.numbers import bounded, count_where, rate
+from clipwell.functions.numbers import bounded, count_where, rate, rounded
 from clipwell.operators.ordering import long_form, medians, order_statistics, with_row_number
 from clipwell.operators.picking import top_fraction, top_per_key
 
@@ -19,7 +19,7 @@ def mean_or_zero(c: str | Column, digits: int | None = None) -> Column:
     """Average with missing values counted as 0, 0 for no rows."""
     col = F.col(c) if isinstance(c, str) else c
     value = F.coalesce(F.avg(F.coalesce(col.cast("double"), F.lit(0.0))), F.lit(0.0))
-    return value if digits is None else F.bround(value, digits)
+    return value if digits is None else rounded(value, digits)
 
 
 # -- order statistics -----------------------------------------------------------
@@ -77,8 +77,8 @@ def feature_lifts(rows: DataFrame, metric: str, features: Sequence[str], ratio:
         return F.coalesce(F.max(F.when(cond, F.try_divide(F.col("hits"), F.col("__n")))), F.lit(0.0))
 
     return tall.groupBy("feature").agg(part(F.col("__high")).alias("h"), part(~F.col("__high")).alias("m")).select(
-        "feature", F.bround("h", 4).alias("high_rate"), F.bround("m", 4).alias("normal_rate"),
-        F.bround(F.col("h") - F.col("m"), 4).alias("lift"),
+        "feature", rounded(F.col("h"), 4).alias("high_rate"), rounded(F.col("m"), 4).alias("normal_rate"),
+        rounded(F.col("h") - F.col("m"), 4).alias("lift"),
     )
 
 
@@ -91,7 +91,7 @@ def head_tail_profiles(
     cols = []
     for f in features:
         for name, cond in (("top", F.col("__top")), ("weak", ~F.col("__top"))):
-            cols.append(F.bround(F.coalesce(F.avg(F.when(cond, F.col(f).cast("double"))), F.lit(0.0)), 3).alias(f"{name}_{f}"))
+            cols.append(rounded(F.coalesce(F.avg(F.when(cond, F.col(f).cast("double"))), F.lit(0.0)), 3).alias(f"{name}_{f}"))
     return best.unionByName(weak).groupBy(account).agg(*cols)
 
 
@@ -110,7 +110,7 @@ def half_gaps(rows: DataFrame, metric: str, key: str, features: Sequence[str], d
         return F.coalesce(F.avg(F.when(cond, F.coalesce(F.col(f).cast("double"), F.lit(0.0)))), F.lit(0.0))
 
     top = F.col("in_top")
-    return flagged.agg(*[F.bround(mean(f, top) - mean(f, ~top), digits).alias(f"{f}_gap") for f in features])
+    return flagged.agg(*[rounded(mean(f, top) - mean(f, ~top), digits).alias(f"{f}_gap") for f in features])
 
 
 def quarter_gaps(rows: DataFrame, metric: str, key: str, features: Mapping[str, int]) -> DataFrame:
@@ -124,7 +124,7 @@ def quarter_gaps(rows: DataFrame, metric: str, key: str, features: Mapping[str,
     for f, digits in features.items():
         v = F.coalesce(F.col(f).cast("double"), F.lit(0.0))
         gap = F.coalesce(F.avg(F.when(high, v)), F.lit(0.0)) - F.coalesce(F.avg(F.when(low, v)), F.lit(0.0))
-        out.append(F.bround(gap, digits).alias(f"{f}_gap"))
+        out.append(rounded(gap, digits).alias(f"{f}_gap"))
     return j.agg(*out)
 
 
@@ -147,7 +147,7 @@ def risk_counts(rows: DataFrame, account: str) -> DataFrame:
 
 def level_distribution(score: str, level: str, levels: Sequence[str] = ("high", "medium", "low")) -> list[Column]:
     total = F.count(F.lit(1))
-    out = [total.alias("total"), F.bround(F.coalesce(F.avg(score), F.lit(0.0)), 2).alias("average_fit_score")]
+    out = [total.alias("total"), rounded(F.coalesce(F.avg(score), F.lit(0.0)), 2).alias("average_fit_score")]
     for name in levels:
         n = F.count_if(F.col(level) == name)
         out += [n.cast("bigint").alias(f"n_{name}"), rate(n, total, 4).alias(f"{name}_ratio")]
@@ -384,6 +384,6 @@ def trusted_summary(rows: DataFrame, account: str = "source_name") -> list[Colum
     return [
         n.alias("video_count"), (n - odd).alias("trusted_metric_count"), odd.cast("bigint").alias("suspicious_metric_count"),
         F.count_distinct(account).alias("account_count"),
-        F.bround(mean_or_zero("fit_score"), 2).alias("average_fit_score"),
-        F.bround(F.coalesce(F.avg(trusted), F.lit(0.0)), 2).alias("average_trusted_engagement"),
+        rounded(mean_or_zero("fit_score"), 2).alias("average_fit_score"),
+        rounded(F.coalesce(F.avg(trusted), F.lit(0.0)), 2).alias("average_trusted_engagement"),
     ]

@@ -17,7 +17,7 @@ from clipwell.functions.messages import EFFECT_ACTIONS as A
 from clipwell.functions.messages import EFFECT_RISKS as R
 from clipwell.functions.messages import EFFECT_TIP
 from clipwell.functions.notes import notes
-from clipwell.functions.numbers import person_score, range_score, speech_score
+from clipwell.functions.numbers import person_score, range_score, rounded, speech_score
 from clipwell.functions.text import has_any, topics
 from clipwell.operators.aggregates import ideal_ranges, most_frequent, topic_counts
 from clipwell.operators.joins import only_ids
@@ -152,7 +152,7 @@ def account_effects(scores: DataFrame, account: str = "source_name") -> DataFram
     """Mean scores per account and its most frequent risk (ties by text)."""
     means = scores.groupBy(account).agg(
         F.count(F.lit(1)).alias("video_count"),
-        *[F.bround(F.avg(c), 2).alias(f"avg_{c}") for c in ("effect_score", "production_quality_score", "comment_potential_score")],
+        *[rounded(F.avg(c), 2).alias(f"avg_{c}") for c in ("effect_score", "production_quality_score", "comment_potential_score")],
     )
     tip = most_frequent(scores, [account], "risks", "tip").select(account, "tip")
     return means.join(tip, account, "left").withColumn("tip", F.coalesce("tip", F.lit(EFFECT_TIP)))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipwell.functions.numbers import bounded
+from clipwell.functions.numbers import bounded, rounded
 from clipwell.functions.text import token_rows
 from clipwell.operators.aggregates import robust_scales
 from clipwell.operators.picking import head_and_tail, top_per_key
@@ -41,7 +41,7 @@ def robust_engagement(
 
 def account_scores(posts: DataFrame, account: str, score: str) -> DataFrame:
     return posts.groupBy(account).agg(
-        F.count(F.lit(1)).alias("video_count"), F.bround(F.avg(score), 2).alias("engagement_score")
+        F.count(F.lit(1)).alias("video_count"), rounded(F.avg(score), 2).alias("engagement_score")
     )
 
 

@@ -8,7 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clipwell.functions.notes import notes, notes_or
+from clipwell.functions.numbers import rounded
+from clipwell.operators.aggregates import mean_or_zero, trusted_summary
 from clipwell.operators.ordering import with_row_number
+from clipwell.plans.accounts import overall_score
 
 # Reasons of a chunk's rerun priority.
 REASON_FAILED = "存在失败目标，建议优先补跑"
@@ -74,3 +78,63 @@ def rerun_hint(status: Column, videos_seen: Column, detail_meaningful: Column, c
     )
 
 
+
+
+# -- account findings -------------------------------------------------------------
+
+def mean_findings(rows: DataFrame, account: str, tips: Mapping[str, str], speed: bool) -> DataFrame:
+    """Means per account and advice where a mean crosses its threshold."""
+    fields = ("fit_score", "engagement_score", "ocr_readability", "structure_completeness", "person_count",
+              "subtitle_consistency", "face_center_score", "speech_rate_cpm")
+    means = rows.groupBy(account).agg(F.count(F.lit(1)).alias("video_count"), *[mean_or_zero(f).alias(f"m_{f}") for f in fields])
+    rules = [
+        (F.col("m_structure_completeness") < 0.3, tips["structure"]),
+        (F.col("m_subtitle_consistency") < 0.5, tips["subtitle"]),
+        (F.col("m_person_count") > 1.5, tips["subject"]),
+        (F.col("m_face_center_score") < 0.75, tips["face"]),
+    ]
+    if speed:
+        rules.append((F.col("m_speech_rate_cpm") > 340, tips["speed"]))
+    digits = {"fit_score": 2, "engagement_score": 2, "ocr_readability": 3, "structure_completeness": 3, "person_count": 2}
+    return means.select(
+        account, "video_count", *[rounded(F.col(f"m_{f}"), d).alias(f"average_{f}") for f, d in digits.items()],
+        notes_or(rules, tips["none"]).alias("recommendations"),
+    )
+
+
+def comment_advice(stats: DataFrame, top: DataFrame, structure: DataFrame, account: str, tips: Mapping[str, str], names: Mapping[str, str]) -> DataFrame:
+    """Advice per account from its top topics, author replies and mean script structure."""
+    topics = top.groupBy(account).agg(F.collect_set("topic").alias("__topics"))
+    j = structure.join(stats, account, "left").join(topics, account, "left")
+    has = lambda k: F.coalesce(F.array_contains("__topics", names[k]), F.lit(False))
+    n, replies = F.coalesce("collected", F.lit(0)), F.coalesce("author_replies", F.lit(0))
+    rules = [
+        (has("material"), tips["material"]), (has("exam") | has("parent"), tips["exam"]), (has("doubt"), tips["doubt"]),
+        ((replies == 0) & (n > 0), tips["reply"]), (F.col("mean_structure") < 0.3, tips["structure"]),
+    ]
+    return j.select(account, n.alias("comments"), notes_or(rules, tips["none"]).alias("advice"))
+
+
+def trusted_accounts(rows: DataFrame, account: str, tips: Mapping[str, str]) -> DataFrame:
+    """All posts against trusted posts per account."""
+    counts = rows.groupBy(account).agg(*trusted_summary(rows, account)).drop("account_count")
+    advice = mean_findings(rows, account, tips, speed=False).select(
+        account, "average_structure_completeness", "average_person_count", "recommendations"
+    )
+    return counts.join(advice, account)
+
+
+def improvement_points(profiles: DataFrame, account: str, tips: Mapping[str, str], gap: float = 0.2, most: int = 4) -> DataFrame:
+    """Advice for features that the best posts show clearly more often than the weakest."""
+    found = F.slice(notes([
+        (F.col(f"top_{f}") - F.col(f"weak_{f}") >= gap, text) for f, text in tips.items() if f != "none"
+    ]), 1, most)
+    return profiles.select(account, F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(tips["none"]))).alias("improvement_points"))
+
+
+def weekly_global(scored: DataFrame, totals: DataFrame) -> DataFrame:
+    """One row: overall score, account count and the batch totals."""
+    return totals.withColumns({
+        "overall_score": overall_score(scored).scalar(),
+        "account_count": scored.agg(F.count(F.lit(1)).alias("n")).scalar(),
+    })
