@@ -9,6 +9,7 @@ from clipwell.catalog.registry import query
 from clipwell.catalog.texts import OVERLAP_SQL, TOKENS_SQL, _stop
 from clipwell.operators import aggregates as ag
 from clipwell.operators import picking as pk
+from clipwell.operators.ordering import with_row_number
 from clipwell.plans import engagement as en
 from clipwell.plans import features as ft
 from clipwell.plans import reports as rp
@@ -70,8 +71,6 @@ def _(t):
 @query("win3_global_rank", f"""WITH {b.BATCH} SELECT account_id, row_number() OVER (ORDER BY videos_seen DESC, detail_success DESC,
   account_id) AS rank FROM batch""")
 def _(t):
-    from clipwell.operators.ordering import with_row_number
-
     order = [F.col("videos_seen").desc(), F.col("detail_success").desc(), F.col("account_id").asc()]
     return with_row_number(t.batch_accounts(), order, "rank").select("account_id", "rank")
 
@@ -102,8 +101,7 @@ def _(t):
 @query("win5_top_half", f"""WITH {RATED} SELECT video_id, row_number() OVER (ORDER BY engagement_score DESC, video_id)
   <= greatest(1, count(*) OVER () // 2) AS in_top FROM rated""")
 def _(t):
-    order = [F.col("engagement_score").desc(), F.col("video_id").asc()]
-    return pk.top_fraction(rated(t), order, 0.5).select("video_id", "in_top")
+    return pk.top_fraction(rated(t), "engagement_score", "video_id", 0.5).select("video_id", "in_top")
 
 
 @query("win6_spread_sample", f"""WITH {RATED}, r AS (SELECT account_id, video_id, row_number() OVER (PARTITION BY account_id ORDER BY

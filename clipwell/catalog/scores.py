@@ -264,7 +264,7 @@ SOURCES = f"""{TRUSTED}, ok AS (SELECT *, row_number() OVER (ORDER BY trusted_en
 
 @query("sco10_ideal_profile", f"WITH {SOURCES}, r AS ({ranges_sql('ideal')}) SELECT * FROM r")
 def _(t):
-    return ef.train_profile(trusted(t))
+    return ef.train_profile(ef.ideal_sources(trusted(t)))
 
 
 _WEIGHTS = f"""{JUDGED}, tc AS (SELECT topic, count(*) AS n FROM (SELECT video_id, unnest(topics) AS topic FROM judged)
@@ -275,7 +275,7 @@ _WEIGHTS = f"""{JUDGED}, tc AS (SELECT topic, count(*) AS n FROM (SELECT video_i
 
 @query("sco10_topic_weights", f"WITH {SOURCES}, {_WEIGHTS} SELECT topic, weight FROM priced")
 def _(t):
-    return ef.train_topics(trusted(t), judged(t), demand=DEMAND)
+    return ef.train_topics(ef.ideal_sources(trusted(t)), judged(t), demand=DEMAND)
 
 
 _rs = lambda f, scale: (
@@ -301,8 +301,9 @@ EFFECT = f"""{SOURCES}, {_WEIGHTS}, prof AS ({ranges_sql('ideal')}), e1 AS (SELE
 
 def effects(t):
     rows = trusted(t)
+    ideal = ef.ideal_sources(rows)
     return ef.effect_scores(
-        rows, ef.train_profile(rows), ef.train_topics(rows, judged(t), demand=DEMAND), planned=PLANNED, no_topic="none",
+        rows, ef.train_profile(ideal), ef.train_topics(ideal, judged(t), demand=DEMAND), planned=PLANNED, no_topic="none",
         demand=DEMAND, hooks=HOOKS, cta=CTA, asking=ASKING, lead_topics=("english", "french"),
     )
 

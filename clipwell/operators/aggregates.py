@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clipwell.functions.coerce import text
 from clipwell.functions.numbers import bounded, count_where, rate, rounded
-from clipwell.operators.ordering import long_form, medians, order_statistics, with_row_number
+from clipwell.operators.ordering import durable, histogram, long_form, medians, order_statistics
 from clipwell.operators.picking import top_fraction, top_per_key
 
 METRICS = ("view_count", "like_count", "comment_count", "share_count")
@@ -27,9 +27,11 @@ def mean_or_zero(c: str | Column, digits: int | None = None) -> Column:
 def robust_scales(videos: DataFrame, key: str, metrics: Sequence[str] = METRICS) -> DataFrame:
     """Median and MAD * 1.4826 (at least 1) per metric; one row per metric."""
     tall = long_form(videos.fillna(0, subset=list(metrics)), [key], metrics, "metric", "value")
-    mids = medians(tall, "value", ["metric"], "median").select("metric", "median")
-    off = tall.join(F.broadcast(mids), "metric")
-    mads = medians(off.withColumn("dev", F.abs(F.col("value") - F.col("median"))), "dev", ["metric"], "mad")
+    # One pass over the posts: both medians come from the stored value counts.
+    counts = durable(histogram(tall, "value", ["metric"], "value", "c"))
+    mids = medians(counts, "value", ["metric"], "median", "c").select("metric", "median")
+    off = counts.join(F.broadcast(mids), "metric")  # one row per metric
+    mads = medians(off.withColumn("dev", F.abs(F.col("value") - F.col("median"))), "dev", ["metric"], "mad", "c")
     scale = F.greatest(F.col("mad") * 1.4826, F.lit(1.0)).alias("scale")
     return mids.join(mads.select("metric", "mad"), "metric").select("metric", "median", scale)
 
@@ -104,7 +106,7 @@ def correlation(x: str, y: str) -> Column:
 
 def half_gaps(rows: DataFrame, metric: str, key: str, features: Sequence[str], digits: int = 3) -> DataFrame:
     """Mean of the better half minus mean of the rest, one column per feature."""
-    flagged = top_fraction(rows, [F.col(metric).desc(), F.col(key).asc()], 0.5)
+    flagged = top_fraction(rows, metric, key, 0.5)
 
     def mean(f: str, cond: Column) -> Column:
         return F.coalesce(F.avg(F.when(cond, F.coalesce(F.col(f).cast("double"), F.lit(0.0)))), F.lit(0.0))
@@ -115,11 +117,9 @@ def half_gaps(rows: DataFrame, metric: str, key: str, features: Sequence[str], d
 
 def quarter_gaps(rows: DataFrame, metric: str, key: str, features: Mapping[str, int]) -> DataFrame:
     """Top quarter mean minus bottom quarter mean; feature name to digits."""
-    ranked = with_row_number(rows, [F.col(metric).desc(), F.col(key).asc()], "__down")
-    ranked = with_row_number(ranked, [F.col(metric).asc(), F.col(key).asc()], "__up")
-    size = ranked.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / 4)).alias("k")).scalar()
-    j = ranked.withColumn("__k", size)
-    high, low = F.col("__down") <= F.col("__k"), F.col("__up") <= F.col("__k")
+    j = top_fraction(rows, metric, key, 0.25, name="__high")
+    j = top_fraction(j, metric, key, 0.25, descending=False, name="__low")
+    high, low = F.col("__high"), F.col("__low")
     out = []
     for f, digits in features.items():
         v = F.coalesce(F.col(f).cast("double"), F.lit(0.0))

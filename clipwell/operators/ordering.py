@@ -98,11 +98,23 @@ def with_previous(
     return out.drop(_BLOCK, _SLOT, "__prev", "__carry")
 
 
+def histogram(
+    df: DataFrame, value: str | Column, keys: Sequence[str], name: str, count: str, weight: str | None = None
+) -> DataFrame:
+    """Rows per (key, value), counted map-side; nulls skipped."""
+    val = F.col(value) if isinstance(value, str) else value
+    n = F.count(F.lit(1)) if weight is None else F.sum("__w")
+    extra = [] if weight is None else [F.col(weight).alias("__w")]
+    kept = df.select(*keys, val.alias(name), *extra).where(F.col(name).isNotNull())
+    return kept.groupBy(*keys, name).agg(n.alias(count))
+
+
 def order_statistics(
     df: DataFrame,
     value: str | Column,
     picks: Mapping[str, Callable[[Column], Column]],
     keys: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact values at chosen 0-based ranks per key, plus ``n``.
 
@@ -110,14 +122,9 @@ def order_statistics(
     gives the rank. Equal values are counted before they are sorted, so a value
     repeated in a third of all rows is one row, and the ranks come from one
     global running count instead of one buffer per group. Nulls are skipped.
+    ``weight`` names a count column when the input is already a histogram.
     """
-    val = F.col(value) if isinstance(value, str) else value
-    counted = (
-        df.select(*keys, val.alias("__v"))
-        .where(F.col("__v").isNotNull())
-        .groupBy(*keys, "__v")
-        .agg(F.count(F.lit(1)).alias("__c"))
-    )
+    counted = histogram(df, value, keys, "__v", "__c", weight)
     run = with_running_total(counted, [*keys, "__v"], "__c", "__run")
     sizes = run.groupBy(*keys).agg(F.max("__run").alias("__end"), F.sum("__c").alias("n"))
     if keys:
@@ -134,13 +141,15 @@ def order_statistics(
     return joined.groupBy(*keys).agg(*found, F.max("n").alias("n"))
 
 
-def medians(df: DataFrame, value: str | Column, keys: Sequence[str] = (), name: str = "median") -> DataFrame:
+def medians(
+    df: DataFrame, value: str | Column, keys: Sequence[str] = (), name: str = "median", weight: str | None = None
+) -> DataFrame:
     """Exact interpolated median per key."""
     low_high = {
         "__lo": lambda n: F.floor((n - 1) / 2),
         "__hi": lambda n: F.floor(n / 2),
     }
-    found = order_statistics(df, value, low_high, keys)
+    found = order_statistics(df, value, low_high, keys, weight)
     mid = (F.col("__lo").cast("double") + F.col("__hi").cast("double")) / 2.0
     return found.withColumn(name, mid).drop("__lo", "__hi")
 

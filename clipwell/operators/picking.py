@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipwell.operators.ordering import with_row_number
+from clipwell.operators.ordering import order_statistics, with_row_number
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "pos") -> DataFrame:
@@ -42,11 +42,26 @@ def head_and_tail(
     return top.unionByName(bottom)
 
 
-def top_fraction(df: DataFrame, order: Sequence[Column], fraction: float, name: str = "in_top") -> DataFrame:
-    """Flag the first max(1, floor(n * fraction)) rows of the whole table."""
-    ranked = with_row_number(df, order, "__rank")
-    keep = ranked.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(fraction))).alias("k")).scalar()
-    return ranked.withColumn(name, F.col("__rank") <= keep).drop("__rank")
+def top_fraction(
+    df: DataFrame, metric: str, key: str, fraction: float, descending: bool = True, name: str = "in_top"
+) -> DataFrame:
+    """Flag the first max(1, floor(n * fraction)) rows by (metric, key) of the whole table.
+
+    Rows are not sorted: the exact boundary value is picked from value counts,
+    and among the rows that tie on it the exact boundary key. Three numbers
+    reach the driver; the flag itself is a plain filter expression.
+    """
+    value = F.coalesce(F.col(metric), F.lit(0))
+    size = lambda n: F.greatest(F.lit(1), F.floor(n * F.lit(fraction)))
+    at = (lambda n: n - size(n)) if descending else (lambda n: size(n) - 1)
+    edge = order_statistics(df, value, {"edge": at}).select("edge", size(F.col("n")).alias("k")).first()
+    if edge is None:
+        return df.withColumn(name, F.lit(False))
+    beyond = value > edge.edge if descending else value < edge.edge
+    tied = value == edge.edge
+    taken = df.agg(F.count_if(beyond).alias("n")).first().n
+    last = order_statistics(df.where(tied), key, {"last": lambda n: F.lit(edge.k - taken - 1)}).first().last
+    return df.withColumn(name, beyond | (tied & (F.col(key) <= F.lit(last))))
 
 
 def numbered_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, total: str) -> DataFrame:

@@ -21,8 +21,8 @@ from clipwell.functions.numbers import person_score, range_score, rounded, speec
 from clipwell.functions.text import has_any, topics
 from clipwell.operators.aggregates import ideal_ranges, most_frequent, topic_counts
 from clipwell.operators.joins import only_ids
+from clipwell.operators.ordering import durable
 from clipwell.operators.picking import top_fraction
-from clipwell.operators.sets import concat_first
 
 # Profile features, scales of the range parts, component weights, text fields.
 IDEAL_FEATURES = (
@@ -39,14 +39,19 @@ TOP_SHARE = 0.25
 DEMAND_WEIGHT, TOP_DEMAND_WEIGHT, TOP_OTHER_WEIGHT, TOP_TOPICS = 4, 6, 4, 5
 
 
-def ideal_sources(rows: DataFrame, key: str = "video_id", share: float = TOP_SHARE) -> DataFrame:
-    """Trusted posts in the top share by engagement or by comments, each once."""
-    trusted = rows.where(~F.col("metric_suspicious"))
-    tops = [
-        top_fraction(trusted, [F.col(m).desc(), F.col(key).asc()], share).where("in_top").drop("in_top")
-        for m in ("trusted_engagement_score", "comment_count")
-    ]
-    return concat_first(tops, key)
+def ideal_sources(
+    rows: DataFrame, key: str = "video_id", share: float = TOP_SHARE, features: Sequence[str] = IDEAL_FEATURES
+) -> DataFrame:
+    """Trusted posts in the top share by engagement or by comments, each once.
+
+    The few numeric columns are stored once, because both boundaries and the
+    profile read them again.
+    """
+    narrow = rows.where(~F.col("metric_suspicious")).select(key, "trusted_engagement_score", "comment_count", *features)
+    trusted = durable(narrow)
+    picked = top_fraction(trusted, "trusted_engagement_score", key, share, name="__eng")
+    picked = top_fraction(picked, "comment_count", key, share, name="__com")
+    return picked.where(F.col("__eng") | F.col("__com")).drop("__eng", "__com")
 
 
 def topic_weights(counts: DataFrame, demand: Sequence[str] = lx.DEMAND_TOPICS) -> DataFrame:
@@ -60,14 +65,17 @@ def topic_weights(counts: DataFrame, demand: Sequence[str] = lx.DEMAND_TOPICS) -
     return merged.select("topic", weight.cast("bigint").alias("weight"))
 
 
-def train_profile(rows: DataFrame, features: Sequence[str] = IDEAL_FEATURES, key: str = "video_id") -> DataFrame:
+def train_profile(ideal: DataFrame, features: Sequence[str] = IDEAL_FEATURES, key: str = "video_id") -> DataFrame:
     """One row per feature: low, mid, high over the ideal posts."""
-    return ideal_ranges(ideal_sources(rows, key), key, features)
+    return ideal_ranges(ideal, key, features)
 
 
-def train_topics(rows: DataFrame, comments: DataFrame, topic_col: str = "topics", key: str = "video_id", demand: Sequence[str] = lx.DEMAND_TOPICS) -> DataFrame:
+def train_topics(
+    ideal: DataFrame, comments: DataFrame, topic_col: str = "topics", key: str = "video_id",
+    demand: Sequence[str] = lx.DEMAND_TOPICS,
+) -> DataFrame:
     """Topic weights from the comments of the ideal posts."""
-    return topic_weights(topic_counts(only_ids(comments, ideal_sources(rows, key), key), topic_col), demand)
+    return topic_weights(topic_counts(only_ids(comments, ideal, key), topic_col), demand)
 
 
 def planned_text(df: DataFrame, fields: Sequence[str] = TEXT_FIELDS) -> Column:
