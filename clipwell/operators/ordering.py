@@ -13,24 +13,28 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLOT_BITS = 33
 _BLOCK, _SLOT, _BASE, _N = "__block", "__slot", "__base", "__n"
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the session names; a temporary one only for local runs without it."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        shared = tempfile.mkdtemp(prefix="clipwell-ckpt-")
+    return shared
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write the rows to the session's checkpoint folder and read them back."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-            shared = tempfile.mkdtemp(prefix="clipwell-ckpt-")
-        context.setCheckpointDir(shared)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
     return df.checkpoint(eager=True)
 
 
