@@ -1 +1,170 @@
+"""Bound extraction jobs over whole pages and texts."""
 
+from pyspark.sql import functions as F
+
+from clipwell.catalog import bindings as b
+from clipwell.catalog.registry import query
+from clipwell.functions import lexicons as lx
+from clipwell.plans import extraction as ex
+
+
+def dressed_pages(t):
+    """Pages with counters in a script, in the markup and in the body."""
+    k = F.col("page_id")
+    script = F.concat(
+        F.lit('<script>window.s={"digg_count": "'), (k * 7).cast("string"), F.lit('万", "comment_count":'), (k % 13).cast("string"),
+        F.lit(', "comment_count":'), (k % 11).cast("string"), F.lit("}</script>"),
+    )
+    return t.raw("pages").select(
+        "page_id", F.concat(F.when(k % 2 == 0, script).otherwise(""), F.col("html"), F.lit(" share_count='1,"), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit("' ")).alias("html"),
+        F.concat(F.lit("views: "), (k * 3).cast("string")).alias("body"),
+    )
+
+
+@query("ext1_page_metrics", """SELECT page_id, page_id * 3 AS view_count, CASE WHEN page_id % 2 = 0 THEN page_id * 70000 ELSE 0 END AS like_count,
+  CASE WHEN page_id % 2 = 0 THEN greatest(page_id % 13, page_id % 11) ELSE 0 END AS comment_count, 1000 + page_id % 1000 AS share_count,
+  CASE WHEN page_id % 2 = 0 THEN 4 ELSE 0 END AS comment_count_candidates FROM pages""")
+def _(t):
+    out = ex.page_metrics(dressed_pages(t), "html", "body")
+    return out.select("page_id", *lx.PAGE_METRIC_KEYS, "comment_count_candidates")
+
+
+@query("ext2_text_metrics", """SELECT o_orderkey, o_orderstatus <> 'P' AS matched, CASE WHEN o_orderstatus <> 'P' THEN o_custkey ELSE 0 END AS like_count,
+  CASE WHEN o_orderstatus = 'F' THEN o_orderkey % 500 ELSE 0 END AS comment_count, CASE WHEN o_orderstatus <> 'P' THEN o_orderkey % 70 * 10000 ELSE 0 END AS share_count
+  FROM orders""")
+def _(t):
+    k, s = F.col("o_orderkey"), F.col("o_orderstatus")
+    counts = F.concat_ws("\n", F.lit("12:30"), F.col("o_custkey").cast("string"), (k % 500).cast("string"), F.concat((k % 70).cast("string"), F.lit("万")))
+    body = F.concat(
+        F.repeat(F.concat(F.col("o_orderpriority"), F.lit(" text ")), 30), counts, F.when(s == "O", "\n抢首评").otherwise(""),
+        F.when(s == "P", "\n关注 举报 发布时间：").otherwise("\n举报 发布时间："), F.date_format("o_orderdate", "yyyy-MM-dd"),
+    )
+    out = ex.text_metrics(t.raw("orders").select("o_orderkey", body.alias("body")), "body")
+    return out.drop("body")
+
+
+_HREF = r"href=\"/([^\"]*)\""
+_H = f"""h AS (SELECT page_id, url, regexp_extract_all(html, 'href="/([^"]*)"', 1) AS a, regexp_extract_all(html, 'track\\(([0-9]+)\\)', 1) AS z FROM pages),
+  c AS (SELECT page_id, url, len(a) AS na, unnest(list_concat(a, z)) AS x, generate_subscripts(list_concat(a, z), 1) AS i FROM h),
+  v AS (SELECT *, regexp_full_match(trim(x), '[A-Za-z0-9_-]{{6,128}}') AND lower(trim(x)) NOT IN ('undefined','null','none','nan','false','true') AS ok FROM c),
+  f AS (SELECT page_id, x, min(i) AS i FROM v WHERE ok GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY min(i)) <= 3),
+  e AS (SELECT page_id, CASE WHEN count(*) >= 3 THEN max(i) END AS cut FROM f GROUP BY 1)"""
+
+
+@query("ext3_homepage_links", f"""WITH {_H} SELECT page_id, CAST(sum(CASE WHEN i <= na THEN 1 ELSE 0 END) AS BIGINT) AS pass1_matches,
+  CAST(sum(CASE WHEN i > na THEN 1 ELSE 0 END) AS BIGINT) AS pass2_matches, count(*) FILTER (NOT ok) AS invalid_candidates,
+  count(*) FILTER (ok) - count(DISTINCT x) FILTER (ok) AS duplicate_candidates, count(DISTINCT x) FILTER (ok) AS unique_ids,
+  coalesce((SELECT string_agg(regexp_extract(v.url, '^([a-z]+://[^/?#]+)', 1) || '/video/' || f.x, ' ' ORDER BY f.i) FROM f WHERE f.page_id = v.page_id), '') AS urls
+  FROM v LEFT JOIN e USING (page_id) WHERE cut IS NULL OR i <= cut GROUP BY page_id, v.url""")
+def _(t):
+    out = ex.homepage_candidates(t.raw("pages"), "html", "url", 3, (_HREF, r"track\(([0-9]+)\)"))
+    urls = F.array_join(F.transform("videos", lambda v: v["video_url"]), " ")
+    return out.select(
+        "page_id", "pass1_matches", "pass2_matches", "invalid_candidates", "duplicate_candidates", "unique_ids", urls.alias("urls")
+    )
+
+
+def talk_pages(t, with_content: bool):
+    """Each turn as a page body: every line of its text is one rendered comment (or an unrendered stub)."""
+    m = ex.CommentMarkers()
+    lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.btrim(x)) > 1)
+    tail = F.lit(f"\n3天前·上海\n1.2万\n{m.share}\n{m.reply}\n展开7条回复")
+
+    def block(x, i):
+        name = F.concat(F.col("role"), i.cast("string"))
+        return F.concat(name, F.lit("\n"), x, tail) if with_content else F.concat(name, tail)
+
+    body = F.concat(F.lit(f"intro {m.start}\n"), F.array_join(F.transform(lines, block), "\n"), F.lit("\n推荐视频 junk"))
+    return t.raw("conversations").select("conv_id", "turn", body.alias("body"))
+
+
+@query("ext4_body_comments", r"""WITH l AS (SELECT conv_id, turn, role, trim(unnest(ls)) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT *,
+  list_filter(string_split(text, chr(10)), lambda x: length(trim(x)) > 1) AS ls FROM conversations)), s AS (SELECT *, bool_or(length(line) <= 200) OVER
+  (PARTITION BY conv_id, turn) AS blocks FROM l), k AS (SELECT * FROM s WHERE (CASE WHEN blocks THEN length(line) <= 200 ELSE length(line) <= 500 END)
+  AND NOT regexp_full_match(line, '[^\p{L}\p{N}]+') AND NOT regexp_full_match(line, '[0-9]+(\.[0-9]+)?')), d AS (SELECT * FROM k QUALIFY
+  row_number() OVER (PARTITION BY conv_id, turn, regexp_replace(line, '\s+', ' ', 'g') ORDER BY i) = 1), c AS (SELECT *, row_number() OVER
+  (PARTITION BY conv_id, turn ORDER BY i) AS r FROM d) SELECT conv_id, turn, role || (i - 1) AS author_name, regexp_replace(line, '\s+', ' ', 'g') AS content,
+  12000 AS like_count, 7 AS reply_count FROM c WHERE r <= 20""")
+def _(t):
+    out = ex.body_comments(talk_pages(t, True), "body")
+    return out.select("conv_id", "turn", F.explode("comments").alias("c")).select(
+        "conv_id", "turn", "c.author_name", "c.content", "c.like_count", "c.reply_count"
+    )
+
+
+@query("ext9_comment_stubs", r"""WITH l AS (SELECT conv_id, turn, role, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT *,
+  list_filter(string_split(text, chr(10)), lambda x: length(trim(x)) > 1) AS ls FROM conversations)) SELECT conv_id, turn, role || (i - 1) AS author_name,
+  '[评论正文未渲染] ' || role || (i - 1) || ' 3天前·上海' AS content, sha1(role || (i - 1) || '|3天前·上海|1.2万') AS content_hash, 7 AS reply_count FROM l WHERE i <= 20""")
+def _(t):
+    out = ex.body_comments(talk_pages(t, False), "body")
+    return out.select("conv_id", "turn", F.explode("comments").alias("c")).where("c.source = 'body_text_stub'").select(
+        "conv_id", "turn", "c.author_name", "c.content", "c.content_hash", "c.reply_count"
+    )
+
+
+@query("ext5_payload_comments", r"""WITH l AS (SELECT conv_id, turn, role, trim(regexp_replace(text, '\s+', ' ', 'g')) AS content FROM conversations
+  UNION ALL SELECT conv_id, turn, 'nested', role || turn FROM conversations WHERE role = 'user') SELECT conv_id, role AS author_name, content,
+  CASE WHEN role = 'nested' THEN 0 ELSE turn END AS like_count FROM l WHERE length(content) BETWEEN 2 AND 500 AND NOT regexp_full_match(content, '[^\p{L}\p{N}]+')
+  QUALIFY row_number() OVER (PARTITION BY conv_id, content ORDER BY turn, role = 'nested') = 1""")
+def _(t):
+    reply = F.when(F.col("role") == "user", F.struct(F.array(F.struct(
+        F.concat("role", F.col("turn").cast("string")).alias("content"), F.struct(F.lit("nested").alias("nickname")).alias("user"),
+    )).alias("replies")))
+    item = F.struct(F.col("turn").alias("at"), "text", F.struct(F.col("role").alias("nickname")).alias("user"), F.col("turn").alias("digg_count"), reply.alias("deep"))
+    # One payload per conversation; turns of a conversation are few and its text is one page.
+    pay = t.raw("conversations").groupBy("conv_id").agg(
+        F.to_json(F.struct(F.struct(F.array_sort(F.collect_list(item)).alias("comments")).alias("data"))).alias("body")
+    )
+    url = F.concat(F.lit("https://h.example/aweme/v1/web/comment/list?x="), F.col("conv_id").cast("string"))
+    out = ex.payload_comments(pay, "conv_id", "body", url, depth=6)
+    return out.select("conv_id", "author_name", "content", "like_count")
+
+
+_MEDIA = """m AS (SELECT o_orderkey, o_custkey, 'http' || CASE WHEN o_orderkey % 11 = 0 THEN 'x' ELSE '' END || '://' || CASE WHEN o_orderkey % 3 = 0 THEN 'v.douyinvod.com'
+  ELSE 'h.example' END || CASE WHEN o_orderkey % 7 = 0 THEN '/download/' ELSE '/play/' END || o_orderkey || CASE WHEN o_orderstatus = 'F' THEN '.mp4' ELSE '' END AS url,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'video/mp4' ELSE 'text/html' END AS mime, CASE WHEN o_orderpriority = '5-LOW' THEN 'network_response' ELSE 'dom' END AS source,
+  CASE WHEN o_orderstatus = 'O' THEN 'Media hint' ELSE '' END AS note FROM orders)"""
+_dv, _mp = "contains(url, 'douyinvod.com')", "contains(url, '.mp4')"
+
+
+@query("ext6_media_ranking", f"""WITH {_MEDIA} SELECT o_custkey AS post, url, contains(url, '/download/') AS excluded, pos FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+  ORDER BY contains(url, '/download/')::INT, (NOT contains(url, CAST(o_custkey AS VARCHAR)))::INT, (mime <> 'video/mp4')::INT, (NOT {_dv})::INT, (NOT ({_mp} OR {_dv}))::INT,
+  (source <> 'network_response')::INT, (note = '')::INT, url) AS pos FROM m WHERE starts_with(url, 'http://') AND ({_mp} OR {_dv} OR contains(url, '/play/'))) WHERE pos <= 2""")
+def _(t):
+    k, s = F.col("o_orderkey"), F.col("o_orderstatus")
+    rows = t.raw("orders").select(
+        F.col("o_custkey").alias("post"), F.concat(
+            F.lit("http"), F.when(k % 11 == 0, "x").otherwise(""), F.lit("://"), F.when(k % 3 == 0, "v.douyinvod.com").otherwise("h.example"),
+            F.when(k % 7 == 0, "/download/").otherwise("/play/"), k.cast("string"), F.when(s == "F", ".mp4").otherwise(""),
+        ).alias("url"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "video/mp4").otherwise("text/html").alias("mime_type"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "network_response").otherwise("dom").alias("source"), F.when(s == "O", "Media hint").otherwise("").alias("note"),
+    )
+    return ex.media_candidates(rows, ["post"], F.col("post").cast("string"), best=2).select("post", "url", "excluded", "pos")
+
+
+@query("ext7_comment_signals", f"""WITH {b.COMMENTS} SELECT comment_id, CASE WHEN turn % 2 = 0 THEN role ELSE '' END AS author_name, CASE WHEN turn % 3 = 0 THEN 25000 ELSE turn END
+  AS like_count, CASE WHEN turn % 2 = 0 THEN 12 ELSE 34 END AS reply_count FROM comments""")
+def _(t):
+    k = F.col("turn")
+    body = F.concat(
+        F.when(k % 2 == 0, F.concat(F.lit("Author： "), "role", F.lit("，"))).otherwise(""), F.lit(" "), F.regexp_replace("text", "[0-9:]", ""), F.lit(" "),
+        F.when(k % 3 == 0, "2.5万").otherwise(k.cast("string")), F.lit(" 赞 "), F.when(k % 2 == 0, "回复 12").otherwise("34条回复"),
+    )
+    c = t.comments().withColumns(ex.comment_signals(body))
+    return c.select("comment_id", "author_name", "like_count", "reply_count")
+
+
+@query("ext8_html_comments")
+def _(t):
+    payload = F.concat(
+        F.lit('<script type="application/json">{"text": "'), F.regexp_replace(F.left(F.regexp_extract("html", "<h1>(.*?)</h1>", 1), F.lit(400)), r'["\\]', ""), F.lit('"}</script>')
+    )
+    pages = t.raw("pages").select("page_id", F.concat("html", payload).alias("html"))
+    out = ex.html_comments(pages, "page_id", "html", hint="ad|comment")
+    return out.select("page_id", "source", "content", "content_hash", "like_count", "reply_count")
+
+
+@query("ext8_hit_counters", """SELECT 'dom_regex' AS source, count(*) AS n FROM pages WHERE regexp_matches(html, '<div class="ad">[^<]{2,500}</div>')""")
+def _(t):
+    return ex.hit_counters(ex.html_comments(t.raw("pages"), "page_id", "html", hint='class="ad"'))
