@@ -47,7 +47,7 @@ _HREF = r"href=\"/([^\"]*)\""
 _H = f"""h AS (SELECT page_id, url, regexp_extract_all(html, 'href="/([^"]*)"', 1) AS a, regexp_extract_all(html, 'track\\(([0-9]+)\\)', 1) AS z FROM pages),
   c AS (SELECT page_id, url, len(a) AS na, unnest(list_concat(a, z)) AS x, generate_subscripts(list_concat(a, z), 1) AS i FROM h),
   v AS (SELECT *, regexp_full_match(trim(x), '[A-Za-z0-9_-]{{6,128}}') AND lower(trim(x)) NOT IN ('undefined','null','none','nan','false','true') AS ok FROM c),
-  f AS (SELECT page_id, x, min(i) AS i FROM v WHERE ok GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY min(i)) <= 3),
+  f AS (SELECT page_id, x, min(i) AS i FROM v WHERE ok GROUP BY page_id, x QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY min(i)) <= 3),
   e AS (SELECT page_id, CASE WHEN count(*) >= 3 THEN max(i) END AS cut FROM f GROUP BY 1)"""
 
 
@@ -86,20 +86,16 @@ def talk_pages(t, with_content: bool):
   (PARTITION BY conv_id, turn ORDER BY i) AS r FROM d) SELECT conv_id, turn, role || (i - 1) AS author_name, regexp_replace(line, '\s+', ' ', 'g') AS content,
   12000 AS like_count, 7 AS reply_count FROM c WHERE r <= 20""")
 def _(t):
-    out = ex.body_comments(talk_pages(t, True), "body")
-    return out.select("conv_id", "turn", F.explode("comments").alias("c")).select(
-        "conv_id", "turn", "c.author_name", "c.content", "c.like_count", "c.reply_count"
-    )
+    out = ex.body_comment_rows(talk_pages(t, True), ["conv_id", "turn"], "body")
+    return out.select("conv_id", "turn", "author_name", "content", "like_count", "reply_count")
 
 
 @query("ext9_comment_stubs", r"""WITH l AS (SELECT conv_id, turn, role, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT *,
   list_filter(string_split(text, chr(10)), lambda x: length(trim(x)) > 1) AS ls FROM conversations)) SELECT conv_id, turn, role || (i - 1) AS author_name,
   '[评论正文未渲染] ' || role || (i - 1) || ' 3天前·上海' AS content, sha1(role || (i - 1) || '|3天前·上海|1.2万') AS content_hash, 7 AS reply_count FROM l WHERE i <= 20""")
 def _(t):
-    out = ex.body_comments(talk_pages(t, False), "body")
-    return out.select("conv_id", "turn", F.explode("comments").alias("c")).where("c.source = 'body_text_stub'").select(
-        "conv_id", "turn", "c.author_name", "c.content", "c.content_hash", "c.reply_count"
-    )
+    out = ex.body_comment_rows(talk_pages(t, False), ["conv_id", "turn"], "body").where("source = 'body_text_stub'")
+    return out.select("conv_id", "turn", "author_name", "content", "content_hash", "reply_count")
 
 
 @query("ext5_payload_comments", r"""WITH l AS (SELECT conv_id, turn, role, trim(regexp_replace(text, '\s+', ' ', 'g')) AS content FROM conversations

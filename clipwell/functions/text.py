@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType
 
 from clipwell.functions import lexicons as lx
 from clipwell.functions.coerce import col, filled, text
+from clipwell.functions.rows import exploded
 
 
 def has_any(c: Column, words: Sequence[str]) -> Column:
@@ -155,7 +156,7 @@ def token_rows(
     df: DataFrame, keys: Sequence[str], c: str | Column, stopwords: Sequence[str] = lx.STOPWORDS, name: str = "token"
 ) -> DataFrame:
     """One row per token occurrence; the stop words are dropped after the explode, inside codegen."""
-    out = df.select(*keys, F.explode(raw_tokens(c)).alias(name))
+    out = exploded(df, keys, raw_tokens(c), name)
     return out.where(~F.col(name).isin(*stopwords)) if stopwords else out
 
 

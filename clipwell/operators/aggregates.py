@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipwell.functions.coerce import text
+from clipwell.functions.rows import exploded
 from clipwell.functions.numbers import bounded, count_where, rate, rounded
 from clipwell.operators.ordering import durable, histogram, long_form, medians, order_statistics
 from clipwell.operators.picking import top_fraction, top_per_key
@@ -209,7 +210,7 @@ def scan_reasons(artifacts: DataFrame, keep: Sequence[str], fields: Sequence[str
         warned = F.filter(F.transform(F.col(warnings), clean_reason), lambda w: w != "")
         named = F.transform(warned, lambda w: F.concat(F.lit("scan_meta.warning:"), w))
         found = F.concat(found, F.coalesce(named, F.array().cast("array<string>")))
-    return artifacts.select(*keep, F.explode(found).alias("reason"))
+    return exploded(artifacts, keep, found, "reason")
 
 
 def item_reasons(comments: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -221,7 +222,7 @@ def item_reasons(comments: DataFrame, keep: Sequence[str]) -> DataFrame:
         F.when(err != "", F.concat(F.lit("raw.error:"), err)),
         F.when(url != "", F.concat(F.lit("raw.response_url:"), url)),
     ]
-    return comments.select(*keep, F.explode(F.array_compact(F.array(*parts))).alias("reason"))
+    return exploded(comments, keep, F.array_compact(F.array(*parts)), "reason")
 
 
 def reason_totals(reasons: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -342,7 +343,7 @@ def comment_stats(comments: DataFrame, keys: Sequence[str], video: str, question
 
 
 def topic_counts(comments: DataFrame, topics: str, keys: Sequence[str] = ()) -> DataFrame:
-    return comments.select(*keys, F.explode(topics).alias("topic")).groupBy(*keys, "topic").agg(F.count(F.lit(1)).alias("n"))
+    return exploded(comments, keys, topics, "topic").groupBy(*keys, "topic").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_topics(comments: DataFrame, topics: str, keys: Sequence[str], k: int = 3) -> DataFrame:
@@ -356,7 +357,7 @@ def topic_examples(comments: DataFrame, topics: str, body: str, order: Sequence[
     The k rows are cut per task before any text is shipped, so a topic that
     holds most comments costs no more than a rare one.
     """
-    tall = comments.withColumn("topic", F.explode(topics))
+    tall = exploded(comments, comments.columns, topics, "topic")
     totals = tall.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
     few = top_per_key(tall, ["topic"], order, k)
     listed = few.groupBy("topic").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", body))), lambda x: x[body]).alias("examples"))
@@ -374,7 +375,7 @@ def merge_counters(tables: Sequence[DataFrame], counters: str) -> DataFrame:
 
 def most_frequent(rows: DataFrame, keys: Sequence[str], values: str, name: str) -> DataFrame:
     """Most frequent element of an array column per key; ties by text."""
-    counted = rows.select(*keys, F.explode(values).alias(name)).groupBy(*keys, name).agg(F.count(F.lit(1)).alias("n"))
+    counted = exploded(rows, keys, values, name).groupBy(*keys, name).agg(F.count(F.lit(1)).alias("n"))
     return top_per_key(counted, keys, [F.col("n").desc(), F.col(name).asc()], 1).select(*keys, name, "n")
 
 

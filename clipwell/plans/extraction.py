@@ -17,6 +17,7 @@ from clipwell.functions import lexicons as lx
 from clipwell.functions import nodes
 from clipwell.functions.coerce import filled, text
 from clipwell.functions.numbers import comment_count_text, page_count
+from clipwell.functions.rows import exploded
 from clipwell.functions.text import canonical_url, clean_comment, content_hash, has_any, loose_id, plausible_comment, visible_text
 from clipwell.operators.picking import one_per_key, top_per_key
 
@@ -44,6 +45,10 @@ def _values(source: Column, keys: Sequence[str]) -> Column:
     return F.array_compact(F.transform(found, lambda v: page_count(v)))
 
 
+def _values_of(keys: Sequence[str]):
+    return lambda source: _values(source, keys)
+
+
 def page_metrics(
     pages: DataFrame, html: str, body: str | None = None, keys: Mapping[str, Sequence[str]] = lx.PAGE_METRIC_KEYS,
 ) -> DataFrame:
@@ -51,7 +56,7 @@ def page_metrics(
     out = pages.withColumn("__scripts", scripts(F.col(html)))
     cols = {}
     for name, aliases in keys.items():
-        in_scripts = F.flatten(F.transform(F.col("__scripts"), lambda s, a=aliases: _values(s, a)))
+        in_scripts = F.flatten(F.transform(F.col("__scripts"), _values_of(aliases)))
         sources = [in_scripts, _values(F.col(html), aliases)]
         if body:
             sources.append(_values(F.coalesce(F.col(body), F.lit("")), aliases))
@@ -196,82 +201,96 @@ def _is_control(x: Column, m: CommentMarkers) -> Column:
     return x.isin(m.share, m.reply, *m.waiting) | (x.startswith("展开") & x.endswith("条回复"))
 
 
-def _is_author(x: Column, m: CommentMarkers) -> Column:
-    return (
-        (x != "") & ~x.isin(*m.not_authors) & (F.length(x) <= 80) & ~x.rlike(META_LINE) & ~_is_control(x, m) & ~x.rlike(LIKE_LINE)
+def _tagged(line: Column, m: CommentMarkers) -> Column:
+    """A line with the roles it can play; each line is judged once."""
+    meta, like, control = line.rlike(META_LINE), line.rlike(LIKE_LINE), _is_control(line, m)
+    author = (line != "") & ~line.isin(*m.not_authors) & (F.length(line) <= 80) & ~meta & ~control & ~like
+    body = plausible_comment(line) & ~meta & ~control
+    return F.struct(
+        line.alias("line"), author.alias("author"), body.alias("body"), meta.alias("meta"), like.alias("like"), control.alias("control"),
+        F.regexp_extract(line, REPLIES_LINE, 1).alias("replies"),
     )
 
 
 def _item(author: Column, content: Column, seed: Column, meta: Column, like: Column, reply: Column, source: str) -> Column:
+    hashed = content_hash(seed)
     return F.struct(
-        F.concat(F.lit("cmt_"), F.left(content_hash(seed), F.lit(16))).alias("comment_id"), author.alias("author_name"), content.alias("content"),
+        F.concat(F.lit("cmt_"), F.left(hashed, F.lit(16))).alias("comment_id"), author.alias("author_name"), content.alias("content"),
         comment_count_text(like).alias("like_count"), comment_count_text(reply).alias("reply_count"), meta.alias("meta_line"),
-        content_hash(seed).alias("content_hash"), F.lit(source).alias("source"),
+        hashed.alias("content_hash"), F.lit(source).alias("source"),
     )
 
 
-def _first_by_hash(items: Column, cap: int | None) -> Column:
-    hashes = F.transform(items, lambda i: i["content_hash"])
-    once = F.filter(items, lambda x, i: F.array_position(hashes, x["content_hash"]) == i + 1)
-    return once if cap is None else F.slice(once, 1, cap)
+def _first_by_hash(df: DataFrame, items: str, cap: int | None) -> DataFrame:
+    """First item per hash in an array column."""
+    out = df.withColumn("__hashes", F.transform(items, lambda i: i["content_hash"]))
+    once = F.filter(items, lambda x, i: F.array_position("__hashes", x["content_hash"]) == i + 1)
+    return out.withColumn(items, once if cap is None else F.slice(once, 1, cap)).drop("__hashes")
 
 
 def body_comments(rows: DataFrame, body: str, m: CommentMarkers = CommentMarkers(), cap: int | None = 20) -> DataFrame:
     """Comments of a body text: whole blocks, else line patterns, else stubs of unrendered ones.
 
     Adds ``comments`` (array of structs) and the hit counters of the three ways.
+    A later way runs only on pages where the earlier ones found nothing.
     """
     out = rows.withColumn("__section", comment_section(F.coalesce(F.col(body), F.lit("")), m))
     out = out.withColumn("__blocks", F.regexp_extract_all("__section", F.lit(BLOCK), 0))
-    out = out.withColumn("__lines", F.filter(F.transform(F.split("__section", r"\r?\n"), lambda x: F.btrim(x)), lambda x: x != ""))
-    badge = lambda x: x.isin(*m.badges) | x.endswith(m.badge_end)
-    out = out.withColumn("__lines", F.transform(F.filter("__lines", lambda x: ~badge(x)), lambda x: clean_comment(x)))
-    lines = F.col("__lines")
-    line = lambda i: F.coalesce(F.try_element_at(lines, i + 1), F.lit(""))
-
     part = lambda b, g: clean_comment(F.regexp_extract(b, BLOCK, g))
-    ok_block = lambda b: plausible_comment(part(b, 2)) & ~part(b, 1).isin(*m.not_authors[:3])
-    blocks = F.transform(
-        F.filter("__blocks", ok_block),
-        lambda b: _item(part(b, 1), part(b, 2), part(b, 2), part(b, 3), part(b, 4), part(b, 5), "body_text_block"),
-    )
+    parts = F.transform("__blocks", lambda b: F.struct(*[part(b, g).alias(f"p{g}") for g in range(1, 6)]))
+    kept = F.filter(parts, lambda p: plausible_comment(p["p2"]) & ~p["p1"].isin(*m.not_authors[:3]))
+    out = out.withColumn("__kept", kept)
+    out = out.withColumn("__a", F.transform("__kept", lambda p: _item(p["p1"], p["p2"], p["p2"], p["p3"], p["p4"], p["p5"], "body_text_block")))
+
+    badge = lambda x: x.isin(*m.badges) | x.endswith(m.badge_end)
+    split = F.filter(F.transform(F.split("__section", r"\r?\n"), lambda x: F.btrim(x)), lambda x: (x != "") & ~badge(x))
+    none = F.array().cast(NO_TEXTS)
+    out = out.withColumn("__clean", F.when(F.size("__a") == 0, F.transform(split, lambda x: clean_comment(x))).otherwise(none))
+    out = out.withColumn("__lines", F.transform("__clean", lambda x: _tagged(x, m)))
+    out = out.withColumn("__control", F.transform("__lines", lambda x: x["control"]))
+    lines, size = F.col("__lines"), F.size("__lines")
+    at = lambda i: F.try_element_at(lines, i + 1)
+    yes = lambda i, role: F.coalesce(at(i)[role], F.lit(False))
+    say = lambda i: F.coalesce(at(i)["line"], F.lit(""))
 
     def controls(i: Column) -> Column:
         """Run of control lines that starts at ``i``."""
-        rest = F.slice(lines, i + 1, F.size(lines))
-        stop = F.array_position(F.transform(rest, lambda x: _is_control(x, m)), F.lit(False))
-        return F.slice(rest, F.lit(1), F.when(stop > 0, stop.cast("int") - 1).otherwise(F.size(rest)))
+        stop = F.array_position(F.slice("__control", i + 1, size), F.lit(False)).cast("int")
+        return F.slice(lines, i + 1, F.when(stop > 0, stop - 1).otherwise(size))
 
     def replies(run: Column) -> Column:
-        counts = F.filter(F.transform(run, lambda x: F.regexp_extract(x, REPLIES_LINE, 1)), lambda x: x != "")
+        counts = F.filter(F.transform(run, lambda x: x["replies"]), lambda x: x != "")
         return F.coalesce(F.try_element_at(counts, F.lit(-1)), F.lit(""))
 
-    spots = F.sequence(F.lit(0), F.size(lines) - 1)
-    spots = F.when(F.size(lines) > 0, spots).otherwise(F.array().cast("array<int>"))
-    meta = lambda x: x.rlike(META_LINE)
-    full = F.filter(spots, lambda i: (
-        _is_author(line(i), m) & plausible_comment(line(i + 1)) & ~meta(line(i + 1)) & ~_is_control(line(i + 1), m)
-        & meta(line(i + 2)) & line(i + 3).rlike(LIKE_LINE)
-    ))
-    from_lines = F.transform(full, lambda i: _item(
-        line(i), line(i + 1), line(i + 1), line(i + 2), line(i + 3), replies(controls(i + 4)), "body_text_lines"
-    ))
-    bare = F.filter(spots, lambda i: (
-        _is_author(line(i), m) & meta(line(i + 1)) & line(i + 2).rlike(LIKE_LINE)
-        & F.array_contains(controls(i + 3), m.share) & F.array_contains(controls(i + 3), m.reply)
+    def shows(run: Column, word: str) -> Column:
+        return F.exists(run, lambda x: x["line"] == word)
+
+    spots = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+    out = out.withColumn("__spots", F.filter(spots, lambda i: yes(i, "author")))
+    full = F.filter("__spots", lambda i: yes(i + 1, "body") & yes(i + 2, "meta") & yes(i + 3, "like"))
+    bare = F.filter("__spots", lambda i: (
+        yes(i + 1, "meta") & yes(i + 2, "like") & shows(controls(i + 3), m.share) & shows(controls(i + 3), m.reply)
     ))
-    stubs = F.transform(bare, lambda i: _item(
-        line(i), F.concat(F.lit(m.stub), line(i), F.lit(" "), line(i + 1)),
-        F.concat_ws("|", line(i), line(i + 1), line(i + 2)), line(i + 1), line(i + 2), replies(controls(i + 3)), "body_text_stub"
+    out = out.withColumns({"__full": full, "__bare": bare})
+    out = out.withColumn("__b", F.transform("__full", lambda i: _item(
+        say(i), say(i + 1), say(i + 1), say(i + 2), say(i + 3), replies(controls(i + 4)), "body_text_lines"
+    )))
+    stubs = F.transform("__bare", lambda i: _item(
+        say(i), F.concat(F.lit(m.stub), say(i), F.lit(" "), say(i + 1)), F.concat_ws("|", say(i), say(i + 1), say(i + 2)),
+        say(i + 1), say(i + 2), replies(controls(i + 3)), "body_text_stub"
     ))
-    out = out.withColumn("__a", blocks)
-    out = out.withColumn("__b", F.when(F.size("__a") > 0, F.slice(from_lines, 1, 0)).otherwise(from_lines))
-    out = out.withColumn("__c", F.when((F.size("__a") > 0) | (F.size("__b") > 0), F.slice(stubs, 1, 0)).otherwise(stubs))
-    out = out.withColumns({"__a": _first_by_hash(F.col("__a"), cap), "__b": _first_by_hash(F.col("__b"), cap), "__c": _first_by_hash(F.col("__c"), cap)})
+    out = out.withColumn("__c", F.when(F.size("__full") == 0, stubs).otherwise(F.slice("__b", 1, 0)))
+    for items in ("__a", "__b", "__c"):
+        out = _first_by_hash(out, items, cap)
     return out.withColumns({
         "comments": F.concat("__a", "__b", "__c"),
         "body_text_blocks": (F.size("__a") + F.size("__b")).cast("bigint"), "body_text_stub_blocks": F.size("__c").cast("bigint"),
-    }).drop("__section", "__blocks", "__lines", "__a", "__b", "__c")
+    }).drop(*[c for c in out.columns if c.startswith("__")])
+
+
+def body_comment_rows(rows: DataFrame, keys: Sequence[str], body: str, m: CommentMarkers = CommentMarkers(), cap: int | None = 20) -> DataFrame:
+    """One row per comment of ``body_comments``."""
+    return exploded(body_comments(rows, body, m, cap), keys, "comments", "c").select(*keys, "c.*")
 
 
 # -- comments in API payloads -----------------------------------------------------------
@@ -303,7 +322,7 @@ def payload_comments(
     for d in range(1, depth + 1):
         level = level.withColumn(f"__l{d}", F.flatten(F.transform(f"__l{d - 1}", _children)))
     walked = F.concat(*[F.col(f"__l{d}") for d in range(depth + 1)])
-    found = level.select(key, F.posexplode(walked).alias("position", "node"))
+    found = exploded(level, [key], walked, "node", "position")
     node = F.col("node")
     found = found.where(nodes.is_object(node)).withColumn("content", nodes.comment_text(node))
     found = found.where(plausible_comment(F.col("content"))).withColumn("content_hash", content_hash("content"))
@@ -339,7 +358,7 @@ def html_comments(pages: DataFrame, key: str, html: str, hint: str = COMMENT_HIN
         F.transform(texts, lambda x: F.struct(F.lit("dom_regex").alias("source"), x.alias("raw"))),
         F.transform(strings, lambda x: F.struct(F.lit("dom_json").alias("source"), _unescaped_json(x).alias("raw"))),
     )
-    found = pages.select(key, F.posexplode(pairs).alias("position", "hit")).select(
+    found = exploded(pages, [key], pairs, "hit", "position").select(
         key, "position", "hit.source", clean_comment("hit.raw").alias("content")
     )
     found = found.where(plausible_comment(F.col("content"))).withColumn("content_hash", content_hash("content"))

@@ -11,6 +11,7 @@ from clipwell.functions import lexicons as lx
 from clipwell.functions import numbers as nm
 from clipwell.functions.coerce import text
 from clipwell.functions.notes import notes
+from clipwell.functions.rows import exploded
 from clipwell.functions.text import (
     char_overlap, contains_in, has_any, hits, occurrences, single_spaced,
 )
@@ -91,7 +92,7 @@ def subtitle_features(
     base = joined.groupBy(key).agg(
         F.count(F.lit(1)).alias("frames_count"), F.count_if(F.size(lines) > 0).alias("__filled")
     )
-    tall = frames.select(key, F.explode(lines).alias("line")).where(text("line") != "").distinct()
+    tall = exploded(frames, [key], lines, "line").where(text("line") != "").distinct()
     t = F.regexp_replace("line", r"[\s\p{Z}]+", "")
     per_line = tall.select(
         key, F.length(t).alias("size"),
