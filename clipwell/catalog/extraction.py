@@ -65,16 +65,17 @@ def _(t):
 
 
 def talk_pages(t, with_content: bool):
-    """Each turn as a page body: every line of its text is one rendered comment (or an unrendered stub)."""
+    """Each turn as a page body: every line of its text is one rendered comment, or the turn is one unrendered stub."""
     m = ex.CommentMarkers()
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.btrim(x)) > 1)
     tail = F.lit(f"\n3天前·上海\n1.2万\n{m.share}\n{m.reply}\n展开7条回复")
 
     def block(x, i):
-        name = F.concat(F.col("role"), i.cast("string"))
-        return F.concat(name, F.lit("\n"), x, tail) if with_content else F.concat(name, tail)
+        return F.concat(F.col("role"), i.cast("string"), F.lit("\n"), x, tail)
 
-    body = F.concat(F.lit(f"intro {m.start}\n"), F.array_join(F.transform(lines, block), "\n"), F.lit("\n推荐视频 junk"))
+    stub = F.concat(F.col("role"), F.length("text").cast("string"), tail)
+    shown = F.array_join(F.transform(lines, block), "\n") if with_content else stub
+    body = F.concat(F.lit(f"intro {m.start}\n"), shown, F.lit("\n推荐视频 junk"))
     return t.raw("conversations").select("conv_id", "turn", body.alias("body"))
 
 
@@ -90,9 +91,8 @@ def _(t):
     return out.select("conv_id", "turn", "author_name", "content", "like_count", "reply_count")
 
 
-@query("ext9_comment_stubs", r"""WITH l AS (SELECT conv_id, turn, role, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT *,
-  list_filter(string_split(text, chr(10)), lambda x: length(trim(x)) > 1) AS ls FROM conversations)) SELECT conv_id, turn, role || (i - 1) AS author_name,
-  '[评论正文未渲染] ' || role || (i - 1) || ' 3天前·上海' AS content, sha1(role || (i - 1) || '|3天前·上海|1.2万') AS content_hash, 7 AS reply_count FROM l WHERE i <= 20""")
+@query("ext9_comment_stubs", """WITH l AS (SELECT *, role || length(text) AS who FROM conversations) SELECT conv_id, turn, who AS author_name,
+  '[评论正文未渲染] ' || who || ' 3天前·上海' AS content, sha1(who || '|3天前·上海|1.2万') AS content_hash, 7 AS reply_count FROM l""")
 def _(t):
     out = ex.body_comment_rows(talk_pages(t, False), ["conv_id", "turn"], "body").where("source = 'body_text_stub'")
     return out.select("conv_id", "turn", "author_name", "content", "content_hash", "reply_count")
