@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLANK_ENDS = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+# Blanks that are trimmed from texts.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def col(c: str | Column) -> Column:
@@ -16,7 +17,7 @@ def col(c: str | Column) -> Column:
 
 def text(c: str | Column) -> Column:
     """Trimmed text; null becomes ''. Also drops Unicode blanks, unlike ``trim``."""
-    return F.coalesce(F.regexp_replace(col(c).cast("string"), BLANK_ENDS, ""), F.lit(""))
+    return F.coalesce(F.btrim(col(c).cast("string"), F.lit(BLANKS)), F.lit(""))
 
 
 def filled(c: str | Column) -> Column:

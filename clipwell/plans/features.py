@@ -211,7 +211,9 @@ def script_structure(
     knowledge: Sequence[str] = lx.KNOWLEDGE_WORDS, head_part: str = "has_hook", tail_part: str = "has_cta",
 ) -> DataFrame:
     """Part flags (hook in the head, call to action in the tail), completeness, density, missing parts."""
-    t = single_spaced(text(body))
+    # A column of its own: used many times below, computed once.
+    rows = rows.withColumn("__t", single_spaced(text(body)))
+    t = F.col("__t")
     flags = {
         name: contains_in(t, words, head=HEAD if name == head_part else 0, tail=TAIL if name == tail_part else 0)
         for name, words in parts.items()
@@ -226,7 +228,7 @@ def script_structure(
         "structure_completeness_score": F.bround(total / float(len(parts)), 3),
         "knowledge_density_score": F.when(t == "", 0.0).otherwise(density),
         "missing_parts": F.array_compact(F.array(*[F.when(~c, F.lit(n)) for n, c in flags.items()])),
-    })
+    }).drop("__t")
 
 
 def script_summary() -> list[Column]:
@@ -243,14 +245,16 @@ def prepublish_features(
     knowledge: Sequence[str] = lx.PREPUBLISH_KNOWLEDGE,
 ) -> DataFrame:
     """Structure, knowledge density and opening hook of texts planned for a post."""
-    full = F.array_join(F.filter(F.array(*[F.coalesce(c, F.lit("")) for c in (title, caption, script)]), lambda x: x != ""), " ")
+    joined = F.array_join(F.filter(F.array(*[F.coalesce(c, F.lit("")) for c in (title, caption, script)]), lambda x: x != ""), " ")
+    start = F.btrim(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.left(F.coalesce(script, F.lit("")), F.lit(HEAD))))
+    rows = rows.withColumns({"__full": joined, "__opening": start})
+    full, opening = F.col("__full"), F.col("__opening")
     marks = lx.QUESTION_MARKS
     hook = lambda c: has_any(c, hooks) | has_any(c, marks)
     found = [hook(full), *[has_any(full, w) for w in parts.values()], has_any(full, cta)]
     total = F.lit(0)
     for c in found:
         total = total + c.cast("int")
-    opening = F.btrim(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.left(F.coalesce(script, F.lit("")), F.lit(HEAD))))
     opened = (
         F.lit(0.35) + F.when(hook(opening), 0.35).otherwise(0.0) + F.when(has_any(opening, marks), 0.15).otherwise(0.0)
         + F.when(F.length(opening) <= 70, 0.15).otherwise(0.0)
@@ -260,7 +264,7 @@ def prepublish_features(
         "structure_completeness": total / float(len(found)),
         "knowledge_density": F.when(full == "", 0.0).otherwise(F.least(F.lit(1.0), dense)),
         "opening_hook_score": F.when(opening == "", 0.0).otherwise(F.least(F.lit(1.0), opened)),
-    })
+    }).drop("__full", "__opening")
 
 
 # Neutral features of a post whose media could not be read.
