@@ -101,19 +101,21 @@ def _(t):
 @query("ext5_payload_comments", r"""WITH l AS (SELECT conv_id, turn, role, trim(regexp_replace(text, '\s+', ' ', 'g')) AS content FROM conversations
   UNION ALL SELECT conv_id, turn, 'nested', role || turn FROM conversations WHERE role = 'user') SELECT conv_id, role AS author_name, content,
   CASE WHEN role = 'nested' THEN 0 ELSE turn END AS like_count FROM l WHERE length(content) BETWEEN 2 AND 500 AND NOT regexp_full_match(content, '[^\p{L}\p{N}]+')
-  QUALIFY row_number() OVER (PARTITION BY conv_id, content ORDER BY turn, role = 'nested') = 1""")
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn // 16, content ORDER BY turn, role = 'nested') = 1""")
 def _(t):
     reply = F.when(F.col("role") == "user", F.struct(F.array(F.struct(
         F.concat("role", F.col("turn").cast("string")).alias("content"), F.struct(F.lit("nested").alias("nickname")).alias("user"),
     )).alias("replies")))
     item = F.struct(F.col("turn").alias("at"), "text", F.struct(F.col("role").alias("nickname")).alias("user"), F.col("turn").alias("digg_count"), reply.alias("deep"))
-    # One payload per conversation; turns of a conversation are few and its text is one page.
-    pay = t.raw("conversations").groupBy("conv_id").agg(
+    # One payload per page of 16 turns, as an interface would serve them.
+    page = F.concat_ws("-", "conv_id", F.expr("turn div 16")).alias("page")
+    pay = t.raw("conversations").groupBy("conv_id", page).agg(
         F.to_json(F.struct(F.struct(F.array_sort(F.collect_list(item)).alias("comments")).alias("data"))).alias("body")
     )
     url = F.concat(F.lit("https://h.example/aweme/v1/web/comment/list?x="), F.col("conv_id").cast("string"))
-    out = ex.payload_comments(pay, "conv_id", "body", url, depth=6)
-    return out.select("conv_id", "author_name", "content", "like_count")
+    out = ex.payload_comments(pay, "page", "body", url, depth=6, cap=None)
+    conv = F.split_part("page", F.lit("-"), F.lit(1)).cast("bigint").alias("conv_id")
+    return out.select(conv, "author_name", "content", "like_count")
 
 
 _MEDIA = """m AS (SELECT o_orderkey, o_custkey, 'http' || CASE WHEN o_orderkey % 11 = 0 THEN 'x' ELSE '' END || '://' || CASE WHEN o_orderkey % 3 = 0 THEN 'v.douyinvod.com'

@@ -47,7 +47,7 @@ def _(t):
 _COMMENT = "struct<cid: string, text: string, content: string, digg_count: string, user: struct<uid: string, nickname: string>, user_id: string>"
 
 
-@query("src3_read_comments", """SELECT CASE WHEN turn % 2 = 0 THEN 'c' || turn ELSE conv_id || ':' || (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) END
+@query("src3_read_comments", """SELECT CASE WHEN turn % 2 = 0 THEN 'c' || turn ELSE conv_id || ':' || (row_number() OVER (PARTITION BY conv_id, turn // 64 ORDER BY turn) - 1) END
   AS comment_id, conv_id AS video_id, trim(regexp_replace(text, '[\\s]+$', '')) AS text, turn AS digg_count, CAST(turn AS VARCHAR) AS user_id, role AS user_name FROM conversations""")
 def _(t):
     work = work_folder(t.spark, "comments")
@@ -57,7 +57,10 @@ def _(t):
         F.when(k % 3 != 0, F.col("text")).alias("content"), k.cast("string").alias("digg_count"),
         F.struct(F.when(k % 5 == 0, k.cast("string")).alias("uid"), F.col("role").alias("nickname")).alias("user"), k.cast("string").alias("user_id"),
     )
-    page = t.raw("conversations").groupBy(F.col("conv_id").alias("video_id")).agg(F.array_sort(F.collect_list(item)).alias("all"))
+    # At most 64 turns per artifact; a long conversation becomes several.
+    page = t.raw("conversations").groupBy(F.col("conv_id").alias("video_id"), F.expr("turn div 64").alias("part")).agg(
+        F.array_sort(F.collect_list(item)).alias("all")
+    )
     even = F.col("video_id") % 2 == 0
     page.select("video_id", F.when(even, F.col("all")).alias("comments"), F.struct(F.when(~even, F.col("all")).alias("comments")).alias("data")).write.json(work)
     d = fs.read_artifacts(t.spark, work, f"video_id bigint, comments array<{_COMMENT}>, data struct<comments: array<{_COMMENT}>>", multi_line=False)
@@ -105,7 +108,8 @@ def _(t):
 @query("src6_parts_union", f"WITH {b.VIDEOS} SELECT video_id, title FROM videos")
 def _(t):
     work = work_folder(t.spark, "parts")
-    t.videos().groupBy("account_id").agg(F.struct(F.collect_list(F.struct("video_id", "title")).alias("results")).alias("result")).write.json(f"{work}/fusion")
+    part = F.expr("video_id div 64").alias("part")
+    t.videos().groupBy("account_id", part).agg(F.struct(F.collect_list(F.struct("video_id", "title")).alias("results")).alias("result")).write.json(f"{work}/fusion")
     # The glob of the reader asks for part files; Spark names its own files part-*, so the prefix is matched by folder here.
     schema = "result struct<results: array<struct<video_id: bigint, title: string>>>"
     df = t.spark.read.schema(schema).json(f"{work}/fusion")
@@ -132,7 +136,7 @@ def _(t):
     work = work_folder(t.spark, "crawl")
     v = t.videos().withColumns({"k": F.col("video_id") % 4, "url": F.concat(F.lit("u/"), F.col("video_id").cast("string"))})
     video = F.struct(F.col("url").alias("video_url"), F.col("video_id").cast("string").alias("video_id"), "title")
-    g = v.groupBy("account_id", "k").agg(F.collect_list(video).alias("videos"))
+    g = v.groupBy("account_id", "k", F.expr("video_id div 64").alias("part")).agg(F.collect_list(video).alias("videos"))
     k = F.col("k")
     target = F.struct(F.col("account_id").alias("source_name"))
     item = F.struct(target.alias("target"), F.struct("videos").alias("crawl_result"))

@@ -61,10 +61,15 @@ def speech_features(
     )
 
 
-def transcripts(segments: DataFrame, key: str = "video_id", position: str = "segment_no") -> DataFrame:
-    """Whole transcript per video: by nature one text cell per video."""
+def transcripts(segments: DataFrame, key: str = "video_id", position: str = "segment_no", size: int = 500) -> DataFrame:
+    """Whole transcript per video, in numbered parts of at most ``size`` segment positions.
+
+    Ordinary videos have one part; a video with very many segments has more of
+    them instead of one cell that no task could hold.
+    """
     listed = F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), text("text").alias("t"))))
-    return segments.groupBy(key).agg(F.array_join(F.transform(listed, lambda x: x["t"]), "").alias("transcript"))
+    part = F.floor(F.col(position) / F.lit(size)).cast("bigint")
+    return segments.groupBy(key, part.alias("part_no")).agg(F.array_join(F.transform(listed, lambda x: x["t"]), "").alias("transcript"))
 
 
 # -- subtitles --------------------------------------------------------------------

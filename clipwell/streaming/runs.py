@@ -46,6 +46,11 @@ def latest(images: DataFrame, keys: Sequence[str]) -> DataFrame:
     return one_per_key(images, keys, [F.col("epoch").desc()]).drop("epoch")
 
 
+def touched(state: DataFrame, batch: DataFrame, *keys: str) -> DataFrame:
+    """Stored rows that a batch can change, so a small batch never rewrites the table."""
+    return state.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+
+
 def run_available(stream: DataFrame, step: Callable[[DataFrame, int], None], work: str, mode: str = "append") -> None:
     """Process everything that has arrived, then stop."""
     query = (
@@ -71,7 +76,7 @@ def comment_stream(stream: DataFrame, work: str, delay: str = "1 hour") -> DataF
 
     def step(batch: DataFrame, epoch: int) -> None:
         state = latest(read_images(batch.sparkSession, path, schema, epoch), ["row_id"])
-        new = up.upsert_comments(state, batch, "commented_at").where(F.col(up.CHANGE) != "kept")
+        new = up.upsert_comments(touched(state, batch, "video_key"), batch, "commented_at").where(F.col(up.CHANGE) != "kept")
         write_epoch(new.drop(up.CHANGE), path, epoch)
 
     once = stream.withWatermark("commented_at", delay).dropDuplicatesWithinWatermark(["video_key", "platform_id"])
@@ -138,9 +143,14 @@ def persist_stream(stream: DataFrame, work: str) -> DataFrame:
         videos = good.select(F.col("homepage_url").alias("target_id"), "video_id", "video_url", "title", "seen_at")
         comments = good.where(F.col("comment").isNotNull()).select("comment.*")
         parts = {
-            "targets": lambda s: up.upsert_targets(s, good.select("homepage_url", "source_name", "seen_at"), "seen_at"),
-            "videos": lambda s: up.upsert_videos(s, videos, "seen_at"),
-            "comments": lambda s: up.upsert_comments(s, comments, "commented_at"),
+            "targets": lambda s: up.upsert_targets(
+                touched(s, good, "homepage_url"), good.select("homepage_url", "source_name", "seen_at"), "seen_at"
+            ),
+            # A video may be met by its URL under another target, so both keys select the stored rows.
+            "videos": lambda s: up.upsert_videos(
+                touched(s, videos, "target_id").union(touched(s, videos, "video_url")).distinct(), videos, "seen_at"
+            ),
+            "comments": lambda s: up.upsert_comments(touched(s, comments, "video_key"), comments, "commented_at"),
         }
         for name, build in parts.items():
             state = latest(read_images(session, f"{work}/{name}", schemas[name], epoch), keys[name])
