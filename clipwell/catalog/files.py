@@ -110,10 +110,8 @@ def _(t):
     work = work_folder(t.spark, "parts")
     part = F.expr("video_id div 64").alias("part")
     t.videos().groupBy("account_id", part).agg(F.struct(F.collect_list(F.struct("video_id", "title")).alias("results")).alias("result")).write.json(f"{work}/fusion")
-    # The glob of the reader asks for part files; Spark names its own files part-*, so the prefix is matched by folder here.
     schema = "result struct<results: array<struct<video_id: bigint, title: string>>>"
-    df = t.spark.read.schema(schema).json(f"{work}/fusion")
-    return df.select(F.inline("result.results"))
+    return fs.parts_union(t.spark, work, schema, "part-*.json", multi_line=False)
 
 
 @query("src7_table_source", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 100")

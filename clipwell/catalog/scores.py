@@ -6,14 +6,17 @@ from clipwell.catalog import bindings as b
 from clipwell.catalog.aggregates import IDEAL, JUDGED, PROFILE, RATED, judged, ranges_sql, rated
 from clipwell.catalog.filters import TRUSTED, modalities, trusted
 from clipwell.catalog.registry import query
-from clipwell.catalog.texts import any_sql
+from clipwell.catalog.texts import GRADE, TITLE_WORDS, any_sql
 from clipwell.functions import messages as ms
+from clipwell.functions.text import TITLE_FLAGS, title_features
 from clipwell.operators import aggregates as ag
+from clipwell.operators.joins import with_metrics
 from clipwell.plans import accounts as ac
 from clipwell.plans import effect as ef
 from clipwell.plans import engagement as en
 from clipwell.plans import fusion as fu
 from clipwell.plans import reports as rp
+from clipwell.plans import rounds as ro
 from clipwell.plans import video_fit as vf
 from clipwell.plans import visual_fit as vi
 
@@ -416,4 +419,36 @@ def _(t):
     return rp.weekly_global(ac.account_scores(a), totals)
 
 
+_FLAGS = ", ".join(TITLE_FLAGS)
+
+
+@query("sco5_comment_factors", f"""WITH {RATED}, keep AS (SELECT * FROM rated WHERE comment_count < 18), cut AS (SELECT list_sort(list(comment_count))[1 +
+  least(count(*) - 1, CAST(floor(count(*) * 0.75::DOUBLE) AS BIGINT))] AS th FROM keep WHERE comment_count > 0), tall AS (UNPIVOT
+  (SELECT comment_count >= th AS high, {_FLAGS} FROM keep, cut WHERE comment_count > 0) ON {_FLAGS} INTO NAME feature VALUE v) SELECT feature,
+  {b.mean("coalesce(avg(v) FILTER (high), 0)", 4)} AS high_rate, {b.mean("coalesce(avg(v) FILTER (NOT high), 0)", 4)} AS normal_rate,
+  {b.mean("coalesce(avg(v) FILTER (high), 0) - coalesce(avg(v) FILTER (NOT high), 0)", 4)} AS lift FROM tall GROUP BY feature""")
+def _(t):
+    return first_round(t)["comment_factors"]
+
+
+@query("sco5_account_table", f"""WITH {RATED}, keep AS (SELECT * FROM rated WHERE comment_count < 18) SELECT account_id, count(*) AS video_count,
+  CAST(floor(median(engagement_score)) AS BIGINT) AS median_engagement_score FROM keep GROUP BY 1""")
+def _(t):
+    return first_round(t)["accounts"].select("account_id", "video_count", "median_engagement_score")
+
+
+def first_round(t):
+    posts = with_metrics(t.videos(), t.metrics(), t.comments())
+    titles = title_features("title", TITLE_WORDS, GRADE, " la ")
+    return ro.first_round(posts, t.comments(), titles, suspicious=F.col("comment_count") >= 18)
+
+
+@query("sco19_weekly_fit", f"""WITH {FITTED} SELECT count(*) AS total, {b.mean('avg(fit_score)', 2)} AS average_fit_score, {", ".join(
+    f"count(*) FILTER (fit_level = '{n}') AS n_{n}, " + b.mean(f"count(*) FILTER (fit_level = '{n}') / count(*)", 4) + f" AS {n}_ratio" for n in ("high", "medium", "low"))}
+  FROM fitted""")
+def _(t):
+    posts = rated(t).drop("account_id").withColumn("account_id", F.col("video_id"))
+    return ro.weekly(t.batch_accounts(), posts)["fit_summary"]
+
+
 assert set(IDEAL) == set(ef.IDEAL_FEATURES)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clipwell.functions.coerce import col, real, text
+from clipwell.functions.coerce import real, text
 
 # Count suffixes.
 WAN = "万"

@@ -139,9 +139,9 @@ def comment_rows(df: DataFrame, video: str = "video_id") -> DataFrame:
     )
 
 
-def parts_union(spark: SparkSession, path: str, schema: str, prefix: str) -> DataFrame:
-    """Results of all parts of one prefix: ``result.results[]`` as rows."""
-    df = spark.read.schema(schema).json(path, multiLine=True, pathGlobFilter=f"{prefix}*_part*.json", recursiveFileLookup=True)
+def parts_union(spark: SparkSession, path: str, schema: str, glob: str = "*_part*.json", multi_line: bool = True) -> DataFrame:
+    """Results of all part files that match: ``result.results[]`` as rows."""
+    df = spark.read.schema(schema).json(path, multiLine=multi_line, pathGlobFilter=glob, recursiveFileLookup=True)
     return df.select(F.inline("result.results"))
 
 
