@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
+        # The twins read timestamps without a zone as UTC.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.folder = folder
 
     def raw(self, name: str) -> DataFrame:

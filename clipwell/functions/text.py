@@ -119,7 +119,8 @@ def unescaped(c: Column) -> Column:
 
 
 def single_spaced(c: Column) -> Column:
-    return F.btrim(F.regexp_replace(c, r"[\s 　]+", " "))
+    """Blanks collapsed to one space. Lone plain spaces are left alone, so most of a text is only scanned."""
+    return F.btrim(F.regexp_replace(c, r"[\s\x{a0}\x{3000}]{2,}|[\t\n\x0B\f\r\x{a0}\x{3000}]", " "))
 
 
 def clean_comment(c: str | Column) -> Column:

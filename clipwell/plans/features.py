@@ -223,16 +223,16 @@ def script_structure(
         name: contains_in(t, words, head=HEAD if name == head_part else 0, tail=TAIL if name == tail_part else 0)
         for name, words in parts.items()
     }
+    rows = rows.withColumns(flags)
     total = F.lit(0)
-    for c in flags.values():
-        total = total + c.cast("int")
+    for name in flags:
+        total = total + F.col(name).cast("int")
     density = F.bround(nm.bounded(occurrences(t, knowledge) / F.greatest(F.lit(3.0), F.length(t) / 80.0)), 3)
     return rows.withColumns({
-        **flags,
         "text_length": F.length(t).cast("bigint"),
         "structure_completeness_score": F.bround(total / float(len(parts)), 3),
         "knowledge_density_score": F.when(t == "", 0.0).otherwise(density),
-        "missing_parts": F.array_compact(F.array(*[F.when(~c, F.lit(n)) for n, c in flags.items()])),
+        "missing_parts": F.array_compact(F.array(*[F.when(~F.col(n), F.lit(n)) for n in flags])),
     }).drop("__t")
 
 

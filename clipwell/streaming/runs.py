@@ -51,12 +51,28 @@ def touched(state: DataFrame, batch: DataFrame, *keys: str) -> DataFrame:
     return state.join(batch.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def run_available(stream: DataFrame, step: Callable[[DataFrame, int], None], work: str, mode: str = "append") -> None:
-    """Process everything that has arrived, then stop."""
-    query = (
-        stream.writeStream.outputMode(mode).foreachBatch(step)
-        .option("checkpointLocation", f"{work}/progress").trigger(availableNow=True).start()
-    )
+PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def run_available(
+    stream: DataFrame, step: Callable[[DataFrame, int], None], work: str, mode: str = "append", state_partitions: int | None = None,
+) -> None:
+    """Process everything that has arrived, then stop.
+
+    A stateful query keeps the number of state partitions it starts with; it
+    follows the cores of the cluster unless given. The session's own setting is
+    put back once the query has started.
+    """
+    spark = stream.sparkSession
+    before = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        query = (
+            stream.writeStream.outputMode(mode).foreachBatch(step)
+            .option("checkpointLocation", f"{work}/progress").trigger(availableNow=True).start()
+        )
+    finally:
+        spark.conf.set(PARTITIONS, before)
     query.awaitTermination()
 
 
