@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clipwell.llm import line_quality, sql
+from clipwell.llm import line_quality, mixing, sql
 from clipwell.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def query(name: str, twin: str | None = None):
     return wrap
 
 
+@query("op3_mixed_sources", sql.MIXING)
+def op3_mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    return mixing.mixed(read(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 @query("op8_line_quality", sql.LINE_QUALITY)
 def op8_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures and the line-frequency verdict of every document."""

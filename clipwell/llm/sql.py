@@ -40,3 +40,31 @@ SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - boilerplate_words >= 0.2::DOUBLE * n_words kept
 FROM m
 """
+
+MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT size,
+    (('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE u
+  FROM documents),
+r AS (SELECT *, CASE WHEN size > 0 THEN u / (1.0::DOUBLE - u) / pow(size::DOUBLE, 0.5) END rk FROM d),
+s AS (
+  SELECT source, sum(size)::BIGINT source_size,
+    [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] w
+  FROM d GROUP BY source),
+c AS (SELECT *, 3 * source_size cap, row_number() OVER (ORDER BY 3 * source_size / w::DOUBLE, source NULLS LAST) k FROM s),
+l AS (
+  SELECT *, ((sum(source_size) OVER ()) - coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    / (sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM c),
+t AS (
+  SELECT source, source_size, least((SELECT arg_min(level, k) FROM l WHERE level * w <= cap) * w, cap::DOUBLE) target FROM l),
+n AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END whole FROM t),
+x AS (
+  SELECT r.doc_id, r.size, n.source_size, n.target, n.whole,
+    size > 0 AND (sum(size) OVER (PARTITION BY r.source ORDER BY rk, doc_id ROWS UNBOUNDED PRECEDING)) - size / 2.0::DOUBLE
+      <= n.target - n.whole * n.source_size AS extra
+  FROM r JOIN n ON r.source IS NOT DISTINCT FROM n.source)
+SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN whole + extra::INT ELSE 0 END::BIGINT copies,
+  (size * (whole + extra::INT))::BIGINT taken
+FROM x
+"""
