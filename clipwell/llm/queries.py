@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clipwell.llm import line_quality, mixing, sql
+from clipwell.llm import line_quality, mixing, sharding, sql
 from clipwell.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def query(name: str, twin: str | None = None):
     return wrap
 
 
+@query("op2_byte_shards")
+def op2_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in one of 24 contiguous shards of nearly equal bytes."""
+    return sharding.shard_places(read(spark, folder, "documents"), 24)
+
+
 @query("op3_mixed_sources", sql.MIXING)
 def op3_mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes from every document."""
