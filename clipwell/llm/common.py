@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clipwell.operators.ordering import checkpoint_folder, durable
 
-__all__ = ["checkpoint_folder", "durable", "read", "small", "text_of", "utf8_crc32", "words_of", "BLANKS", "GAP", "WORD"]
+__all__ = ["checkpoint_folder", "durable", "digest", "read", "row_key", "small", "text_of", "utf8_crc32", "words_of", "BLANKS", "GAP", "WORD"]
 
 #: The six characters between words, as a set, and a word and a gap as patterns.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -37,3 +37,13 @@ def utf8_crc32(text: Column) -> Column:
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it was counted and has at most ``rows`` rows, else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def digest(text: Column) -> Column:
+    """16 bytes that name a text."""
+    return F.unhex(F.md5(text_of(text).cast("binary")))
+
+
+def row_key(key: Column, text: Column) -> Column:
+    """16 bytes that name an id with a text."""
+    return F.unhex(F.md5(F.concat(digest(text), F.coalesce(key.cast("string"), F.lit("null")).cast("binary"))))

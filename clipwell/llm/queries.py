@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clipwell.llm import line_quality, mixing, sharding, sql
+from clipwell.llm import line_quality, mixing, sharding, simhash, sql
 from clipwell.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,12 @@ def op3_mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(read(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@query("op4_simhash_components")
+def op4_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(read(spark, folder, "documents")).drop("root", "row_key")
+
+
 @query("op8_line_quality", sql.LINE_QUALITY)
 def op8_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures and the line-frequency verdict of every document."""

@@ -24,22 +24,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipwell.llm.common import durable, text_of, utf8_crc32
+from clipwell.llm.common import digest, durable, row_key, text_of, utf8_crc32
 
 SLOT_BITS = 33
 MAX_SHARDS = 100_000
 ADDED = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-def _digest(text):
-    return F.unhex(F.md5(text_of(text).cast("binary")))
-
-
 def _placed(docs: DataFrame, key: str, text: str, overhead: int) -> DataFrame:
     """Narrow rows with their row number ``n`` and the bytes before them ``at``, in global order."""
     t = text_of(f"`{text}`")
     rows = docs.select(
-        F.col(f"`{key}`").alias("doc_id"), _digest(f"`{text}`").alias("digest"),
+        F.col(f"`{key}`").alias("doc_id"), digest(F.col(f"`{text}`")).alias("digest"), row_key(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("row_key"),
         (F.octet_length(t) + overhead).cast("long").alias("size"), utf8_crc32(t).alias("text_crc32"),
     )
     sort = durable(rows.orderBy("digest", "doc_id").withColumn("place", F.monotonically_increasing_id()))
@@ -56,7 +52,7 @@ def _placed(docs: DataFrame, key: str, text: str, overhead: int) -> DataFrame:
     at = sort.withColumn("at", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     # one row per sort partition
     return at.join(F.broadcast(base), F.col("block") == F.col("b")).select(
-        "doc_id", "digest", "size", "text_crc32", (F.col("at") + F.col("base")).alias("at"), (F.col("first") + within).alias("n")
+        "doc_id", "digest", "row_key", "size", "text_crc32", (F.col("at") + F.col("base")).alias("at"), (F.col("first") + within).alias("n")
     )
 
 
@@ -120,11 +116,10 @@ def sharded(
     """
     placed = _placed(docs, key, text, overhead)
     shard, slot = _address(placed, shards, whole_group)
-    same = lambda i, d: F.unhex(F.md5(F.concat(d, F.coalesce(i.cast("string"), F.lit("null")).cast("binary"))))
-    runs = placed.groupBy(same(F.col("doc_id"), F.col("digest")).alias("__same")).agg(
+    runs = placed.groupBy(F.col("row_key").alias("__same")).agg(
         F.struct(F.min("at").alias("at"), F.min("n").alias("n"), F.max("size").alias("size"), F.max("text_crc32").alias("crc")).alias("__run")
     )
-    wide = docs.withColumn("__key", same(F.col(f"`{key}`"), _digest(f"`{text}`")))
+    wide = docs.withColumn("__key", row_key(F.col(f"`{key}`"), F.col(f"`{text}`")))
     out = wide.join(runs, F.col("__key") == F.col("__same"))
     out = out.withColumn("__k", F.row_number().over(Window.partitionBy("__key").orderBy("__key")) - 1)
     at, n = F.col("__run.at") + F.col("__k") * F.col("__run.size"), F.col("__run.n") + F.col("__k")
