@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clipwell.llm import line_quality, mixing, sharding, simhash, sql
-from clipwell.llm.common import read
+from clipwell.llm import line_quality, mixing, sharding, simhash, sql, token_files
+from clipwell.llm.common import checkpoint_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +45,14 @@ def op4_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents")).drop("root", "row_key")
 
 
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Index of the ORC token files of all documents, read back from the files."""
+    files = f"{checkpoint_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(read(spark, folder, "documents"), files, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.token_index(spark, files)
+
+
 @query("op8_line_quality", sql.LINE_QUALITY)
 def op8_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures and the line-frequency verdict of every document."""
