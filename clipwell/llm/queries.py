@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clipwell.llm import line_quality, mixing, sharding, simhash, sql, token_files
+from clipwell.llm import decontamination, line_quality, mixing, sharding, simhash, sql, token_files
 from clipwell.llm.common import checkpoint_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,13 @@ def op8_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality.line_verdicts(read(spark, folder, "documents")).drop("removed_lines", "host", "text_key")
 
 
+@query("op10_benchmark_overlaps")
+def op10_benchmark_overlaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and benchmark item that overlap, substitutions allowed."""
+    found = decontamination.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return found.drop("row_key")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -11,7 +11,7 @@ are therefore cut there and the parts are encoded by the library once per worker
 (a bounded cache); a text with blanks in other places is encoded as a whole.
 Both ways give the library's own ids for the whole text, which the tests compare.
 
-Null or empty texts have the end id alone. Null ids come first; of equal ids the
+Null or empty texts have the end id alone. Ids pass Python as text, so that null and large ones keep their value. Null ids come first; of equal ids the
 rows follow the XXH64 of their texts. Repeated rows are kept. An empty table
 writes an empty data set. Other columns play no part.
 """
@@ -99,7 +99,7 @@ def _rows(path: str, end_id: int):
                 g = f.iloc[at : at + 512]
                 ids = [np.frombuffer(x + end, "<i4") for x in _encoder(path).encode(g["text"].tolist())]
                 yield pd.DataFrame(
-                    {"doc_id": g.doc_id.array, "text_xxh64": g.text_xxh64.to_numpy(), "n_tokens": [len(x) for x in ids], "ids": ids}
+                    {"doc_id": g.doc_id.to_numpy(), "text_xxh64": g.text_xxh64.to_numpy(), "n_tokens": [len(x) for x in ids], "ids": ids}
                 )
 
     return run
@@ -112,7 +112,9 @@ def write_tokens(
     """Encode all texts and write the ORC files; ``tokenizer`` is a path that every worker can read."""
     t = text_of(f"`{text}`")
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(t).alias("text_xxh64"), t.alias("text"))
-    encoded = rows.orderBy("doc_id", "text_xxh64").mapInPandas(_rows(tokenizer, end_id), SCHEMA)
+    ordered = rows.orderBy("doc_id", "text_xxh64").withColumn("doc_id", F.col("doc_id").cast("string"))
+    encoded = ordered.mapInPandas(_rows(tokenizer, end_id), SCHEMA.replace("bigint", "string", 1))
+    encoded = encoded.withColumn("doc_id", F.col("doc_id").cast("long"))
     (
         encoded.write.mode("overwrite")
         .option("orc.stripe.size", str(stripe_bytes))
@@ -136,13 +138,14 @@ def lookup(spark: SparkSession, folder: str, ids: list[int]) -> DataFrame:
 def _checksums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         crc = [zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in f.ids]
-        yield pd.DataFrame({"doc_id": f.doc_id.array, "text_xxh64": f.text_xxh64, "n_tokens": [len(x) for x in f.ids], "ids_crc32": crc})
+        yield pd.DataFrame({"doc_id": f.doc_id, "text_xxh64": f.text_xxh64, "n_tokens": [len(x) for x in f.ids], "ids_crc32": crc})
 
 
 def token_index(spark: SparkSession, folder: str) -> DataFrame:
     """Per document of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
     # read from the files; the narrow rows are put in file order again and summed by partition
-    rows = read_tokens(spark, folder).select("doc_id", "text_xxh64", "ids")
-    narrow = rows.mapInPandas(_checksums, "doc_id bigint, text_xxh64 bigint, n_tokens bigint, ids_crc32 bigint")
+    rows = read_tokens(spark, folder).select(F.col("doc_id").cast("string"), "text_xxh64", "ids")
+    narrow = rows.mapInPandas(_checksums, "doc_id string, text_xxh64 bigint, n_tokens bigint, ids_crc32 bigint")
+    narrow = narrow.withColumn("doc_id", F.col("doc_id").cast("long"))
     run = with_running_total(narrow, ["doc_id", "text_xxh64"], "n_tokens", "end")
     return run.select("doc_id", (F.col("end") - F.col("n_tokens")).alias("start"), "n_tokens", "ids_crc32")

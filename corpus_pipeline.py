@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipwell.llm import line_quality
-from clipwell.llm.common import checkpoint_folder
+from clipwell.llm import decontamination, line_quality, mixing, sharding, simhash
+from clipwell.llm.common import checkpoint_folder, read
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,8 +15,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return line_quality.accepted(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-equal fingerprints, the one with the smallest id."""
+    return simhash.one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an overlap with a benchmark item."""
+    return decontamination.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_rows(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their shard and slot."""
+    return sharding.sharded(docs, 24)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mix", mix),
+    ("shard", shard),
 ]
 
 #: SQL cannot express fingerprints and spaced seeds; the stages are tested against brute force.
@@ -25,7 +49,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage returns is stored in the session's shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
     folder = f"{checkpoint_folder(spark)}/corpus-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
