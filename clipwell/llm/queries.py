@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clipwell.llm import decontamination, line_quality, mixing, sharding, simhash, sql, token_files
+from clipwell.llm import decontamination, line_quality, mixing, personal_data, sharding, simhash, sql, token_files
 from clipwell.llm.common import checkpoint_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,17 @@ def op4_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents")).drop("root", "row_key")
 
 
+@query("op6_personal_data")
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and digest of the base spans, and all spans, of every document."""
+    found = personal_data.personal_data(read(spark, folder, "documents"))
+    base = F.filter("spans", lambda x: x["kind"].isin(*personal_data.BASE))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    counts = [count(kind).alias(f"n_{kind}") for kind in personal_data.BASE]
+    digest = F.sha2(personal_data.joined(base).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, personal_data.joined(F.col("spans")).alias("spans"))
+
+
 @query("op7_token_files")
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Index of the ORC token files of all documents, read back from the files."""
