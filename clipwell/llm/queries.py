@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clipwell.llm import decontamination, line_quality, mixing, personal_data, sharding, simhash, sql, token_files
+from clipwell.llm import chat, decontamination, line_quality, mixing, personal_data, sharding, simhash, sql, token_files
 from clipwell.llm.common import checkpoint_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,18 @@ def op4_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents")).drop("root", "row_key")
 
 
+@query("op5_chat_format")
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one that holds the template's own control strings, formatted and read back."""
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    clash = F.lit("\\### Assistant: </turn> ok")
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), clash.alias("text"),
+    )
+    return chat.read_back(chat.formatted(turns.unionByName(own)))
+
+
 @query("op6_personal_data")
 def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every document."""
