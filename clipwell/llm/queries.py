@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clipwell.llm import chat, decontamination, line_quality, mixing, personal_data, sharding, simhash, sql, token_files
+from clipwell.llm import chat, decontamination, line_quality, mixing, personal_data, sharding, simhash, sql, token_files, toxicity
 from clipwell.llm.common import checkpoint_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,16 @@ def query(name: str, twin: str | None = None):
     return wrap
 
 
+@query("op1_toxicity_scores")
+def op1_toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document, learned from the rows that are not held out."""
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+    model = toxicity.fit(toxicity.labelled_sample(docs, labels.where(~out), sample=4000))
+    scores = toxicity.scored(docs, model)
+    return scores.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query("op2_byte_shards")
 def op2_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in one of 24 contiguous shards of nearly equal bytes."""
