@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clipwell.llm import chat, decontamination, line_quality, mixing, personal_data, sharding, simhash, sql, token_files, toxicity
+from clipwell.llm import chat, decontamination, line_chunks, line_quality, mixing, personal_data, sharding, simhash, sql, token_files, toxicity
 from clipwell.llm.common import checkpoint_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,12 @@ def op8_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality.line_verdicts(read(spark, folder, "documents")).drop("removed_lines", "host", "text_key")
 
 
+@query("op9_line_chunks", sql.LINE_CHUNKS)
+def op9_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every occurrence of a repeated multi-line chunk but the first one."""
+    return line_chunks.repeated_chunks(read(spark, folder, "documents")).drop("row_key")
+
+
 @query("op10_benchmark_overlaps")
 def op10_benchmark_overlaps(spark: SparkSession, folder: str) -> DataFrame:
     """Every document and benchmark item that overlap, substitutions allowed."""

@@ -68,3 +68,27 @@ SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN whole + extra:
   (size * (whole + extra::INT))::BIGINT taken
 FROM x
 """
+
+LINE_CHUNKS = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) lines FROM documents),
+l AS (
+  SELECT doc_id, i, lines[i + 1] line, len(lines) n, ('0x' || substr(md5(lines[i + 1]), 1, 15))::BIGINT h,
+    len(regexp_extract_all(lines[i + 1], '[^\x20\x09-\x0D]+')) w
+  FROM (SELECT doc_id, lines, unnest(range(len(lines))) i FROM d)),
+r AS (
+  SELECT *, xor((coalesce(lag(h) OVER p, 0) & 576460752303423487) << 1, h) roll, coalesce(lead(w) OVER p, 50) after
+  FROM l WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+e AS (SELECT *, c, ((roll >> (7 * c)) & 1) = 0 OR w >= 50 OR after >= 50 AS is_end FROM r, (SELECT unnest(range(4)) c)),
+k AS (
+  SELECT *, coalesce(sum(is_end::INT) OVER (PARTITION BY doc_id, c ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) k FROM e),
+g AS (
+  SELECT DISTINCT doc_id, start_line, end_line, words, body FROM (
+    SELECT doc_id, c, k, min(i) start_line, max(i) end_line, sum(w)::BIGINT words, string_agg(line, chr(10) ORDER BY i) body
+    FROM k GROUP BY doc_id, c, k)
+  WHERE end_line > start_line AND words >= 20 OR words >= 50),
+o AS (
+  SELECT *, count(*) OVER (PARTITION BY body) occurrences, row_number() OVER (PARTITION BY body ORDER BY doc_id, start_line) place,
+    first_value(doc_id) OVER (PARTITION BY body ORDER BY doc_id, start_line) first_doc_id
+  FROM g)
+SELECT doc_id, start_line::BIGINT start_line, end_line::BIGINT end_line, words, first_doc_id, occurrences FROM o WHERE place > 1
+"""
