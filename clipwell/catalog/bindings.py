@@ -9,11 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+UTC = ("UTC", "Etc/UTC", "GMT", "Z")
+
+
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
+        # The twins read timestamps without a zone as UTC; another zone gets a session of its own.
+        if spark.conf.get("spark.sql.session.timeZone") not in UTC:
+            spark = spark.newSession()
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
-        # The twins read timestamps without a zone as UTC.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.folder = folder
 
     def raw(self, name: str) -> DataFrame:

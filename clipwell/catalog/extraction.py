@@ -85,7 +85,7 @@ def talk_pages(t, with_content: bool):
   AND NOT regexp_full_match(line, '[^\p{L}\p{N}]+') AND NOT regexp_full_match(line, '[0-9]+(\.[0-9]+)?')), d AS (SELECT * FROM k QUALIFY
   row_number() OVER (PARTITION BY conv_id, turn, regexp_replace(line, '\s+', ' ', 'g') ORDER BY i) = 1), c AS (SELECT *, row_number() OVER
   (PARTITION BY conv_id, turn ORDER BY i) AS r FROM d) SELECT conv_id, turn, role || (i - 1) AS author_name, regexp_replace(line, '\s+', ' ', 'g') AS content,
-  12000 AS like_count, 7 AS reply_count FROM c WHERE r <= 20""")
+  12000 AS like_count, 7 AS reply_count FROM c""")
 def _(t):
     out = ex.body_comment_rows(talk_pages(t, True), ["conv_id", "turn"], "body")
     return out.select("conv_id", "turn", "author_name", "content", "like_count", "reply_count")
@@ -113,7 +113,7 @@ def _(t):
         F.to_json(F.struct(F.struct(F.array_sort(F.collect_list(item)).alias("comments")).alias("data"))).alias("body")
     )
     url = F.concat(F.lit("https://h.example/aweme/v1/web/comment/list?x="), F.col("conv_id").cast("string"))
-    out = ex.payload_comments(pay, "page", "body", url, depth=6, cap=None)
+    out = ex.payload_comments(pay, "page", "body", url)
     conv = F.split_part("page", F.lit("-"), F.lit(1)).cast("bigint").alias("conv_id")
     return out.select(conv, "author_name", "content", "like_count")
 
@@ -156,7 +156,7 @@ def _(t):
 @query("ext8_html_comments")
 def _(t):
     payload = F.concat(
-        F.lit('<script type="application/json">{"text": "'), F.regexp_replace(F.left(F.regexp_extract("html", "<h1>(.*?)</h1>", 1), F.lit(400)), r'["\\]', ""), F.lit('"}</script>')
+        F.lit('<script type="application/json">{"text": "'), F.regexp_replace(F.regexp_extract("html", "<h1>(.*?)</h1>", 1), r'["\\]', ""), F.lit('"}</script>')
     )
     pages = t.raw("pages").select("page_id", F.concat("html", payload).alias("html"))
     out = ex.html_comments(pages, "page_id", "html", hint="ad|comment")

@@ -36,7 +36,7 @@ def _(t):
     return ft.speech_features(segments(t), hooks=HOOKS)
 
 
-@query("fea1_transcripts", """SELECT conv_id AS video_id, turn // 500 AS part_no, string_agg(trim(text), '' ORDER BY turn) AS transcript
+@query("fea1_transcripts", """SELECT conv_id AS video_id, 0 AS part_no, string_agg(trim(text), '' ORDER BY turn) AS transcript
   FROM conversations GROUP BY ALL""")
 def _(t):
     return ft.transcripts(segments(t))

@@ -67,7 +67,8 @@ def _(t):
     return fs.comment_rows(d).select("comment_id", "video_id", "text", "digg_count", "user_id", "user_name")
 
 
-@query("src4_quarantine", """SELECT count(*) FILTER (event_id % 10 <> 0) AS good, count(*) FILTER (event_id % 10 = 0) AS warnings FROM events""")
+@query("src4_quarantine", """SELECT CASE WHEN event_id % 10 <> 0 THEN event_id END AS video_id, CASE WHEN event_id % 10 = 0 THEN left('{"video_id":"' || event_id || '","title":"' || event_type || '"}',
+  length('{"video_id":"' || event_id || '","title":"' || event_type || '"}') - 3) END AS record FROM events""")
 def _(t):
     work = work_folder(t.spark, "corrupt")
     line = F.to_json(F.struct(F.col("event_id").cast("string").alias("video_id"), F.col("event_type").alias("title")))
@@ -75,7 +76,9 @@ def _(t):
     # Parsed once and stored, so both halves see the same reading.
     read = fs.read_artifacts(t.spark, work, "video_id string, title string", "*", multi_line=False).cache()
     good, bad = fs.split_corrupt(read)
-    return good.agg(F.count(F.lit(1)).alias("good")).withColumn("warnings", bad.agg(F.count(F.lit(1)).alias("n")).scalar())
+    return good.select(F.col("video_id").cast("bigint"), F.lit(None).cast("string").alias("record")).unionByName(
+        bad.select(F.lit(None).cast("bigint").alias("video_id"), "record")
+    )
 
 
 def paths(t):

@@ -41,37 +41,45 @@ def _(t):
 
 @query("str3_urls", r"""SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || '/video/' || page_id AS canonical,
   regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[?#].*$', '') AS host_path,
-  CASE WHEN s = '' THEN 'unknown' ELSE s END AS slug FROM (SELECT *, left(trim(
-  regexp_replace(url, '[\\/:*?"<>|\s_]+', '_', 'g'), '._ '), 80) AS s FROM pages)""")
+  CASE WHEN s = '' THEN 'unknown' WHEN length(s) > 30 THEN left(s, 21) || '_' || left(sha1(s), 8) ELSE s END AS slug FROM (SELECT *, trim(
+  regexp_replace(url, '[\\/:*?"<>|\s_]+', '_', 'g'), '._ ') AS s FROM pages)""")
 def _(t):
     return t.raw("pages").select(
         "page_id",
         tx.canonical_url("url", F.col("page_id").cast("string")).alias("canonical"),
         tx.host_and_path("url").alias("host_path"),
-        tx.slug("url").alias("slug"),
+        tx.slug("url", 30).alias("slug"),
     )
 
 
+# The entities that the tables hold (ampersand last), and a text with further ones.
+_KNOWN = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": "\u00a0", "&copy;": "©",
+    "&middot;": "·", "&hellip;": "…", "&mdash;": "—", "&ndash;": "–", "&ldquo;": "“", "&rdquo;": "”", "&lsquo;": "‘", "&rsquo;": "’", "&amp;": "&",
+}
+_MORE, _MORE_TEXT = " &#20013;&#x4E2d; &eacute;&hellip;&#8230;&Rightarrow; &#150; &unknown; &amp;lt; &", " 中中 é……⇒ – &unknown; &lt; &"
+
+
 def _duck_unescape(c: str) -> str:
-    for entity, char in lx.ENTITIES.items():
+    for entity, char in _KNOWN.items():
         c = f"replace({c}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
     return c
 
 
-@query("str4_clean_comment", f"""SELECT page_id, trim(regexp_replace(translate({_duck_unescape('html')}, chr(8203) || chr(65279),
-  '  '), '[\\s 　]+', ' ', 'g')) AS cleaned FROM pages""")
+@query("str4_clean_comment", f"""SELECT page_id, trim(regexp_replace(translate({_duck_unescape('html')} || '{_MORE_TEXT}', chr(8203) || chr(65279),
+  '  '), '[\\s \u00a0\u3000]+', ' ', 'g')) AS cleaned FROM pages""")
 def _(t):
-    return t.raw("pages").select("page_id", tx.clean_comment("html").alias("cleaned"))
+    return t.raw("pages").select("page_id", tx.clean_comment(F.concat("html", F.lit(_MORE))).alias("cleaned"))
 
 
 _STRIPPED = r"""regexp_replace(regexp_replace(html, '(?is)(<script[^>]*>.*?</script>|<style[^>]*>.*?</style>)', ' ', 'g'),
   '(?is)<[^>]+>', ' ', 'g')"""
 
 
-@query("str5_visible_text", f"""SELECT page_id, trim(regexp_replace({_duck_unescape(_STRIPPED)},
-  '[\\s 　]+', ' ', 'g')) AS body FROM pages""")
+@query("str5_visible_text", f"""SELECT page_id, trim(regexp_replace({_duck_unescape(_STRIPPED)} || '{_MORE_TEXT}',
+  '[\\s \u00a0\u3000]+', ' ', 'g')) AS body FROM pages""")
 def _(t):
-    return t.raw("pages").select("page_id", tx.visible_text("html").alias("body"))
+    return t.raw("pages").select("page_id", tx.visible_text(F.concat("html", F.lit(_MORE))).alias("body"))
 
 
 _stop = ", ".join(f"'{w}'" for w in lx.STOPWORDS)

@@ -187,8 +187,18 @@ def _(t):
 
 
 def stream(t, table: str):
-    """The table's parquet file as a stream."""
-    return t.spark.readStream.schema(t.raw(table).schema).option("pathGlobFilter", f"{table}.parquet").parquet(t.folder)
+    """The table's parquet files as a stream."""
+    spark = runs.stateful_session(t.spark)
+    return spark.readStream.schema(t.raw(table).schema).option("pathGlobFilter", f"{table}.parquet").parquet(t.folder)
+
+
+def files_of(t, rows, part, parts: int):
+    """Rows written as files that arrive one after the other, as a stream of one file for each micro-batch."""
+    folder = runs.work_folder(t.spark, "arriving")
+    for i in range(parts):
+        rows.where(part == i).coalesce(1).write.mode("append").parquet(folder)
+    spark = runs.stateful_session(t.spark)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 @query("inc3_snapshot_stream", "SELECT event_id, user_id AS view_count FROM events")
@@ -197,15 +207,24 @@ def _(t):
     return runs.snapshot_stream(obs, ["event_id"], runs.work_folder(t.spark, "snapshots")).select("event_id", "view_count")
 
 
-@query("inc4_comment_stream", """SELECT user_id AS video_key, 'p' || (event_id % 5000) AS platform_id, arg_min(event_type, ts) AS content FROM events GROUP BY ALL""")
+# Three deliveries; the later ones hold the older comments, and clicks have no platform id. Inside a delivery the first one wins, of deliveries the last.
+@query("inc4_comment_stream", """WITH c AS (SELECT user_id AS video_key, CASE WHEN event_type <> 'click' THEN 'p' || (event_id % 5000) END AS platform_id, event_type AS content,
+  CASE WHEN event_id % 2 = 0 THEN 'n' || event_id END AS nickname, ts, (SELECT max(event_id) + 1 FROM events) AS top, event_id FROM events), d AS (SELECT *, 2 - event_id * 3 // top AS part,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END || '+00:00' AS iso FROM c),
+  i AS (SELECT *, coalesce(platform_id, sha256('comment|' || video_key || '||' || content || '||' || coalesce(nickname, '') || '|' || iso)) AS id FROM d),
+  f AS (SELECT video_key, id, part, arg_min(platform_id, ts) AS platform_id, arg_min(content, ts) AS content, arg_min(struct_pack(n := nickname), ts).n AS nickname
+  FROM i GROUP BY video_key, id, part) SELECT video_key, any_value(platform_id) AS platform_id, arg_max(content, part) AS content, arg_max(nickname, part) AS nickname FROM f GROUP BY video_key, id""")
 def _(t):
-    none = F.lit(None).cast("string")
-    c = stream(t, "events").select(
-        F.col("user_id").alias("video_key"), F.concat(F.lit("p"), (F.col("event_id") % 5000).cast("string")).alias("platform_id"), none.alias("user_id"),
-        none.alias("nickname"), F.col("event_type").alias("content"), F.lit(0).cast("bigint").alias("like_count"),
-        F.col("ts").cast("timestamp").alias("commented_at"), none.alias("unique_hash"),
+    none, e = F.lit(None).cast("string"), t.raw("events")
+    kind, at = F.col("event_type"), F.col("event_id")
+    top = e.agg(F.max("event_id") + 1).scalar()
+    rows = e.withColumn("part", 2 - F.floor(at * 3 / top)).select(
+        F.col("user_id").alias("video_key"), F.when(kind != "click", F.concat(F.lit("p"), (at % 5000).cast("string"))).alias("platform_id"), none.alias("user_id"),
+        F.when(at % 2 == 0, F.concat(F.lit("n"), at.cast("string"))).alias("nickname"), kind.alias("content"), F.lit(0).cast("bigint").alias("like_count"),
+        F.col("ts").cast("timestamp").alias("commented_at"), none.alias("unique_hash"), "part",
     )
-    return runs.comment_stream(c, runs.work_folder(t.spark, "comments")).select("video_key", "platform_id", "content")
+    c = files_of(t, rows, F.col("part"), 3).drop("part")
+    return runs.comment_stream(c, runs.work_folder(t.spark, "comments")).select("video_key", "platform_id", "content", "nickname")
 
 
 @query("inc9_arrival_stream", """SELECT user_id AS video_id, arg_max(event_type, ts) AS status, count(*) AS artifact_count FROM events GROUP BY 1""")

@@ -75,12 +75,13 @@ def timestamp_of(c: str | Column) -> Column:
 
 
 def iso_text(ts: Column) -> Column:
-    """ISO rendering with UTC offset and micros only when present, '' for null (identity hashes)."""
-    seconds = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, ".SSSSSS")
-    return F.coalesce(
-        F.concat(seconds, F.when(micros != ".000000", micros).otherwise(F.lit("")), F.lit("+00:00")), F.lit("")
-    )
+    """ISO rendering in UTC, whatever the session zone, micros only when present, '' for null (identity hashes)."""
+    micros = F.unix_micros(ts.cast("timestamp"))
+    second = F.make_dt_interval(secs=F.floor(micros / 1000000).cast("decimal(18,6)"))
+    wall = (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + second).cast("string")
+    rest = F.pmod(micros, F.lit(1000000))
+    part = F.when(rest == 0, F.lit("")).otherwise(F.concat(F.lit("."), F.lpad(rest.cast("string"), 6, "0")))
+    return F.coalesce(F.concat(F.replace(wall, F.lit(" "), F.lit("T")), part, F.lit("+00:00")), F.lit(""))
 
 
 def tag_list(c: str | Column, default: Column | None = None) -> Column:

@@ -3,6 +3,8 @@
 Every operator takes its lexicon as a parameter; these are only the defaults.
 """
 
+from html.entities import html5
+
 # Tokens that never count as keywords.
 STOPWORDS = (
     "的", "了", "和", "是", "在", "就", "都", "很", "也", "与", "及", "以及",
@@ -129,12 +131,10 @@ PREPUBLISH_PARTS = {
 }
 PREPUBLISH_KNOWLEDGE = ("方法", "技巧", "训练", "公式", "步骤", "例子", "题", "阅读", "写作", "语文", "英语")
 
-# Named HTML entities decoded in comment texts (ampersand last).
-ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&apos;": "'", "&nbsp;": " ",
-    "&copy;": "©", "&middot;": "·", "&hellip;": "…", "&mdash;": "—", "&ndash;": "–", "&ldquo;": "“",
-    "&rdquo;": "”", "&lsquo;": "‘", "&rsquo;": "’", "&amp;": "&",
-}
+# HTML5 entity names (with or without the semicolon, as the standard has them) come from the standard library.
+ENTITIES = html5
+# Numeric references from 128 to 159 are read as Windows-1252.
+WINDOWS_1252 = {c: bytes([c]).decode("cp1252", "ignore") for c in range(0x80, 0xA0)}
 
 # Opening hooks of speech, punctuation outside the speech rate, subtitle keywords.
 SPEECH_HOOKS = ("你知道", "千万别", "很多人", "很多家长", "为什么", "到底", "一个方法", "三招", "别再")

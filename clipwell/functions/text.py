@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
@@ -103,19 +104,40 @@ def canonical_url(base: str | Column, video_id: Column) -> Column:
 
 
 def slug(c: str | Column, size: int = 80) -> Column:
-    """File-name safe text of at most ``size`` characters, 'unknown' when nothing is left."""
-    safe = F.regexp_replace(text(c), r'[\\/:*?"<>|\s_]+', "_")
-    cut = F.left(F.btrim(safe, F.lit("._ ")), F.lit(size))
-    return F.when(cut == "", F.lit("unknown")).otherwise(cut)
+    """File-name safe text of at most ``size`` characters, 'unknown' when nothing is left.
+
+    A longer one ends with a short hash of the whole, so that equal beginnings stay apart.
+    """
+    safe = F.btrim(F.regexp_replace(text(c), r'[\\/:*?"<>|\s_]+', "_"), F.lit("._ "))
+    cut = F.concat(F.left(safe, F.lit(size - 9)), F.lit("_"), F.left(F.sha1(safe.cast("binary")), F.lit(8)))
+    return F.when(safe == "", F.lit("unknown")).when(F.length(safe) > size, cut).otherwise(safe)
 
 
 # -- cleaning -----------------------------------------------------------------
 
+ENTITY = r"&(?:#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]{1,31};?)"
+
+
+def _constant_map(pairs: Mapping[str, str]) -> Column:
+    return F.from_json(F.lit(json.dumps(dict(pairs))), "map<string,string>")
+
+
+def _decoded(mark: Column) -> Column:
+    """Text of one entity, the mark itself if there is none."""
+    digits = F.regexp_extract(mark, r"^&#[xX]?([0-9a-fA-F]+)", 1)
+    number = F.when(mark.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("int")
+    point = F.when((number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), 0xFFFD).otherwise(number)
+    odd = F.element_at(_constant_map({str(k): v for k, v in lx.WINDOWS_1252.items() if v}), number.cast("string"))
+    char = F.coalesce(odd, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
+    name = F.element_at(_constant_map(lx.ENTITIES), F.substring(mark, F.lit(2), F.length(mark)))
+    return F.when(mark.startswith("&#"), char).otherwise(F.coalesce(name, mark))
+
+
 def unescaped(c: Column) -> Column:
-    out = c
-    for entity, char in lx.ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """All numeric and named HTML entities decoded; texts without an ampersand are left alone."""
+    pieces, marks = F.split(c, ENTITY), F.regexp_extract_all(c, F.lit(ENTITY), F.lit(0))
+    joined = F.zip_with(pieces, marks, lambda p, m: F.concat(p, F.coalesce(_decoded(m), F.lit(""))))
+    return F.when(c.contains("&"), F.array_join(joined, "")).otherwise(c)
 
 
 def single_spaced(c: Column) -> Column:

@@ -191,13 +191,19 @@ def status_totals(per_video: DataFrame) -> DataFrame:
     )
 
 
-# Scan fields that are counted as reasons, longest reason text.
+# Scan fields that are counted as reasons, longest reason text that a report shows.
 SCAN_FIELDS = ("stop_reason", "stop_reason_detail", "backend")
 REASON_SIZE = 160
 
 
 def clean_reason(c: Column) -> Column:
-    return F.left(F.regexp_replace(text(c), r"\s+", " "), F.lit(REASON_SIZE))
+    """Whole reason with single blanks; reasons are counted as they are."""
+    return F.regexp_replace(text(c), r"\s+", " ")
+
+
+def shown_reason(c: Column, size: int = REASON_SIZE) -> Column:
+    """A counted reason as a report shows it."""
+    return F.left(c, F.lit(size))
 
 
 def scan_reasons(artifacts: DataFrame, keep: Sequence[str], fields: Sequence[str] = SCAN_FIELDS, warnings: str | None = "warnings") -> DataFrame:

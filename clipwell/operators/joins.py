@@ -1,7 +1,8 @@
 """Joins of the content model.
 
 Right sides are made unique (pre-aggregated or one row per key) before they are
-joined, so no join can fan out; Spark picks broadcast or shuffle from sizes and
+joined, so no join can fan out; of repeated ids the row with the smallest hash
+counts, unless the caller has picked one before; Spark picks broadcast or shuffle from sizes and
 splits skewed partitions at run time. Nothing is broadcast by hint unless it is
 one row.
 """
@@ -16,12 +17,12 @@ from pyspark.sql import functions as F
 
 from clipwell.functions.coerce import filled, text
 from clipwell.functions.text import bare_name
-from clipwell.operators.picking import one_per_key
+from clipwell.operators.picking import one_per_key, unique
 
 
 def assemble(sources: Sequence[DataFrame], key: str, defaults: Mapping[str, object], limit: int | None = None) -> DataFrame:
     """Full outer join of sources on one id; missing values get their default; optional first n ids."""
-    joined = reduce(lambda a, b: a.join(b, key, "full"), sources)
+    joined = reduce(lambda a, b: a.join(b, key, "full"), [unique(s, [key]) for s in sources])
     out = joined.select(key, *[F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in defaults.items()])
     return out if limit is None else out.orderBy(key).limit(limit)
 
@@ -31,7 +32,7 @@ def with_metrics(videos: DataFrame, metrics: DataFrame, comments: DataFrame, key
     per_video = comments.groupBy(key).agg(F.count(F.lit(1)).alias("collected_comment_count"))
     counters = [c for c in metrics.columns if c != key]
     return (
-        videos.join(metrics, key, "left")
+        videos.join(unique(metrics, [key]), key, "left")
         .join(per_video, key, "left")
         .fillna(0, subset=[*counters, "collected_comment_count"])
     )
@@ -43,8 +44,8 @@ def merge_keeping(
 ) -> DataFrame:
     """Full outer merge: filled texts of the current side stay, non-zero incoming counters win."""
     names = [*texts, *counters]
-    a = current.select(key, *[F.col(c).alias(f"a_{c}") for c in names if c in current.columns])
-    b = incoming.select(key, *[F.col(c).alias(f"b_{c}") for c in names if c in incoming.columns])
+    a = unique(current, [key]).select(key, *[F.col(c).alias(f"a_{c}") for c in names if c in current.columns])
+    b = unique(incoming, [key]).select(key, *[F.col(c).alias(f"b_{c}") for c in names if c in incoming.columns])
     j = a.join(b, key, "full")
     none = F.lit(None)
 
@@ -61,7 +62,7 @@ def merge_keeping(
 
 def star(facts: DataFrame, dims: Sequence[DataFrame], key: str = "video_id") -> DataFrame:
     """Left joins of per-id feature tables onto the fact table."""
-    return reduce(lambda f, d: f.join(d, key, "left"), dims, facts)
+    return reduce(lambda f, d: f.join(unique(d, [key]), key, "left"), dims, facts)
 
 
 def only_ids(rows: DataFrame, ids: DataFrame, key: str = "video_id") -> DataFrame:
@@ -86,7 +87,7 @@ def observed(rows: DataFrame, index: DataFrame, keys: Sequence[str], name: str =
 def mentioned(rows: DataFrame, texts: DataFrame, key: str, account: str, body: str, name: str = "mentioned") -> DataFrame:
     """Equi-join on the artifact key, then: does the bare account name occur in the bare text?"""
     who = bare_name(account)
-    joined = rows.join(texts.select(key, body), key, "left")
+    joined = rows.join(unique(texts.select(key, body), [key]), key, "left")
     hit = (who != "") & F.coalesce(F.translate(F.col(body), "?？", "").contains(who), F.lit(False))
     return joined.withColumn(name, hit).drop(body)
 

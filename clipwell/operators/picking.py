@@ -24,6 +24,16 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return top_per_key(df, keys, order, 1, "__first").drop("__first")
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a row's values, the same in every run: the last word among equal rows of an order."""
+    return F.xxhash64(*[F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in df.dtypes])
+
+
+def unique(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """One row per key: the first under ``order``, equal ones by their hash. Makes a join's side unique."""
+    return one_per_key(df, keys, [*order, row_hash(df)])
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
     return one_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order])
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from clipwell.functions import lexicons as lx
 from clipwell.functions.coerce import filled, text, whole_number
 from clipwell.functions.text import short_hash, slug
+from clipwell.operators.picking import unique
 
 
 def pick_field(df: DataFrame, candidates: Sequence[str]) -> Column:
@@ -48,7 +49,7 @@ def whitelist_modalities(
 ) -> DataFrame:
     """Attach only the known modality columns of the feature table."""
     known = [m for m in modalities if m in features.columns]
-    return items.join(features.select(key, *known), key, "left")
+    return items.join(unique(features.select(key, *known), [key]), key, "left")
 
 
 def modality_coverage(df: DataFrame, modalities: Sequence[str] = MODALITIES) -> DataFrame:

@@ -19,6 +19,7 @@ from clipwell.functions.coerce import filled, text
 from clipwell.functions.numbers import comment_count_text, page_count
 from clipwell.functions.rows import exploded
 from clipwell.functions.text import canonical_url, clean_comment, content_hash, has_any, loose_id, plausible_comment, visible_text
+from clipwell.operators.ordering import durable
 from clipwell.operators.picking import one_per_key, top_per_key
 
 NO_TEXTS = "array<string>"
@@ -169,7 +170,7 @@ class CommentMarkers:
     badges: tuple[str, ...] = ("...", "作者", "置顶")
     badge_end: str = "赞过"
     stub: str = "[评论正文未渲染] "
-    open_section: int = 4000
+    open_section: int | None = None  # characters of a section without an end, None for all
 
 
 REPLIES_LINE = "^展开([0-9]+)条回复$"
@@ -192,7 +193,8 @@ def comment_section(body: Column, m: CommentMarkers = CommentMarkers()) -> Colum
         size = F.when(F.locate(w, after) == empty, len(w)).otherwise(size)
     cut = (
         F.when(end.isNotNull() & empty.isNotNull() & (end < empty), F.substring(after, F.lit(1), empty - 1 + size))
-        .when(end.isNotNull(), F.substring(after, F.lit(1), end - 1)).otherwise(F.left(after, F.lit(m.open_section)))
+        .when(end.isNotNull(), F.substring(after, F.lit(1), end - 1))
+        .otherwise(after if m.open_section is None else F.left(after, F.lit(m.open_section)))
     )
     return F.when(F.locate(m.start, body) > 0, F.btrim(cut, F.lit(" \t\r\n"))).otherwise(F.lit(""))
 
@@ -228,7 +230,7 @@ def _first_by_hash(df: DataFrame, items: str, cap: int | None) -> DataFrame:
     return out.withColumn(items, once if cap is None else F.slice(once, 1, cap)).drop("__hashes")
 
 
-def body_comments(rows: DataFrame, body: str, m: CommentMarkers = CommentMarkers(), cap: int | None = 20) -> DataFrame:
+def body_comments(rows: DataFrame, body: str, m: CommentMarkers = CommentMarkers(), cap: int | None = None) -> DataFrame:
     """Comments of a body text: whole blocks, else line patterns, else stubs of unrendered ones.
 
     Adds ``comments`` (array of structs) and the hit counters of the three ways.
@@ -288,7 +290,7 @@ def body_comments(rows: DataFrame, body: str, m: CommentMarkers = CommentMarkers
     }).drop(*[c for c in out.columns if c.startswith("__")])
 
 
-def body_comment_rows(rows: DataFrame, keys: Sequence[str], body: str, m: CommentMarkers = CommentMarkers(), cap: int | None = 20) -> DataFrame:
+def body_comment_rows(rows: DataFrame, keys: Sequence[str], body: str, m: CommentMarkers = CommentMarkers(), cap: int | None = None) -> DataFrame:
     """One row per comment of ``body_comments``."""
     return exploded(body_comments(rows, body, m, cap), keys, "comments", "c").select(*keys, "c.*")
 
@@ -305,13 +307,17 @@ def _children(node: Column) -> Column:
     return kept
 
 
+STEP = 8
+
+
 def payload_comments(
-    payloads: DataFrame, key: str, body: str, response_url: Column | None = None, depth: int = 8, cap: int | None = 20,
+    payloads: DataFrame, key: str, body: str, response_url: Column | None = None, depth: int | None = None, cap: int | None = None,
 ) -> DataFrame:
-    """Comment objects at any depth up to the bound, one row per distinct text and payload.
+    """Comment objects at any depth, one row per distinct text and payload.
 
-    Levels are walked inside the payload's row; the objects are then exploded
-    and mapped. ``cap`` keeps the first rows per payload in walking order.
+    ``STEP`` levels are walked inside the payload's row and exploded; what lies
+    deeper is stored and walked again, until nothing is left. ``depth`` stops at
+    so many levels; ``cap`` keeps the first rows per payload in walking order.
     """
     rows = payloads if response_url is None else payloads.where(has_any(F.lower(text(response_url)), lx.COMMENT_RESPONSES))
     raw = F.col(body)
@@ -319,10 +325,24 @@ def payload_comments(
     for k in (*nodes.TEXT_KEYS, *nodes.CONTAINER_KEYS):
         hinted = hinted | raw.contains(f'"{k}"')
     level = rows.where(hinted).select(key, F.array(F.try_parse_json(body)).alias("__l0"))
-    for d in range(1, depth + 1):
-        level = level.withColumn(f"__l{d}", F.flatten(F.transform(f"__l{d - 1}", _children)))
-    walked = F.concat(*[F.col(f"__l{d}") for d in range(depth + 1)])
-    found = exploded(level, [key], walked, "node", "position")
+    found, done = None, 0
+    while True:
+        step = STEP if depth is None else min(STEP, depth - done)
+        for d in range(1, step + 1):
+            level = level.withColumn(f"__l{d}", F.flatten(F.transform(f"__l{d - 1}", _children)))
+        top = step + 1 if depth is not None and done + step >= depth else step  # the last level opens the next walk
+        walked = F.concat(*[F.col(f"__l{d}") for d in range(top)])
+        part = exploded(level, [key], walked, "node", "position").withColumn("position", F.col("position") + F.lit(done << 32))
+        found = part if found is None else found.unionByName(part)
+        done += step
+        if top > step:
+            break
+        # variants are stored as text, which every format keeps
+        deeper = level.where(F.size(f"__l{step}") > 0).select(key, F.transform(f"__l{step}", lambda v: F.to_json(v)).alias("__texts"))
+        deeper = durable(deeper)
+        if deeper.isEmpty():
+            break
+        level = deeper.select(key, F.transform("__texts", F.try_parse_json).alias("__l0"))
     node = F.col("node")
     found = found.where(nodes.is_object(node)).withColumn("content", nodes.comment_text(node))
     found = found.where(plausible_comment(F.col("content"))).withColumn("content_hash", content_hash("content"))
@@ -345,7 +365,7 @@ def _unescaped_json(c: Column) -> Column:
 
 
 def html_comments(pages: DataFrame, key: str, html: str, hint: str = COMMENT_HINT, words: Sequence[str] = ("text", "content", "comment"),
-                  script_hint: str = "(?i)comment|application/json|ld\\+json|__next_data__", cap: int | None = 20) -> DataFrame:
+                  script_hint: str = "(?i)comment|application/json|ld\\+json|__next_data__", cap: int | None = None) -> DataFrame:
     """Texts of comment-like fragments and of comment strings in scripts, one row per distinct text and page."""
     names = "|".join(words)
     fragments = F.regexp_extract_all(html, F.lit(FRAGMENT), 0)

@@ -61,14 +61,14 @@ def speech_features(
     )
 
 
-def transcripts(segments: DataFrame, key: str = "video_id", position: str = "segment_no", size: int = 500) -> DataFrame:
-    """Whole transcript per video, in numbered parts of at most ``size`` segment positions.
+def transcripts(segments: DataFrame, key: str = "video_id", position: str = "segment_no", size: int | None = None) -> DataFrame:
+    """Whole transcript per video; with ``size``, in numbered parts of at most so many segment positions.
 
-    Ordinary videos have one part; a video with very many segments has more of
-    them instead of one cell that no task could hold.
+    A transcript is one text, as its readers need it whole; parts are for
+    streams of segments that never end.
     """
     listed = F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), text("text").alias("t"))))
-    part = F.floor(F.col(position) / F.lit(size)).cast("bigint")
+    part = F.lit(0).cast("bigint") if size is None else F.floor(F.col(position) / F.lit(size)).cast("bigint")
     return segments.groupBy(key, part.alias("part_no")).agg(F.array_join(F.transform(listed, lambda x: x["t"]), "").alias("transcript"))
 
 

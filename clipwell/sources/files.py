@@ -92,9 +92,9 @@ def read_artifacts(spark: SparkSession, path: str, schema: str | StructType, glo
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and one warning row per corrupt record."""
+    """Good rows, and one warning row per corrupt record, with the whole record for a replay."""
     bad = F.col(CORRUPT).isNotNull()
-    warnings = df.where(bad).select("artifact_path", F.concat(F.lit("corrupt record: "), F.left(CORRUPT, F.lit(80))).alias("warning"))
+    warnings = df.where(bad).select("artifact_path", F.concat(F.lit("corrupt record: "), F.left(CORRUPT, F.lit(80))).alias("warning"), F.col(CORRUPT).alias("record"))
     return df.where(~bad).drop(CORRUPT), warnings
 
 

@@ -2,7 +2,9 @@
 
 Each micro-batch writes the rows it changed as one epoch folder, overwritten
 when the batch is replayed; the latest image per key is the table. A batch
-reads only earlier epochs, so replays after a failure give the same result.
+reads only earlier epochs, so replays after a failure give the same result. It
+scans the images' key columns and takes on only those rows whose keys it shares;
+no row is dropped for being late.
 """
 
 from __future__ import annotations
@@ -46,36 +48,40 @@ def latest(images: DataFrame, keys: Sequence[str]) -> DataFrame:
     return one_per_key(images, keys, [F.col("epoch").desc()]).drop("epoch")
 
 
-def touched(state: DataFrame, batch: DataFrame, *keys: str) -> DataFrame:
-    """Stored rows that a batch can change, so a small batch never rewrites the table."""
-    return state.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+def touched(images: DataFrame, row_key: str, *matches: tuple[DataFrame, str]) -> DataFrame:
+    """Latest image of every stored row that ever shared a key with a batch, given as (batch, key) pairs.
 
-
-PARTITIONS = "spark.sql.shuffle.partitions"
+    The keys select row ids first and the ids select images, so that only these
+    rows meet in the window that finds the latest one.
+    """
+    found = [images.join(b.select(k).distinct(), k, "left_semi").select(row_key) for b, k in matches]
+    ids = found[0]
+    for more in found[1:]:
+        ids = ids.unionByName(more)
+    return latest(images.join(ids.distinct(), row_key, "left_semi"), [row_key])
 
 
-def run_available(
-    stream: DataFrame, step: Callable[[DataFrame, int], None], work: str, mode: str = "append", state_partitions: int | None = None,
-) -> None:
+def run_available(stream: DataFrame, step: Callable[[DataFrame, int], None], work: str, mode: str = "append") -> None:
     """Process everything that has arrived, then stop.
 
-    A stateful query keeps the number of state partitions it starts with; it
-    follows the cores of the cluster unless given. The session's own setting is
-    put back once the query has started.
+    A stateful query keeps the number of shuffle partitions its session had when
+    it first started; ``stateful_session`` gives one that follows the cores.
     """
-    spark = stream.sparkSession
-    before = spark.conf.get(PARTITIONS)
-    spark.conf.set(PARTITIONS, str(state_partitions or spark.sparkContext.defaultParallelism))
-    try:
-        query = (
-            stream.writeStream.outputMode(mode).foreachBatch(step)
-            .option("checkpointLocation", f"{work}/progress").trigger(availableNow=True).start()
-        )
-    finally:
-        spark.conf.set(PARTITIONS, before)
+    query = (
+        stream.writeStream.outputMode(mode).foreachBatch(step)
+        .option("checkpointLocation", f"{work}/progress").trigger(availableNow=True).start()
+    )
     query.awaitTermination()
 
 
+def stateful_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session of its own for a stream, with as many state partitions as the cluster has cores unless given."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.sparkContext.defaultParallelism))
+    return own
+
+
 # -- comments -------------------------------------------------------------------------
 
 COMMENT_SCHEMA = (
@@ -84,19 +90,22 @@ COMMENT_SCHEMA = (
 )
 
 
-def comment_stream(stream: DataFrame, work: str, delay: str = "1 hour") -> DataFrame:
-    """Deduplicate deliveries within the watermark, then upsert per micro-batch; returns the table."""
+def comment_stream(stream: DataFrame, work: str) -> DataFrame:
+    """Upsert per micro-batch by platform id, else by hash; returns the table.
+
+    Old comments and comments without an id are kept: there is no watermark, a
+    delivery that repeats an identity updates its row.
+    """
     spark = stream.sparkSession
     schema = StructType.fromDDL(COMMENT_SCHEMA)
     path = f"{work}/comments"
 
     def step(batch: DataFrame, epoch: int) -> None:
-        state = latest(read_images(batch.sparkSession, path, schema, epoch), ["row_id"])
-        new = up.upsert_comments(touched(state, batch, "video_key"), batch, "commented_at").where(F.col(up.CHANGE) != "kept")
+        images = read_images(batch.sparkSession, path, schema, epoch)
+        new = up.upsert_comments(touched(images, "row_id", (batch, "video_key")), batch, "commented_at").where(F.col(up.CHANGE) != "kept")
         write_epoch(new.drop(up.CHANGE), path, epoch)
 
-    once = stream.withWatermark("commented_at", delay).dropDuplicatesWithinWatermark(["video_key", "platform_id"])
-    run_available(once, step, work)
+    run_available(stream, step, work)
     return latest(read_images(spark, path, schema), ["row_id"])
 
 
@@ -139,17 +148,26 @@ VIDEO_SCHEMA = (
 )
 
 
+TABLES = {
+    "targets": (TARGET_SCHEMA, ["homepage_url"]), "videos": (VIDEO_SCHEMA, ["row_id"]), "comments": (COMMENT_SCHEMA, ["row_id"]),
+}
+
+
+def persisted(spark: SparkSession, work: str, table: str) -> DataFrame:
+    """Current rows of a table that ``persist_stream`` keeps."""
+    schema, keys = TABLES[table]
+    return latest(read_images(spark, f"{work}/{table}", StructType.fromDDL(schema)), keys)
+
+
 def persist_stream(stream: DataFrame, work: str) -> DataFrame:
     """Crawl items (one target, its video and comment) into four tables and a quarantine.
 
     Items need homepage_url, source_name, ok, error, seen_at, video_id, title,
     metrics and comment columns. Failed items are set aside and counted; they
-    never stop the batch. Returns the counters per epoch.
+    never stop the batch. Returns the counters of all epochs; ``persisted`` reads the tables.
     """
     spark = stream.sparkSession
-    tables = {"targets": TARGET_SCHEMA, "videos": VIDEO_SCHEMA, "comments": COMMENT_SCHEMA}
-    schemas = {n: StructType.fromDDL(s) for n, s in tables.items()}
-    keys = {"targets": ["homepage_url"], "videos": ["row_id"], "comments": ["row_id"]}
+    schemas = {n: StructType.fromDDL(s) for n, (s, _) in TABLES.items()}
 
     def step(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
@@ -160,18 +178,17 @@ def persist_stream(stream: DataFrame, work: str) -> DataFrame:
         comments = good.where(F.col("comment").isNotNull()).select("comment.*")
         parts = {
             "targets": lambda s: up.upsert_targets(
-                touched(s, good, "homepage_url"), good.select("homepage_url", "source_name", "seen_at"), "seen_at"
+                touched(s, "homepage_url", (good, "homepage_url")), good.select("homepage_url", "source_name", "seen_at"), "seen_at"
             ),
             # A video may be met by its URL under another target, so both keys select the stored rows.
             "videos": lambda s: up.upsert_videos(
-                touched(s, videos, "target_id").union(touched(s, videos, "video_url")).distinct(), videos, "seen_at"
+                touched(s, "row_id", (videos, "target_id"), (videos, "video_url")), videos, "seen_at"
             ),
-            "comments": lambda s: up.upsert_comments(touched(s, comments, "video_key"), comments, "commented_at"),
+            "comments": lambda s: up.upsert_comments(touched(s, "row_id", (comments, "video_key")), comments, "commented_at"),
         }
         for name, build in parts.items():
-            state = latest(read_images(session, f"{work}/{name}", schemas[name], epoch), keys[name])
-            images = build(state).where(F.col(up.CHANGE) != "kept")
-            write_epoch(images, f"{work}/{name}", epoch)
+            images = read_images(session, f"{work}/{name}", schemas[name], epoch)
+            write_epoch(build(images).where(F.col(up.CHANGE) != "kept"), f"{work}/{name}", epoch)
         write_epoch(up.snapshots(good, ["homepage_url", "video_id", "seen_at"]), f"{work}/snapshots", epoch)
         batch.unpersist()
 
@@ -180,7 +197,7 @@ def persist_stream(stream: DataFrame, work: str) -> DataFrame:
         spark.read.schema(StructType(schemas[n].fields).add(up.CHANGE, "string")).parquet(f"{work}/{n}").agg(
             count_where(F.col(up.CHANGE) == "created").alias("created"), count_where(F.col(up.CHANGE) == "updated").alias("updated")
         ).select(F.lit(n).alias("part"), "created", "updated")
-        for n in tables
+        for n in TABLES
     ]
     for n in ("snapshots", "quarantine"):
         rows = spark.read.parquet(f"{work}/{n}").agg(F.count(F.lit(1)).alias("created"), F.lit(0).cast("bigint").alias("updated"))

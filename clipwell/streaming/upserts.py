@@ -3,7 +3,11 @@
 Every function is a pure DataFrame transform, used the same way by batch jobs
 and inside ``foreachBatch``. Repeated rows of one key inside a batch are
 collapsed by partial aggregates (``max_by``), so a key that fills a third of a
-batch costs one buffer row per task.
+batch costs one buffer row per task. Equal order values are decided by the hash
+of the row, so a replay gives the same rows.
+
+A null in a batch means that the record does not carry the field: the stored
+value stays. An explicit blank text replaces it.
 """
 
 from __future__ import annotations
@@ -13,13 +17,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwell.functions.coerce import filled, number_from_float_text, text
+from clipwell.functions.coerce import filled, iso_text, number_from_float_text, text
 from clipwell.functions.numbers import count_where
 from clipwell.functions.text import identity_hash, path_segment_id
+from clipwell.operators.picking import row_hash, unique
 
 # How a batch value changes a stored one.
 FILL = "fill"  # a filled value replaces, a blank one never does
-TAKE = "take"  # whatever the batch says, null included
+TAKE = "take"  # any value replaces, also a blank one; null means absent
+OVERWRITE = "overwrite"  # whatever the batch says, null included
 
 CHANGE = "change"
 
@@ -28,18 +34,22 @@ def _rule(mode, new: Column, old: Column) -> Column:
     if mode == FILL:
         return F.coalesce(F.when(text(new) != "", new), old)
     if mode == TAKE:
+        return F.coalesce(new, old)
+    if mode == OVERWRITE:
         return new
     return F.coalesce(F.when(text(new) != "", new), F.lit(mode[1]))  # ("default", value)
 
 
 def collapsed(batch: DataFrame, keys: Sequence[str], rules: Mapping[str, object], order: str | Column) -> DataFrame:
-    """One row per key: last filled value for FILL columns, last value for the others."""
+    """One row per key: last filled value for FILL columns, last present one for TAKE, last one for the others."""
     at = F.col(order) if isinstance(order, str) else order
+    rows = batch.withColumns({"__at": at, "__tie": row_hash(batch)})
+    place = F.struct("__at", "__tie")
     aggs = []
     for c, mode in rules.items():
-        when = F.when(text(c) != "", at) if mode == FILL else at
+        when = F.when(text(c) != "", place) if mode == FILL else F.when(F.col(c).isNotNull(), place) if mode == TAKE else place
         aggs.append(F.max_by(F.struct(c), when).getField(c).alias(c))
-    return batch.groupBy(*keys).agg(*aggs, F.min(at).alias("__first"), F.max(at).alias("__last"))
+    return rows.groupBy(*keys).agg(*aggs, F.min("__at").alias("__first"), F.max("__at").alias("__last"))
 
 
 def upsert(
@@ -85,21 +95,38 @@ def change_counts(images: DataFrame) -> DataFrame:
     )
 
 
+def batch_counts(parts: Mapping[str, DataFrame], snapshot_rows: DataFrame | None = None, unresolved: DataFrame | None = None) -> DataFrame:
+    """Counters of one batch, a row per part: those of each upsert, snapshots as created, rows without a parent as unresolved."""
+    none = F.lit(0).cast("bigint")
+    rows = [change_counts(p).select(F.lit(name).alias("part"), "seen", "created", "updated", none.alias("unresolved")) for name, p in parts.items()]
+    if snapshot_rows is not None:
+        n = snapshot_rows.agg(F.count(F.lit(1)).alias("n"))
+        rows.append(n.select(F.lit("snapshots").alias("part"), F.col("n").alias("seen"), F.col("n").alias("created"), none.alias("updated"), none.alias("unresolved")))
+    if unresolved is not None:
+        n = unresolved.agg(F.count(F.lit(1)).alias("n"))
+        rows.append(n.select(F.lit("unresolved").alias("part"), F.col("n").alias("seen"), none.alias("created"), none.alias("updated"), F.col("n").alias("unresolved")))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
 # -- targets ----------------------------------------------------------------------
 
 def target_rules(blank_overwrites: bool = False, platform: str = "douyin") -> dict[str, object]:
     """Crawl results never blank a name or category; an explicit import does."""
-    named = TAKE if blank_overwrites else FILL
+    named = OVERWRITE if blank_overwrites else FILL
+    other = OVERWRITE if blank_overwrites else TAKE
     return {
         "platform": ("default", platform), "source_name": named, "category_lv1": named, "category_lv2": named,
-        "tags": TAKE, "status": FILL if blank_overwrites else ("default", "active"), "notes": TAKE,
+        "tags": other, "status": FILL if blank_overwrites else ("default", "active"), "notes": other,
     }
 
 
 def upsert_targets(current: DataFrame, batch: DataFrame, order: str, blank_overwrites: bool = False, platform: str = "douyin") -> DataFrame:
     """Targets by homepage URL."""
     b = batch
-    for c in ("source_name", "category_lv1", "category_lv2", "notes"):
+    for c in ("source_name", "category_lv1", "category_lv2", *(["notes"] if blank_overwrites else [])):
         if c in b.columns:
             b = b.withColumn(c, filled(c))
     rules = target_rules(blank_overwrites, platform)
@@ -137,8 +164,8 @@ def upsert_videos(current: DataFrame, batch: DataFrame, order: str, url_prefix:
 
 
 def comment_identity(kind: str, owner: str) -> Column:
-    """Stored hash, else SHA-256 of owner, platform id, content, user, nickname and time."""
-    when = F.col("commented_at").cast("string")
+    """Stored hash, else SHA-256 of owner, platform id, content, user, nickname and UTC ISO time."""
+    when = iso_text(F.col("commented_at"))
     hashed = identity_hash(kind, F.col(owner), text("platform_id"), text("content"), text("user_id"), text("nickname"), when)
     return F.coalesce(filled("unique_hash"), hashed)
 
@@ -153,7 +180,9 @@ def upsert_comments(current: DataFrame, batch: DataFrame, order: str, owner: str
     identity = F.coalesce(F.concat(F.lit("platform:"), F.col("platform_id")), F.concat(F.lit("hash:"), F.col("unique_hash")))
     if first_wins:
         cols = [c for c in b.columns if c != owner]
-        b = b.withColumn("__id", identity).groupBy(owner, "__id").agg(F.min_by(F.struct(*cols), order).alias("r")).select(owner, "r.*")
+        place = F.struct(F.col(order).alias("at"), row_hash(b).alias("tie"))
+        first = F.min_by(F.struct(*cols), F.col("__place")).alias("r")
+        b = b.withColumns({"__id": identity, "__place": place}).groupBy(owner, "__id").agg(first).select(owner, "r.*")
     b = matched(current, b, "row_id", [owner, "platform_id"], [owner, "unique_hash"], identity_hash(kind, F.col(owner), identity))
     take = {c: TAKE for c in (owner, "platform_id", "user_id", "nickname", "content", "like_count", "reply_count", "commented_at", "unique_hash")
             if c in current.columns}
@@ -179,8 +208,9 @@ def snapshots(batch: DataFrame, keep: Sequence[str], counters: Sequence[str] = S
 
 
 def merge_modality(table: DataFrame, results: DataFrame, modality: str, key: str = "video_id", ok: str = "ok") -> DataFrame:
-    """Replace one modality column where the result is ok; everything else stays."""
-    fresh = results.where(F.col(ok) & (text(key) != "")).select(key, F.col(modality).alias("__new"), F.lit(True).alias("__hit"))
+    """Replace one modality column where the result is ok; everything else stays. Of repeated results of an id one counts."""
+    good = unique(results.where(F.col(ok) & (text(key) != "")).select(key, modality), [key])
+    fresh = good.select(key, F.col(modality).alias("__new"), F.lit(True).alias("__hit"))
     j = table.join(fresh, key, "full")
     kept = F.col(modality) if modality in table.columns else F.lit(None)
     value = F.when(F.col("__hit"), F.col("__new")).otherwise(kept)

@@ -1,16 +1,23 @@
 """Small literal cases for the rules, and invariants of the distributed helpers."""
 
+import datetime
+import html
 import json
+import os
 import statistics
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
+from clipwell.functions import coerce as co
 from clipwell.functions import lexicons as lx
 from clipwell.functions import numbers as nm
 from clipwell.functions import text as tx
 from clipwell.operators import aggregates as ag
 from clipwell.operators import filters as fl
+from clipwell.operators import joins as jn
 from clipwell.operators import ordering as od
 from clipwell.operators import picking as pk
 from clipwell.operators import projections as pr
@@ -336,3 +343,80 @@ def test_upsert_is_idempotent(spark):
     assert up.change_counts(two).first().created == 0
     blank = up.upsert_targets(cur, bat.where("seq = 3"), "seq", blank_overwrites=True).first()
     assert blank.source_name is None
+
+
+def test_absent_fields_stay_and_blank_ones_erase(spark):
+    schema = "row_id string, video_key long, platform_id string, user_id string, nickname string, content string, like_count long, commented_at timestamp, unique_hash string"
+    stored = spark.createDataFrame([("r1", 1, "p1", "u", "nick", "old", 5, datetime.datetime(2026, 1, 1), "h")], schema)
+    batch = spark.createDataFrame([(None, 1, "p1", None, "", None, None, None, None, 1)], schema + ", seq int").drop("row_id")
+    got = up.upsert_comments(stored, batch, "seq").first()
+    assert (got.user_id, got.nickname, got.content, got.like_count, got.commented_at) == ("u", "", "old", 5, datetime.datetime(2026, 1, 1))
+
+
+def test_iso_text_is_utc_in_any_zone(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    df = own.sql("SELECT timestamp_micros(1767225600000000) AS a, timestamp_micros(1767225600000123) AS b, CAST(NULL AS timestamp) AS c")
+    got = df.select(*[co.iso_text(F.col(c)).alias(c) for c in "abc"]).first()
+    assert tuple(got) == ("2026-01-01T00:00:00+00:00", "2026-01-01T00:00:00.000123+00:00", "")
+
+
+def test_repeated_ids_multiply_nothing(spark):
+    left = spark.createDataFrame([(1,), (2,)], "video_id int")
+    twice = spark.createDataFrame([(1, 5), (1, 7), (2, 3)], "video_id int, n int")
+    once = lambda df: df.count() == 2
+    assert once(jn.star(left, [twice])) and once(jn.assemble([left, twice], "video_id", {"n": 0}))
+    assert once(jn.with_metrics(left, twice, twice.where("false"))) and once(jn.merge_keeping(left, twice, "video_id", [], ["n"]))
+    results = spark.createDataFrame([(1, True, 5), (1, True, 6)], "video_id int, ok boolean, m int")
+    assert once(up.merge_modality(left, results, "m"))
+
+
+def test_configured_values_survive(tmp_path):
+    """A submitted master, partition count and checkpoint folder are not replaced."""
+    code = (
+        "from clipwell.session import spark_session; s = spark_session(); "
+        "print('GOT', s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'), s.conf.get('spark.checkpoint.dir'))"
+    )
+    args = f"--master local[2] --conf spark.sql.shuffle.partitions=77 --conf spark.checkpoint.dir={tmp_path} pyspark-shell"
+    env = {**os.environ, "PYSPARK_SUBMIT_ARGS": args, "PYTHONPATH": os.getcwd()}
+    env.pop("SPARK_CONF_DIR", None)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env=env, timeout=120)
+    assert f"GOT local[2] 77 {tmp_path}" in out.stdout, out.stdout + out.stderr
+
+
+def test_entities_as_the_standard_decodes_them(spark):
+    texts = ["&#20013;&#x4e2d;&eacute;&hellip;&#8230;", "a &amp;lt; b & c &unknown; d", "&lt;&gt;&quot;&#39;&apos;&nbsp;|", "&#150;&#x80;", "&#0;&#xD800;", "no", "&copy 1 &amp", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r.u for r in df.select("i", tx.unescaped(F.col("t")).alias("u")).orderBy("i").collect()]
+    assert got == [html.unescape(t) for t in texts]
+
+
+def test_payload_comments_at_any_depth_and_number(spark):
+    def nested(depth, text):
+        node = {"content": text}
+        for _ in range(depth):
+            node = {"inner": [node]}
+        return node
+
+    body = json.dumps({"content": "top text", "many": [{"content": f"comment number {i}"} for i in range(30)], "deep": [nested(d, f"at depth {d}") for d in (3, 6, 12, 20)]})
+    got = ex.payload_comments(spark.createDataFrame([(1, body), (2, "{}")], "k int, body string"), "k", "body").collect()
+    assert {r.content for r in got} == {"top text", *[f"comment number {i}" for i in range(30)], *[f"at depth {d}" for d in (3, 6, 12, 20)]}
+    few = ex.payload_comments(spark.createDataFrame([(1, body)], "k int, body string"), "k", "body", depth=3)
+    assert "at depth 3" not in {r.content for r in few.collect()} and few.count() >= 31
+    assert ex.payload_comments(spark.createDataFrame([(1, body)], "k int, body string"), "k", "body", cap=5).count() == 5
+
+
+def test_open_comment_sections_are_read_whole(spark):
+    m = ex.CommentMarkers()
+    block = "\n".join(f"author{i}\nsome words number {i} here\n3天前·上海\n12\n{m.share}\n{m.reply}" for i in range(300))
+    df = spark.createDataFrame([(1, f"x {m.start}\n{block}")], "k int, body string")
+    assert ex.body_comment_rows(df, ["k"], "body").count() == 300
+    assert ex.body_comment_rows(df, ["k"], "body", cap=20).count() == 20
+
+
+def test_long_reasons_and_names_stay_apart(spark):
+    long = "r" * 200
+    df = spark.createDataFrame([(long + "a",), (long + "b",)], "t string")
+    assert df.select(ag.clean_reason(F.col("t")).alias("x")).distinct().count() == 2
+    slugs = [r.x for r in df.select(tx.slug("t").alias("x")).collect()]
+    assert len(set(slugs)) == 2 and all(len(s) == 80 for s in slugs)
