@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from clipwell.catalog import bindings as b
 from clipwell.catalog.registry import query
+from clipwell.catalog.texts import duck_unescape
 from clipwell.functions import lexicons as lx
 from clipwell.plans import extraction as ex
 
@@ -153,14 +154,18 @@ def _(t):
     return c.select("comment_id", "author_name", "like_count", "reply_count")
 
 
-@query("ext8_html_comments")
+@query("ext8_html_comments", rf"""WITH h AS (SELECT page_id, 'dom_regex' AS source, 0 AS place, unnest(regexp_extract_all(html, '<div class="ad">([^<]*)</div>', 1)) AS raw FROM pages
+  UNION ALL SELECT page_id, 'dom_json', 1, regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '["\\]', '', 'g') FROM pages),
+  c AS (SELECT page_id, source, place, trim(regexp_replace({duck_unescape('raw')}, '\s+', ' ', 'g')) AS content FROM h)
+  SELECT page_id, source, content, sha1(content) AS content_hash FROM c WHERE length(content) BETWEEN 2 AND 500
+  QUALIFY row_number() OVER (PARTITION BY page_id, content ORDER BY place) = 1""")
 def _(t):
     payload = F.concat(
         F.lit('<script type="application/json">{"text": "'), F.regexp_replace(F.regexp_extract("html", "<h1>(.*?)</h1>", 1), r'["\\]', ""), F.lit('"}</script>')
     )
     pages = t.raw("pages").select("page_id", F.concat("html", payload).alias("html"))
-    out = ex.html_comments(pages, "page_id", "html", hint="ad|comment")
-    return out.select("page_id", "source", "content", "content_hash", "like_count", "reply_count")
+    out = ex.html_comments(pages, "page_id", "html", hint='class="ad"')
+    return out.select("page_id", "source", "content", "content_hash")
 
 
 @query("ext8_hit_counters", """SELECT 'dom_regex' AS source, count(*) AS n FROM pages WHERE regexp_matches(html, '<div class="ad">[^<]{2,500}</div>')""")

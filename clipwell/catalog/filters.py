@@ -111,7 +111,7 @@ def _(t):
 
 @query("flt9_suspicious_metrics", f"""WITH {b.FEATURES} SELECT video_id, comment_count >= 12 AS odd_scale,
   share_count > 16 AND like_count < 34 AND comment_count < 11 AS metric_suspicious,
-  CASE WHEN share_count > 16 AND like_count < 34 AND comment_count < 11 THEN '{fl.SHARE_REASON}' ELSE '' END
+  CASE WHEN share_count > 16 AND like_count < 34 AND comment_count < 11 THEN '低赞低评高转发' ELSE '' END
     AS suspicious_reason,
   CASE WHEN share_count > 16 AND like_count < 34 AND comment_count < 11 THEN 0 ELSE engagement_score END
     AS trusted_engagement_score FROM features""")
@@ -122,19 +122,13 @@ def _(t):
 
 def trusted(t):
     """Feature rows with the trust columns, limits fitted to the bound counters."""
-    odd = (F.col("share_count") > 16) & (F.col("like_count") < 34) & (F.col("comment_count") < 11)
-    f = t.features()
-    return (
-        f.withColumn("metric_suspicious", odd)
-        .withColumn("suspicious_reason", F.when(odd, F.lit(fl.SHARE_REASON)).otherwise(""))
-        .withColumn("trusted_engagement_score", F.when(odd, F.lit(0)).otherwise(F.col("engagement_score")))
-    )
+    return fl.with_trust(t.features(), many_shares=16, few_likes=34, few_comments=11)
 
 
 TRUSTED = f"""{b.FEATURES}, trusted AS (SELECT *, share_count > 16 AND like_count < 34 AND comment_count < 11
   AS metric_suspicious, CASE WHEN share_count > 16 AND like_count < 34 AND comment_count < 11 THEN 0
   ELSE engagement_score END AS trusted_engagement_score,
-  CASE WHEN share_count > 16 AND like_count < 34 AND comment_count < 11 THEN '{fl.SHARE_REASON}' ELSE '' END
+  CASE WHEN share_count > 16 AND like_count < 34 AND comment_count < 11 THEN '低赞低评高转发' ELSE '' END
   AS suspicious_reason FROM features)"""
 
 

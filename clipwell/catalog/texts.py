@@ -60,13 +60,13 @@ _KNOWN = {
 _MORE, _MORE_TEXT = " &#20013;&#x4E2d; &eacute;&hellip;&#8230;&Rightarrow; &#150; &unknown; &amp;lt; &", " 中中 é……⇒ – &unknown; &lt; &"
 
 
-def _duck_unescape(c: str) -> str:
+def duck_unescape(c: str) -> str:
     for entity, char in _KNOWN.items():
         c = f"replace({c}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
     return c
 
 
-@query("str4_clean_comment", f"""SELECT page_id, trim(regexp_replace(translate({_duck_unescape('html')} || '{_MORE_TEXT}', chr(8203) || chr(65279),
+@query("str4_clean_comment", f"""SELECT page_id, trim(regexp_replace(translate({duck_unescape('html')} || '{_MORE_TEXT}', chr(8203) || chr(65279),
   '  '), '[\\s \u00a0\u3000]+', ' ', 'g')) AS cleaned FROM pages""")
 def _(t):
     return t.raw("pages").select("page_id", tx.clean_comment(F.concat("html", F.lit(_MORE))).alias("cleaned"))
@@ -76,7 +76,7 @@ _STRIPPED = r"""regexp_replace(regexp_replace(html, '(?is)(<script[^>]*>.*?</scr
   '(?is)<[^>]+>', ' ', 'g')"""
 
 
-@query("str5_visible_text", f"""SELECT page_id, trim(regexp_replace({_duck_unescape(_STRIPPED)} || '{_MORE_TEXT}',
+@query("str5_visible_text", f"""SELECT page_id, trim(regexp_replace({duck_unescape(_STRIPPED)} || '{_MORE_TEXT}',
   '[\\s \u00a0\u3000]+', ' ', 'g')) AS body FROM pages""")
 def _(t):
     return t.raw("pages").select("page_id", tx.visible_text(F.concat("html", F.lit(_MORE))).alias("body"))
@@ -184,15 +184,19 @@ def _(t):
     )
 
 
-@query("str12_mojibake_repair")
+# Even turns hold a known text whose GBK bytes were read as Latin-1, the others plain ASCII.
+@query("str12_mojibake_repair", r"""SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN '中文字幕 ' || conv_id ELSE regexp_replace(text, '[^ -~\n]', '', 'g') END AS text
+  FROM conversations""")
 def _(t):
-    return t.raw("conversations").select("conv_id", "turn", tx.repaired_text("text").alias("text"))
+    damaged = F.concat(F.lit("中文字幕 ".encode("gbk").decode("latin1")), F.col("conv_id").cast("string"))
+    seen = F.when(F.col("turn") % 2 == 0, damaged).otherwise(F.regexp_replace("text", r"[^ -~\n]", ""))
+    return t.raw("conversations").withColumn("text", seen).select("conv_id", "turn", tx.repaired_text("text").alias("text"))
 
 
 @query("hsh1_content_hashes", f"""WITH {b.COMMENTS} SELECT comment_id,
   sha1(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS content_hash,
   sha256('comment|' || video_id || '|' || comment_id || '|' || text || '|' || turn || '||') AS identity,
-  left(sha1(comment_id), 16) AS job FROM (SELECT * REPLACE ({_duck_unescape('text')} AS text) FROM comments)""")
+  left(sha1(comment_id), 16) AS job FROM (SELECT * REPLACE ({duck_unescape('text')} AS text) FROM comments)""")
 def _(t):
     c = t.comments().withColumn("text", tx.unescaped(F.col("text")))
     return c.select(

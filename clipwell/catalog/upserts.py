@@ -238,10 +238,33 @@ def _(t):
   SELECT 'comments', count(DISTINCT (user_id, event_id % 100)) FILTER (event_type = 'click'), 0 FROM events UNION ALL
   SELECT 'snapshots', count(*) FILTER (event_type <> 'error'), 0 FROM events UNION ALL SELECT 'quarantine', count(*) FILTER (event_type = 'error'), 0 FROM events""")
 def _(t):
+    return runs.persist_stream(crawled(t), runs.work_folder(t.spark, "persist"))
+
+
+@query("inc10_persisted_videos", """SELECT 'u' || user_id AS target_id, CAST(event_id % 40 AS VARCHAR) AS video_id, 'u' || user_id || '/video/' || (event_id % 40) AS video_url,
+  arg_max(event_type, ts) AS title, min(ts) AS first_seen_at, max(ts) AS last_seen_at FROM events WHERE event_type <> 'error' GROUP BY 1, 2, 3""")
+def _(t):
+    work = runs.work_folder(t.spark, "persist")
+    runs.persist_stream(crawled(t), work)
+    seen = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_seen_at", "last_seen_at")]
+    return runs.persisted(t.spark, work, "videos").select("target_id", "video_id", "video_url", "title", *seen)
+
+
+@query("inc10_persisted_comments", """SELECT user_id AS video_key, 'p' || (event_id % 100) AS platform_id, 'click' AS content, min(ts) AS commented_at FROM events
+  WHERE event_type = 'click' GROUP BY 1, 2""")
+def _(t):
+    work = runs.work_folder(t.spark, "persist")
+    runs.persist_stream(crawled(t), work)
+    out = runs.persisted(t.spark, work, "comments")
+    return out.select("video_key", "platform_id", "content", F.col("commented_at").cast("timestamp_ntz").alias("commented_at"))
+
+
+def crawled(t):
+    """Events as crawl items."""
     kind, at = F.col("event_type"), F.col("ts").cast("timestamp")
     none = F.lit(None).cast("string")
     vid = (F.col("event_id") % 40).cast("string")
-    items = stream(t, "events").select(
+    return stream(t, "events").select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("homepage_url"), none.alias("source_name"), (kind != "error").alias("ok"),
         F.when(kind == "error", "crawl failed").alias("error"), at.alias("seen_at"), vid.alias("video_id"),
         F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("/video/"), vid).alias("video_url"), kind.alias("title"),
@@ -251,4 +274,3 @@ def _(t):
             none.alias("nickname"), kind.alias("content"), F.lit(0).cast("bigint").alias("like_count"), at.alias("commented_at"), none.alias("unique_hash"),
         )).alias("comment"),
     )
-    return runs.persist_stream(items, runs.work_folder(t.spark, "persist"))

@@ -11,7 +11,7 @@ from clipwell.functions.coerce import text
 from clipwell.functions.rows import exploded
 from clipwell.functions.numbers import bounded, count_where, rate, rounded
 from clipwell.operators.ordering import durable, histogram, long_form, medians, order_statistics
-from clipwell.operators.picking import top_fraction, top_per_key
+from clipwell.operators.picking import Top, top_fraction, top_fractions, top_per_key
 
 METRICS = ("view_count", "like_count", "comment_count", "share_count")
 
@@ -107,6 +107,7 @@ def correlation(x: str, y: str) -> Column:
 
 def half_gaps(rows: DataFrame, metric: str, key: str, features: Sequence[str], digits: int = 3) -> DataFrame:
     """Mean of the better half minus mean of the rest, one column per feature."""
+    rows = durable(rows.select(key, metric, *[f for f in features if f not in (key, metric)]))
     flagged = top_fraction(rows, metric, key, 0.5)
 
     def mean(f: str, cond: Column) -> Column:
@@ -118,8 +119,8 @@ def half_gaps(rows: DataFrame, metric: str, key: str, features: Sequence[str], d
 
 def quarter_gaps(rows: DataFrame, metric: str, key: str, features: Mapping[str, int]) -> DataFrame:
     """Top quarter mean minus bottom quarter mean; feature name to digits."""
-    j = top_fraction(rows, metric, key, 0.25, name="__high")
-    j = top_fraction(j, metric, key, 0.25, descending=False, name="__low")
+    rows = durable(rows.select(key, metric, *[f for f in features if f not in (key, metric)]))
+    j = top_fractions(rows, key, [Top("__high", metric, 0.25), Top("__low", metric, 0.25, descending=False)])
     high, low = F.col("__high"), F.col("__low")
     out = []
     for f, digits in features.items():

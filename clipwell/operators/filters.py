@@ -78,9 +78,9 @@ def comment_scale_suspicious(comment: str = "comment_count", limit: int = 100_00
 SHARE_REASON = "低赞低评高转发"
 
 
-def with_trust(df: DataFrame, limit: int = 1000, few_comments: int = 50) -> DataFrame:
+def with_trust(df: DataFrame, many_shares: int = 1000, few_likes: int = 1000, few_comments: int = 50) -> DataFrame:
     """Share rule: many shares with few likes and comments are not trusted."""
-    odd = (F.col("share_count") > limit) & (F.col("like_count") < limit) & (F.col("comment_count") < few_comments)
+    odd = (F.col("share_count") > many_shares) & (F.col("like_count") < few_likes) & (F.col("comment_count") < few_comments)
     return (
         df.withColumn("metric_suspicious", F.coalesce(odd, F.lit(False)))
         .withColumn("suspicious_reason", F.when(F.col("metric_suspicious"), F.lit(SHARE_REASON)).otherwise(""))

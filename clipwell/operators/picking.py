@@ -7,11 +7,12 @@ the shuffle, so a hot key ships at most k rows per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipwell.operators.ordering import order_statistics, with_row_number
+from clipwell.operators.ordering import durable, order_statistics, with_row_number
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "pos") -> DataFrame:
@@ -52,26 +53,48 @@ def head_and_tail(
     return top.unionByName(bottom)
 
 
+@dataclass(frozen=True)
+class Top:
+    """A flag ``name`` for the first max(1, floor(n * fraction)) rows by (metric, key)."""
+
+    name: str
+    metric: str
+    fraction: float
+    descending: bool = True
+
+
+def top_fractions(df: DataFrame, key: str, picks: Sequence[Top]) -> DataFrame:
+    """Several flags over the whole table at once; missing values count as 0.
+
+    Rows are not sorted: the values of all metrics are stored once in long form,
+    the exact boundary values come from one keyed order statistic over their
+    counts, and the boundary keys among the rows that tie from a second one. A
+    few numbers for each pick reach the driver; the flags are filter expressions.
+    """
+    value = lambda p: F.coalesce(F.col(p.metric).cast("double"), F.lit(0.0)) * (-1 if p.descending else 1)
+    rows = F.explode(F.array(*[F.struct(F.lit(i).alias("pick"), value(p).alias("v")) for i, p in enumerate(picks)]))
+    long = durable(df.select(F.col(key).alias("k"), rows.alias("r")).select("k", "r.pick", "r.v"))
+    of_pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("pick") + 1)
+    size = lambda n: F.greatest(F.lit(1), F.floor(n * of_pick([p.fraction for p in picks])))
+    edges = order_statistics(long, "v", {"edge": lambda n: size(n) - 1}, ["pick"])
+    found = {r.pick: r for r in edges.select("pick", "edge", size(F.col("n")).alias("size")).collect()}
+    if not found:
+        return df.withColumns({p.name: F.lit(False) for p in picks})
+    edge = of_pick([found[i].edge for i in range(len(picks))])
+    taken = {r.pick: r.n for r in long.where(F.col("v") < edge).groupBy("pick").agg(F.count(F.lit(1)).alias("n")).collect()}
+    left = of_pick([found[i].size - taken.get(i, 0) - 1 for i in range(len(picks))])
+    last = {r.pick: r.last for r in order_statistics(long.where(F.col("v") == edge), "k", {"last": lambda n: left}, ["pick"]).collect()}
+    flags = {
+        p.name: (value(p) < found[i].edge) | ((value(p) == found[i].edge) & (F.col(key) <= F.lit(last[i]))) for i, p in enumerate(picks)
+    }
+    return df.withColumns(flags)
+
+
 def top_fraction(
     df: DataFrame, metric: str, key: str, fraction: float, descending: bool = True, name: str = "in_top"
 ) -> DataFrame:
-    """Flag the first max(1, floor(n * fraction)) rows by (metric, key) of the whole table.
-
-    Rows are not sorted: the exact boundary value is picked from value counts,
-    and among the rows that tie on it the exact boundary key. Three numbers
-    reach the driver; the flag itself is a plain filter expression.
-    """
-    value = F.coalesce(F.col(metric), F.lit(0))
-    size = lambda n: F.greatest(F.lit(1), F.floor(n * F.lit(fraction)))
-    at = (lambda n: n - size(n)) if descending else (lambda n: size(n) - 1)
-    edge = order_statistics(df, value, {"edge": at}).select("edge", size(F.col("n")).alias("k")).first()
-    if edge is None:
-        return df.withColumn(name, F.lit(False))
-    beyond = value > edge.edge if descending else value < edge.edge
-    tied = value == edge.edge
-    taken = df.agg(F.count_if(beyond).alias("n")).first().n
-    last = order_statistics(df.where(tied), key, {"last": lambda n: F.lit(edge.k - taken - 1)}).first().last
-    return df.withColumn(name, beyond | (tied & (F.col(key) <= F.lit(last))))
+    """Flag the first max(1, floor(n * fraction)) rows by (metric, key) of the whole table."""
+    return top_fractions(df, key, [Top(name, metric, fraction, descending)])
 
 
 def numbered_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, total: str) -> DataFrame:

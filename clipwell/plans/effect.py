@@ -22,7 +22,7 @@ from clipwell.functions.text import has_any, topics
 from clipwell.operators.aggregates import ideal_ranges, most_frequent, topic_counts
 from clipwell.operators.joins import only_ids
 from clipwell.operators.ordering import durable
-from clipwell.operators.picking import top_fraction
+from clipwell.operators.picking import Top, top_fractions
 
 # Profile features, scales of the range parts, component weights, text fields.
 IDEAL_FEATURES = (
@@ -49,8 +49,7 @@ def ideal_sources(
     """
     narrow = rows.where(~F.col("metric_suspicious")).select(key, "trusted_engagement_score", "comment_count", *features)
     trusted = durable(narrow)
-    picked = top_fraction(trusted, "trusted_engagement_score", key, share, name="__eng")
-    picked = top_fraction(picked, "comment_count", key, share, name="__com")
+    picked = top_fractions(trusted, key, [Top("__eng", "trusted_engagement_score", share), Top("__com", "comment_count", share)])
     return picked.where(F.col("__eng") | F.col("__com")).drop("__eng", "__com")
 
 
