@@ -11,7 +11,7 @@ are therefore cut there and the parts are encoded by the library once per worker
 (a bounded cache); a text with blanks in other places is encoded as a whole.
 Both ways give the library's own ids for the whole text, which the tests compare.
 
-Null or empty texts have the end id alone. Ids pass Python as text, so that null and large ones keep their value. Null ids come first; of equal ids the
+Null or empty texts have the end id alone. Null ids come first; of equal ids the
 rows follow the XXH64 of their texts. Repeated rows are kept. An empty table
 writes an empty data set. Other columns play no part.
 """
@@ -26,16 +26,18 @@ from itertools import filterfalse
 from struct import pack
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwell.llm.common import text_of
+from clipwell.llm.common import durable, text_of
 from clipwell.operators.ordering import with_running_total
 
 END_ID = 2
 _CACHED_PARTS = 1_000_000
+_BATCH = 512
 SCHEMA = "doc_id bigint, text_xxh64 bigint, n_tokens bigint, ids array<int>"
+NAMES, CHECKED = ["doc_id", "text_xxh64", "n_tokens", "ids"], ["doc_id", "text_xxh64", "n_tokens", "ids_crc32"]
 
 
 class Encoder:
@@ -92,15 +94,16 @@ def _encoder(path: str) -> Encoder:
 
 
 def _rows(path: str, end_id: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        end = np.array([end_id], "<i4").tobytes()
-        for f in frames:
-            for at in range(0, len(f), 512):
-                g = f.iloc[at : at + 512]
-                ids = [np.frombuffer(x + end, "<i4") for x in _encoder(path).encode(g["text"].tolist())]
-                yield pd.DataFrame(
-                    {"doc_id": g.doc_id.to_numpy(), "text_xxh64": g.text_xxh64.to_numpy(), "n_tokens": [len(x) for x in ids], "ids": ids}
-                )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = pack("<i", end_id)
+        for batch in batches:
+            for at in range(0, batch.num_rows, _BATCH):
+                g = batch.slice(at, _BATCH)
+                ids = [x + end for x in _encoder(path).encode(g.column("text").to_pylist())]
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+                yield pa.RecordBatch.from_arrays([g.column("doc_id"), g.column("text_xxh64"), pa.array(sizes), listed], names=NAMES)
 
     return run
 
@@ -112,9 +115,7 @@ def write_tokens(
     """Encode all texts and write the ORC files; ``tokenizer`` is a path that every worker can read."""
     t = text_of(f"`{text}`")
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(t).alias("text_xxh64"), t.alias("text"))
-    ordered = rows.orderBy("doc_id", "text_xxh64").withColumn("doc_id", F.col("doc_id").cast("string"))
-    encoded = ordered.mapInPandas(_rows(tokenizer, end_id), SCHEMA.replace("bigint", "string", 1))
-    encoded = encoded.withColumn("doc_id", F.col("doc_id").cast("long"))
+    encoded = rows.orderBy("doc_id", "text_xxh64").mapInArrow(_rows(tokenizer, end_id), SCHEMA)
     (
         encoded.write.mode("overwrite")
         .option("orc.stripe.size", str(stripe_bytes))
@@ -135,17 +136,18 @@ def lookup(spark: SparkSession, folder: str, ids: list[int]) -> DataFrame:
     return read_tokens(spark, folder).where(F.col("doc_id").isin(*ids))
 
 
-def _checksums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        crc = [zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in f.ids]
-        yield pd.DataFrame({"doc_id": f.doc_id, "text_xxh64": f.text_xxh64, "n_tokens": [len(x) for x in f.ids], "ids_crc32": crc})
+def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        ids = b.column("ids")
+        at, values = ids.offsets.to_numpy(), ids.values.to_numpy().astype("<u4", copy=False)
+        crc = np.fromiter((zlib.crc32(values[i:j]) for i, j in zip(at, at[1:])), np.int64, b.num_rows)
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_xxh64"), pa.array(np.diff(at).astype(np.int64)), pa.array(crc)], names=CHECKED)
 
 
 def token_index(spark: SparkSession, folder: str) -> DataFrame:
     """Per document of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
     # read from the files; the narrow rows are put in file order again and summed by partition
-    rows = read_tokens(spark, folder).select(F.col("doc_id").cast("string"), "text_xxh64", "ids")
-    narrow = rows.mapInPandas(_checksums, "doc_id string, text_xxh64 bigint, n_tokens bigint, ids_crc32 bigint")
-    narrow = narrow.withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = read_tokens(spark, folder).select("doc_id", "text_xxh64", "ids")
+    narrow = durable(rows.mapInArrow(_checksums, "doc_id bigint, text_xxh64 bigint, n_tokens bigint, ids_crc32 bigint"))
     run = with_running_total(narrow, ["doc_id", "text_xxh64"], "n_tokens", "end")
     return run.select("doc_id", (F.col("end") - F.col("n_tokens")).alias("start"), "n_tokens", "ids_crc32")
