@@ -224,10 +224,12 @@ def _item(author: Column, content: Column, seed: Column, meta: Column, like: Col
 
 
 def _first_by_hash(df: DataFrame, items: str, cap: int | None) -> DataFrame:
-    """First item per hash in an array column."""
-    out = df.withColumn("__hashes", F.transform(items, lambda i: i["content_hash"]))
-    once = F.filter(items, lambda x, i: F.array_position("__hashes", x["content_hash"]) == i + 1)
-    return out.withColumn(items, once if cap is None else F.slice(once, 1, cap)).drop("__hashes")
+    """First item per hash in an array column; equal hashes meet by sorting, so long pages take no quadratic time."""
+    out = df.withColumn("__ranked", F.sort_array(F.transform(items, lambda x, i: F.struct(x["content_hash"].alias("h"), i.alias("i")))))
+    new = lambda r, i: F.coalesce(F.get("__ranked", i - 1)["h"] != r["h"], F.lit(True))
+    out = out.withColumn("__firsts", F.sort_array(F.transform(F.filter("__ranked", new), lambda r: r["i"])))
+    kept = F.col("__firsts") if cap is None else F.slice("__firsts", 1, cap)
+    return out.withColumn(items, F.transform(kept, lambda i: F.get(items, i))).drop("__ranked", "__firsts")
 
 
 def body_comments(rows: DataFrame, body: str, m: CommentMarkers = CommentMarkers(), cap: int | None = None) -> DataFrame:
@@ -249,16 +251,25 @@ def body_comments(rows: DataFrame, body: str, m: CommentMarkers = CommentMarkers
     none = F.array().cast(NO_TEXTS)
     out = out.withColumn("__clean", F.when(F.size("__a") == 0, F.transform(split, lambda x: clean_comment(x))).otherwise(none))
     out = out.withColumn("__lines", F.transform("__clean", lambda x: _tagged(x, m)))
-    out = out.withColumn("__control", F.transform("__lines", lambda x: x["control"]))
     lines, size = F.col("__lines"), F.size("__lines")
     at = lambda i: F.try_element_at(lines, i + 1)
     yes = lambda i, role: F.coalesce(at(i)[role], F.lit(False))
     say = lambda i: F.coalesce(at(i)["line"], F.lit(""))
 
-    def controls(i: Column) -> Column:
-        """Run of control lines that starts at ``i``."""
-        stop = F.array_position(F.slice("__control", i + 1, size), F.lit(False)).cast("int")
-        return F.slice(lines, i + 1, F.when(stop > 0, stop - 1).otherwise(size))
+    # Other lines than controls, and for each of them where a run of controls that begins three or four lines later stops:
+    # at one of the next four others.
+    placed = F.transform(lines, lambda x, i: F.struct(i.alias("i"), x["control"].alias("control")))
+    out = out.withColumn("__others", F.transform(F.filter(placed, lambda s: ~s["control"]), lambda s: s["i"]))
+
+    def stop(r: Column, start: Column) -> Column:
+        after = [F.get("__others", r + k) for k in range(1, 5)]
+        return F.coalesce(*[F.when(x >= start, x) for x in after], size)
+
+    spot = lambda i, r: F.struct(i.alias("i"), stop(r, i + 3).alias("stop3"), stop(r, i + 4).alias("stop4"))
+
+    def controls(start: Column, end: Column) -> Column:
+        """Run of control lines from ``start`` to before ``end``."""
+        return F.slice(lines, start + 1, F.greatest(end - start, F.lit(0)))
 
     def replies(run: Column) -> Column:
         counts = F.filter(F.transform(run, lambda x: x["replies"]), lambda x: x != "")
@@ -267,20 +278,27 @@ def body_comments(rows: DataFrame, body: str, m: CommentMarkers = CommentMarkers
     def shows(run: Column, word: str) -> Column:
         return F.exists(run, lambda x: x["line"] == word)
 
-    spots = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
-    out = out.withColumn("__spots", F.filter(spots, lambda i: yes(i, "author")))
-    full = F.filter("__spots", lambda i: yes(i + 1, "body") & yes(i + 2, "meta") & yes(i + 3, "like"))
-    bare = F.filter("__spots", lambda i: (
-        yes(i + 1, "meta") & yes(i + 2, "like") & shows(controls(i + 3), m.share) & shows(controls(i + 3), m.reply)
+    out = out.withColumn("__spots", F.filter(F.transform("__others", spot), lambda s: yes(s["i"], "author")))
+    full = F.filter("__spots", lambda s: yes(s["i"] + 1, "body") & yes(s["i"] + 2, "meta") & yes(s["i"] + 3, "like"))
+    after3 = lambda s: controls(s["i"] + 3, s["stop3"])
+    bare = F.filter("__spots", lambda s: (
+        yes(s["i"] + 1, "meta") & yes(s["i"] + 2, "like") & shows(after3(s), m.share) & shows(after3(s), m.reply)
     ))
     out = out.withColumns({"__full": full, "__bare": bare})
-    out = out.withColumn("__b", F.transform("__full", lambda i: _item(
-        say(i), say(i + 1), say(i + 1), say(i + 2), say(i + 3), replies(controls(i + 4)), "body_text_lines"
-    )))
-    stubs = F.transform("__bare", lambda i: _item(
-        say(i), F.concat(F.lit(m.stub), say(i), F.lit(" "), say(i + 1)), F.concat_ws("|", say(i), say(i + 1), say(i + 2)),
-        say(i + 1), say(i + 2), replies(controls(i + 3)), "body_text_stub"
-    ))
+
+    def whole(s: Column) -> Column:
+        i = s["i"]
+        return _item(say(i), say(i + 1), say(i + 1), say(i + 2), say(i + 3), replies(controls(i + 4, s["stop4"])), "body_text_lines")
+
+    def stub(s: Column) -> Column:
+        i = s["i"]
+        return _item(
+            say(i), F.concat(F.lit(m.stub), say(i), F.lit(" "), say(i + 1)), F.concat_ws("|", say(i), say(i + 1), say(i + 2)),
+            say(i + 1), say(i + 2), replies(after3(s)), "body_text_stub",
+        )
+
+    out = out.withColumn("__b", F.transform("__full", whole))
+    stubs = F.transform("__bare", stub)
     out = out.withColumn("__c", F.when(F.size("__full") == 0, stubs).otherwise(F.slice("__b", 1, 0)))
     for items in ("__a", "__b", "__c"):
         out = _first_by_hash(out, items, cap)

@@ -76,7 +76,9 @@ def transcripts(segments: DataFrame, key: str = "video_id", position: str = "seg
 
 def consistency(frames: DataFrame, key: str, position: str, body: str, name: str = "consistency") -> DataFrame:
     """Mean character overlap of neighbouring non-empty frames; 1 for a single frame."""
-    filled = frames.select(key, position, body).where(text(body) != "")
+    # the overlap compares sets of characters, so only these are sorted and handed on
+    kinds = F.array_join(F.array_distinct(F.split(body, "")), "").alias(body)
+    filled = frames.where(text(body) != "").select(key, position, kinds)
     pairs = with_previous(filled, [key], [position], [body])
     score = F.when(F.col(f"prev_{body}").isNotNull(), char_overlap(F.col(f"prev_{body}"), F.col(body)))
     return pairs.groupBy(key).agg(

@@ -420,3 +420,13 @@ def test_long_reasons_and_names_stay_apart(spark):
     assert df.select(ag.clean_reason(F.col("t")).alias("x")).distinct().count() == 2
     slugs = [r.x for r in df.select(tx.slug("t").alias("x")).collect()]
     assert len(set(slugs)) == 2 and all(len(s) == 80 for s in slugs)
+
+
+def test_comment_lines_of_long_pages(spark):
+    """Line patterns with runs of controls of any length and repeated texts; texts too long for a block."""
+    m = ex.CommentMarkers()
+    tail = "\n".join([*[m.share, m.reply] * 20, "展开3条回复"])
+    lines = "\n".join(f"author{i}\nwords of number {i % 500} {'x' * 230}\n3天前\n12\n{tail}" for i in range(2000))
+    df = spark.createDataFrame([(1, f"x {m.start}\n{lines}")], "k int, body string")
+    found = ex.body_comment_rows(df, ["k"], "body").groupBy("source").agg(F.count("*").alias("n"), F.min("reply_count").alias("r")).collect()
+    assert [(r.source, r.n, r.r) for r in found] == [("body_text_lines", 500, 3)]
