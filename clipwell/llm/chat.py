@@ -82,7 +82,7 @@ def render(role: str, text: str) -> tuple[str, int, int]:
     raise AssertionError("a fully escaped turn did not parse to its source")
 
 
-def _format(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _format(frames: Iterator[pd.DataFrame], part_chars: int) -> Iterator[pd.DataFrame]:
     conv, part, written, chars, loss, rows = None, 0, [], 0, [], []
 
     def end() -> None:
@@ -97,13 +97,13 @@ def _format(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 end()
                 conv, part = c, 0
             turn, start, stop = render(role, text)
-            if written and chars + len(turn) > PART_CHARS:
+            if written and chars + len(turn) > part_chars:
                 end()
             if role == LOSS_ROLE:
                 loss.append({"start": chars + start, "end": chars + stop})
             written.append(turn)
             chars += len(turn)
-            if len(rows) >= 256 or rows and chars >= PART_CHARS:
+            if len(rows) >= 256 or rows and chars >= part_chars:
                 yield _frame(rows, PARTS)
                 rows = []
     end()
@@ -114,7 +114,9 @@ def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[c.split()[0] for c in schema.replace("struct<start: bigint, end: bigint>", "s").split(", ")])
 
 
-def formatted(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def formatted(
+    turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", part_chars: int = PART_CHARS
+) -> DataFrame:
     """Conversations as rendered parts: conv_id, part (from 0), text, spans of the loss mask in the part."""
     empty = F.lit("")
     rows = turns.select(
@@ -122,7 +124,7 @@ def formatted(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
         F.coalesce(F.col(f"`{role}`"), empty).alias("role"), F.coalesce(F.col(f"`{text}`"), empty).alias("text"),
     )
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    parts = dealt.select("conv_id", "role", "text").mapInPandas(_format, PARTS)
+    parts = dealt.select("conv_id", "role", "text").mapInPandas(lambda frames: _format(frames, part_chars), PARTS)
     return parts.withColumn("conv_id", F.col("conv_id").cast(turns.schema[conv].dataType))
 
 

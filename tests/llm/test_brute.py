@@ -181,7 +181,8 @@ def test_lookup_reads_by_metadata(spark, documents, tmp_path):
     token_files.write_tokens(documents, folder, public_tokenizers.path("byte_bpe_50k.json"))
     found = token_files.lookup(spark, folder, [5, 17])
     assert sorted(r.doc_id for r in found.collect()) == [5, 17]
-    assert "In(doc_id, [5,17])" in found._jdf.queryExecution().executedPlan().toString()
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    assert "PushedFilters: [In(doc_id, [" in found._jdf.queryExecution().explainString(mode)
 
 
 def test_rendered_turns_parse_to_their_source():
@@ -209,12 +210,11 @@ def test_op5(spark):
         assert (got[c].n_turns, got[c].loss_chars, got[c].loss_sha256) == (len(t), len(loss), hashlib.sha256(loss.encode()).hexdigest())
 
 
-def test_parts_of_a_long_conversation(spark, monkeypatch):
+def test_parts_of_a_long_conversation(spark):
     rows = [(1, i, "assistant" if i % 2 else "user", f"</turn> {i} " + "x" * (i % 50)) for i in range(3000)]
     turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
     whole = chat.read_back(chat.formatted(turns)).first()
-    monkeypatch.setattr(chat, "PART_CHARS", 1000)
-    parts = chat.formatted(turns)
+    parts = chat.formatted(turns, part_chars=1000)
     assert parts.count() > 50 and chat.read_back(parts).first() == whole
 
 
