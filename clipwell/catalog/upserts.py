@@ -147,6 +147,20 @@ def _comments(t):
   FROM par WHERE comment_key IS NOT NULL GROUP BY comment_key, platform_id UNION ALL SELECT 'unresolved', NULL, CAST(count(*) AS VARCHAR), 'skipped' FROM par
   WHERE comment_key IS NULL""")
 def _(t):
+    found = _replies(t)
+    stored = found.where("false").select(
+        F.lit("").alias("row_id"), "comment_key", "platform_id", "user_id", "nickname", "content", "commented_at", "unique_hash"
+    )
+    good = found.where(F.col("comment_key").isNotNull())
+    out = up.upsert_comments(stored, good, "seq", owner="comment_key", kind="reply", first_wins=False)
+    lost = found.where(F.col("comment_key").isNull()).agg(F.count(F.lit(1)).cast("string").alias("content"))
+    return out.select("row_id", "comment_key", "content", "change").unionByName(
+        lost.select(F.lit("unresolved").alias("row_id"), F.lit(None).cast("string").alias("comment_key"), "content", F.lit("skipped").alias("change"))
+    )
+
+
+def _replies(t):
+    """Arriving replies with the key of their parent, null where there is none."""
     cur, _bat = _comments(t)
     e = F.col("event_id")
     s = lambda p, c: F.concat(F.lit(p), c.cast("string"))
@@ -157,16 +171,19 @@ def _(t):
         none.cast("string").alias("nickname"), none.cast("timestamp").alias("commented_at"), none.cast("string").alias("unique_hash"),
     )
     parents = cur.withColumnRenamed("row_id", "comment_key")
-    found = resolve_parents(rep, parents, "seq", "video_key", ["k1", "k2"], ["platform_id", "unique_hash"], "comment_key")
-    stored = found.where("false").select(
-        F.lit("").alias("row_id"), "comment_key", "platform_id", "user_id", "nickname", "content", "commented_at", "unique_hash"
-    )
-    good = found.where(F.col("comment_key").isNotNull())
-    out = up.upsert_comments(stored, good, "seq", owner="comment_key", kind="reply", first_wins=False)
-    lost = found.where(F.col("comment_key").isNull()).agg(F.count(F.lit(1)).cast("string").alias("content"))
-    return out.select("row_id", "comment_key", "content", "change").unionByName(
-        lost.select(F.lit("unresolved").alias("row_id"), F.lit(None).cast("string").alias("comment_key"), "content", F.lit("skipped").alias("change"))
-    )
+    return resolve_parents(rep, parents, "seq", "video_key", ["k1", "k2"], ["platform_id", "unique_hash"], "comment_key")
+
+
+@query("inc6_batch_counts", f"""WITH {_COLLAPSED}, x AS (SELECT {_CHG} FROM cur c FULL JOIN col l ON l.url = c.url), {_CCUR}, rep AS (SELECT event_id AS seq, user_id AS video_key,
+  'p' || (event_id // 2) AS k1, 'h' || (event_id % 900) AS k2 FROM events) SELECT 'targets' AS part, count(*) FILTER (change <> 'kept') AS seen,
+  count(*) FILTER (change = 'created') AS created, count(*) FILTER (change = 'updated') AS updated, 0 AS unresolved FROM x
+  UNION ALL SELECT 'snapshots', count(*), count(*), 0, 0 FROM events UNION ALL SELECT 'unresolved', count(*), 0, 0, count(*) FROM rep r
+  LEFT JOIN ccur a ON a.video_key = r.video_key AND a.platform_id = r.k1 LEFT JOIN ccur z ON z.video_key = r.video_key AND z.unique_hash = r.k2
+  WHERE coalesce(a.row_id, z.row_id) IS NULL""")
+def _(t):
+    cur, bat = _targets(t)
+    seen = up.snapshots(t.raw("events").select("event_id", F.col("value").cast("string").alias("view_count")), ["event_id"])
+    return up.batch_counts({"targets": up.upsert_targets(cur, bat, "seq")}, seen, _replies(t).where(F.col("comment_key").isNull()))
 
 
 @query("inc7_merge_modality", f"""WITH {b.FEATURES} SELECT coalesce(f.video_id, o.k) AS video_id, CASE WHEN o.k IS NOT NULL THEN o.v WHEN speech_rate_cpm < 300 THEN
