@@ -122,7 +122,7 @@ def write_tokens(
         .option("orc.row.index.stride", str(index_stride))
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", "0.01")
-        .option("compression", "zstd")
+        .option("compression", "snappy")
         .orc(folder)
     )
 
