@@ -34,7 +34,7 @@ from clipwell.llm.common import durable, text_of
 from clipwell.operators.ordering import with_running_total
 
 END_ID = 2
-_CACHED_PARTS = 1_000_000
+_CACHED_PARTS = 800_000
 _BATCH = 512
 SCHEMA = "doc_id bigint, text_xxh64 bigint, n_tokens bigint, ids array<int>"
 NAMES, CHECKED = ["doc_id", "text_xxh64", "n_tokens", "ids"], ["doc_id", "text_xxh64", "n_tokens", "ids_crc32"]
