@@ -2,8 +2,8 @@
 
 Tokens are words in lower case with ASCII punctuation as blanks. A fixed mask
 keeps some positions of a window and ignores the others; windows of test items
-and of documents meet on the hash of the kept tokens. The three masks hit every
-overlap of 13 tokens with two substitutions anywhere, longer overlaps with more.
+and of documents meet on the hash of the kept tokens. The masks hit every
+overlap of four equal tokens in a row and every overlap of 13 tokens with two substitutions anywhere, longer overlaps with more.
 A hit fixes an item and an offset; there the two texts are compared token by
 token, and the best segment (+1 for an equal token, -3 for a substitution) is an
 overlap if it has ``min_words`` equal tokens, or 80 % of a shorter item's, and
@@ -12,7 +12,7 @@ at least ``min_same`` of its tokens are equal.
 Items are the small side. They are read in blocks of a bounded number of tokens,
 each block is broadcast and compared with all documents, so the small side may
 grow without a larger broadcast; one item is never divided. Items of fewer
-tokens than a mask keeps (6) cannot be told from chance and match nothing.
+than six tokens cannot be told from chance and match nothing.
 
 Null or empty texts have no tokens and match nothing, null ids stay null,
 repeated rows are each reported, empty tables give no rows, other columns play
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from clipwell.llm.common import durable, row_key, small, text_of
 
 #: Kept (1) and ignored (0) positions.
-MASKS = ("1110111", "111001011", "110100111")
+MASKS = ("1111", "1110111", "111001011", "110100111")
 WEIGHT = 6
 BLOCK_TOKENS = 500_000
 #: Keys of 16 bytes that may be broadcast; more are joined by a shuffle.
