@@ -2,26 +2,34 @@
 
 Tokens are words in lower case with ASCII punctuation as blanks. A fixed mask
 keeps some positions of a window and ignores the others; windows of test items
-and of documents meet on the hash of the kept tokens. The masks hit every
-overlap of four equal tokens in a row and every overlap of 13 tokens with two substitutions anywhere, longer overlaps with more.
-A hit fixes an item and an offset; there the two texts are compared token by
-token, and the best segment (+1 for an equal token, -3 for a substitution) is an
-overlap if it has ``min_words`` equal tokens, or 80 % of a shorter item's, and
-at least ``min_same`` of its tokens are equal.
+and of documents meet on the hash of the kept tokens. A hit fixes an item and an
+offset; there the two texts are compared token by token. An overlap is a segment
+with ``min_words`` equal tokens, or 80 % of a shorter item's but never under six,
+of which at least ``min_same`` are equal; of these segments the one with the most
+equal tokens is reported, without substitutions at its ends. With a ``penalty``
+(the default of ``contaminated``, not of ``clean`` nor of the query) only the segment
+with the best sum of +1 and -penalty is held against the bounds, which loses some.
+
+The masks hit every overlap within the default bounds and any stricter ones: with
+k substitutions it has at least max(10, 4 k) equal tokens in k + 1 runs, so one
+run has four, or all are three long and 1110111 meets two of them; items of 6 to
+11 tokens are covered by enumeration, with 111001011 for 3-2-3. Looser bounds
+find only what a mask hits.
 
 Items are the small side. They are read in blocks of a bounded number of tokens,
 each block is broadcast and compared with all documents, so the small side may
-grow without a larger broadcast; one item is never divided. Items of fewer
-than six tokens cannot be told from chance and match nothing.
+grow without a larger broadcast; one item is never divided. Items of fewer than
+six tokens cannot be told from chance and match nothing.
 
 Null or empty texts have no tokens and match nothing, null ids stay null,
 repeated rows are each reported, empty tables give no rows, other columns play
-no part. Equal scores: the first segment, of the smallest offset, counts.
+no part. Equal counts: the first segment, of the smallest offset, counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import repeat
 from math import ceil
 
@@ -34,7 +42,8 @@ from clipwell.llm.common import durable, row_key, small, text_of
 
 #: Kept (1) and ignored (0) positions.
 MASKS = ("1111", "1110111", "111001011", "110100111")
-WEIGHT = 6
+#: Fewest equal tokens of an overlap.
+LEAST = 6
 BLOCK_TOKENS = 500_000
 #: Keys of 16 bytes that may be broadcast; more are joined by a shuffle.
 MAX_BROADCAST = 500_000
@@ -84,7 +93,7 @@ class Block:
             order = np.argsort(h, kind="stable")
             self.tables.append((h[order], item[order], start[order]))
 
-    def overlaps(self, text: str, min_words: int, min_same: float) -> list[tuple]:
+    def overlaps(self, text: str, min_words: int, min_same: float, penalty: int | None = None) -> list[tuple]:
         """(item, matched, substitutions, item words, start, end) of each item that overlaps the text, best segment each."""
         ws = tokens(text)
         ids = np.fromiter(map(self.vocabulary.get, ws, repeat(-1)), np.int64, len(ws))
@@ -103,10 +112,10 @@ class Block:
             own = self.items[k]
             a, b = max(0, -shift), min(len(own), len(ids) - shift)
             same = own[a:b] == ids[a + shift : b + shift]
-            need = min(min_words, max(WEIGHT, ceil(0.8 * len(own))))
+            need = min(min_words, max(LEAST, ceil(0.8 * len(own))))
             if int(same.sum()) < need:
                 continue
-            low, high = _segment(same)
+            low, high = _segment(same, min_same) if penalty is None else _best_segment(same, penalty)
             n, matched = high - low, int(same[low:high].sum())
             if matched >= need and matched >= min_same * n and (k not in best or matched > best[k][1]):
                 first = a + shift + low
@@ -114,21 +123,33 @@ class Block:
         return list(best.values())
 
 
-def _segment(same: np.ndarray) -> tuple[int, int]:
-    """Bounds of the segment with the largest sum of +1 for equal and -3 for other tokens."""
-    total = np.concatenate(([0], np.cumsum(np.where(same, 1, -3))))
+def _segment(same: np.ndarray, min_same: float) -> tuple[int, int]:
+    """Bounds of the segment with the most equal tokens among those with a share of ``min_same``, cut to its equal tokens."""
+    share = Fraction(str(min_same))
+    total = np.concatenate(([0], np.cumsum(np.where(same, share.denominator - share.numerator, -share.numerator))))
+    # a sum of 0 or more is a share of min_same or more; to each end belongs the first begin that reaches it
+    low = np.searchsorted(-np.minimum.accumulate(total), -total)
+    count = np.concatenate(([0], np.cumsum(same)))
+    high = int(np.argmax(count - count[low]))
+    first = int(low[high])
+    return first + (int(np.argmax(same[first:high])) if first < high else 0), high
+
+
+def _best_segment(same: np.ndarray, penalty: int) -> tuple[int, int]:
+    """Bounds of the segment with the largest sum of +1 for equal and -penalty for other tokens."""
+    total = np.concatenate(([0], np.cumsum(np.where(same, 1, -penalty))))
     least = np.minimum.accumulate(total)
     high = int(np.argmax(total - least))
     return int(np.argmin(total[: high + 1])), high
 
 
-def _search(block, min_words: int, min_same: float):
+def _search(block, min_words: int, min_same: float, penalty: int | None):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         b = block.value
         for f in frames:
             out = []
             for doc_id, key, text in zip(f.doc_id, f.row_key, f.text):
-                for k, *rest in b.overlaps(text, min_words, min_same):
+                for k, *rest in b.overlaps(text, min_words, min_same, penalty):
                     out.append((doc_id, key, b.item_ids[k], *rest))
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
             yield frame.astype({"item_id": "Int64"})
@@ -146,6 +167,7 @@ def contaminated(
     min_words: int = 10,
     min_same: float = 0.8,
     block_tokens: int = BLOCK_TOKENS,
+    penalty: int | None = 3,
 ) -> DataFrame:
     """One row per document and item that overlap: the words that match, are substituted, and their span in tokens."""
     spark = docs.sparkSession
@@ -160,14 +182,14 @@ def contaminated(
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b).orderBy("i", "t").collect()  # one block of items
         block = spark.sparkContext.broadcast(Block([tuple(r) for r in own]))
-        found = rows.mapInPandas(_search(block, min_words, min_same), SCHEMA)
+        found = rows.mapInPandas(_search(block, min_words, min_same, penalty), SCHEMA)
         out = found if out is None else out.unionByName(found)
     return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[key].dataType))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", penalty: int | None = None, **how) -> DataFrame:
     """The rows of ``docs`` that overlap no item, columns as they are."""
-    bad = contaminated(docs, benchmark, key, text, **how).select(F.col("row_key").alias("__bad")).distinct()
+    bad = contaminated(docs, benchmark, key, text, penalty=penalty, **how).select(F.col("row_key").alias("__bad")).distinct()
     bad = small(durable(bad), MAX_BROADCAST)
     wide = docs.withColumn("__key", row_key(F.col(f"`{key}`"), F.col(f"`{text}`")))
     return wide.join(bad, F.col("__key") == F.col("__bad"), "left_anti").drop("__key")

@@ -1,8 +1,51 @@
 """Whole results: overlaps by their stated bounds, account lists, against brute force."""
 
+import random
+from itertools import combinations
+from math import ceil
+
 from clipwell.llm import decontamination
 
 
+def overlaps_by_bounds(ws, own):
+    """Most equal tokens of any segment of any alignment that meets the two bounds, without seeds or scores; 0 if none."""
+    need, best = min(10, max(6, ceil(0.8 * len(own)))), 0
+    for shift in range(-len(own), len(ws)):
+        same = [0 <= shift + i < len(ws) and ws[shift + i] == w for i, w in enumerate(own)]
+        for a in range(len(own)):
+            for b in range(a + need, len(own) + 1):
+                hit = sum(same[a:b])
+                if hit >= need and 5 * hit >= 4 * (b - a):
+                    best = max(best, hit)
+    return best
+
+
+def test_op10_every_arrangement_within_the_bounds_is_an_overlap():
+    for n in range(6, 16):
+        own = [f"t{i}" for i in range(n)]
+        block = decontamination.Block([(1, " ".join(own))])
+        for k in range(n // 5 + 1):
+            for changed in combinations(range(n), k):
+                ws = ["x", *("y" if i in changed else w for i, w in enumerate(own)), "z"]
+                want = overlaps_by_bounds(ws, own)
+                assert [x[1] for x in block.overlaps(" ".join(ws), 10, 0.8)] == [want] * (want > 0), (n, changed)
+                assert want or 5 * (n - k) < 4 * n or n - k < min(10, max(6, ceil(0.8 * n)))
+
+
+def test_op10_random_items_with_substitutions():
+    rng = random.Random(8)
+    for _ in range(150):
+        own = [f"w{rng.randrange(60)}" for _ in range(rng.randint(5, 28))]
+        ws = [f"w{rng.randrange(60)}" for _ in range(12)]
+        copy = [f"v{rng.randrange(9)}" if rng.random() < 0.17 else w for w in own]
+        ws[6:6] = copy
+        want = overlaps_by_bounds(ws, own)
+        found = decontamination.Block([(1, " ".join(own))]).overlaps(" ".join(ws), 10, 0.8)
+        assert [x[1] for x in found] == [want] * (want > 0)
+        for _, hit, other, words, first, end in found:
+            assert hit >= 4 * other and hit + other == end - first and words == len(own)
+
+
 def test_op10_items_of_six_and_seven_tokens():
     assert decontamination.Block([(1, "a b c d e f")]).overlaps("x A b, c d e f y", 10, 0.8) == [(0, 6, 0, 6, 1, 7)]
     for text in ("x b c d e f g", "a b c d e f x"):
