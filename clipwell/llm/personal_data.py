@@ -54,7 +54,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?+[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9])++")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_IBAN_REST = {n: re.compile(r"(?:\x20?+[A-Z0-9]){%d}(?![^\W_])" % (n - 4)) for n in set(IBAN_LENGTHS.values())}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _DIGIT = re.compile("[0-9]")
 _WORD = re.compile(r"\w+")
@@ -89,15 +90,14 @@ def _emails(t: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(t: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(t):
-        need, n = IBAN_LENGTHS.get(m[0][:2], 0), 0
-        for i, c in enumerate(m[0]):
-            n += c != " "
-            if n == need:
-                end = m.start() + i + 1
-                if not t[end : end + 1].isalnum() and mod97(m[0][: i + 1].replace(" ", "")):
-                    yield m.start(), end
-                break
+    """Goes on at the end of a confirmed span, else at the next start; a country's length bounds each check."""
+    at = 0
+    while m := _IBAN.search(t, at):
+        at = m.start() + 1
+        rest = _IBAN_REST.get(IBAN_LENGTHS.get(m[0][:2]))
+        if rest and (end := rest.match(t, m.end())) and mod97((m[0] + end[0]).replace(" ", "")):
+            at = end.end()
+            yield m.start(), at
 
 
 def _found(t: str) -> Iterator[tuple[str, int, int]]:

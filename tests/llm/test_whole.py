@@ -4,7 +4,7 @@ import random
 from itertools import combinations
 from math import ceil
 
-from clipwell.llm import decontamination
+from clipwell.llm import decontamination, personal_data
 
 
 def overlaps_by_bounds(ws, own):
@@ -50,3 +50,13 @@ def test_op10_items_of_six_and_seven_tokens():
     assert decontamination.Block([(1, "a b c d e f")]).overlaps("x A b, c d e f y", 10, 0.8) == [(0, 6, 0, 6, 1, 7)]
     for text in ("x b c d e f g", "a b c d e f x"):
         assert [x[1] for x in decontamination.Block([(1, "a b c d e f g")]).overlaps(text, 10, 0.8)] == [6]
+
+
+def test_op6_every_account_of_a_run():
+    de, gb = "DE89370400440532013000", "GB82WEST12345698765432"
+    ibans = lambda t: [t[s:e] for k, s, e, _ in personal_data.spans_of(t) if k == "iban"]
+    assert ibans(f"{de} {gb}") == [de, gb]
+    assert ibans(f"AB12 {de}") == [de] and ibans(f"PAY DE12 TO {de} OR {gb} NOW") == [de, gb]
+    assert ibans(f"DE89 3704 0044 0532 0130 00 {gb} DE89 3704") == ["DE89 3704 0044 0532 0130 00", gb]
+    assert ibans(f"{de}X {de[:-1]} x{gb}") == []
+    assert len(ibans(" ".join([de] * 5000))) == 5000 and not ibans("DE89 " * 60_000)
