@@ -15,6 +15,16 @@ their lines to the byte comparison, which aggregates the smallest and largest
 text per digest before the shuffle, so that one chunk in a third of all
 documents is one row per task.
 
+Chunks miss most short passages, as a passage must meet one cut at both its ends.
+``repeated_runs`` misses none: from every line with a word the shortest window of
+two or more lines with ``min_words`` words is taken, forward and backward, besides
+single long lines. A passage of two or more lines and ``min_words`` words is the
+union of such windows, so it is found whole wherever it stands; a window whose
+SHA-256 occurred before (smaller id, then place) goes, unless it overlaps its own
+first occurrence. Windows that touch are one run. Further lines without words at
+the ends of a passage stay, and so do passages that begin or end inside a line.
+``without_repeats`` cuts these runs.
+
 Null or empty texts have one empty line and no chunk. Null ids come first. Rows
 that agree in id and text share one fate. An empty table gives no rows. Other
 columns play no part and stay as they are in the texts form.
@@ -22,7 +32,7 @@ columns play no part and stay as they are in the texts form.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipwell.llm.common import WORD, durable, row_key, text_of
@@ -103,9 +113,55 @@ def repeated_chunks(
     )
 
 
+def windows(docs: DataFrame, key: str, text: str, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS) -> DataFrame:
+    """(doc_id, row_key, start, end, digest): shortest windows from and to every line that has a word, and long lines."""
+    df = docs.select(
+        F.col(f"`{key}`").alias("doc_id"), row_key(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("row_key"),
+        F.split(text_of(f"`{text}`"), "\n").alias("lines"),
+    )
+    counted = F.transform("lines", lambda x, i: F.struct(i.alias("i"), F.regexp_count(x, F.lit(WORD)).alias("w")))
+    df = df.withColumn("full", F.filter(counted, lambda x: x["w"] > 0))
+    df = df.select("doc_id", "row_key", "lines", F.col("full.i").alias("at"), F.col("full.w").alias("w"))
+    df = df.withColumns({"back": F.reverse("w"), "m": F.size("w")})
+    start = F.struct(F.lit(0).alias("s"), F.lit(0).alias("n"))
+    more = lambda a, x: F.when(a["s"] >= min_words, a).otherwise(F.struct((a["s"] + x).alias("s"), (a["n"] + 1).alias("n")))
+    # every line taken has a word, so min_words lines are enough
+    lines = lambda w, k: F.aggregate(F.slice(w, k + 1, min_words), start, more, lambda a: F.when(a["s"] >= min_words, a["n"]))
+    span = lambda a, b: F.struct(a.cast("int").alias("start"), b.cast("int").alias("end"))
+    end = lambda k, n: F.when(n == 1, F.get("at", k) + 1).when(n > 1, F.get("at", k + n - 1))
+    begin = lambda k, n: F.when(n == 1, F.get("at", k) - 1).when(n > 1, F.get("at", k - n + 1))
+    forward = F.transform("w", lambda w, k: span(F.get("at", k), end(k, lines("w", k))))
+    backward = F.transform("w", lambda w, k: span(begin(k, lines("back", F.col("m") - 1 - k)), F.get("at", k)))
+    alone = F.transform("w", lambda w, k: F.when(w >= long_words, span(F.get("at", k), F.get("at", k))))
+    inside = lambda r: (r["start"] >= 0) & (r["end"] < F.size("lines"))
+    df = df.select("doc_id", "row_key", "lines", F.array_distinct(F.filter(F.concat(forward, backward, alone), inside)).alias("r"))
+    named = F.transform("r", lambda r: r.withField("digest", F.unhex(F.sha2(_joined(F.col("lines"), r["start"], r["end"]).cast("binary"), 256))))
+    df = df.select("doc_id", "row_key", F.explode_outer(named).alias("r")).where("r is not null")
+    return df.select("doc_id", "row_key", "r.start", "r.end", "r.digest")
+
+
+def repeated_runs(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, long_words: int = LONG_WORDS
+) -> DataFrame:
+    """One row per run of lines that goes: doc_id, row_key, start_line, end_line; every line of it stands in an earlier passage."""
+    found = durable(windows(docs, key, text, min_words, long_words))
+    often = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = durable(found.join(often.select("digest"), "digest"))
+    first = again.groupBy("digest").agg(F.min(F.struct("doc_id", "row_key", "start")).alias("first"))
+    own = F.col("row_key") == F.col("first.row_key")
+    apart = F.col("start") > F.col("first.start") + F.col("end") - F.col("start")
+    gone = again.join(first, "digest").where(~own | apart).select("doc_id", "row_key", "start", "end").distinct()
+    before = Window.partitionBy("row_key").orderBy("start", "end")
+    reach = F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    gone = gone.withColumn("new", F.coalesce((F.col("start") > reach + 1).cast("int"), F.lit(1)))
+    gone = gone.withColumn("run", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = gone.groupBy("doc_id", "row_key", "run").agg(F.min("start").cast("long").alias("start_line"), F.max("end").cast("long").alias("end_line"))
+    return runs.drop("run")
+
+
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **limits) -> DataFrame:
-    """``docs`` with the lines of repeated chunks cut from the texts; all other columns and rows stay."""
-    gone = repeated_chunks(docs, key, text, **limits)
+    """``docs`` with the lines of repeated runs cut from the texts; all other columns and rows stay."""
+    gone = repeated_runs(docs, key, text, **limits)
     own = gone.groupBy(F.col("row_key").alias("__own")).agg(F.collect_set(F.struct("start_line", "end_line")).alias("__gone"))
     wide = docs.withColumn("__key", row_key(F.col(f"`{key}`"), F.col(f"`{text}`")))
     out = wide.join(own, F.col("__key") == F.col("__own"), "left")

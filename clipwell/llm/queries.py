@@ -98,6 +98,12 @@ def op9_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return line_chunks.repeated_chunks(read(spark, folder, "documents")).drop("row_key")
 
 
+@query("op9_line_runs")
+def op9_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every run of lines that stands in an earlier passage."""
+    return line_chunks.repeated_runs(read(spark, folder, "documents")).drop("row_key")
+
+
 @query("op10_benchmark_overlaps")
 def op10_benchmark_overlaps(spark: SparkSession, folder: str) -> DataFrame:
     """Every document and benchmark item that overlap, substitutions allowed."""

@@ -4,7 +4,7 @@ import random
 from itertools import combinations
 from math import ceil
 
-from clipwell.llm import decontamination, personal_data
+from clipwell.llm import decontamination, line_chunks, personal_data
 
 
 def overlaps_by_bounds(ws, own):
@@ -60,3 +60,40 @@ def test_op6_every_account_of_a_run():
     assert ibans(f"DE89 3704 0044 0532 0130 00 {gb} DE89 3704") == ["DE89 3704 0044 0532 0130 00", gb]
     assert ibans(f"{de}X {de[:-1]} x{gb}") == []
     assert len(ibans(" ".join([de] * 5000))) == 5000 and not ibans("DE89 " * 60_000)
+
+
+def lines_seen_before(docs):
+    """Lines of runs of two or more lines with 20 words, or one of 50, that an earlier text or place has, edges with words."""
+    gone, rows = set(), [(i, t.split("\n")) for i, t in sorted(docs)]
+    for d, (i, mine) in enumerate(rows):
+        for e, (_, other) in enumerate(rows[: d + 1]):
+            for a in range(len(mine)):
+                for b in range(len(other)):
+                    n = 0
+                    while a + n < len(mine) and b + n < len(other) and mine[a + n] == other[b + n] and (e < d or b + n < a):
+                        n += 1
+                        words = sum(len(x.split()) for x in mine[a : a + n])
+                        if n > 1 and words >= 20 or words >= 50:
+                            gone |= {(i, x) for x in range(a, a + n)}
+    return gone
+
+
+def test_op9_runs_equal_brute_force(spark):
+    rng, docs = random.Random(9), []
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passages = [[line(30) for _ in range(2)], [line(20) for _ in range(3)], [line(6) for _ in range(12)], [line(15), line(15), line(1)], [line(55)], [line(9), line(9)]]
+    passages += [[line(30), ""], [line(12), "", line(12)], [line(1), line(25)]]
+    for i in range(60):
+        body = []
+        for _ in range(rng.randint(1, 3)):
+            body += [line(rng.randint(1, 14)) for _ in range(rng.randint(0, 3))] + rng.choice(passages)[rng.randint(0, 1) :]
+        docs.append((i, "\n".join(body)))
+    docs.append((60, "\n".join(["ten words " * 6] * 5)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, x) for r in line_chunks.repeated_runs(df).collect() for x in range(r.start_line, r.end_line + 1)}
+    text = {(i, x): v for i, t in docs for x, v in enumerate(t.split("\n"))}
+    full = lambda found: {x for x in found if text[x].strip()}
+    want = lines_seen_before(docs)
+    assert got <= want and full(got) == full(want) and len(want) > 200
+    left = {r.doc_id: r.text for r in line_chunks.without_repeats(df).collect()}
+    assert all(left[i].split("\n") == ([v for x, v in enumerate(t.split("\n")) if (i, x) not in got] or [""]) for i, t in docs)
