@@ -5,12 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clipwell.llm import chat, decontamination, line_chunks, line_quality, mixing, personal_data, sharding, simhash, sql, token_files, toxicity
+from clipwell.llm import chat, decontamination, line_chunks, line_quality, mixing, personal_data, secret_ledger, sharding, simhash, sql, token_files, toxicity
 from clipwell.llm.common import checkpoint_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +80,8 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_token_files")
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Index of the ORC token files of all documents, read back from the files."""
+    import public_tokenizers
+
     files = f"{checkpoint_folder(spark)}/tokens-{uuid.uuid4().hex}"
     token_files.write_tokens(read(spark, folder, "documents"), files, public_tokenizers.path("byte_bpe_50k.json"))
     return token_files.token_index(spark, files)
@@ -111,6 +112,19 @@ def op10_benchmark_overlaps(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("row_key")
 
 
+@query("op13_secret_ledger")
+def op13_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and digest of the base spans, and all spans, of every document, from a new ledger."""
+    docs, kept = read(spark, folder, "documents"), f"{checkpoint_folder(spark)}/secrets-{uuid.uuid4().hex}"
+    secret_ledger.scan(docs, kept)
+    found = secret_ledger.findings(docs, kept)
+    base = F.filter("spans", lambda x: x["kind"].isin(*secret_ledger.BASE))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    counts = [count(kind).alias(f"n_{kind}") for kind in secret_ledger.BASE]
+    digest = F.sha2(secret_ledger.joined(base).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secret_ledger.joined(F.col("spans")).alias("spans"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
