@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clipwell.llm import chat, decontamination, line_chunks, line_quality, mixing, personal_data, secret_ledger, sharding, simhash, sql, token_files, toxicity
+from clipwell.llm import chat, decontamination, hard_negatives, line_chunks, line_quality, mixing, personal_data, secret_ledger, sharding, simhash, sql, token_files, toxicity
 from clipwell.llm.common import checkpoint_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,6 +112,14 @@ def op10_benchmark_overlaps(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("row_key")
 
 
+@query("op11_hard_negatives", sql.HARD_NEGATIVES)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every 50th vector and its five best rows of the same label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, folder, "embeddings").withColumn("label", moved)
+    return hard_negatives.mined(rows, F.col("id") % 50 == 0)
+
+
 @query("op13_secret_ledger")
 def op13_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every document, from a new ledger."""

@@ -92,3 +92,24 @@ o AS (
   FROM g)
 SELECT doc_id, start_line::BIGINT start_line, end_line::BIGINT end_line, words, first_doc_id, occurrences FROM o WHERE place > 1
 """
+
+HARD_NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id anchor_id, a.label alabel, b.vec_id other, b.label, list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * b.x[i]))::BIGINT score
+  FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, alabel, other positive_id, score positive_score FROM s WHERE label = alabel
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, s.other negative_id, positive_score, s.score negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other)::INT AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND s.label <> s.alabel
+    AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
