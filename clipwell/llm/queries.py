@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clipwell.llm import chat, decontamination, hard_negatives, line_chunks, line_quality, mixing, personal_data, secret_ledger, sharding, simhash, sql, token_files, toxicity
+from clipwell.llm import chat, decontamination, hard_negatives, line_chunks, line_quality, mixing, personal_data, phrases, secret_ledger, sharding, simhash, sql, token_files, toxicity
 from clipwell.llm.common import checkpoint_folder, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,12 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mined(rows, F.col("id") % 50 == 0)
 
 
+@query("op12_phrase_collocations", sql.PHRASES)
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best 2,000 phrases of every language."""
+    return phrases.collocations(read(spark, folder, "documents"))
+
+
 @query("op13_secret_ledger")
 def op13_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every document, from a new ledger."""

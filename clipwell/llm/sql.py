@@ -113,3 +113,31 @@ n AS (
     AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
 """
+
+PHRASES = r"""
+WITH d AS (
+  SELECT row_number() OVER () rid, coalesce(lang, 'und') lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t FROM documents),
+p AS (SELECT rid, lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') w FROM p),
+g AS (
+  SELECT lang, w[i:i + k - 1] g FROM (
+    SELECT lang, w, i, unnest(range(1, 1 + least(5, len(w) - i + 1))) k FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) i FROM w))),
+c AS (SELECT lang, g, count(*)::HUGEINT f FROM g GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(w))::HUGEINT n FROM w GROUP BY lang),
+cand AS (SELECT * FROM c WHERE len(g) > 1),
+held AS (
+  SELECT DISTINCT lang, sub, f FROM (
+    SELECT lang, f, unnest(list_filter([g[1:len(g) - 1], g[2:], g[2:len(g) - 1], g[1:len(g) - 2], g[3:], g[1:len(g) - 3], g[4:], g[3:len(g) - 1], g[2:len(g) - 2]],
+      lambda x: len(x) > 1)) sub FROM cand WHERE len(g) > 2)),
+free AS (SELECT * FROM cand WHERE NOT EXISTS (FROM held WHERE held.lang = cand.lang AND sub = g AND 100 * held.f >= 100 * cand.f)),
+cut AS (
+  SELECT x.lang, x.g, x.f a, k, l.f l, r.f r, n.n, (1000 * x.f * n.n) // (l.f * r.f) score
+  FROM (SELECT *, unnest(range(1, len(g))) k FROM free) x
+  JOIN c l ON l.lang = x.lang AND l.g = x.g[1:k] JOIN c r ON r.lang = x.lang AND r.g = x.g[k + 1:] JOIN n ON n.lang = x.lang),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+o AS (SELECT *, array_to_string(g, ' ') phrase FROM best)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT a, l::BIGINT l, r::BIGINT r,
+  n::BIGINT n, score::BIGINT score
+FROM o QUALIFY rank <= 2000
+"""
