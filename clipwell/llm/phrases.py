@@ -4,22 +4,27 @@ Texts are lower-cased (A-Z), split into pieces and words; everything is counted
 per language. A phrase of up to ``longest`` words is a prefix of a suffix that
 begins at one of its occurrences, cut after ``longest`` words or at the piece's end.
 
-Vertical partitioning. Words that occur less than ``least`` times are in no
-candidate, so suffixes also end before them. The remaining first words are the
-prefixes; a prefix with more than ``budget`` occurrences is extended by the next
-word, one scan per length, until each fits or is a whole phrase. Prefixes in
-order are cut into groups of about ``budget`` occurrences, and the suffixes of
-a group go to one partition, sorted by Spark. There the depth-truncated subtree
-of the group is walked leaf by leaf: sorted suffixes are its leaves, the words
-shared with the next leaf its rightmost path, and a node's count is the total of
-its leaves. Only the path of at most ``longest`` nodes is held.
-
-Copies of a suffix are added up in the map task, so a passage that fills a third
-of the table is one leaf per task. Three things are broadcast: a bitmap of fixed
-size that tells which words may be frequent (a wrong yes only adds leaves, which
-the count drops), the first prefix of each group (one per ``budget`` words), and the
-prefixes over the budget, of which there are fewer than that. Counts of parts meet
-their candidates by joins.
+Vertical partitioning. Word prefixes that occur less than ``least`` times are in
+no candidate, so suffixes also end before a word, and inside a pair of words, that
+is rarer. The remaining pairs are the prefixes; one with more than ``budget``
+occurrences is extended by the next word, one scan per length, until each fits or
+is a whole phrase. Prefixes in the order of their hashes are cut into groups of
+about ``budget`` occurrences, and the suffixes of a group go to one partition,
+sorted by Spark. There the depth-truncated subtrees of the group are walked leaf by
+leaf: sorted suffixes are the leaves, the words shared with the next leaf the
+rightmost path, and a node's count is the total of its leaves. Only the path of at
+most ``longest`` nodes is held. Nodes above an extended prefix get their totals from
+several groups, which are added.
+
+Texts are taken in chunks of bounded size, cut between words, whose words are
+numbered by array operations; words of equal hash are compared byte by byte, so
+that counts are exact. Copies of a suffix are added up in the chunk, so a passage
+that fills a third of the table is one leaf per chunk. Hashes of prefixes decide only
+what is pruned and where a suffix goes: equal ones prune less. Four things are
+broadcast: two bitmaps of fixed size that tell which words and pairs may be frequent
+(a wrong yes only adds leaves, which the count drops), the first hash of each group
+(one per ``budget`` words), and the prefixes over the budget, of which there are fewer.
+Counts of parts meet their candidates by joins.
 
 Scores are exact decimals. Null texts are empty; a null language is ``und``. Repeated
 rows count each. Ties are in the order of the contract: score and count descending,
@@ -29,192 +34,269 @@ other columns play no part.
 
 from __future__ import annotations
 
-import zlib
-from bisect import bisect_right
-from collections import Counter
+import re
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from clipwell.llm.common import durable, small, text_of
+from clipwell.llm.common import durable, small
 from clipwell.operators.ordering import with_running_total
 
-#: The characters between pieces and the blanks between words.
-_LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | {c: "\n" for c in ".,;:!?\x0b\x0c\r"} | {"\t": " "})
+#: Kinds of bytes, 0 in words, 1 blanks, 2 between pieces; and letters that are lowered.
+_KIND, _LOWER = np.zeros(256, np.uint8), np.arange(256, dtype=np.uint8)
+_KIND[list(b" \t")] = 1
+_KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
+_LOWER[65:91] += 32
+_BREAK = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
+_WORD_AFTER = rb"(?:[\x20\x09]+[^\x20\x09.,;:!?\x0A-\x0D]+){0,%d}"
 UNKNOWN = "und"
 #: Ends every word of a stored phrase. Words with it, or with the escape, are escaped, so that phrases with a common
 #: beginning are neighbours in the order of bytes.
 END, _ESCAPE = "\x00", "\x01"
-BITS = 26
-_HELD = 400_000
+WORD_BITS, PAIR_BITS = 26, 27
+_CHUNK = 1 << 21
+_SHORT = 64
 _MAX_LANGS = 10_000
-
-
-def _pieces(text: str) -> Iterator[list[str]]:
-    if END in text or _ESCAPE in text:
-        text = text.replace(_ESCAPE, "\x01\x03").replace(END, "\x01\x02")
-    for piece in text.translate(_LOWER).split("\n"):
-        words = piece.split(" ")
-        yield list(filter(None, words)) if "" in words else words
-
-
-def readable(phrase: Column) -> Column:
-    """A stored phrase, space-joined."""
-    spaced = F.replace(F.rtrim(phrase, F.lit(END)), F.lit(END), F.lit(" "))
-    return F.replace(F.replace(spaced, F.lit("\x01\x02"), F.lit(END)), F.lit("\x01\x03"), F.lit(_ESCAPE))
-
-
-def _counted(count: Callable[[str, str, Counter], None], names: list[str]):
-    """Arrow batches (lang, text) to added-up keys: the tuple of a key and its count are a row."""
-
-    def flush(held: Counter) -> pa.RecordBatch:
-        columns = [*zip(*held)] if held else [()] * (len(names) - 1)
-        arrays = [pa.array(c, pa.int32() if n == "part" else pa.string()) for n, c in zip(names, columns)]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(held.values(), pa.int64())], names=names)
+_K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_MASK = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _K2
+    return x ^ (x >> np.uint64(29))
+
+
+class Chunk:
+    """Words of one language's bytes in order: exact numbers, hashes and pieces; words from ``limit`` on only follow others."""
+
+    def __init__(self, lang: str, data: bytes, limit: int):
+        raw = np.frombuffer(data, np.uint8)
+        kind = _KIND[raw]
+        edge = np.diff((kind == 0).view(np.int8), prepend=np.int8(0), append=np.int8(0))
+        self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.own = int(np.searchsorted(self.start, limit))
+        self.piece = np.searchsorted(np.flatnonzero(kind == 2), self.start)
+        self.low = np.concatenate([_LOWER[raw], np.zeros(_SHORT + 8, np.uint8)])
+        # eight bytes from every place on
+        self.eight = np.ndarray((len(raw) + _SHORT,), "<u8", self.low.data, strides=(1,))
+        self.size = self.end - self.start
+        h = self.size.astype(np.uint64) * _K1
+        for at, x in self._loads(np.arange(len(self.start))):
+            h[at] = _mixed((h[at] ^ x) * _K1)
+        for i in np.flatnonzero(self.size > _SHORT).tolist():
+            h[i] = xxh64_intdigest(self._bytes(i))
+        h = _mixed(h ^ np.uint64(xxh64_intdigest(lang.encode())))
+        _, first, code = np.unique(h, return_index=True, return_inverse=True)
+        alias = np.flatnonzero(first[code] != np.arange(len(h)))
+        other = alias[self._differ(alias, first[code[alias]])]
+        for n, i in enumerate(other.tolist()):  # equal hashes of different words: each such word has a number of its own
+            code[i] = len(first) + n
+        self.first, self.code, self.hash = np.concatenate([first, other]), code, h
+        self.names: dict[int, str] = {}
+
+    def _loads(self, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(which, next eight bytes) of words of up to ``_SHORT`` bytes."""
+        at = at[self.size[at] <= _SHORT]
+        for j in range(0, _SHORT, 8):
+            at = at[self.size[at] > j]
+            if not len(at):
+                return
+            yield at, self.eight[self.start[at] + j] & _MASK[np.minimum(self.size[at] - j, 8)]
+
+    def _differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = self.size[a] != self.size[b]
+        rest = np.flatnonzero(~out & (self.size[a] <= _SHORT))
+        for j in range(0, _SHORT, 8):
+            rest = rest[self.size[a[rest]] > j]
+            if not len(rest):
+                break
+            x = self.eight[self.start[a[rest]] + j] ^ self.eight[self.start[b[rest]] + j]
+            out[rest] |= (x & _MASK[np.minimum(self.size[a[rest]] - j, 8)]) != 0
+        for k in np.flatnonzero(~out & (self.size[a] > _SHORT)).tolist():
+            out[k] = self._bytes(a[k]) != self._bytes(b[k])
+        return out
+
+    def _bytes(self, i: int) -> bytes:
+        return self.low[self.start[i] : self.end[i]].tobytes()
+
+    def name(self, code: int) -> str:
+        """The stored form of a word."""
+        found = self.names.get(code)
+        if found is None:
+            word = self._bytes(self.first[code]).decode("utf-8", "replace")
+            if END in word or _ESCAPE in word:
+                word = word.replace(_ESCAPE, "\x01\x03").replace(END, "\x01\x02")
+            found = self.names[code] = word + END
+        return found
+
+    def after(self, k: int, x: np.ndarray) -> np.ndarray:
+        """``x`` of the k-th next word, zero at the end."""
+        return np.concatenate([x[k:], np.zeros(min(k, len(x)), x.dtype)])
+
+    def pairs(self, words: bytes) -> np.ndarray:
+        """Whether a word and the next one of its piece may both be frequent."""
+        may = _among(words, WORD_BITS, self.hash)
+        return may & self.after(1, may) & (self.piece == self.after(1, self.piece)) & (np.arange(len(may)) + 1 < len(may))
+
+    def prefix(self, h: np.ndarray, k: int) -> np.ndarray:
+        """Hash of prefixes of k + 1 words from that of k words."""
+        return _mixed(h * _K1 + self.after(k, self.hash))
+
+    def reach(self, words: bytes, pairs: bytes, longest: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hash of each pair, number of words that follow by pairs that may be frequent, below ``longest``)."""
+        h = self.prefix(self.hash, 1)
+        run = good = self.pairs(words) & _among(pairs, PAIR_BITS, h)
+        n = good.astype(np.int64)
+        for k in range(1, longest - 1):
+            run = run & self.after(k, good)
+            n += run
+        n[self.own :] = 0
+        return h, n
+
+
+def _among(bitmap: bytes, bits: int, h: np.ndarray) -> np.ndarray:
+    at = h >> np.uint64(64 - bits)
+    return (np.frombuffer(bitmap, np.uint8)[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
+
+
+def _cut(data: bytes, ahead: int) -> Iterator[tuple[bytes, int]]:
+    """Chunks that end between words, with the next words of the piece behind them, and the length without these."""
+    at, more = 0, re.compile(_WORD_AFTER % ahead)
+    while at < len(data):
+        cut = _BREAK.search(data, at + _CHUNK)
+        if cut is None:
+            yield data[at:], len(data) - at
+            return
+        yield data[at : more.match(data, cut.start()).end()], cut.start() - at
+        at = cut.start()
+
+
+def _counted(count: Callable[[str, Chunk], dict], fields: dict[str, pa.DataType], ahead: int):
+    """Arrow batches (lang, text as bytes) to the counts of their chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
         for b in batches:
-            for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
-                count(lang, text.as_py(), held)
-                if len(held) > _HELD:
-                    yield flush(held)
-                    held = Counter()
-        yield flush(held)
+            texts = defaultdict(list)
+            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
+                texts[lang].append(text)
+            for lang, found in texts.items():
+                for data, limit in _cut(b"\n".join(found), ahead):
+                    chunk = Chunk(lang, data, limit)
+                    if chunk.own:
+                        out = count(lang, chunk)
+                        yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in fields.items()], names=list(fields))
 
     return run
 
 
 def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"), text_of(f"`{text}`").alias("text"))
+    kept = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
+    return docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"), kept.alias("text"))
 
 
 def vocabulary(texts: DataFrame) -> DataFrame:
-    """(lang, phrase, n): every word with its count; the word is a stored phrase."""
+    """(lang, phrase, h, n): every word as a stored phrase with its hash and count."""
 
-    def count(lang: str, text: str, held: Counter) -> None:
-        for words in _pieces(text):
-            held.update((lang, w + END) for w in words)
+    def count(lang: str, c: Chunk) -> dict:
+        n = np.bincount(c.code[: c.own], minlength=len(c.first))
+        used = np.flatnonzero(n)
+        return {"lang": [lang] * len(used), "phrase": [c.name(i) for i in used.tolist()], "h": c.hash[c.first[used]].view(np.int64), "n": n[used]}
 
-    found = texts.mapInArrow(_counted(count, ["lang", "phrase", "n"]), "lang string, phrase string, n bigint")
-    return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    fields = {"lang": pa.string(), "phrase": pa.string(), "h": pa.int64(), "n": pa.int64()}
+    found = texts.mapInArrow(_counted(count, fields, 0), "lang string, phrase string, h bigint, n bigint")
+    return found.groupBy("lang", "phrase").agg(F.max("h").alias("h"), F.sum("n").alias("n"))
 
 
-def _bit(lang: str, phrase: str) -> int:
-    return zlib.crc32(phrase.encode("utf-8", "surrogatepass"), zlib.crc32(lang.encode())) >> (32 - BITS)
+def bitmap(hashes: DataFrame, bits: int) -> bytes:
+    """A bit for every hash of (h): 2^bits bits, whatever their number."""
+    # Spark counts the places of a bitmap from 1
+    at = hashes.select((F.shiftrightunsigned("h", 64 - bits) + 1).alias("bit"))
+    parts = at.groupBy(F.bitmap_bucket_number("bit").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("m"))
+    out = bytearray((1 << bits) // 8)
+    for r in parts.collect():  # at most 2^bits / 32768 rows of 4 KB
+        out[(r.k - 1) * 4096 : (r.k - 1) * 4096 + len(r.m)] = r.m
+    return bytes(out)
 
 
-def frequent_bitmap(words: DataFrame) -> bytes:
-    """A bit for every word of (lang, phrase), by hash: 2^BITS bits, whatever the number of words."""
+def _hashed(texts: DataFrame, count: Callable[[str, Chunk], dict], ahead: int) -> DataFrame:
+    found = texts.mapInArrow(_counted(count, {"h": pa.int64(), "n": pa.int64()}, ahead), "h bigint, n bigint")
+    return found.groupBy("h").agg(F.sum("n").alias("n"))
 
-    def bits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            # Spark counts the places of a bitmap from 1
-            yield pd.DataFrame({"bit": [_bit(x, p) + 1 for x, p in zip(f.lang, f.phrase)]})
 
-    at = words.select("lang", "phrase").mapInPandas(bits, "bit bigint")
-    parts = at.groupBy(F.bitmap_bucket_number("bit").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("m"))
-    out = bytearray((1 << BITS) // 8)
-    for r in parts.collect():  # at most 2^BITS / 32768 rows of 4 KB
-        out[(r.k - 1) * 4096 : (r.k - 1) * 4096 + len(r.m)] = r.m
-    return bytes(out)
+def _sums(h: np.ndarray) -> dict:
+    found, n = np.unique(h, return_counts=True)
+    return {"h": found.view(np.int64), "n": n}
 
 
-class Runs:
-    """Pieces cut at words that cannot be frequent; the answers for words are kept up to a bound."""
-
-    def __init__(self, bitmap: bytes):
-        self.bitmap, self.known = bitmap, {}
-
-    def _learn(self, lang: str, word: str) -> bool:
-        if len(self.known) > 1_000_000:
-            self.known.clear()
-        bit = _bit(lang, word + END)
-        yes = self.known[lang, word] = bool(self.bitmap[bit >> 3] >> (bit & 7) & 1)
-        return yes
-
-    def of(self, lang: str, text: str) -> Iterator[list[str]]:
-        known, learn = self.known, self._learn
-        for words in _pieces(text):
-            run: list[str] = []
-            for w in words:
-                yes = known.get((lang, w))
-                if learn(lang, w) if yes is None else yes:
-                    run.append(w + END)
-                elif run:
-                    yield run
-                    run = []
-            if run:
-                yield run
-
-
-def hot_prefixes(texts: DataFrame, shared, sizes: DataFrame, budget: int, longest: int) -> DataFrame:
-    """(lang, phrase, n): prefixes that fit the budget or are whole phrases, from single words by extension."""
-    sizes, done = sizes.withColumn("words", F.lit(1)), None
-    context = texts.sparkSession.sparkContext
-    for length in range(1, longest + 1):
-        large = (F.col("n") > budget) & (F.col("words") < longest)
-        fit = sizes.where(~large).select("lang", "phrase", "n")
-        done = fit if done is None else done.unionByName(fit)
-        # each has over ``budget`` occurrences of its own, so there are fewer of them than groups
-        hot = frozenset((r.lang, r.phrase) for r in sizes.where(large).select("lang", "phrase").collect())
-        if not hot:
-            return done
-        known = context.broadcast(hot)
+def pair_counts(texts: DataFrame, words) -> DataFrame:
+    """(h, n) of the pairs of words that may be frequent."""
 
-        def count(lang: str, text: str, held: Counter, length=length, known=known) -> None:
-            hot = known.value
-            for run in shared.value.of(lang, text):
-                for i in range(len(run) - length):
-                    if (lang, run[i] if length == 1 else "".join(run[i : i + length])) in hot:
-                        held[lang, "".join(run[i : i + length + 1])] += 1
+    def count(lang: str, c: Chunk) -> dict:
+        return _sums(c.prefix(c.hash, 1)[: c.own][c.pairs(words.value)[: c.own]])
 
-        found = texts.mapInArrow(_counted(count, ["lang", "phrase", "n"]), "lang string, phrase string, n bigint")
-        sizes = durable(found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).withColumn("words", F.lit(length + 1)))
-    return done
+    return _hashed(texts, count, 1)
 
 
-def _split(phrase: str) -> tuple[str, ...]:
-    return tuple(w + END for w in phrase.split(END)[:-1])
+def _is_in(h: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(sorted_, h)
+    return (at < len(sorted_)) & (sorted_[np.minimum(at, len(sorted_) - 1)] == h) if len(sorted_) else np.zeros(len(h), bool)
 
 
-class Groups:
-    """The group of a suffix: the last one whose first prefix does not come after it, word by word."""
+def _extended(c: Chunk, h: np.ndarray, reach: np.ndarray, hot: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the prefix that places each suffix, words of the extended prefix before its last one, 0 if none)."""
+    words = np.zeros(len(h), np.int64)
+    for k, over in enumerate(hot, 2):
+        longer = (reach >= k) & _is_in(h, over) & (words == (k - 1 if k > 2 else 0))
+        words[longer] = k
+        h = np.where(longer, c.prefix(h, k), h)
+    return h, words
 
-    def __init__(self, firsts: list[tuple[str, str]]):
-        self.firsts = sorted((lang, *_split(p)) for lang, p in firsts)
-        self.known: dict[tuple[str, str], int] = {}
 
-    def of(self, lang: str, run: list[str], at: int, end: int) -> int:
-        key = (lang, run[at])
-        group = self.known.get(key)
-        if group is None:
-            if len(self.known) > 1_000_000:
-                self.known.clear()
-            group = bisect_right(self.firsts, key)
-            # no other group begins inside this word's suffixes
-            inside = group < len(self.firsts) and self.firsts[group][:2] == key
-            self.known[key] = group = -1 if inside else group
-        return bisect_right(self.firsts, (lang, *run[at:end])) if group < 0 else group
+def fitting_prefixes(texts: DataFrame, sizes: DataFrame, words, pairs, budget: int, longest: int) -> tuple[DataFrame, list[np.ndarray]]:
+    """((h, n) of prefixes that fit the budget or are whole phrases, the hashes over it by length from 2 on)."""
+    hot: list[np.ndarray] = []
+    done = sizes
+    for k in range(2, longest):
+        # each has over ``budget`` occurrences of its own, so there are fewer of them than groups
+        over = np.array(sorted(r.h for r in sizes.where(F.col("n") > budget).select("h").collect()), np.int64).view(np.uint64)
+        if not len(over):
+            break
+        hot.append(np.sort(over))
+        known = texts.sparkSession.sparkContext.broadcast(list(hot))
+
+        def count(lang: str, c: Chunk, k=k, known=known) -> dict:
+            h, reach = c.reach(words.value, pairs.value, longest)
+            h, longer = _extended(c, h, reach, known.value)
+            return _sums(h[longer == k])
+
+        sizes = durable(_hashed(texts, count, longest - 1))
+        done = done.where(F.col("n") <= budget).unionByName(sizes)
+    return done, hot
 
 
 def _nodes(least: int):
-    """Leaves (lang, phrase, n) of whole subtrees in order, to nodes of two or more words that count ``least`` or more."""
+    """Leaves (lang, phrase, hot, n) in order, to nodes of two or more words.
+
+    A node is whole, and given if it counts ``least`` or more, unless it lies above an extended prefix of ``hot`` words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path: list[str] = []  # words of the rightmost path, and the leaves counted below each
+        path: list[str] = []  # words of the rightmost path, with the leaves counted below each and whether it is shared
         totals: list[int] = []
+        shared: list[bool] = []
         lang = None
         out: list[tuple[str, str, int, int]] = []
 
         def close(depth: int) -> None:
             while len(path) > depth:
-                if totals[-1] >= least and len(path) > 1:
-                    out.append((lang, "".join(path), len(path), totals[-1]))
-                n = totals.pop()
+                n, parts = totals.pop(), shared.pop()
+                if (n >= least or parts) and len(path) > 1:
+                    out.append((lang, END.join(path) + END, len(path), n))
                 path.pop()
                 if totals:
                     totals[-1] += n
@@ -225,25 +307,26 @@ def _nodes(least: int):
             kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["lang", "phrase", "words", "n"])
 
+        before = None
         for b in batches:
-            before = None
-            for x, phrase, n in zip(b.column("lang").to_pylist(), b.column("phrase").to_pylist(), b.column("n").to_pylist()):
+            for x, phrase, hot, n in zip(*(b.column(c).to_pylist() for c in ("lang", "phrase", "hot", "n"))):
                 if phrase == before and x == lang:
                     totals[-1] += n
                     continue
-                before, words = phrase, phrase.split(END)
-                words.pop()
-                depth = 0
+                words, depth = phrase.split(END)[:-1], 0
                 if x == lang:
                     for a, w in zip(path, words):
-                        if a[:-1] != w:
+                        if a != w:
                             break
                         depth += 1
                 close(depth)
-                lang = x
-                path += [w + END for w in words[depth:]]
+                lang, before = x, phrase
+                path += words[depth:]
                 totals += [0] * (len(words) - depth)
+                shared += [False] * (len(words) - depth)
                 totals[-1] += n
+                for i in range(min(hot, len(words))):
+                    shared[i] = True
             yield batch()
         close(0)
         yield batch()
@@ -254,28 +337,54 @@ def _nodes(least: int):
 def counted_phrases(docs: DataFrame, least: int, longest: int, budget: int, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, n) of all phrases that occur ``least`` times or more, (lang, n) of all word occurrences)."""
     texts, context = _texts(docs, text, lang), docs.sparkSession.sparkContext
-    words = durable(vocabulary(texts))
-    often = words.where(F.col("n") >= least)
-    shared = context.broadcast(Runs(frequent_bitmap(often)))
-    prefixes = hot_prefixes(texts, shared, often, budget, longest)
-    placed = with_running_total(prefixes, ["lang", "phrase"], "n", "upto")
+    vocabulary_ = durable(vocabulary(texts))
+    often = vocabulary_.where(F.col("n") >= least)
+    words = context.broadcast(bitmap(often, WORD_BITS))
+    sizes = durable(pair_counts(texts, words).where(F.col("n") >= least))
+    pairs = context.broadcast(bitmap(sizes, PAIR_BITS))
+    prefixes, hot = fitting_prefixes(texts, sizes, words, pairs, budget, longest)
+    placed = with_running_total(prefixes, ["h"], "n", "upto")
     group = F.floor((F.col("upto") - F.col("n")) / budget)
-    firsts = placed.groupBy(group.alias("g")).agg(F.min(F.struct("lang", "phrase")).alias("first"))
-    groups = context.broadcast(Groups([tuple(r["first"]) for r in firsts.collect()]))  # one row per ``budget`` occurrences
-
-    def count(lang: str, text: str, held: Counter) -> None:
-        find = groups.value.of
-        for run in shared.value.of(lang, text):
-            n = len(run)
-            for i in range(n - 1):
-                end = min(i + longest, n)
-                held[lang, "".join(run[i:end]), find(lang, run, i, end)] += 1
-
-    leaves = texts.mapInArrow(_counted(count, ["lang", "phrase", "part", "n"]), "lang string, phrase string, part int, n bigint")
+    firsts = placed.groupBy(group.alias("g")).agg(F.min("h").alias("first")).collect()  # one row per ``budget`` occurrences
+    known = context.broadcast((np.array(sorted(r["first"] for r in firsts), np.int64), hot))
+
+    def count(lang: str, c: Chunk) -> dict:
+        firsts, hot = known.value
+        h, reach = c.reach(words.value, pairs.value, longest)
+        at = np.flatnonzero(reach)
+        # equal suffixes in one leaf: by hash and length, and compared word by word
+        key = h.copy()
+        for k in range(2, longest):
+            key = np.where(reach >= k, c.prefix(key, k), key)
+        order = at[np.lexsort((reach[at], key[at]))]
+        same = np.zeros(len(order), bool)
+        same[1:] = (key[order[1:]] == key[order[:-1]]) & (reach[order[1:]] == reach[order[:-1]])
+        for k in range(longest):
+            code = c.after(k, c.code)[order]
+            same[1:] &= (code[1:] == code[:-1]) | (reach[order[1:]] < k)
+        first = np.flatnonzero(~same)
+        leaf = order[first]
+        n = np.diff(np.append(first, len(order)))
+        place, longer = _extended(c, h, reach, hot)
+        codes = [c.after(k, c.code)[leaf].tolist() for k in range(longest)]
+        name = c.name
+        phrase = ["".join([name(x) for x in row[: m + 1]]) for m, row in zip(reach[leaf].tolist(), zip(*codes))]
+        part = np.searchsorted(firsts, place[leaf].view(np.int64), side="right")
+        return {"lang": [lang] * len(leaf), "phrase": phrase, "part": part.astype(np.int32), "hot": longer[leaf].astype(np.int32), "n": n}
+
+    fields = {"lang": pa.string(), "phrase": pa.string(), "part": pa.int32(), "hot": pa.int32(), "n": pa.int64()}
+    leaves = texts.mapInArrow(_counted(count, fields, longest - 1), "lang string, phrase string, part int, hot int, n bigint")
     dealt = leaves.repartition("part").sortWithinPartitions("lang", "phrase").drop("part")
-    nodes = durable(dealt.mapInArrow(_nodes(least), "lang string, phrase string, words int, n bigint"))
+    nodes = dealt.mapInArrow(_nodes(least), "lang string, phrase string, words int, n bigint")
+    whole = nodes.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     single = often.select("lang", "phrase", F.lit(1).alias("words"), "n")
-    return nodes.unionByName(single), words.groupBy("lang").agg(F.sum("n").alias("n"))
+    return whole.unionByName(single), vocabulary_.groupBy("lang").agg(F.sum("n").alias("n"))
+
+
+def readable(phrase: Column) -> Column:
+    """A stored phrase, space-joined."""
+    spaced = F.replace(F.rtrim(phrase, F.lit(END)), F.lit(END), F.lit(" "))
+    return F.replace(F.replace(spaced, F.lit("\x01\x02"), F.lit(END)), F.lit("\x01\x03"), F.lit(_ESCAPE))
 
 
 def _words(phrase: Column, start: Column, n: Column) -> Column:
@@ -285,7 +394,7 @@ def _words(phrase: Column, start: Column, n: Column) -> Column:
 
 def collocations(
     docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 100, longest: int = 5, cover: int = 100, top: int = 2000,
-    budget: int = 1_000_000,
+    budget: int = 250_000,
 ) -> DataFrame:
     """The best phrases of each language: lang, rank, phrase, a, l, r, n, score.
 

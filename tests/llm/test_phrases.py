@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,10 +71,33 @@ def test_a_wrong_yes_of_the_bitmap_changes_nothing(spark, monkeypatch):
     rows = sample(4)
     df = spark.createDataFrame([(i, t, x, *"wxyz") for i, (t, x) in enumerate(rows)], SCHEMA)
     want = sorted(map(tuple, phrases.collocations(df, least=4).collect()))
-    monkeypatch.setattr(phrases, "frequent_bitmap", lambda words: b"\xff" * (1 << phrases.BITS - 3))
+    monkeypatch.setattr(phrases, "bitmap", lambda hashes, bits: b"\xff" * (1 << bits - 3))
     assert sorted(map(tuple, phrases.collocations(df, least=4).collect())) == want == brute(rows, 4)
 
 
+def test_chunks_of_any_size_and_equal_hashes(monkeypatch):
+    """Cuts inside pieces count every suffix once; words of equal hash stay apart."""
+
+    def leaves(size, mix):
+        monkeypatch.setattr(phrases, "_CHUNK", size)
+        monkeypatch.setattr(phrases, "_mixed", mix)
+        out, all_ = Counter(), b"\xff" * (1 << phrases.PAIR_BITS - 3)
+        for text, _ in sample(6):
+            for data, limit in phrases._cut((text or "").encode(), 4):
+                c = phrases.Chunk("en", data, limit)
+                _, reach = c.reach(all_, all_, 5)
+                out.update("".join(c.name(x) for x in c.code[i : i + n + 1].tolist()) for i, n in enumerate(reach.tolist()) if n)
+                out.update(c.name(x) for x in c.code[: c.own].tolist())
+        return out
+
+    mix = phrases._mixed
+    want = leaves(1 << 21, mix)
+    assert leaves(1, mix) == leaves(7, mix) == want == leaves(1 << 21, lambda x: x & np.uint64(3))
+    long = "x" * 70
+    c = phrases.Chunk("en", f"{long} {long}y {long} {'z' * 9} {long}".encode(), 10**6)
+    assert [c.name(x)[:-1] for x in c.code.tolist()] == [long, long + "y", long, "z" * 9, long] and c.code[0] == c.code[2]
+
+
 def test_edge_rows(edge, nothing):
     got = phrases.collocations(edge, least=2, top=1_000_000).collect()
     by_phrase = {r.phrase: r.a for r in got}
