@@ -5,8 +5,8 @@ per language. A phrase of up to ``longest`` words is a prefix of a suffix that
 begins at one of its occurrences, cut after ``longest`` words or at the piece's end.
 
 Vertical partitioning. Word prefixes that occur less than ``least`` times are in
-no candidate, so suffixes also end before a word, and inside a pair of words, that
-is rarer. The remaining pairs are the prefixes; one with more than ``budget``
+no candidate: words are counted, then pairs of frequent words, then triples of frequent
+pairs, and suffixes also end where one that is too rare begins. The remaining pairs are the prefixes; one with more than ``budget``
 occurrences is extended by the next word, one scan per length, until each fits or
 is a whole phrase. Prefixes in the order of their hashes are cut into groups of
 about ``budget`` occurrences, and the suffixes of a group go to one partition,
@@ -21,7 +21,7 @@ numbered by array operations; words of equal hash are compared byte by byte, so
 that counts are exact. Copies of a suffix are added up in the chunk, so a passage
 that fills a third of the table is one leaf per chunk. Hashes of prefixes decide only
 what is pruned and where a suffix goes: equal ones prune less. Four things are
-broadcast: two bitmaps of fixed size that tell which words and pairs may be frequent
+broadcast: three bitmaps of fixed size that tell which words, pairs and triples may be frequent
 (a wrong yes only adds leaves, which the count drops), the first hash of each group
 (one per ``budget`` words), and the prefixes over the budget, of which there are fewer.
 Counts of parts meet their candidates by joins.
@@ -58,7 +58,10 @@ UNKNOWN = "und"
 #: Ends every word of a stored phrase. Words with it, or with the escape, are escaped, so that phrases with a common
 #: beginning are neighbours in the order of bytes.
 END, _ESCAPE = "\x00", "\x01"
-WORD_BITS, PAIR_BITS = 26, 27
+WORD_BITS, PREFIX_BITS = 26, 27
+#: Bits of a prefix's hash, and lengths of prefixes whose rare ones are pruned before suffixes are built.
+_HASH = 40
+PRUNED = (2, 3)
 _CHUNK = 1 << 21
 _SHORT = 64
 _MAX_LANGS = 10_000
@@ -138,29 +141,39 @@ class Chunk:
         """``x`` of the k-th next word, zero at the end."""
         return np.concatenate([x[k:], np.zeros(min(k, len(x)), x.dtype)])
 
-    def pairs(self, words: bytes) -> np.ndarray:
-        """Whether a word and the next one of its piece may both be frequent."""
-        may = _among(words, WORD_BITS, self.hash)
-        return may & self.after(1, may) & (self.piece == self.after(1, self.piece)) & (np.arange(len(may)) + 1 < len(may))
-
     def prefix(self, h: np.ndarray, k: int) -> np.ndarray:
         """Hash of prefixes of k + 1 words from that of k words."""
-        return _mixed(h * _K1 + self.after(k, self.hash))
-
-    def reach(self, words: bytes, pairs: bytes, longest: int) -> tuple[np.ndarray, np.ndarray]:
-        """(hash of each pair, number of words that follow by pairs that may be frequent, below ``longest``)."""
-        h = self.prefix(self.hash, 1)
-        run = good = self.pairs(words) & _among(pairs, PAIR_BITS, h)
-        n = good.astype(np.int64)
-        for k in range(1, longest - 1):
-            run = run & self.after(k, good)
-            n += run
+        return _mixed(h * _K1 + self.after(k, self.hash)) >> np.uint64(64 - _HASH)
+
+    def frequent(self, bitmaps: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+        """(hash, whether it may be frequent, length k) of the prefix of k words at each place; the bitmaps are of 1 to k words."""
+        h, may = self.hash, _among(bitmaps[0], WORD_BITS, self.hash >> np.uint64(64 - WORD_BITS))
+        for k, found in enumerate(bitmaps[1:], 1):
+            h, may = self.longer(h, may, k)
+            may &= _among(found, PREFIX_BITS, h >> np.uint64(_HASH - PREFIX_BITS))
+        return h, may, len(bitmaps)
+
+    def longer(self, h: np.ndarray, may: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, whether both shorter parts may be frequent) of the prefixes of k + 1 words."""
+        both = may & self.after(1, may)
+        if k == 1:
+            both &= (self.piece == self.after(1, self.piece)) & (np.arange(len(may)) + 1 < len(may))
+        return self.prefix(h, k), both
+
+    def reach(self, bitmaps: list[bytes], longest: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hash of each pair, number of further words of each suffix, below ``longest``)."""
+        n = np.zeros(len(self.hash), np.int64)
+        for k in range(2, len(bitmaps) + 1):
+            h, may, _ = self.frequent(bitmaps[:k])
+            n += may
+        for k in range(len(bitmaps), longest):
+            may = may & self.after(1, may)
+            n += may
         n[self.own :] = 0
-        return h, n
+        return self.prefix(self.hash, 1), n
 
 
-def _among(bitmap: bytes, bits: int, h: np.ndarray) -> np.ndarray:
-    at = h >> np.uint64(64 - bits)
+def _among(bitmap: bytes, bits: int, at: np.ndarray) -> np.ndarray:
     return (np.frombuffer(bitmap, np.uint8)[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
 
@@ -200,22 +213,32 @@ def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def vocabulary(texts: DataFrame) -> DataFrame:
-    """(lang, phrase, h, n): every word as a stored phrase with its hash and count."""
+    """(lang, phrase, n): every word as a stored phrase with its count."""
 
     def count(lang: str, c: Chunk) -> dict:
         n = np.bincount(c.code[: c.own], minlength=len(c.first))
         used = np.flatnonzero(n)
-        return {"lang": [lang] * len(used), "phrase": [c.name(i) for i in used.tolist()], "h": c.hash[c.first[used]].view(np.int64), "n": n[used]}
+        return {"lang": [lang] * len(used), "phrase": [c.name(i) for i in used.tolist()], "n": n[used]}
+
+    fields = {"lang": pa.string(), "phrase": pa.string(), "n": pa.int64()}
+    found = texts.mapInArrow(_counted(count, fields, 0), "lang string, phrase string, n bigint")
+    return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def word_hashes(words: DataFrame) -> DataFrame:
+    """(h) of stored words (lang, phrase), as the chunks of texts have them."""
+
+    def count(lang: str, c: Chunk) -> dict:
+        return {"h": c.hash.view(np.int64)}
 
-    fields = {"lang": pa.string(), "phrase": pa.string(), "h": pa.int64(), "n": pa.int64()}
-    found = texts.mapInArrow(_counted(count, fields, 0), "lang string, phrase string, h bigint, n bigint")
-    return found.groupBy("lang", "phrase").agg(F.max("h").alias("h"), F.sum("n").alias("n"))
+    spelled = F.replace(F.replace(F.rtrim("phrase", F.lit(END)), F.lit("\x01\x02"), F.lit(END)), F.lit("\x01\x03"), F.lit(_ESCAPE))
+    return words.select("lang", spelled.cast("binary").alias("text")).mapInArrow(_counted(count, {"h": pa.int64()}, 0), "h bigint")
 
 
-def bitmap(hashes: DataFrame, bits: int) -> bytes:
-    """A bit for every hash of (h): 2^bits bits, whatever their number."""
+def bitmap(hashes: DataFrame, shift: int, bits: int) -> bytes:
+    """A bit for every hash of (h) without its last ``shift`` bits: 2^bits bits, whatever their number."""
     # Spark counts the places of a bitmap from 1
-    at = hashes.select((F.shiftrightunsigned("h", 64 - bits) + 1).alias("bit"))
+    at = hashes.select((F.shiftrightunsigned("h", shift) + 1).alias("bit"))
     parts = at.groupBy(F.bitmap_bucket_number("bit").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("m"))
     out = bytearray((1 << bits) // 8)
     for r in parts.collect():  # at most 2^bits / 32768 rows of 4 KB
@@ -233,13 +256,14 @@ def _sums(h: np.ndarray) -> dict:
     return {"h": found.view(np.int64), "n": n}
 
 
-def pair_counts(texts: DataFrame, words) -> DataFrame:
-    """(h, n) of the pairs of words that may be frequent."""
+def prefix_counts(texts: DataFrame, bitmaps) -> DataFrame:
+    """(h, n) of the prefixes one word longer than those of the last bitmap, both of whose shorter parts may be frequent."""
 
     def count(lang: str, c: Chunk) -> dict:
-        return _sums(c.prefix(c.hash, 1)[: c.own][c.pairs(words.value)[: c.own]])
+        h, may = c.longer(*c.frequent(bitmaps.value))
+        return _sums(h[: c.own][may[: c.own]])
 
-    return _hashed(texts, count, 1)
+    return _hashed(texts, count, len(PRUNED))
 
 
 def _is_in(h: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
@@ -257,7 +281,7 @@ def _extended(c: Chunk, h: np.ndarray, reach: np.ndarray, hot: list[np.ndarray])
     return h, words
 
 
-def fitting_prefixes(texts: DataFrame, sizes: DataFrame, words, pairs, budget: int, longest: int) -> tuple[DataFrame, list[np.ndarray]]:
+def fitting_prefixes(texts: DataFrame, sizes: DataFrame, bitmaps, budget: int, longest: int) -> tuple[DataFrame, list[np.ndarray]]:
     """((h, n) of prefixes that fit the budget or are whole phrases, the hashes over it by length from 2 on)."""
     hot: list[np.ndarray] = []
     done = sizes
@@ -270,7 +294,7 @@ def fitting_prefixes(texts: DataFrame, sizes: DataFrame, words, pairs, budget: i
         known = texts.sparkSession.sparkContext.broadcast(list(hot))
 
         def count(lang: str, c: Chunk, k=k, known=known) -> dict:
-            h, reach = c.reach(words.value, pairs.value, longest)
+            h, reach = c.reach(bitmaps.value, longest)
             h, longer = _extended(c, h, reach, known.value)
             return _sums(h[longer == k])
 
@@ -339,10 +363,13 @@ def counted_phrases(docs: DataFrame, least: int, longest: int, budget: int, text
     texts, context = _texts(docs, text, lang), docs.sparkSession.sparkContext
     vocabulary_ = durable(vocabulary(texts))
     often = vocabulary_.where(F.col("n") >= least)
-    words = context.broadcast(bitmap(often, WORD_BITS))
-    sizes = durable(pair_counts(texts, words).where(F.col("n") >= least))
-    pairs = context.broadcast(bitmap(sizes, PAIR_BITS))
-    prefixes, hot = fitting_prefixes(texts, sizes, words, pairs, budget, longest)
+    maps, pairs = [bitmap(word_hashes(often), 64 - WORD_BITS, WORD_BITS)], None
+    for _ in PRUNED:
+        sizes = durable(prefix_counts(texts, context.broadcast(maps)).where(F.col("n") >= least))
+        maps = [*maps, bitmap(sizes, _HASH - PREFIX_BITS, PREFIX_BITS)]
+        pairs = sizes if pairs is None else pairs
+    bitmaps = context.broadcast(maps)
+    prefixes, hot = fitting_prefixes(texts, pairs, bitmaps, budget, longest)
     placed = with_running_total(prefixes, ["h"], "n", "upto")
     group = F.floor((F.col("upto") - F.col("n")) / budget)
     firsts = placed.groupBy(group.alias("g")).agg(F.min("h").alias("first")).collect()  # one row per ``budget`` occurrences
@@ -350,7 +377,7 @@ def counted_phrases(docs: DataFrame, least: int, longest: int, budget: int, text
 
     def count(lang: str, c: Chunk) -> dict:
         firsts, hot = known.value
-        h, reach = c.reach(words.value, pairs.value, longest)
+        h, reach = c.reach(bitmaps.value, longest)
         at = np.flatnonzero(reach)
         # equal suffixes in one leaf: by hash and length, and compared word by word
         key = h.copy()

@@ -71,7 +71,7 @@ def test_a_wrong_yes_of_the_bitmap_changes_nothing(spark, monkeypatch):
     rows = sample(4)
     df = spark.createDataFrame([(i, t, x, *"wxyz") for i, (t, x) in enumerate(rows)], SCHEMA)
     want = sorted(map(tuple, phrases.collocations(df, least=4).collect()))
-    monkeypatch.setattr(phrases, "bitmap", lambda hashes, bits: b"\xff" * (1 << bits - 3))
+    monkeypatch.setattr(phrases, "bitmap", lambda hashes, shift, bits: b"\xff" * (1 << bits - 3))
     assert sorted(map(tuple, phrases.collocations(df, least=4).collect())) == want == brute(rows, 4)
 
 
@@ -81,11 +81,11 @@ def test_chunks_of_any_size_and_equal_hashes(monkeypatch):
     def leaves(size, mix):
         monkeypatch.setattr(phrases, "_CHUNK", size)
         monkeypatch.setattr(phrases, "_mixed", mix)
-        out, all_ = Counter(), b"\xff" * (1 << phrases.PAIR_BITS - 3)
+        out, all_ = Counter(), b"\xff" * (1 << phrases.PREFIX_BITS - 3)
         for text, _ in sample(6):
             for data, limit in phrases._cut((text or "").encode(), 4):
                 c = phrases.Chunk("en", data, limit)
-                _, reach = c.reach(all_, all_, 5)
+                _, reach = c.reach([all_] * 3, 5)
                 out.update("".join(c.name(x) for x in c.code[i : i + n + 1].tolist()) for i, n in enumerate(reach.tolist()) if n)
                 out.update(c.name(x) for x in c.code[: c.own].tolist())
         return out
