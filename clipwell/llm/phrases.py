@@ -9,12 +9,11 @@ no candidate: words are counted, then pairs of frequent words, then triples of f
 pairs, and suffixes also end where one that is too rare begins. The remaining pairs are the prefixes; one with more than ``budget``
 occurrences is extended by the next word, one scan per length, until each fits or
 is a whole phrase. Prefixes in the order of their hashes are cut into groups of
-about ``budget`` occurrences, and the suffixes of a group go to one partition,
-sorted by Spark. There the depth-truncated subtrees of the group are walked leaf by
-leaf: sorted suffixes are the leaves, the words shared with the next leaf the
-rightmost path, and a node's count is the total of its leaves. Only the path of at
-most ``longest`` nodes is held. Nodes above an extended prefix get their totals from
-several groups, which are added.
+about ``budget`` occurrences, which bounds what a group's leaves take in memory, and
+the suffixes of a group go to one task. There the group's depth-truncated subtrees
+are built by themselves: sorted suffixes are the leaves, the words shared with the
+next leaf the rightmost path, and a node's count is the total of its leaves. Nodes
+above an extended prefix get their totals from several groups, which are added.
 
 Texts are taken in chunks of bounded size, cut between words, whose words are
 numbered by array operations; words of equal hash are compared byte by byte, so
@@ -62,7 +61,7 @@ WORD_BITS, PREFIX_BITS = 26, 27
 #: Bits of a prefix's hash, and lengths of prefixes whose rare ones are pruned before suffixes are built.
 _HASH = 40
 PRUNED = (2, 3)
-_CHUNK = 1 << 21
+_CHUNK = 1 << 20
 _SHORT = 64
 _MAX_LANGS = 10_000
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -202,7 +201,8 @@ def _counted(count: Callable[[str, Chunk], dict], fields: dict[str, pa.DataType]
                     chunk = Chunk(lang, data, limit)
                     if chunk.own:
                         out = count(lang, chunk)
-                        yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in fields.items()], names=list(fields))
+                        arrays = [x if isinstance(x := out[k], pa.Array) else pa.array(x, t) for k, t in fields.items()]
+                        yield pa.RecordBatch.from_arrays(arrays, names=list(fields))
 
     return run
 
@@ -271,21 +271,22 @@ def _is_in(h: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
     return (at < len(sorted_)) & (sorted_[np.minimum(at, len(sorted_) - 1)] == h) if len(sorted_) else np.zeros(len(h), bool)
 
 
-def _extended(c: Chunk, h: np.ndarray, reach: np.ndarray, hot: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of the prefix that places each suffix, words of the extended prefix before its last one, 0 if none)."""
-    words = np.zeros(len(h), np.int64)
+def _extended(c: Chunk, h: np.ndarray, reach: np.ndarray, hot: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of the prefix that places each suffix, words of its longest prefix over the budget, whether all lengths of ``hot`` were extended)."""
+    words, more = np.zeros(len(h), np.int64), reach >= 1
     for k, over in enumerate(hot, 2):
-        longer = (reach >= k) & _is_in(h, over) & (words == (k - 1 if k > 2 else 0))
-        words[longer] = k
-        h = np.where(longer, c.prefix(h, k), h)
-    return h, words
+        more = more & _is_in(h, over)
+        words[more] = k  # also of a suffix that ends here, whose node is shared by several groups
+        more &= reach >= k
+        h = np.where(more, c.prefix(h, k), h)
+    return h, words, more
 
 
 def fitting_prefixes(texts: DataFrame, sizes: DataFrame, bitmaps, budget: int, longest: int) -> tuple[DataFrame, list[np.ndarray]]:
     """((h, n) of prefixes that fit the budget or are whole phrases, the hashes over it by length from 2 on)."""
     hot: list[np.ndarray] = []
     done = sizes
-    for k in range(2, longest):
+    for _ in range(2, longest):
         # each has over ``budget`` occurrences of its own, so there are fewer of them than groups
         over = np.array(sorted(r.h for r in sizes.where(F.col("n") > budget).select("h").collect()), np.int64).view(np.uint64)
         if not len(over):
@@ -293,67 +294,77 @@ def fitting_prefixes(texts: DataFrame, sizes: DataFrame, bitmaps, budget: int, l
         hot.append(np.sort(over))
         known = texts.sparkSession.sparkContext.broadcast(list(hot))
 
-        def count(lang: str, c: Chunk, k=k, known=known) -> dict:
+        def count(lang: str, c: Chunk, known=known) -> dict:
             h, reach = c.reach(bitmaps.value, longest)
-            h, longer = _extended(c, h, reach, known.value)
-            return _sums(h[longer == k])
+            h, _, longer = _extended(c, h, reach, known.value)
+            return _sums(h[longer])
 
         sizes = durable(_hashed(texts, count, longest - 1))
         done = done.where(F.col("n") <= budget).unionByName(sizes)
     return done, hot
 
 
-def _nodes(least: int):
-    """Leaves (lang, phrase, hot, n) in order, to nodes of two or more words.
+def subtree(leaves: dict[tuple[str, str], tuple[int, int]], least: int) -> Iterator[tuple[str, str, int, int]]:
+    """Leaves (lang, phrase) to (hot, n) of whole subtrees, to their nodes (lang, phrase, words, n) of two or more words.
 
     A node is whole, and given if it counts ``least`` or more, unless it lies above an extended prefix of ``hot`` words.
     """
+    path: list[str] = []  # words of the rightmost path, with the leaves counted below each and whether it is shared
+    totals: list[int] = []
+    shared: list[bool] = []
+
+    def close(depth: int, lang: str) -> Iterator[tuple[str, str, int, int]]:
+        while len(path) > depth:
+            n, parts = totals.pop(), shared.pop()
+            if (n >= least or parts) and len(path) > 1:
+                yield lang, END.join(path) + END, len(path), n
+            path.pop()
+            if totals:
+                totals[-1] += n
+
+    before = ""
+    for lang, phrase in sorted(leaves):
+        hot, n = leaves[lang, phrase]
+        words, depth = phrase.split(END)[:-1], 0
+        if lang == before:
+            for a, w in zip(path, words):
+                if a != w:
+                    break
+                depth += 1
+        yield from close(depth, before)
+        before = lang
+        path += words[depth:]
+        totals += [0] * (len(words) - depth)
+        shared += [False] * (len(words) - depth)
+        totals[-1] += n
+        for i in range(min(hot, len(words))):
+            shared[i] = True
+    yield from close(0, before)
+
+
+def _nodes(least: int):
+    """Fragments (lang, part, leaves) in order of the group, to the nodes of each group's subtrees."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path: list[str] = []  # words of the rightmost path, with the leaves counted below each and whether it is shared
-        totals: list[int] = []
-        shared: list[bool] = []
-        lang = None
-        out: list[tuple[str, str, int, int]] = []
-
-        def close(depth: int) -> None:
-            while len(path) > depth:
-                n, parts = totals.pop(), shared.pop()
-                if (n >= least or parts) and len(path) > 1:
-                    out.append((lang, END.join(path) + END, len(path), n))
-                path.pop()
-                if totals:
-                    totals[-1] += n
-
-        def batch() -> pa.RecordBatch:
-            columns = [*zip(*out)] if out else [()] * 4
-            out.clear()
+        held: dict[tuple[str, str], tuple[int, int]] = {}  # of one group: at most about two budgets
+        part = None
+
+        def flush() -> pa.RecordBatch:
+            found = [*zip(*subtree(held, least))] or [()] * 4
+            held.clear()
             kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["lang", "phrase", "words", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, kinds)], names=["lang", "phrase", "words", "n"])
 
-        before = None
         for b in batches:
-            for x, phrase, hot, n in zip(*(b.column(c).to_pylist() for c in ("lang", "phrase", "hot", "n"))):
-                if phrase == before and x == lang:
-                    totals[-1] += n
-                    continue
-                words, depth = phrase.split(END)[:-1], 0
-                if x == lang:
-                    for a, w in zip(path, words):
-                        if a != w:
-                            break
-                        depth += 1
-                close(depth)
-                lang, before = x, phrase
-                path += words[depth:]
-                totals += [0] * (len(words) - depth)
-                shared += [False] * (len(words) - depth)
-                totals[-1] += n
-                for i in range(min(hot, len(words))):
-                    shared[i] = True
-            yield batch()
-        close(0)
-        yield batch()
+            columns = b.column("lang").to_pylist(), b.column("part").to_pylist(), b.column("phrases"), b.column("hot"), b.column("n")
+            for lang, own, phrases, hot, n in zip(*columns):
+                if own != part:
+                    yield flush()
+                    part = own
+                for phrase, longer, count in zip(phrases.as_py(), hot.as_py(), n.as_py()):
+                    known = held.get((lang, phrase))
+                    held[lang, phrase] = (longer, count + known[1] if known else count)
+        yield flush()
 
     return run
 
@@ -392,16 +403,25 @@ def counted_phrases(docs: DataFrame, least: int, longest: int, budget: int, text
         first = np.flatnonzero(~same)
         leaf = order[first]
         n = np.diff(np.append(first, len(order)))
-        place, longer = _extended(c, h, reach, hot)
+        place, longer, _ = _extended(c, h, reach, hot)
         codes = [c.after(k, c.code)[leaf].tolist() for k in range(longest)]
         name = c.name
         phrase = ["".join([name(x) for x in row[: m + 1]]) for m, row in zip(reach[leaf].tolist(), zip(*codes))]
         part = np.searchsorted(firsts, place[leaf].view(np.int64), side="right")
-        return {"lang": [lang] * len(leaf), "phrase": phrase, "part": part.astype(np.int32), "hot": longer[leaf].astype(np.int32), "n": n}
-
-    fields = {"lang": pa.string(), "phrase": pa.string(), "part": pa.int32(), "hot": pa.int32(), "n": pa.int64()}
-    leaves = texts.mapInArrow(_counted(count, fields, longest - 1), "lang string, phrase string, part int, hot int, n bigint")
-    dealt = leaves.repartition("part").sortWithinPartitions("lang", "phrase").drop("part")
+        # one row per group: the chunk's part of the group's leaves
+        order = np.argsort(part, kind="stable")
+        groups, begin = np.unique(part[order], return_index=True)
+        cuts = pa.array(np.append(begin, len(order)).astype(np.int32))
+        listed = lambda x, kind: pa.ListArray.from_arrays(cuts, pa.array(x, kind))
+        return {
+            "lang": [lang] * len(groups), "part": groups.astype(np.int32), "phrases": listed([phrase[i] for i in order.tolist()], pa.string()),
+            "hot": listed(longer[leaf][order].astype(np.int32), pa.int32()), "n": listed(n[order], pa.int64()),
+        }
+
+    fields = {"lang": pa.string(), "part": pa.int32(), "phrases": pa.list_(pa.string()), "hot": pa.list_(pa.int32()), "n": pa.list_(pa.int64())}
+    kinds = "lang string, part int, phrases array<string>, hot array<int>, n array<bigint>"
+    fragments = texts.mapInArrow(_counted(count, fields, longest - 1), kinds)
+    dealt = fragments.repartition("part").sortWithinPartitions("part")
     nodes = dealt.mapInArrow(_nodes(least), "lang string, phrase string, words int, n bigint")
     whole = nodes.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     single = often.select("lang", "phrase", F.lit(1).alias("words"), "n")

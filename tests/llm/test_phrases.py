@@ -47,7 +47,7 @@ def sample(seed):
     return rows + [("x y z x y z", "en")] * 20 + [(None, "en"), ("", None), (" \n.", "de")]
 
 
-@pytest.mark.parametrize("seed,least,budget,cover", [(1, 3, 1_000_000, 100), (2, 5, 7, 100), (3, 4, 1, 60)])
+@pytest.mark.parametrize("seed,least,budget,cover", [(1, 3, 1_000_000, 100), (2, 5, 7, 100), (3, 4, 1, 60), (5, 6, 20, 100)])
 def test_collocations_equal_brute_force(spark, seed, least, budget, cover):
     """With one group, with extended prefixes, and with a budget that every prefix passes."""
     rows = sample(seed)
