@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from clipwell.llm.common import durable, small
+from clipwell.llm.spans import K1, Spans, mixed
 from clipwell.operators.ordering import with_running_total
 
 #: Kinds of bytes, 0 in words, 1 blanks, 2 between pieces; and letters that are lowered.
@@ -62,18 +63,10 @@ WORD_BITS, PREFIX_BITS = 26, 27
 _HASH = 40
 PRUNED = (2, 3)
 _CHUNK = 1 << 20
-_SHORT = 64
 _MAX_LANGS = 10_000
-_K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_MASK = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _K2
-    return x ^ (x >> np.uint64(29))
-
-
-class Chunk:
+class Chunk(Spans):
     """Words of one language's bytes in order: exact numbers, hashes and pieces; words from ``limit`` on only follow others."""
 
     def __init__(self, lang: str, data: bytes, limit: int):
@@ -83,54 +76,15 @@ class Chunk:
         self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         self.own = int(np.searchsorted(self.start, limit))
         self.piece = np.searchsorted(np.flatnonzero(kind == 2), self.start)
-        self.low = np.concatenate([_LOWER[raw], np.zeros(_SHORT + 8, np.uint8)])
-        # eight bytes from every place on
-        self.eight = np.ndarray((len(raw) + _SHORT,), "<u8", self.low.data, strides=(1,))
-        self.size = self.end - self.start
-        h = self.size.astype(np.uint64) * _K1
-        for at, x in self._loads(np.arange(len(self.start))):
-            h[at] = _mixed((h[at] ^ x) * _K1)
-        for i in np.flatnonzero(self.size > _SHORT).tolist():
-            h[i] = xxh64_intdigest(self._bytes(i))
-        h = _mixed(h ^ np.uint64(xxh64_intdigest(lang.encode())))
-        _, first, code = np.unique(h, return_index=True, return_inverse=True)
-        alias = np.flatnonzero(first[code] != np.arange(len(h)))
-        other = alias[self._differ(alias, first[code[alias]])]
-        for n, i in enumerate(other.tolist()):  # equal hashes of different words: each such word has a number of its own
-            code[i] = len(first) + n
-        self.first, self.code, self.hash = np.concatenate([first, other]), code, h
+        super().__init__(_LOWER[raw], self.start, self.end)
+        self.hash = mixed(self.hash ^ np.uint64(xxh64_intdigest(lang.encode())))
         self.names: dict[int, str] = {}
 
-    def _loads(self, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(which, next eight bytes) of words of up to ``_SHORT`` bytes."""
-        at = at[self.size[at] <= _SHORT]
-        for j in range(0, _SHORT, 8):
-            at = at[self.size[at] > j]
-            if not len(at):
-                return
-            yield at, self.eight[self.start[at] + j] & _MASK[np.minimum(self.size[at] - j, 8)]
-
-    def _differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        out = self.size[a] != self.size[b]
-        rest = np.flatnonzero(~out & (self.size[a] <= _SHORT))
-        for j in range(0, _SHORT, 8):
-            rest = rest[self.size[a[rest]] > j]
-            if not len(rest):
-                break
-            x = self.eight[self.start[a[rest]] + j] ^ self.eight[self.start[b[rest]] + j]
-            out[rest] |= (x & _MASK[np.minimum(self.size[a[rest]] - j, 8)]) != 0
-        for k in np.flatnonzero(~out & (self.size[a] > _SHORT)).tolist():
-            out[k] = self._bytes(a[k]) != self._bytes(b[k])
-        return out
-
-    def _bytes(self, i: int) -> bytes:
-        return self.low[self.start[i] : self.end[i]].tobytes()
-
     def name(self, code: int) -> str:
         """The stored form of a word."""
         found = self.names.get(code)
         if found is None:
-            word = self._bytes(self.first[code]).decode("utf-8", "replace")
+            word = self.bytes_of(self.first[code]).decode("utf-8", "replace")
             if END in word or _ESCAPE in word:
                 word = word.replace(_ESCAPE, "\x01\x03").replace(END, "\x01\x02")
             found = self.names[code] = word + END
@@ -142,7 +96,7 @@ class Chunk:
 
     def prefix(self, h: np.ndarray, k: int) -> np.ndarray:
         """Hash of prefixes of k + 1 words from that of k words."""
-        return _mixed(h * _K1 + self.after(k, self.hash)) >> np.uint64(64 - _HASH)
+        return mixed(h * K1 + self.after(k, self.hash)) >> np.uint64(64 - _HASH)
 
     def frequent(self, bitmaps: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
         """(hash, whether it may be frequent, length k) of the prefix of k words at each place; the bitmaps are of 1 to k words."""

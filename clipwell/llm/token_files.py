@@ -7,9 +7,10 @@ so that a lookup prunes by metadata and a scan reads stripes in parallel.
 
 Byte-level pre-tokenisation never joins characters over a blank that stands
 before a visible character, nor over a line break between visible ones. Texts
-are therefore cut there and the parts are encoded by the library once per worker
-(a bounded cache); a text with blanks in other places is encoded as a whole.
-Both ways give the library's own ids for the whole text, which the tests compare.
+are therefore cut there, and the parts are numbered by array operations and encoded
+by the library once per worker (a bounded cache, many parts in one call); a text with
+blanks in other places, or with a special token, is encoded as a whole. Both ways give
+the library's own ids for the whole text, which the tests compare.
 
 Null or empty texts have the end id alone. Null ids come first; of equal ids the
 rows follow the XXH64 of their texts. Repeated rows are kept. An empty table
@@ -19,11 +20,11 @@ writes an empty data set. Other columns play no part.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import filterfalse
-from struct import pack
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipwell.llm.common import durable, text_of
+from clipwell.llm.spans import Spans
 from clipwell.operators.ordering import with_running_total
 
 END_ID = 2
 _CACHED_PARTS = 800_000
-_BATCH = 512
+_JOINED = 256
 SCHEMA = "doc_id bigint, text_xxh64 bigint, n_tokens bigint, ids array<int>"
 NAMES, CHECKED = ["doc_id", "text_xxh64", "n_tokens", "ids"], ["doc_id", "text_xxh64", "n_tokens", "ids_crc32"]
 
@@ -50,42 +52,78 @@ class Encoder:
         self.model = Tokenizer.from_file(path)
         pre = self.model.pre_tokenizer
         self.by_parts = type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space and self.model.normalizer is None
-        self.parts: dict[str, bytes | None] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = (x.ids for x in self.model.encode_batch_fast(texts, add_special_tokens=False))
-        return [pack(f"<{len(x)}i", *x) for x in found]
-
-    def _learn(self, missing: list[str]) -> None:
-        """Parts that begin with a second blank have no ids of their own: their text goes another way."""
-        plain = [p for p in missing if (p[1:2] if p[:1] == "\n" else p[:1]).strip()]
+        # a token of a byte-level vocabulary has one character for each of its bytes
+        self.token_bytes = np.zeros(self.model.get_vocab_size(), np.int64)
+        for token, i in self.model.get_vocab(with_added_tokens=False).items():
+            self.token_bytes[i] = len(token)
+        special = [re.escape(x.content).encode() for x in self.model.get_added_tokens_decoder().values()]
+        # a blank of any kind behind the first byte, nothing behind it, or a special token
+        blank = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+        self.odd = re.compile(b"|".join([b".(?:%s|$)" % b"|".join(re.escape(c.encode()) for c in blank), *(b".*" + x for x in special)]), re.DOTALL).match
+        self.parts: dict[bytes, bytes | None] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<i4") for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, missing: list[bytes]) -> None:
+        """Parts with a second blank at their begin, or a special token, have no ids of their own: their text goes another way."""
         self.parts.update(dict.fromkeys(missing))
-        self.parts.update(zip(plain, self._ids([p if p[0] == "\n" else " " + p for p in plain])))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        odd = self.odd
+        plain = [p for p in missing if not odd(p)]
+        for at in range(0, len(plain), _JOINED):
+            own = plain[at : at + _JOINED]
+            # joined parts are cut where they were joined; the ids' bytes tell which part an id is from
+            (ids,) = self._ids([b"".join(own).decode("utf-8")])
+            ends = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum([*map(len, own)]), side="left") + 1
+            data, places = ids.tobytes(), (4 * ends).tolist()
+            self.parts.update(zip(own, map(data.__getitem__, map(slice, [0, *places], places))))
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each text, the ids of all texts in order)."""
         if not self.by_parts:
-            return self._ids(texts)
+            found = self._ids([t.decode("utf-8") for t in texts])
+            return np.array([len(x) for x in found], np.int64), np.concatenate([np.empty(0, "<i4"), *found])
         if len(self.parts) > _CACHED_PARTS:
             self.parts.clear()
-        # a line break is the first character of a part, any other part follows one blank
-        cut = [t.replace("\n", " \n").split(" ") for t in texts]
-        heads = [c.pop(0) for c in cut]
-        missing: set[str] = set()
-        for c in cut:
-            missing.update(filterfalse(self.parts.__contains__, c))
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        ends = np.cumsum([len(t) for t in texts])
+        begins = ends - [len(t) for t in texts]
+        # a blank or a line break is the first character of a part; what comes before the first one is the text's head
+        cut = (raw == 32) | (raw == 10)
+        cut[begins[begins < len(raw)]] = True
+        start = np.flatnonzero(cut)
+        end = np.append(start[1:], len(raw))[: len(start)]
+        spans, owner = Spans(raw, start, end), np.searchsorted(ends, start, side="right")
+        joined, at = raw.tobytes(), spans.first
+        distinct = list(map(joined.__getitem__, map(slice, start[at].tolist(), end[at].tolist())))
+        blank = np.isin(raw[start[at]], (32, 10))
+        heads = np.flatnonzero(~blank).tolist()
+        missing = set(compress(distinct, blank.tolist())).difference(self.parts)
         if missing:
             self._learn(list(missing))
-        out: list[bytes | None] = []
-        for head, ids, c in zip(heads, self._ids(heads), cut):
-            try:
-                # None among the parts, or blanks at the head's end, need the whole text
-                out.append(ids + b"".join(map(self.parts.__getitem__, c)) if head == head.rstrip() else None)
-            except TypeError:
-                out.append(None)
-        whole = [i for i, x in enumerate(out) if x is None]
-        for i, x in zip(whole, self._ids([texts[i] for i in whole])):
-            out[i] = x
-        return out
+        found: list[bytes | None] = list(map(self.parts.get, distinct))
+        head_texts = [distinct[i].decode("utf-8") for i in heads]
+        for i, text, ids in zip(heads, head_texts, self._ids(head_texts)):
+            # blanks of other kinds at a head's end would join what follows
+            found[i] = ids.tobytes() if text == text.rstrip() else None
+        code, whole = spans.code, np.empty(0, np.int64)
+        if None in found:
+            lost = np.array([x is None for x in found])
+            whole = np.unique(owner[lost[code]])
+        if len(whole):
+            stay = ~np.isin(owner, whole)
+            code = np.concatenate([code[stay], len(found) + np.arange(len(whole))])
+            owner = np.concatenate([owner[stay], whole])
+            found += [x.tobytes() for x in self._ids([texts[i].decode("utf-8") for i in whole.tolist()])]
+            order = np.argsort(owner, kind="stable")
+            code, owner = code[order], owner[order]
+        if len(whole):
+            found = [x or b"" for x in found]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<i4")
+        n = size[code]
+        at = np.arange(n.sum()) + np.repeat((np.cumsum(size) - size)[code] - (np.cumsum(n) - n), n)
+        return np.bincount(owner, n, len(texts)).astype(np.int64), ids[at]
 
 
 @lru_cache(maxsize=1)
@@ -95,14 +133,15 @@ def _encoder(path: str) -> Encoder:
 
 def _rows(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = pack("<i", end_id)
         for batch in batches:
             for at in range(0, batch.num_rows, _BATCH):
                 g = batch.slice(at, _BATCH)
-                ids = [x + end for x in _encoder(path).encode(g.column("text").to_pylist())]
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                sizes, found = _encoder(path).encode(g.column("text").to_pylist())
+                sizes += 1
                 offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+                ids = np.full(offsets[-1], end_id, np.int32)
+                ids[np.arange(len(found)) + np.repeat(np.arange(len(sizes)), sizes - 1)] = found
+                listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([g.column("doc_id"), g.column("text_xxh64"), pa.array(sizes), listed], names=NAMES)
 
     return run
@@ -114,7 +153,7 @@ def write_tokens(
 ) -> None:
     """Encode all texts and write the ORC files; ``tokenizer`` is a path that every worker can read."""
     t = text_of(f"`{text}`")
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(t).alias("text_xxh64"), t.alias("text"))
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(t).alias("text_xxh64"), t.cast("binary").alias("text"))
     encoded = rows.orderBy("doc_id", "text_xxh64").mapInArrow(_rows(tokenizer, end_id), SCHEMA)
     (
         encoded.write.mode("overwrite")

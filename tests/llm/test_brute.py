@@ -162,7 +162,12 @@ def test_encoder_equals_whole_texts():
     assert encoder.by_parts
     bits = ["a", "bc", "é", " ", "  ", "\n", "\n\n", "\t", "\r", " ", "'s", "'", "12", "!", "?!", "\x1c", "　", "<|endoftext|>", "日本", "​", "\x85"]
     texts = ["".join(rng.choices(bits, k=rng.randint(0, 12))) for _ in range(20_000)]
-    assert encoder.encode(texts) == encoder._ids(texts)
+    for at in range(0, len(texts), 500):
+        own = texts[at : at + 500]
+        sizes, ids = encoder.encode([t.encode() for t in own])
+        want = encoder._ids(own)
+        assert sizes.tolist() == [len(x) for x in want] and ids.tolist() == np.concatenate(want).tolist()
+    assert [x.tolist() for x in encoder.encode([b"", b""])] == [[0, 0], []]
 
 
 def test_op7(spark, documents):
@@ -176,6 +181,22 @@ def test_op7(spark, documents):
     assert sorted(map(tuple, QUERIES["op7_token_files"](spark, FOLDER).collect())) == want
 
 
+def test_files_hold_ascending_ids(spark, tmp_path):
+    """Files by name, and the rows of each file, follow the ids; stripes have Bloom filters on them."""
+    import glob
+
+    from pyarrow import orc
+
+    rows = [(i * 7919 % 5000, f"text {i}") for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    token_files.write_tokens(df, f"file://{tmp_path}/t", public_tokenizers.path("byte_bpe_50k.json"))
+    files = [orc.ORCFile(f) for f in sorted(glob.glob(f"{tmp_path}/t/*.orc"))]
+    ids = [x for f in files for x in f.read(["doc_id"]).column("doc_id").to_pylist()]
+    assert ids == sorted(ids) == list(range(5000)) and len(files) > 1
+    index = sorted(token_files.token_index(spark, f"file://{tmp_path}/t").collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in index] == ids
+
+
 def test_lookup_reads_by_metadata(spark, documents, tmp_path):
     folder = f"file://{tmp_path}/t"
     token_files.write_tokens(documents, folder, public_tokenizers.path("byte_bpe_50k.json"))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clipwell.llm import phrases
+from clipwell.llm import phrases, spans
 
 SCHEMA = "doc_id long, text string, lang string, n string, phrase string, part string, words string"
 
@@ -80,7 +80,8 @@ def test_chunks_of_any_size_and_equal_hashes(monkeypatch):
 
     def leaves(size, mix):
         monkeypatch.setattr(phrases, "_CHUNK", size)
-        monkeypatch.setattr(phrases, "_mixed", mix)
+        monkeypatch.setattr(phrases, "mixed", mix)
+        monkeypatch.setattr(spans, "mixed", mix)
         out, all_ = Counter(), b"\xff" * (1 << phrases.PREFIX_BITS - 3)
         for text, _ in sample(6):
             for data, limit in phrases._cut((text or "").encode(), 4):
@@ -90,7 +91,7 @@ def test_chunks_of_any_size_and_equal_hashes(monkeypatch):
                 out.update(c.name(x) for x in c.code[: c.own].tolist())
         return out
 
-    mix = phrases._mixed
+    mix = spans.mixed
     want = leaves(1 << 21, mix)
     assert leaves(1, mix) == leaves(7, mix) == want == leaves(1 << 21, lambda x: x & np.uint64(3))
     long = "x" * 70
