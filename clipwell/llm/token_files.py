@@ -38,6 +38,7 @@ from clipwell.operators.ordering import with_running_total
 END_ID = 2
 _CACHED_PARTS = 800_000
 _JOINED = 256
+_BATCH = 2048
 SCHEMA = "doc_id bigint, text_xxh64 bigint, n_tokens bigint, ids array<int>"
 NAMES, CHECKED = ["doc_id", "text_xxh64", "n_tokens", "ids"], ["doc_id", "text_xxh64", "n_tokens", "ids_crc32"]
 
@@ -51,15 +52,16 @@ class Encoder:
 
         self.model = Tokenizer.from_file(path)
         pre = self.model.pre_tokenizer
+        added = [x.content for x in self.model.get_added_tokens_decoder().values()]
         self.by_parts = type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space and self.model.normalizer is None
+        self.by_parts &= not re.search(r"\s", "".join(added))
         # a token of a byte-level vocabulary has one character for each of its bytes
         self.token_bytes = np.zeros(self.model.get_vocab_size(), np.int64)
         for token, i in self.model.get_vocab(with_added_tokens=False).items():
             self.token_bytes[i] = len(token)
-        special = [re.escape(x.content).encode() for x in self.model.get_added_tokens_decoder().values()]
         # a blank of any kind behind the first byte, nothing behind it, or a special token
         blank = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-        self.odd = re.compile(b"|".join([b".(?:%s|$)" % b"|".join(re.escape(c.encode()) for c in blank), *(b".*" + x for x in special)]), re.DOTALL).match
+        self.odd = re.compile(b"|".join([b".(?:%s|$)" % b"|".join(re.escape(c.encode()) for c in blank), *(b".*" + re.escape(x.encode()) for x in added)]), re.DOTALL).match
         self.parts: dict[bytes, bytes | None] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -153,7 +155,7 @@ def write_tokens(
 ) -> None:
     """Encode all texts and write the ORC files; ``tokenizer`` is a path that every worker can read."""
     t = text_of(f"`{text}`")
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(t).alias("text_xxh64"), t.cast("binary").alias("text"))
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(t).alias("text_xxh64"), F.make_valid_utf8(t).cast("binary").alias("text"))
     encoded = rows.orderBy("doc_id", "text_xxh64").mapInArrow(_rows(tokenizer, end_id), SCHEMA)
     (
         encoded.write.mode("overwrite")
