@@ -189,7 +189,9 @@ def test_files_hold_ascending_ids(spark, tmp_path):
 
     rows = [(i * 7919 % 5000, f"text {i}") for i in range(5000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     token_files.write_tokens(df, f"file://{tmp_path}/t", public_tokenizers.path("byte_bpe_50k.json"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = [orc.ORCFile(f) for f in sorted(glob.glob(f"{tmp_path}/t/*.orc"))]
     ids = [x for f in files for x in f.read(["doc_id"]).column("doc_id").to_pylist()]
     assert ids == sorted(ids) == list(range(5000)) and len(files) > 1
