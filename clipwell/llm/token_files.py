@@ -24,7 +24,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import compress
+from itertools import compress, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from clipwell.operators.ordering import with_running_total
 
 END_ID = 2
 _CACHED_PARTS = 800_000
-_JOINED = 256
+_JOINED = 128
 _BATCH = 2048
 SCHEMA = "doc_id bigint, text_xxh64 bigint, n_tokens bigint, ids array<int>"
 NAMES, CHECKED = ["doc_id", "text_xxh64", "n_tokens", "ids"], ["doc_id", "text_xxh64", "n_tokens", "ids_crc32"]
@@ -69,9 +69,7 @@ class Encoder:
 
     def _learn(self, missing: list[bytes]) -> None:
         """Parts with a second blank at their begin, or a special token, have no ids of their own: their text goes another way."""
-        self.parts.update(dict.fromkeys(missing))
-        odd = self.odd
-        plain = [p for p in missing if not odd(p)]
+        plain = list(filterfalse(self.odd, missing))
         for at in range(0, len(plain), _JOINED):
             own = plain[at : at + _JOINED]
             # joined parts are cut where they were joined; the ids' bytes tell which part an id is from
@@ -98,11 +96,11 @@ class Encoder:
         spans, owner = Spans(raw, start, end), np.searchsorted(ends, start, side="right")
         joined, at = raw.tobytes(), spans.first
         distinct = list(map(joined.__getitem__, map(slice, start[at].tolist(), end[at].tolist())))
-        blank = np.isin(raw[start[at]], (32, 10))
+        blank = (raw[start[at]] == 32) | (raw[start[at]] == 10)
         heads = np.flatnonzero(~blank).tolist()
-        missing = set(compress(distinct, blank.tolist())).difference(self.parts)
+        missing = list(filterfalse(self.parts.__contains__, compress(distinct, blank.tolist())))
         if missing:
-            self._learn(list(missing))
+            self._learn(missing)
         found: list[bytes | None] = list(map(self.parts.get, distinct))
         head_texts = [distinct[i].decode("utf-8") for i in heads]
         for i, text, ids in zip(heads, head_texts, self._ids(head_texts)):
@@ -123,9 +121,8 @@ class Encoder:
             found = [x or b"" for x in found]
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         ids = np.frombuffer(b"".join(found), "<i4")
-        n = size[code]
-        at = np.arange(n.sum()) + np.repeat((np.cumsum(size) - size)[code] - (np.cumsum(n) - n), n)
-        return np.bincount(owner, n, len(texts)).astype(np.int64), ids[at]
+        listed = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(ids))
+        return np.bincount(owner, size[code], len(texts)).astype(np.int64), listed.take(pa.array(code)).flatten().to_numpy()
 
 
 @lru_cache(maxsize=1)
