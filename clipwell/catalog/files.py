@@ -150,6 +150,31 @@ def _(t):
     return fs.flatten_videos(d).select("video_url", "source_name")
 
 
+# Three files for each brand, the first one points to the second, this one to the third and a missing file, the third one back to the first.
+@query("src9_linked_artifacts", """SELECT 'u/' || p_partkey AS video_url, 'b/' || p_brand || '/0' AS root, CAST(p_partkey % 3 AS INT) AS links, 'f' || (p_partkey % 3) AS source_name FROM part""")
+def _(t):
+    work = work_folder(t.spark, "chain")
+    v = t.videos().withColumns({"step": F.col("video_id") % 3, "url": F.concat(F.lit("u/"), F.col("video_id").cast("string"))})
+    video = F.struct(F.col("url").alias("video_url"), F.col("video_id").cast("string").alias("video_id"), "title")
+    # each file again lists a video of the first file, which the nearer file keeps
+    g = v.groupBy("account_id", "step").agg(F.collect_list(video).alias("videos"))
+    first = v.where("step = 0").groupBy("account_id").agg(F.min(video).alias("again"))
+    g = g.join(first, "account_id", "left").withColumn("videos", F.concat("videos", F.coalesce(F.array_compact(F.array("again")), F.array().cast("array<struct<video_url: string, video_id: string, title: string>>"))))
+    to = lambda s: F.concat(F.lit("b/"), F.col("account_id"), F.lit("/"), s.cast("string"))
+    paths = F.array(F.lit(" "), to((F.col("step") + 1) % 3), F.concat(to(F.col("step")), F.lit("/none")))
+    g.select(
+        "account_id", "step", "videos", F.concat(F.lit("f"), F.col("step").cast("string")).alias("source_name"),
+        F.transform(paths, lambda p: F.struct(p.alias("artifact_path"))).alias("chunks"),
+    ).repartition("account_id", "step").write.partitionBy("account_id", "step").json(work)
+    # partition folders are escaped once more than paths
+    part = lambda p, i: F.try_url_decode(F.element_at(F.split(F.element_at(F.split(fs.plain_path(p), "/"), i), "="), -1))
+    name = F.concat(F.lit("b/"), part(F.col("artifact_path"), -3), F.lit("/"), part(F.col("artifact_path"), -2))
+    d = fs.read_artifacts(t.spark, work, fs.ARTIFACT_SCHEMA, multi_line=False)
+    linked = fs.linked_artifacts(d, name.endswith("/0"), name, F.trim("to"))
+    found = fs.flatten_videos(linked.withColumn("root", F.concat(F.lit("b/"), part(F.col("root_path"), -3), F.lit("/0"))), ("root", "trail"))
+    return found.select("video_url", "root", F.size("trail").alias("links"), "source_name")
+
+
 _P = """p AS (SELECT o_orderpriority AS folder, 'file:/d/' || o_orderpriority || '/acc_' || (o_custkey + 10000000000) || CASE WHEN o_orderkey % 9 = 0 THEN '.err' ELSE '.mp4' END
   AS path, o_custkey AS length, o_orderdate AS ts FROM orders)"""
 

@@ -326,3 +326,18 @@ def _(t):
         "conv_id", "turn", nodes.author_name(v).alias("author"), nodes.author_id(v).alias("author_id"),
         nodes.comment_text(v).alias("content"),
     )
+
+
+# One to six levels of boxes; every second turn has a name in a box that is looked at later, which counts only if no deeper one is found before.
+@query("jsn1_deep_author", """SELECT conv_id, turn, CASE WHEN turn % 3 < 2 THEN 'n' || turn WHEN turn % 2 = 0 THEN 'late' ELSE '' END AS author FROM conversations""")
+def _(t):
+    turn = F.col("turn")
+    name = F.concat(F.lit("n"), turn.cast("string"))
+    deep = F.concat(F.lit('{"nickname":"'), name, F.lit('"}'))
+    deep = F.when(turn % 3 == 2, F.lit('{"nickname":[],"name":" "}')).otherwise(deep)
+    boxes = F.array(*map(F.lit, nodes.AUTHOR_NAME_BOXES))
+    wrapped = lambda a, i: F.concat(F.lit('{"'), F.try_element_at(boxes, (1 + (turn + i) % 4).cast("int")), F.lit('":'), a, F.lit("}"))
+    deep = F.aggregate(F.sequence(F.lit(0), (turn % 6).cast("int")), deep, wrapped)
+    late = F.when(turn % 2 == 0, F.lit(',"owner":{"screen_name":"late"}')).otherwise("")
+    text = F.concat(F.rtrim(deep, F.lit("}")), F.repeat(F.lit("}"), F.regexp_count(deep, F.lit("[}]")) - 1), late, F.lit("}"))
+    return t.raw("conversations").select("conv_id", "turn", nodes.author_name(F.try_parse_json(text)).alias("author"))

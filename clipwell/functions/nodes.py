@@ -70,10 +70,32 @@ def author_id(node: Column) -> Column:
 
 
 def author_name(node: Column) -> Column:
-    """Direct name, then the author text, then names inside author-like objects."""
-    keys = (*AUTHOR_NAME_KEYS, "author")
-    nested = [_string(child(node, box), k) for box in AUTHOR_NAME_BOXES for k in keys]
-    return first_clean([*[_string(node, k) for k in keys], *nested])
+    """Direct name, then the author text, then the same inside author-like objects, at any depth, the first box first.
+
+    Objects are walked level by level inside the row. The place of a name is the
+    list of boxes that lead to it; lists compare like the walk that goes into a box before it looks at the next one.
+    """
+    own = lambda n: first_clean([_string(n, k) for k in (*AUTHOR_NAME_KEYS, "author")])
+    boxes = "|".join(AUTHOR_NAME_BOXES)
+    # no object lies deeper than there are such boxes in the text
+    turns = F.regexp_count(F.to_json(node), F.lit(f'"({boxes})":[{{]'))
+    start = F.struct(
+        F.array(F.struct(F.array().cast("array<int>").alias("place"), node.alias("node"))).alias("open"),
+        F.array().cast("array<struct<place: array<int>, name: string>>").alias("found"),
+    )
+
+    def inner(x: Column) -> Column:
+        down = [F.struct(F.concat(x["place"], F.array(F.lit(i))).alias("place"), child(x["node"], b).alias("node")) for i, b in enumerate(AUTHOR_NAME_BOXES)]
+        return F.filter(F.array(*down), lambda y: is_object(y["node"]))
+
+    def step(state: Column, _: Column) -> Column:
+        named = F.transform(state["open"], lambda x: F.struct(x["place"].alias("place"), own(x["node"]).alias("name")))
+        found = F.concat(state["found"], F.filter(named, lambda x: x["name"] != ""))
+        return F.struct(F.flatten(F.transform(state["open"], inner)).alias("open"), found.alias("found"))
+
+    deep = F.aggregate(F.sequence(F.lit(0), turns), start, step, lambda s: F.array_min(s["found"])["name"])
+    direct = own(node)
+    return F.when(direct != "", direct).when(turns > 0, F.coalesce(deep, F.lit(""))).otherwise("")
 
 
 def comment_text(node: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from clipwell.functions.coerce import default_tags, filled, tag_list, text, whole_number
 from clipwell.functions.rows import exploded
 from clipwell.functions.text import longest_digit_run
+from clipwell.operators.ordering import durable
 from clipwell.operators.picking import latest_per_key, one_per_key
 
 # Header aliases of target files, required columns, envelopes.
@@ -202,16 +203,50 @@ _ITEM = f"struct<target: {_TARGET}, crawl_result: {_RESULT}, homepage_result: {_
 _BATCH = f"struct<results: array<{_ITEM}>>"
 ARTIFACT_SCHEMA = (
     f"source_name string, homepage_url string, videos array<{_VIDEO}>, target {_TARGET}, crawl_result {_RESULT}, homepage_result {_RESULT}, "
-    f"video_items {_CANDIDATES}, results array<{_ITEM}>, batch {_BATCH}, chunks array<struct<batch: {_BATCH}, results: array<{_ITEM}>>>"
+    f"video_items {_CANDIDATES}, results array<{_ITEM}>, batch {_BATCH}, chunks array<struct<artifact_path: string, batch: {_BATCH}, results: array<{_ITEM}>>>"
 )
 
 
+def plain_path(path: str | Column) -> Column:
+    """A file's path without scheme, authority and percent signs, to compare pointers with listings."""
+    p = F.regexp_replace(F.col(path) if isinstance(path, str) else path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/")
+    return F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p)
+
+
+def linked_artifacts(artifacts: DataFrame, roots: Column, name: Column | None = None, pointer: Column | None = None) -> DataFrame:
+    """Artifacts that are reached from each root over ``chunks[].artifact_path``, any number of files on.
+
+    ``artifacts`` are all artifacts of the store, read by ``read_artifacts``;
+    ``roots`` is a condition on them. ``name`` is what pointers call an artifact,
+    by default its path, and ``pointer`` rewrites a pointer (column ``to``). Each round follows
+    only files that the root has not met, so cycles end and a file counts once per root; pointers to no file
+    are skipped. Adds root_path and trail, the chunk positions on the shortest
+    way: an artifact comes before those it points to, in the order of its chunks.
+    """
+    named = artifacts.withColumn("__name", plain_path("artifact_path") if name is None else name)
+    chunks = named.select("__name", F.posexplode("chunks.artifact_path").alias("at", "to")).where(text("to") != "")
+    goal = plain_path(text("to")) if pointer is None else pointer
+    edges = chunks.select(F.col("__name").alias("from"), "at", goal.alias("__name")).join(named.select("__name").distinct(), "__name", "left_semi")
+    edges = durable(edges.groupBy("from", F.col("__name").alias("to")).agg(F.min("at").alias("at")))
+    reach = durable(named.where(roots).select(F.col("artifact_path").alias("root_path"), "__name", F.array().cast("array<int>").alias("trail")))
+    edge = reach
+    while True:
+        steps = edge.join(edges, F.col("__name") == F.col("from")).select("root_path", F.col("to").alias("__name"), F.concat("trail", F.array("at")).alias("trail"))
+        new = steps.groupBy("root_path", "__name").agg(F.min("trail").alias("trail"))
+        edge = durable(new.join(reach, ["root_path", "__name"], "left_anti"))
+        if edge.isEmpty():
+            break
+        reach = reach.unionByName(edge)
+    return named.join(reach, "__name").drop("__name")
+
+
 def flatten_videos(df: DataFrame, order: Sequence[str | Column] = ("artifact_path",)) -> DataFrame:
     """Videos of crawl artifacts at all known places, with the account they inherit; the first per URL wins.
 
     Shapes: videos, crawl_result, homepage_result, video_items[].candidate on
     the artifact itself and below results[], batch.results[] and
-    chunks[](.batch).results[].
+    chunks[](.batch).results[]. What chunks point to is in ``linked_artifacts``, whose
+    order is ("root_path", "trail").
     """
     keep = [c for c in order if isinstance(c, str)]
 

@@ -4,6 +4,7 @@ import datetime
 import html
 import json
 import os
+import random
 import statistics
 import subprocess
 import sys
@@ -430,3 +431,59 @@ def test_comment_lines_of_long_pages(spark):
     df = spark.createDataFrame([(1, f"x {m.start}\n{lines}")], "k int, body string")
     found = ex.body_comment_rows(df, ["k"], "body").groupBy("source").agg(F.count("*").alias("n"), F.min("reply_count").alias("r")).collect()
     assert [(r.source, r.n, r.r) for r in found] == [("body_text_lines", 500, 3)]
+
+
+# -- artifacts that point to artifacts, authors at any depth -------------------------------
+
+def test_linked_artifacts_end_cycles_and_skip_missing_files(spark, tmp_path):
+    from clipwell.sources import files as fs
+
+    video = lambda u: {"video_url": u, "video_id": u, "title": "t"}
+    point = lambda *names: [{"artifact_path": f"{tmp_path}/{n}.json"} for n in names]
+    files = {
+        "a b+": {"source_name": "A", "videos": [video("1")], "chunks": [*point("gone", "two", "three"), {"artifact_path": " ", "results": []}]},
+        "two": {"source_name": "B", "videos": [video("1"), video("2")], "chunks": point("four", "a b+")},
+        "three": {"source_name": "C", "videos": [video("2"), video("3")], "chunks": point("four")},
+        "four": {"source_name": "D", "videos": [video("3"), video("4")], "chunks": point("two")},
+        "other": {"source_name": "E", "videos": [video("5")], "chunks": point("four")},
+    }
+    for name, body in files.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(body))
+    d = fs.read_artifacts(spark, str(tmp_path), fs.ARTIFACT_SCHEMA)
+    linked = fs.linked_artifacts(d, F.col("file_name").isin("a b+.json", "a%20b+.json"))
+    trail = {r.source_name: r.trail for r in linked.collect()}
+    assert trail == {"A": [], "B": [1], "C": [2], "D": [1, 0]}
+    got = {r.video_url: r.source_name for r in fs.flatten_videos(linked, ("root_path", "trail")).collect()}
+    assert got == {"1": "A", "2": "B", "3": "D", "4": "D"}
+    both = fs.linked_artifacts(d, F.col("file_name") != "four.json")
+    assert both.groupBy("source_name").count().where("source_name = 'D'").first()["count"] == 4
+    assert fs.linked_artifacts(d, F.lit(False)).count() == 0
+
+
+def test_author_name_equals_recursion(spark):
+    from clipwell.functions import nodes
+
+    def recursive(n):
+        for k in (*nodes.AUTHOR_NAME_KEYS, "author"):
+            if isinstance(n.get(k), str) and n[k].strip():
+                return n[k].strip()
+        return next((x for b in nodes.AUTHOR_NAME_BOXES if isinstance(n.get(b), dict) and (x := recursive(n[b]))), "")
+
+    rng = random.Random(1)
+
+    def node(depth):
+        out = {}
+        for k in rng.sample([*nodes.AUTHOR_NAME_KEYS, "author", "x"], rng.choice([0, 0, 0, 1, 2])):
+            out[k] = rng.choice(["", " ", 5, True, None, ["q"], f"v{rng.randrange(99)}"])
+        for b in rng.sample(nodes.AUTHOR_NAME_BOXES, rng.choice([0, 1, 2, 3]) if depth else 0):
+            out[b] = node(depth - 1)
+        return out
+
+    trees = [node(rng.randint(0, 6)) for _ in range(400)] + [{}]
+    deep = {"name": "bottom"}
+    for _ in range(40):
+        deep = {"owner": deep}
+    trees.append(deep)
+    df = spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate(trees)], "i int, j string")
+    got = {r.i: r.a for r in df.select("i", nodes.author_name(F.try_parse_json("j")).alias("a")).collect()}
+    assert got == {i: recursive(x) for i, x in enumerate(trees)} and len(set(got.values())) > 50
