@@ -260,7 +260,7 @@ CHUNKS = """chunks AS (SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) // 1
 
 def chunk_rows(t):
     k = F.col("o_orderkey")
-    o = pk.chunked(t.raw("orders"), [k.asc()], 16)
+    o = pk.chunked(t.raw("orders"), [k.asc()], 16, row=["o_orderkey"])
     return o.select(
         "chunk_no", (F.col("o_custkey") % 5).alias("video_total"), F.lit(3).alias("detail_attempted"),
         (k % 4).alias("detail_success"), F.lit(2).alias("comment_attempted"), (k % 3).alias("comment_success"),
@@ -326,14 +326,39 @@ def _(t):
   array_to_string((list(p_partkey ORDER BY p_partkey))[1:5], ',') AS sample_ids,
   array_to_string((list('/v/' || p_partkey ORDER BY p_partkey))[1:3], ',') AS sample_urls FROM part GROUP BY 1""")
 def _(t):
-    p = t.raw("part").select(F.col("p_brand").alias("source_name"), F.col("p_partkey").alias("video_id"))
-    counts = p.groupBy("source_name").agg(F.count(F.lit(1)).alias("video_count"))
-    few = pk.top_per_key(p, ["source_name"], [F.col("video_id")], 5)
-    ids = few.groupBy("source_name").agg(F.array_sort(F.collect_list("video_id")).alias("ids"))
-    urls = F.transform(F.slice("ids", 1, 3), lambda x: F.concat(F.lit("/v/"), x.cast("string")))
-    return counts.join(ids, "source_name").select(
-        "source_name", "video_count", F.array_join(F.col("ids").cast("array<string>"), ",").alias("sample_ids"),
-        F.array_join(urls, ",").alias("sample_urls"),
+    return ag.homepage_summary(homepages(t)).select(
+        "source_name", "video_count", F.array_join("sample_video_ids", ",").alias("sample_ids"), F.array_join("sample_video_urls", ",").alias("sample_urls")
+    )
+
+
+@query("agg21_homepage_batch", """SELECT p_brand AS source_name, 'h/' || p_brand AS homepage_url, '' AS platform, count(*) AS video_count, 'html' AS backend,
+  CAST(max(p_size) AS BIGINT) AS dom_href_count, CAST(0 AS BIGINT) AS merged_unique_video_ids, count(DISTINCT p_size) AS warnings_count,
+  array_to_string((list(DISTINCT 'size ' || lpad(CAST(p_size AS VARCHAR), 2, '0') ORDER BY 'size ' || lpad(CAST(p_size AS VARCHAR), 2, '0')))[1:3], ',') AS warnings_preview
+  FROM part GROUP BY p_brand""")
+def _(t):
+    out = ag.homepage_summary(homepages(t))
+    return out.select(
+        "source_name", "homepage_url", "platform", "video_count", "backend", "dom_href_count", "merged_unique_video_ids", "warnings_count",
+        F.array_join("warnings_preview", ",").alias("warnings_preview"),
+    )
+
+
+@query("agg21_homepage_totals", "SELECT count(DISTINCT p_brand) AS target_count, count(*) AS video_total FROM part")
+def _(t):
+    return ag.homepage_totals(ag.homepage_summary(homepages(t)))
+
+
+def homepages(t):
+    """Parts as the videos of one crawled homepage per brand."""
+    p, key = t.raw("part"), F.col("p_partkey").cast("string")
+    video = F.struct("p_partkey", key.alias("video_id"), F.concat(F.lit("/v/"), key).alias("video_url"))
+    size = F.concat(F.lit("size "), F.lpad(F.col("p_size").cast("string"), 2, "0"))
+    g = p.groupBy("p_brand").agg(
+        F.array_sort(F.collect_list(video)).alias("videos"), F.array_sort(F.collect_set(size)).alias("warnings"), F.max("p_size").alias("links")
+    )
+    return g.select(
+        F.struct(F.col("p_brand").alias("source_name"), F.concat(F.lit("h/"), "p_brand").alias("homepage_url")).alias("target"),
+        F.struct("videos", "warnings", F.lit("html").alias("backend"), F.struct(F.col("links").alias("dom_href_count")).alias("diagnostics")).alias("crawl_result"),
     )
 
 
@@ -361,15 +386,7 @@ def _(t):
 def _(t):
     have = t.raw("part").select(F.col("p_partkey").alias("video_id"))
     known = t.raw("documents").select(F.col("doc_id").alias("video_id"))
-    latest = pk.latest_per_key(artifacts(t), ["video_id"], "seen_at", "artifact")
-    return latest.agg(
-        F.count(F.lit(1)).alias("artifact_videos"),
-        F.count_if(F.col("comment_count") > 0).alias("nonempty_videos"),
-        F.sum("comment_count").cast("bigint").alias("total_rows"),
-    ).withColumns({
-        "detail_covered": shared_count(have, known, "video_id").scalar(),
-        "downloaded": have.agg(F.count_distinct("video_id").alias("n")).scalar(),
-    })
+    return ag.coverage(have, known, artifacts(t), "video_id", "seen_at", "artifact")
 
 
 JUDGED = f"""{b.COMMENTS}, judged AS (SELECT c.*, d.source AS account_id, {SENTIMENT_SQL.format(c='c.text')} AS sentiment,
@@ -422,29 +439,35 @@ def _(t):
     return out.withColumn("examples", F.array_join("examples", " "))
 
 
-@query("agg26_download_status", """SELECT p_brand AS source_name, count(*) AS local_count, count(d.doc_id) AS processed_count,
-  count(*) > count(d.doc_id) AS needs_refresh FROM part LEFT JOIN documents d ON d.doc_id = p_partkey AND d.lang = 'en' GROUP BY 1""")
+# Names of targets, files and processed rows differ in case and blanks; one target has no file.
+_STATUS26 = """s AS (SELECT p_brand AS source_name, count(*) AS local_count, count(d.doc_id) AS processed_count FROM part LEFT JOIN documents d
+  ON d.doc_id = p_partkey AND d.lang = 'en' GROUP BY 1 UNION ALL SELECT 'none', 0, 0)"""
+
+
+@query("agg26_download_status", f"WITH {_STATUS26} SELECT *, local_count > processed_count AS needs_refresh FROM s")
+def _(t):
+    return download_status(t)
+
+
+@query("agg26_status_totals", f"WITH {_STATUS26} SELECT count(*) AS target_count, count(*) FILTER (local_count > processed_count) AS needs_refresh_count FROM s")
 def _(t):
+    return ag.download_status_totals(download_status(t))
+
+
+def download_status(t):
     p = t.raw("part").select(F.col("p_brand").alias("source_name"), F.col("p_partkey").alias("doc_id"))
     done = p.join(t.raw("documents").where("lang = 'en'").select("doc_id"), "doc_id", "left_semi")
-    both = jn.two_counts(
-        jn.count_by_account(p, "source_name", "local_count"), jn.count_by_account(done, "source_name", "processed_count"),
-        "source_name", "local_count", "processed_count",
-    )
-    return both.withColumn("needs_refresh", F.col("local_count") > F.col("processed_count"))
+    targets = p.select("source_name").distinct().unionByName(t.spark.range(1).select(F.lit("none").alias("source_name")))
+    spaced = p.withColumn("source_name", F.concat(F.lit(" "), F.col("source_name"), F.lit("  ")))
+    return ag.download_status(targets, spaced, done)
 
 
 @query("agg27_run_status", f"""WITH {CHUNKS} SELECT count(*) AS chunk_count, count(*) FILTER (status = 'success') AS
   completed_chunk_count, count(*) FILTER (status <> 'success') AS failed_count,
-  CAST(sum(CASE WHEN status = 'success' THEN chunk_size ELSE 0 END) AS BIGINT) AS processed_video_count FROM reports""")
-def _(t):
-    r = ag.chunk_reports(chunk_rows(t), "chunk_no")
-    ok = F.col("status") == "success"
-    return r.agg(
-        F.count(F.lit(1)).alias("chunk_count"), F.count_if(ok).alias("completed_chunk_count"),
-        F.count_if(~ok).alias("failed_count"),
-        F.sum(F.when(ok, F.col("chunk_size")).otherwise(0)).cast("bigint").alias("processed_video_count"),
-    )
+  CAST(sum(CASE WHEN status = 'success' THEN chunk_size ELSE 0 END) AS BIGINT) AS processed_video_count,
+  CAST(sum(chunk_size) AS BIGINT) AS total_video_count, count(*) FILTER (status <> 'success') = 0 AS ok FROM reports""")
+def _(t):
+    return ag.run_status(ag.chunk_reports(chunk_rows(t), "chunk_no"), F.col("status") == "success", "chunk_size")
 
 
 @query("agg29_trusted_summary", f"""WITH {TRUSTED} SELECT count(*) AS video_count, count(*) FILTER (NOT metric_suspicious) AS

@@ -202,7 +202,7 @@ def _(t):
     work = work_folder(t.spark, "dataset")
     tables = {"accounts": t.videos().select("account_id").distinct(), "videos": t.videos(), "video_metrics": t.metrics(), "comments": t.comments()}
     sk.write_dataset(tables, work)
-    sizes = [t.spark.read.parquet(f"{work}/{n}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("part"), "n") for n in tables]
+    sizes = [sk.read_dataset(t.spark, work, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("part"), "n") for n in tables]
     return sizes[0].unionAll(sizes[1]).unionAll(sizes[2]).unionAll(sizes[3])
 
 
@@ -211,7 +211,7 @@ def _(t):
 def _(t):
     work = work_folder(t.spark, "pool")
     sk.write_pool({"videos": t.posts().where("n_chars >= 100").select("video_id", "account_id", "lang")}, work, "csv")
-    read = lambda n: t.spark.read.csv(f"{work}/{n}", header=True).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("part"), "n")
+    read = lambda n: sk.read_dataset(t.spark, work, n, "csv").agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("part"), "n")
     return read("valid_videos").unionAll(read("videos"))
 
 

@@ -109,7 +109,7 @@ def _(t):
   i AS sample_index FROM r WHERE n <= 7 OR i IN (SELECT CAST(round_even(k * (n - 1) / 6.0::DOUBLE, 0) AS BIGINT) FROM range(7) t(k))""")
 def _(t):
     order = [F.col("engagement_score").desc(), F.col("video_id").asc()]
-    return pk.spread_sample(rated(t), ["account_id"], order, 7).select("account_id", "video_id", "sample_index")
+    return pk.spread_sample(rated(t), ["account_id"], order, 7, row=["video_id"]).select("account_id", "video_id", "sample_index")
 
 
 @query("win7_first_k_limited", """SELECT account_id, video_id, pos FROM (SELECT p_brand AS account_id, p_partkey AS video_id,
@@ -122,7 +122,7 @@ def _(t):
   CASE WHEN r <= 4 THEN 'collect' ELSE 'comment_video_limit_reached' END AS comments FROM (SELECT *, row_number() OVER
   (PARTITION BY p_brand ORDER BY p_partkey) AS r FROM part)""")
 def _(t):
-    out = rp.budgets(t.videos(), ["account_id"], [F.col("video_id").asc()], 10, 4)
+    out = rp.budgets(t.videos(), ["account_id"], [F.col("video_id").asc()], 10, 4, row=["video_id"])
     return out.select("video_id", "detail", "comments")
 
 
@@ -139,7 +139,7 @@ def _(t):
 
 @query("win10_chunk_ids", """SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 16 + 1 AS chunk_no FROM orders""")
 def _(t):
-    return pk.chunked(t.raw("orders"), [F.col("o_orderkey").asc()], 16).select("o_orderkey", "chunk_no")
+    return pk.chunked(t.raw("orders"), [F.col("o_orderkey").asc()], 16, row=["o_orderkey"]).select("o_orderkey", "chunk_no")
 
 
 @query("win11_top_posts", f"""WITH {RATED} (SELECT 'engagement_score' AS metric, video_id, engagement_score AS value FROM rated ORDER BY

@@ -209,13 +209,14 @@ def stream(t, table: str):
     return spark.readStream.schema(t.raw(table).schema).option("pathGlobFilter", f"{table}.parquet").parquet(t.folder)
 
 
-def files_of(t, rows, part, parts: int):
-    """Rows written as files that arrive one after the other, as a stream of one file for each micro-batch."""
+def delivered(t, rows, part, parts: int, run):
+    """Rows written as deliveries that arrive one after the other, each followed by a run of the stream over all that has arrived."""
     folder = runs.work_folder(t.spark, "arriving")
-    for i in range(parts):
-        rows.where(part == i).coalesce(1).write.mode("append").parquet(folder)
     spark = runs.stateful_session(t.spark)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    for i in range(parts):
+        rows.where(part == i).write.parquet(f"{folder}/{i}")
+        out = run(spark.readStream.schema(rows.schema).parquet(f"{folder}/*"))
+    return out
 
 
 @query("inc3_snapshot_stream", "SELECT event_id, user_id AS view_count FROM events")
@@ -240,8 +241,9 @@ def _(t):
         F.when(at % 2 == 0, F.concat(F.lit("n"), at.cast("string"))).alias("nickname"), kind.alias("content"), F.lit(0).cast("bigint").alias("like_count"),
         F.col("ts").cast("timestamp").alias("commented_at"), none.alias("unique_hash"), "part",
     )
-    c = files_of(t, rows, F.col("part"), 3).drop("part")
-    return runs.comment_stream(c, runs.work_folder(t.spark, "comments")).select("video_key", "platform_id", "content", "nickname")
+    work = runs.work_folder(t.spark, "comments")
+    out = delivered(t, rows, F.col("part"), 3, lambda s: runs.comment_stream(s.drop("part"), work))
+    return out.select("video_key", "platform_id", "content", "nickname")
 
 
 @query("inc9_arrival_stream", """SELECT user_id AS video_id, arg_max(event_type, ts) AS status, count(*) AS artifact_count FROM events GROUP BY 1""")
@@ -276,6 +278,53 @@ def _(t):
     return out.select("video_key", "platform_id", "content", F.col("commented_at").cast("timestamp_ntz").alias("commented_at"))
 
 
+# Views reply to clicks of the same user, some by a key that no click has. Views are delivered before most clicks, so their replies wait.
+_REPLIES = """c AS (SELECT DISTINCT user_id AS video_key, 'p' || (event_id % 100) AS pid FROM events WHERE event_type = 'click'),
+  v AS (SELECT user_id AS video_key, 'p' || (event_id % 130) AS k1, 'p' || (event_id % 110) AS k2, 'q' || (event_id % 9) AS platform_id, 'r' || event_id AS content, ts FROM events
+  WHERE event_type = 'view'),
+  r AS (SELECT v.*, coalesce(a.pid, b.pid) AS pid FROM v LEFT JOIN c a ON a.video_key = v.video_key AND a.pid = k1 LEFT JOIN c b ON b.video_key = v.video_key AND b.pid = k2)"""
+
+
+@query("inc10_persisted_replies", f"""WITH {_REPLIES} SELECT sha256('reply|' || sha256('comment|' || video_key || '|platform:' || pid) || '|platform:' || platform_id) AS row_id,
+  platform_id, arg_max(content, ts) AS content, max(ts) AS commented_at FROM r WHERE pid IS NOT NULL GROUP BY video_key, pid, platform_id""")
+def _(t):
+    work = runs.work_folder(t.spark, "persist")
+    replied(t, work)
+    at = F.col("commented_at").cast("timestamp_ntz").alias("commented_at")
+    return runs.persisted(t.spark, work, "replies").select("row_id", "platform_id", "content", at)
+
+
+@query("inc10_reply_counts", f"""WITH {_REPLIES} SELECT 'comments' AS part, count(*) AS created FROM c UNION ALL
+  SELECT 'replies', count(DISTINCT (video_key, pid, platform_id)) FILTER (pid IS NOT NULL) FROM r UNION ALL SELECT 'unresolved', count(*) FILTER (pid IS NULL) FROM r""")
+def _(t):
+    counts = replied(t, runs.work_folder(t.spark, "persist"))
+    return counts.where(F.col("part").isin("comments", "replies", "unresolved")).select("part", "created")
+
+
+def replied(t, work: str):
+    """Crawl items with replies in three deliveries: the views, then half of the clicks each."""
+    kind, e, none = F.col("event_type"), F.col("event_id"), F.lit(None).cast("string")
+    at = F.col("ts").cast("timestamp")
+    key = lambda n: F.concat(F.lit("p"), (e % n).cast("string"))
+    reply = F.struct(
+        F.col("user_id").alias("video_key"), F.array(key(130), key(110)).alias("parents"), F.concat(F.lit("q"), (e % 9).cast("string")).alias("platform_id"),
+        none.alias("user_id"), none.alias("nickname"), F.concat(F.lit("r"), e.cast("string")).alias("content"), F.lit(0).cast("bigint").alias("like_count"),
+        at.alias("commented_at"), none.alias("unique_hash"),
+    )
+    comment = F.struct(
+        F.col("user_id").alias("video_key"), key(100).alias("platform_id"), none.alias("user_id"), none.alias("nickname"), kind.alias("content"),
+        F.lit(0).cast("bigint").alias("like_count"), at.alias("commented_at"), none.alias("unique_hash"),
+    )
+    rows = t.raw("events").where(kind.isin("view", "click")).select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("homepage_url"), none.alias("source_name"), F.lit(True).alias("ok"), none.alias("error"),
+        at.alias("seen_at"), (e % 40).cast("string").alias("video_id"), F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("/video/"), (e % 40).cast("string")).alias("video_url"),
+        kind.alias("title"), F.struct(F.col("value").cast("string").alias("view_count")).alias("metrics"),
+        F.when(kind == "click", comment).alias("comment"), F.when(kind == "view", reply).alias("reply"),
+        F.when(kind == "view", 0).otherwise(1 + e % 2).alias("part"),
+    )
+    return delivered(t, rows, F.col("part"), 3, lambda s: runs.persist_stream(s.drop("part"), work))
+
+
 def crawled(t):
     """Events as crawl items."""
     kind, at = F.col("event_type"), F.col("ts").cast("timestamp")

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from clipwell.functions.coerce import text
 from clipwell.functions.rows import exploded
 from clipwell.functions.numbers import bounded, count_where, rate, rounded
+from clipwell.functions.text import account_key
 from clipwell.operators.ordering import durable, histogram, long_form, medians, order_statistics
-from clipwell.operators.picking import Top, top_fraction, top_fractions, top_per_key
+from clipwell.operators.picking import Top, latest_per_key, top_fraction, top_fractions, top_per_key
+from clipwell.operators.sets import shared_count
 
 METRICS = ("view_count", "like_count", "comment_count", "share_count")
 
@@ -395,3 +397,75 @@ def trusted_summary(rows: DataFrame, account: str = "source_name") -> list[Colum
         rounded(mean_or_zero("fit_score"), 2).alias("average_fit_score"),
         rounded(F.coalesce(F.avg(trusted), F.lit(0.0)), 2).alias("average_trusted_engagement"),
     ]
+
+
+# -- summaries of runs -------------------------------------------------------------------
+
+def homepage_summary(results: DataFrame, ids: int = 5, urls: int = 3, warnings: int = 3) -> DataFrame:
+    """One row per crawled homepage of a batch, from ``target`` and ``crawl_result`` structs; nothing leaves its row.
+
+    Samples are taken from the first videos; those without an id or URL are left out of them.
+    Absent fields count as blank or 0. Ranked reports sort by video_count descending, then source_name.
+    """
+    target, crawl = results.schema["target"].dataType.fieldNames(), results.schema["crawl_result"].dataType
+    videos = F.coalesce(F.col("crawl_result.videos"), F.lit(None).cast(crawl["videos"].dataType))
+    has = crawl.fieldNames()
+    counters = crawl["diagnostics"].dataType.fieldNames() if "diagnostics" in has else []
+    of = lambda c: text(f"target.{c}") if c in target else F.lit("")
+    told = F.coalesce(F.col("crawl_result.warnings"), F.array().cast("array<string>")) if "warnings" in has else F.array().cast("array<string>")
+
+    def sample(c: str, k: int) -> Column:
+        found = F.transform(F.slice(videos, 1, k), lambda v: v[c].cast("string"))
+        return F.coalesce(F.filter(found, lambda x: x.isNotNull() & (x != "")), F.array().cast("array<string>"))
+
+    return results.select(
+        *[of(c).alias(c) for c in ("source_name", "homepage_url", "category_lv1", "category_lv2", "platform")],
+        F.coalesce(F.when(videos.isNotNull(), F.size(videos)), F.lit(0)).cast("bigint").alias("video_count"),
+        sample("video_id", ids).alias("sample_video_ids"), sample("video_url", urls).alias("sample_video_urls"),
+        *[(text(f"crawl_result.{c}") if c in has else F.lit("")).alias(c) for c in ("backend", "extraction_version")],
+        *[(F.coalesce(F.col(f"crawl_result.diagnostics.{c}"), F.lit(0)) if c in counters else F.lit(0)).cast("bigint").alias(c)
+          for c in ("dom_href_count", "merged_unique_video_ids")],
+        F.size(told).cast("bigint").alias("warnings_count"), F.slice(told, 1, warnings).alias("warnings_preview"),
+    )
+
+
+def homepage_totals(summary: DataFrame) -> DataFrame:
+    return summary.agg(F.count(F.lit(1)).alias("target_count"), F.coalesce(F.sum("video_count"), F.lit(0)).cast("bigint").alias("video_total"))
+
+
+def coverage(downloads: DataFrame, details: DataFrame, artifacts: DataFrame, key: str, at: str, artifact: str, count: str = "comment_count") -> DataFrame:
+    """Downloaded ids, those with a detail record, and the newest comment artifact of each id: artifacts, non-empty ones, rows."""
+    have = downloads.agg(F.count_distinct(key).alias("n"))
+    newest = latest_per_key(artifacts.where(F.col(key).isNotNull()), [key], at, artifact)
+    rows = newest.agg(
+        F.count(F.lit(1)).alias("artifact_videos"), F.count_if(F.col(count) > 0).alias("nonempty_videos"),
+        F.coalesce(F.sum(count), F.lit(0)).cast("bigint").alias("total_rows"),
+    )
+    return rows.withColumns({"detail_covered": shared_count(downloads, details, key).scalar(), "downloaded": have.scalar()})
+
+
+def download_status(targets: DataFrame, files: DataFrame, processed: DataFrame, source: str = "source_name") -> DataFrame:
+    """Per target: local files and processed rows of its account, names compared in their normal form, and whether a refresh is due.
+
+    Targets keep their other columns. An account with a third of all files is one row per task after the partial count.
+    """
+    name = account_key(source)
+    count = lambda df, n: df.groupBy(name.alias("__name")).agg(F.count(F.lit(1)).alias(n))
+    out = targets.withColumn("__name", name).join(count(files, "local_count"), "__name", "left").join(count(processed, "processed_count"), "__name", "left")
+    filled_ = {c: F.coalesce(c, F.lit(0)).cast("bigint") for c in ("local_count", "processed_count")}
+    return out.drop("__name").withColumns(filled_).withColumn("needs_refresh", F.col("local_count") > F.col("processed_count"))
+
+
+def download_status_totals(status: DataFrame) -> DataFrame:
+    return status.agg(F.count(F.lit(1)).alias("target_count"), F.count_if("needs_refresh").alias("needs_refresh_count"))
+
+
+def run_status(chunks: DataFrame, ok: Column, size: str, total: Column | None = None) -> DataFrame:
+    """Chunks of a run: all, done, failed, videos in the done ones; ``ok`` tells which are done, null where one has not ended."""
+    done = F.coalesce(ok, F.lit(False))
+    whole = F.coalesce(F.sum(size), F.lit(0)).cast("bigint") if total is None else total
+    return chunks.agg(
+        F.count(F.lit(1)).alias("chunk_count"), F.count_if(done).alias("completed_chunk_count"), F.count_if(~ok).alias("failed_count"),
+        F.coalesce(F.sum(F.when(done, F.col(size))), F.lit(0)).cast("bigint").alias("processed_video_count"), whole.alias("total_video_count"),
+        (F.count_if(~ok) == 0).alias("ok"),
+    )

@@ -38,8 +38,10 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _placed(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+def _placed(df: DataFrame, order: Sequence[str | Column], keep: Sequence[str] | None = None) -> DataFrame:
     slotted = df.orderBy(*order).withColumn(_SLOT, F.monotonically_increasing_id())
+    if keep is not None:
+        slotted = slotted.select(*keep, _SLOT)  # the sort carries the order's columns besides these, the checkpoint does not
     return durable(slotted.withColumn(_BLOCK, F.shiftright(_SLOT, SLOT_BITS)))
 
 
@@ -52,7 +54,15 @@ def _offsets(placed: DataFrame, weight: Column) -> DataFrame:
 
 def with_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "row_no") -> DataFrame:
     """1-based global row number under a total order (give a unique last key)."""
-    placed = _placed(df, order)
+    return _numbered(_placed(df, order), name)
+
+
+def row_numbers(df: DataFrame, order: Sequence[str | Column], keep: Sequence[str], name: str = "row_no") -> DataFrame:
+    """The columns ``keep`` with their global row number: only these are sorted and stored, wide rows can meet them later."""
+    return _numbered(_placed(df, order, keep), name)
+
+
+def _numbered(placed: DataFrame, name: str) -> DataFrame:
     offsets = _offsets(placed, F.lit(1).cast("bigint"))
     within = F.col(_SLOT).bitwiseAND(F.lit((1 << SLOT_BITS) - 1))
     return (

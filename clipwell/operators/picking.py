@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipwell.operators.ordering import durable, order_statistics, with_row_number
+from clipwell.operators.ordering import durable, order_statistics, row_numbers, with_row_number
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "pos") -> DataFrame:
@@ -97,16 +97,24 @@ def top_fraction(
     return top_fractions(df, key, [Top(name, metric, fraction, descending)])
 
 
-def numbered_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, total: str) -> DataFrame:
-    """Position and size per key without a per-key task: global numbers minus the key's first number."""
-    ranked = with_row_number(df, [*[F.col(k).asc() for k in keys], *order], "__g")
+def numbered_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, total: str, row: Sequence[str] | None = None
+) -> DataFrame:
+    """Position and size per key without a per-key task: global numbers minus the key's first number.
+
+    With ``row``, columns that name a row and are not null, only these and the keys are sorted and stored;
+    the wide rows meet their positions once.
+    """
+    order = [*[F.col(k).asc() for k in keys], *order]
+    ranked = with_row_number(df, order, "__g") if row is None else row_numbers(df, order, list(dict.fromkeys([*keys, *row])), "__g")
     spans = ranked.groupBy(*keys).agg(F.min("__g").alias("__from"), F.count(F.lit(1)).cast("bigint").alias(total))
-    return ranked.join(spans, list(keys)).withColumn(name, F.col("__g") - F.col("__from") + 1).drop("__g", "__from")
+    ranked = ranked.join(spans, list(keys)).withColumn(name, F.col("__g") - F.col("__from") + 1).drop("__g", "__from")
+    return ranked if row is None else df.join(ranked.select(*row, name, total), list(row))
 
 
-def spread_sample(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
+def spread_sample(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, row: Sequence[str] | None = None) -> DataFrame:
     """Rows at evenly spread positions of each key's order (0-based round(i*(n-1)/(k-1)))."""
-    ranked = numbered_per_key(df, keys, order, "__pos", "__size")
+    ranked = numbered_per_key(df, keys, order, "__pos", "__size", row)
     at = F.col("__pos") - 1
     if k <= 1:
         return ranked.where(at < k).withColumn("sample_index", at).drop("__pos", "__size")
@@ -118,9 +126,9 @@ def spread_sample(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     return ranked.where(keep).withColumn("sample_index", at).drop("__pos", "__size")
 
 
-def chunked(df: DataFrame, order: Sequence[Column], size: int, name: str = "chunk_no") -> DataFrame:
+def chunked(df: DataFrame, order: Sequence[Column], size: int, name: str = "chunk_no", row: Sequence[str] | None = None) -> DataFrame:
     """Fixed-size chunk numbers (1-based) over the whole table's order."""
-    ranked = with_row_number(df, order, "__rank")
+    ranked = with_row_number(df, order, "__rank") if row is None else df.join(row_numbers(df, order, row, "__rank"), list(row))
     return ranked.withColumn(name, (F.floor((F.col("__rank") - 1) / F.lit(size)) + 1).cast("bigint")).drop("__rank")
 
 

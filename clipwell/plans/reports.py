@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clipwell.functions.notes import notes, notes_or
 from clipwell.functions.numbers import rounded
 from clipwell.operators.aggregates import mean_or_zero, trusted_summary
-from clipwell.operators.ordering import with_row_number
+from clipwell.operators.picking import numbered_per_key
 from clipwell.plans.accounts import overall_score
 
 # Reasons of a chunk's rerun priority.
@@ -22,23 +22,24 @@ REASON_DETAIL = "详情有效率偏低，建议复查详情页提取"
 REASON_STABLE = "当前块较稳定，可低优先级补跑"
 
 
-def budgets(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], videos: int | None, comments: int | None) -> DataFrame:
+def budgets(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[Column], videos: int | None, comments: int | None, row: Sequence[str] | None = None
+) -> DataFrame:
     """Action per candidate: collected within the target's budget, else the skip reason.
 
     Every row stays in the result, so positions come from one global sort and
-    the target's first number, not from one task per target.
+    the target's first number, not from one task per target. With ``row``, columns that name a row, the sort
+    and its checkpoint hold only these.
     """
-    ranked = with_row_number(rows, [*[F.col(k).asc() for k in keys], *order], "__g")
-    first = ranked.groupBy(*keys).agg(F.min("__g").alias("__from"))
-    pos = F.col("__g") - F.col("__from") + 1
+    out = numbered_per_key(rows, keys, order, "__pos", "__n", row)
+    pos = F.col("__pos")
 
     def act(limit: int | None, skipped: str) -> Column:
         return F.lit("collect") if not limit or limit <= 0 else F.when(pos <= limit, "collect").otherwise(skipped)
 
-    out = ranked.join(first, list(keys))
     return out.withColumns({
         "detail": act(videos, "video_limit_reached"), "comments": act(comments, "comment_video_limit_reached"),
-    }).drop("__g", "__from")
+    }).drop("__pos", "__n")
 
 
 def top_lists(rows: DataFrame, key: str, sizes: Mapping[str, int]) -> DataFrame:

@@ -12,12 +12,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from clipwell.functions.numbers import count_where
+from clipwell.operators.joins import resolve_parents
 from clipwell.operators.ordering import checkpoint_folder
 from clipwell.operators.picking import one_per_key
 from clipwell.streaming import upserts as up
@@ -35,12 +34,10 @@ def write_epoch(images: DataFrame, path: str, epoch: int) -> None:
 def read_images(spark: SparkSession, path: str, schema: StructType, before: int | None = None) -> DataFrame:
     """All row images, or those of earlier epochs; an empty frame when there are none."""
     full = StructType(schema.fields).add("epoch", "long")
-    try:
-        found = spark.read.schema(full).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
         return spark.createDataFrame([], full)
+    found = spark.read.schema(full).parquet(path)
     return found if before is None else found.where(F.col("epoch") < before)
 
 
@@ -148,32 +145,73 @@ VIDEO_SCHEMA = (
 )
 
 
+REPLY_SCHEMA = (
+    "video_key bigint, parents array<string>, platform_id string, user_id string, nickname string, content string, "
+    "like_count bigint, commented_at timestamp, unique_hash string, seen_at timestamp"
+)
+#: Keys by which a reply names its parent, best first, and the columns of a comment that they may match.
+PARENT_KEYS, COMMENT_KEYS = 6, ["platform_id", "unique_hash", "row_id"]
+
 TABLES = {
     "targets": (TARGET_SCHEMA, ["homepage_url"]), "videos": (VIDEO_SCHEMA, ["row_id"]), "comments": (COMMENT_SCHEMA, ["row_id"]),
 }
 
 
 def persisted(spark: SparkSession, work: str, table: str) -> DataFrame:
-    """Current rows of a table that ``persist_stream`` keeps."""
+    """Current rows of a table that ``persist_stream`` keeps; for ``replies`` what one batch of all resolved deliveries gives."""
+    if table == "replies":
+        return replies_table(read_images(spark, f"{work}/replies", StructType.fromDDL(REPLY_SCHEMA + ", comment_key string")))
     schema, keys = TABLES[table]
     return latest(read_images(spark, f"{work}/{table}", StructType.fromDDL(schema)), keys)
 
 
+def replies_table(deliveries: DataFrame) -> DataFrame:
+    """Replies by parent and identity; of repeated deliveries the one seen last counts, whichever epoch resolved it."""
+    rows = deliveries.drop("epoch", "parents", "video_key")
+    none = rows.where("false").drop("seen_at").withColumn("row_id", F.lit(""))
+    return up.upsert_comments(none, rows, "seen_at", owner="comment_key", kind="reply", first_wins=False).drop(up.CHANGE)
+
+
+def unresolved(spark: SparkSession, work: str, before: int | None = None) -> DataFrame:
+    """Replies that wait for their parent: all that ever waited, without those that were settled since."""
+    waiting = read_images(spark, f"{work}/waiting", StructType.fromDDL(REPLY_SCHEMA + ", reply_id string"), before)
+    settled = read_images(spark, f"{work}/settled", StructType.fromDDL("reply_id string"), before)
+    return waiting.join(settled.select("reply_id").distinct(), "reply_id", "left_anti").drop("epoch")
+
+
+def _parented(replies: DataFrame, comments: DataFrame) -> DataFrame:
+    keys = {f"__k{i}": F.get("parents", F.lit(i)) for i in range(PARENT_KEYS)}
+    found = resolve_parents(replies.withColumns(keys), comments.withColumnRenamed("row_id", "comment_key").withColumn("row_id", F.col("comment_key")), "reply_id", "video_key", list(keys), COMMENT_KEYS, "comment_key")
+    return found.drop(*keys)
+
+
+def _write_counted(rows: DataFrame, path: str, epoch: int, **counts: Column) -> dict[str, int]:
+    """Write an epoch; the counts come from the job that writes."""
+    seen = Observation()
+    write_epoch(rows.observe(seen, *[c.alias(n) for n, c in counts.items()]), path, epoch)
+    return seen.get
+
+
 def persist_stream(stream: DataFrame, work: str) -> DataFrame:
-    """Crawl items (one target, its video and comment) into four tables and a quarantine.
+    """Crawl items (one target, its video, comment and reply) into five tables and a quarantine.
 
     Items need homepage_url, source_name, ok, error, seen_at, video_id, title,
-    metrics and comment columns. Failed items are set aside and counted; they
-    never stop the batch. Returns the counters of all epochs; ``persisted`` reads the tables.
+    metrics and comment columns; a reply column is optional. Failed items are set aside and counted; they
+    never stop the batch. A reply that comes before its parent waits: each batch
+    tries new replies with all comments of their videos, and waiting ones with the comments
+    that the batch wrote. Returns the counters of all epochs, taken by the jobs that wrote them; ``persisted`` reads the tables.
     """
     spark = stream.sparkSession
     schemas = {n: StructType.fromDDL(s) for n, (s, _) in TABLES.items()}
+    changed = {c: F.count_if(F.col(up.CHANGE) == c) for c in ("created", "updated")}
+    every = {"created": F.count(F.lit(1))}
 
     def step(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         batch.persist()
         good = batch.where("ok")
-        write_epoch(batch.where("not ok").select("homepage_url", "error", "seen_at"), f"{work}/quarantine", epoch)
+        failed = batch.where("not ok").select("homepage_url", "error", "seen_at")
+        counts = {"quarantine": _write_counted(failed, f"{work}/quarantine", epoch, **every)}
         videos = good.select(F.col("homepage_url").alias("target_id"), "video_id", "video_url", "title", "seen_at")
         comments = good.where(F.col("comment").isNotNull()).select("comment.*")
         parts = {
@@ -188,21 +226,34 @@ def persist_stream(stream: DataFrame, work: str) -> DataFrame:
         }
         for name, build in parts.items():
             images = read_images(session, f"{work}/{name}", schemas[name], epoch)
-            write_epoch(build(images).where(F.col(up.CHANGE) != "kept"), f"{work}/{name}", epoch)
-        write_epoch(up.snapshots(good, ["homepage_url", "video_id", "seen_at"]), f"{work}/snapshots", epoch)
+            counts[name] = _write_counted(build(images).where(F.col(up.CHANGE) != "kept"), f"{work}/{name}", epoch, **changed)
+        rows = up.snapshots(good, ["homepage_url", "video_id", "seen_at"])
+        counts["snapshots"] = _write_counted(rows, f"{work}/snapshots", epoch, **every)
+        if "reply" in batch.columns:
+            _step_replies(session, good.where(F.col("reply").isNotNull()).select("reply.*", "seen_at"), epoch)
+        told = [(n, c["created"], c.get("updated", 0)) for n, c in counts.items()]
+        write_epoch(session.createDataFrame(told, "part string, created bigint, updated bigint"), f"{work}/counts", epoch)
         batch.unpersist()
 
+    def _step_replies(session: SparkSession, rows: DataFrame, epoch: int) -> None:
+        named = [c.split()[0] for c in REPLY_SCHEMA.split(", ")]
+        new = rows.select(*named).withColumn("reply_id", F.sha2(F.to_json(F.struct(*named)), 256))
+        images = read_images(session, f"{work}/comments", schemas["comments"], epoch + 1)
+        fresh = _parented(new, touched(images, "row_id", (new, "video_key")))
+        written = images.where(F.col("epoch") == epoch).drop("epoch")
+        waiting = unresolved(session, work, epoch).join(written.select("video_key").distinct(), "video_key", "left_semi")
+        late = _parented(waiting, written)
+        found = fresh.withColumn("__new", F.lit(True)).unionByName(late.withColumn("__new", F.lit(False))).persist()
+        known = F.col("comment_key").isNotNull()
+        write_epoch(found.where(known).select(*named, "comment_key"), f"{work}/replies", epoch)
+        write_epoch(found.where(~known & F.col("__new")).select(*named, "reply_id"), f"{work}/waiting", epoch)
+        write_epoch(found.where(known & ~F.col("__new")).select("reply_id"), f"{work}/settled", epoch)
+        found.unpersist()
+
     run_available(stream, step, work)
-    counts = [
-        spark.read.schema(StructType(schemas[n].fields).add(up.CHANGE, "string")).parquet(f"{work}/{n}").agg(
-            count_where(F.col(up.CHANGE) == "created").alias("created"), count_where(F.col(up.CHANGE) == "updated").alias("updated")
-        ).select(F.lit(n).alias("part"), "created", "updated")
-        for n in TABLES
-    ]
-    for n in ("snapshots", "quarantine"):
-        rows = spark.read.parquet(f"{work}/{n}").agg(F.count(F.lit(1)).alias("created"), F.lit(0).cast("bigint").alias("updated"))
-        counts.append(rows.select(F.lit(n).alias("part"), "created", "updated"))
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    sums = spark.read.parquet(f"{work}/counts").groupBy("part").agg(F.sum("created").alias("created"), F.sum("updated").alias("updated"))
+    if "reply" not in stream.columns:
+        return sums
+    replies = persisted(spark, work, "replies").agg(F.lit("replies").alias("part"), F.count(F.lit(1)).alias("created"), F.lit(0).cast("bigint").alias("updated"))
+    left = unresolved(spark, work).agg(F.lit("unresolved").alias("part"), F.count(F.lit(1)).alias("created"), F.lit(0).cast("bigint").alias("updated"))
+    return sums.unionByName(replies).unionByName(left)

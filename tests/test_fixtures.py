@@ -487,3 +487,83 @@ def test_author_name_equals_recursion(spark):
     df = spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate(trees)], "i int, j string")
     got = {r.i: r.a for r in df.select("i", nodes.author_name(F.try_parse_json("j")).alias("a")).collect()}
     assert got == {i: recursive(x) for i, x in enumerate(trees)} and len(set(got.values())) > 50
+
+
+# -- summaries, versions, narrow ranks, waiting replies ------------------------------------
+
+def test_homepage_summary_samples_and_blanks(spark):
+    schema = (
+        "target struct<source_name: string, platform: string>, crawl_result struct<videos: array<struct<video_id: string, video_url: string>>, "
+        "warnings: array<string>, diagnostics: struct<dom_href_count: int>>"
+    )
+    videos = [{"video_id": None if i == 1 else str(i), "video_url": "" if i == 0 else f"u{i}"} for i in range(7)]
+    rows = [({"source_name": " A ", "platform": None}, {"videos": videos, "warnings": ["a", "b", "c", "d"], "diagnostics": {"dom_href_count": 9}}), (None, None)]
+    one, two = ag.homepage_summary(spark.createDataFrame(rows, schema)).collect()
+    assert (one.source_name, one.video_count, one.sample_video_ids, one.sample_video_urls) == ("A", 7, ["0", "2", "3", "4"], ["u1", "u2"])
+    assert (one.warnings_count, one.warnings_preview, one.dom_href_count, one.merged_unique_video_ids) == (4, ["a", "b", "c"], 9, 0)
+    assert (two.source_name, two.video_count, two.sample_video_ids, two.warnings_preview) == ("", 0, [], [])
+
+
+def test_download_and_run_status(spark):
+    targets = spark.createDataFrame([("A", 1), ("B", 2), (None, 3)], "source_name string, backfill_priority int")
+    names = lambda *x: spark.createDataFrame([(n,) for n in x], "source_name string")
+    got = {r.backfill_priority: (r.local_count, r.processed_count, r.needs_refresh) for r in ag.download_status(targets, names(" A", "A ", "B"), names("A", "B")).collect()}
+    assert got == {1: (2, 1, True), 2: (1, 1, False), 3: (0, 0, False)}
+    chunks = spark.createDataFrame([(0, 5), (1, 4), (None, 3)], "code int, size int")
+    row = ag.run_status(chunks, F.col("code") == 0, "size").first()
+    assert tuple(row) == (3, 1, 1, 5, 12, False)
+    assert tuple(ag.run_status(chunks.limit(0), F.col("code") == 0, "size").first()) == (0, 0, 0, 0, 0, True)
+
+
+def test_a_failed_refresh_leaves_the_old_tables(spark, tmp_path):
+    from clipwell.sources import sinks as sk
+
+    folder = f"file://{tmp_path}/d"
+    table = lambda *x: spark.createDataFrame([(v,) for v in x], "v int")
+    with pytest.raises(FileNotFoundError):
+        sk.read_dataset(spark, folder, "accounts")
+    sk.write_dataset({n: table(1) for n in sk.DATASET}, folder)
+    fails = table(7).select(F.raise_error(F.lit("lost")).cast("int").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        sk.write_dataset({"accounts": table(2), "videos": table(2), "video_metrics": fails, "comments": table(2)}, folder)
+    assert [sk.read_dataset(spark, folder, n).first().v for n in sk.DATASET] == [1] * 4
+    # a version is read while it is replaced, and made from itself
+    sk.write_dataset({n: sk.read_dataset(spark, folder, n).select((F.col("v") + 2).alias("v")) for n in sk.DATASET}, folder)
+    assert [sk.read_dataset(spark, folder, n).first().v for n in sk.DATASET] == [3] * 4
+
+
+def test_ranks_store_keys_only(spark):
+    df = spark.range(40).select("id", (F.col("id") % 3).alias("k"), F.repeat(F.lit("x"), 1000).alias("wide"))
+    narrow = od.row_numbers(df, [F.desc("id")], ["id"], "n")
+    assert narrow.columns == ["id", "n"] and {r.id: r.n for r in narrow.collect()} == {i: 40 - i for i in range(40)}
+    one, two = (pk.numbered_per_key(df, ["k"], [F.asc("id")], "pos", "size", row=r).select("id", "pos", "size", "wide") for r in (None, ["id"]))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+
+
+def test_replies_wait_for_their_parents_in_any_order(spark, tmp_path):
+    from clipwell.streaming import runs
+
+    schema = (
+        "homepage_url string, source_name string, ok boolean, error string, seen_at timestamp, video_id string, video_url string, title string, "
+        f"metrics struct<view_count: string>, comment struct<{runs.COMMENT_SCHEMA.removeprefix('row_id string, ')}>, reply struct<{runs.REPLY_SCHEMA.removesuffix(', seen_at timestamp')}>"
+    )
+    at = lambda d: datetime.datetime(2024, 1, d)
+    comment = lambda pid: (1, pid, None, None, "c" + pid, 0, at(1), None)
+    reply = lambda pid, text, *keys: (1, list(keys), pid, None, None, text, None, at(2), None)
+    item = lambda day, c, r: ("h", "n", True, None, at(day), "1", "u/1", "t", ("3",), c, r)
+    items = [
+        item(1, None, reply("q1", "first", "p1")), item(2, None, reply("q1", "second", "none", "p1")), item(3, None, reply("q2", "lost", "none")),
+        item(4, comment("p1"), None), item(5, comment("p2"), reply("q3", "same", "p2")), item(6, None, reply("q1", None, "p1")), item(7, None, reply("q4", "late", "p3")),
+    ]
+    tables = []
+    parts = [items[:3], items[3:5], items[5:]]
+    for name, order in (("forth", parts), ("back", parts[::-1]), ("once", [items])):
+        arriving, work = f"{tmp_path}/{name}/in", f"{tmp_path}/{name}/work"
+        for i, x in enumerate(order):
+            spark.createDataFrame(x, schema).write.parquet(f"{arriving}/{i}")
+            counts = runs.persist_stream(runs.stateful_session(spark, 2).readStream.schema(schema).parquet(f"{arriving}/*"), work)
+        told = {r.part: r.created for r in counts.collect()}
+        assert (told["comments"], told["replies"], told["unresolved"], told["snapshots"]) == (2, 2, 2, 7)
+        tables.append(sorted((r.platform_id, r.content) for r in runs.persisted(spark, work, "replies").collect()))
+        assert sorted(r.platform_id for r in runs.unresolved(spark, work).collect()) == ["q2", "q4"]
+    assert tables == [[("q1", "second"), ("q3", "same")]] * 3
