@@ -5,7 +5,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from clipwell.llm import chat, decontamination, line_chunks, line_quality, mixing, personal_data, sharding, simhash, token_files, toxicity
+from clipwell.llm import chat, decontamination, line_chunks, line_quality, mixing, near_copies, personal_data, sharding, simhash, token_files, toxicity
 from tests.llm.conftest import EDGE
 
 import public_tokenizers
@@ -73,6 +73,16 @@ def test_simhash(edge, nothing):
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.one_of_each(nothing).count() == 0
 
 
+def test_near_copies(edge, nothing):
+    found = near_copies.near_copies(edge).collect()
+    of = {r.doc_id: r.component_id for r in found}
+    assert sorted((r.doc_id for r in found), key=key) == ALL
+    assert of[1] == of[2] == 1 and of[6] == of[7] == 6 and of[3] == of[4] == of[5] == of[9] == 3 and of[8] == 8
+    kept = near_copies.one_of_each(edge)
+    assert kept.columns == edge.columns and ids(kept) == sorted([1, 3, None, 6, 8, 2**60 + 1], key=key)
+    assert near_copies.near_copies(nothing).count() == 0 and near_copies.one_of_each(nothing).count() == 0
+
+
 def test_chat(spark):
     schema = "conv_id long, turn int, role string, text string, part string, loss string, n_turns string"
     tail = ("x", "y", "z")
