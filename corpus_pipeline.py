@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipwell.llm import decontamination, line_quality, mixing, sharding, simhash
+from clipwell.llm import decontamination, line_quality, mixing, near_copies, sharding
 from clipwell.llm.common import checkpoint_folder, read
 
 
@@ -16,8 +16,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-equal fingerprints, the one with the smallest id."""
-    return simhash.one_of_each(docs)
+    """One document of each group of near copies (SimHash, or five-word shingles at a similarity of 0.8), the one with the smallest id."""
+    return near_copies.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
