@@ -6,9 +6,7 @@ and of documents meet on the hash of the kept tokens. A hit fixes an item and an
 offset; there the two texts are compared token by token. An overlap is a segment
 with ``min_words`` equal tokens, or 80 % of a shorter item's but never under six,
 of which at least ``min_same`` are equal; of these segments the one with the most
-equal tokens is reported, without substitutions at its ends. With a ``penalty``
-(the default of ``contaminated``, not of ``clean`` nor of the query) only the segment
-with the best sum of +1 and -penalty is held against the bounds, which loses some.
+equal tokens is reported, without substitutions at its ends.
 
 The masks hit every overlap within the default bounds and any stricter ones: with
 k substitutions it has at least max(10, 4 k) equal tokens in k + 1 runs, so one
@@ -93,7 +91,7 @@ class Block:
             order = np.argsort(h, kind="stable")
             self.tables.append((h[order], item[order], start[order]))
 
-    def overlaps(self, text: str, min_words: int, min_same: float, penalty: int | None = None) -> list[tuple]:
+    def overlaps(self, text: str, min_words: int, min_same: float) -> list[tuple]:
         """(item, matched, substitutions, item words, start, end) of each item that overlaps the text, best segment each."""
         ws = tokens(text)
         ids = np.fromiter(map(self.vocabulary.get, ws, repeat(-1)), np.int64, len(ws))
@@ -115,7 +113,7 @@ class Block:
             need = min(min_words, max(LEAST, ceil(0.8 * len(own))))
             if int(same.sum()) < need:
                 continue
-            low, high = _segment(same, min_same) if penalty is None else _best_segment(same, penalty)
+            low, high = _segment(same, min_same)
             n, matched = high - low, int(same[low:high].sum())
             if matched >= need and matched >= min_same * n and (k not in best or matched > best[k][1]):
                 first = a + shift + low
@@ -135,21 +133,13 @@ def _segment(same: np.ndarray, min_same: float) -> tuple[int, int]:
     return first + (int(np.argmax(same[first:high])) if first < high else 0), high
 
 
-def _best_segment(same: np.ndarray, penalty: int) -> tuple[int, int]:
-    """Bounds of the segment with the largest sum of +1 for equal and -penalty for other tokens."""
-    total = np.concatenate(([0], np.cumsum(np.where(same, 1, -penalty))))
-    least = np.minimum.accumulate(total)
-    high = int(np.argmax(total - least))
-    return int(np.argmin(total[: high + 1])), high
-
-
-def _search(block, min_words: int, min_same: float, penalty: int | None):
+def _search(block, min_words: int, min_same: float):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         b = block.value
         for f in frames:
             out = []
             for doc_id, key, text in zip(f.doc_id, f.row_key, f.text):
-                for k, *rest in b.overlaps(text, min_words, min_same, penalty):
+                for k, *rest in b.overlaps(text, min_words, min_same):
                     out.append((doc_id, key, b.item_ids[k], *rest))
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
             yield frame.astype({"item_id": "Int64"})
@@ -167,7 +157,6 @@ def contaminated(
     min_words: int = 10,
     min_same: float = 0.8,
     block_tokens: int = BLOCK_TOKENS,
-    penalty: int | None = 3,
 ) -> DataFrame:
     """One row per document and item that overlap: the words that match, are substituted, and their span in tokens."""
     spark = docs.sparkSession
@@ -182,14 +171,14 @@ def contaminated(
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b).orderBy("i", "t").collect()  # one block of items
         block = spark.sparkContext.broadcast(Block([tuple(r) for r in own]))
-        found = rows.mapInPandas(_search(block, min_words, min_same, penalty), SCHEMA)
+        found = rows.mapInPandas(_search(block, min_words, min_same), SCHEMA)
         out = found if out is None else out.unionByName(found)
     return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[key].dataType))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", penalty: int | None = None, **how) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that overlap no item, columns as they are."""
-    bad = contaminated(docs, benchmark, key, text, penalty=penalty, **how).select(F.col("row_key").alias("__bad")).distinct()
+    bad = contaminated(docs, benchmark, key, text, **how).select(F.col("row_key").alias("__bad")).distinct()
     bad = small(durable(bad), MAX_BROADCAST)
     wide = docs.withColumn("__key", row_key(F.col(f"`{key}`"), F.col(f"`{text}`")))
     return wide.join(bad, F.col("__key") == F.col("__bad"), "left_anti").drop("__key")

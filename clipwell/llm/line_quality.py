@@ -34,14 +34,16 @@ def normal_line(line: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(F.btrim(line, F.lit(BLANKS))), GAP, " "), "[0-9]+", "0")
 
 
-def _repeat_words(df: DataFrame, words: str, name: str) -> DataFrame:
+def _repeat_words(df: DataFrame, words: str, name: str, spare: int = 0) -> DataFrame:
     """Words inside three-word windows that occur at least twice in the array.
 
-    Each window is one long: high bits of its hash, low bits its place. Sorting
-    longs puts equal windows side by side, so no window leaves its row.
+    Each window is one long: high bits of its hash, low bits its place (``spare`` more of them are left out of
+    the hash). Sorting longs puts equal windows side by side, so no window leaves its row. The words of windows
+    with equal hashes are compared, up to two places apart: a repeat is missed only if three different windows
+    of one text have one hash of at least 32 bits and stand between each other.
     """
     n = F.size(words) - 2
-    bits = F.length(F.bin(F.greatest(n, F.lit(1)).cast("long")))
+    bits = F.length(F.bin(F.greatest(n, F.lit(1)).cast("long"))) + spare
     starts = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     at = lambda i: F.get(F.col(words), i)
     step = df.withColumns({"__bits": bits, "__starts": starts})
@@ -50,8 +52,17 @@ def _repeat_words(df: DataFrame, words: str, name: str) -> DataFrame:
     step = step.withColumn("__high", high).withColumn(
         "__packed", F.sort_array(F.transform("__starts", lambda i: window(i).bitwiseAND(F.col("__high")).bitwiseOR(i.cast("long"))))
     )
-    twin = lambda x, i: F.coalesce(x.bitwiseXOR(F.get("__packed", i)).bitwiseAND(F.col("__high")) == 0, F.lit(False))
-    step = step.withColumn("__twins", F.filter("__packed", lambda x, i: twin(x, i - 1) | twin(x, i + 1)))
+    place = lambda x: x.bitwiseAND(F.bitwise_not(F.col("__high"))).cast("int")
+
+    def twin(x: Column, i: Column) -> Column:
+        other = F.get("__packed", i)
+        equal = x.bitwiseXOR(other).bitwiseAND(F.col("__high")) == 0
+        for k in range(3):
+            equal = equal & (at(place(x) + k) == at(place(other) + k))
+        return F.coalesce(equal, F.lit(False))
+
+    near = lambda x, i: twin(x, i - 1) | twin(x, i + 1) | twin(x, i - 2) | twin(x, i + 2)
+    step = step.withColumn("__twins", F.filter("__packed", near))
     step = step.withColumn("__places", F.sort_array(F.transform("__twins", lambda x: x.bitwiseAND(F.bitwise_not(F.col("__high"))))))
     reach = F.transform("__places", lambda p, i: F.least(F.lit(3), F.coalesce(F.get("__places", i + 1) - p, F.lit(3))))
     total = F.aggregate(reach, F.lit(0).cast("long"), lambda a, b: a + b)

@@ -272,21 +272,18 @@ def test_small_groups_share_a_shard_and_large_ones_do_not_unbalance(spark):
 
 
 def naive_overlaps(text, items):
-    """Items whose tokens align with the text on some offset well enough, without seeds."""
+    """Items of which a segment of some alignment with the text meets the two bounds, without seeds."""
     ws = decontamination.tokens(text)
     for item_id, item in items:
         own = decontamination.tokens(item)
         need = min(10, max(6, -(-len(own) * 4 // 5)))
-        for shift in range(-len(own), len(ws)):
-            same = [0 <= shift + i < len(ws) and ws[shift + i] == w for i, w in enumerate(own)]
-            if sum(same) < need:
-                continue
-            bounds = [(a, b) for a in range(len(own)) for b in range(a + 1, len(own) + 1)]
-            best = max(bounds, key=lambda ab: sum(1 if s else -3 for s in same[ab[0] : ab[1]]))
-            hit = sum(same[best[0] : best[1]])
-            if hit >= need and hit >= 0.8 * (best[1] - best[0]):
-                yield item_id
-                break
+
+        def hit(shift):
+            total = np.concatenate(([0], np.cumsum([0 <= shift + i < len(ws) and ws[shift + i] == w for i, w in enumerate(own)])))
+            return any(total[b] - total[a] >= need and 5 * (total[b] - total[a]) >= 4 * (b - a) for a in range(len(own)) for b in range(a + need, len(own) + 1))
+
+        if any(map(hit, range(-len(own), len(ws)))):
+            yield item_id
 
 
 def test_seeds_miss_no_overlap(spark):

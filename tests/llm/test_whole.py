@@ -4,7 +4,9 @@ import random
 from itertools import combinations
 from math import ceil
 
-from clipwell.llm import decontamination, line_chunks, personal_data
+from pyspark.sql import functions as F
+
+from clipwell.llm import decontamination, line_chunks, line_quality, personal_data
 
 
 def overlaps_by_bounds(ws, own):
@@ -97,3 +99,23 @@ def test_op9_runs_equal_brute_force(spark):
     assert got <= want and full(got) == full(want) and len(want) > 200
     left = {r.doc_id: r.text for r in line_chunks.without_repeats(df).collect()}
     assert all(left[i].split("\n") == ([v for x, v in enumerate(t.split("\n")) if (i, x) not in got] or [""]) for i, t in docs)
+
+
+def test_op8_repeats_are_compared_word_by_word(spark):
+    """With hashes cut to 16 bits, so that different windows share one."""
+    rng = random.Random(12)
+    texts = [[f"w{rng.randrange(10**6)}" if rng.random() < 0.97 else "a" for _ in range(200)] for _ in range(250)]
+    texts = [t + t[i : i + 5] * (i % 3) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, w array<string>")
+
+    def repeated(t):
+        seen = {}
+        for k in range(len(t) - 2):
+            seen.setdefault(tuple(t[k : k + 3]), []).append(k)
+        return len({k + j for at in seen.values() if len(at) > 1 for k in at for j in range(3)})
+
+    want = [repeated(t) for t in texts]
+    for spare in (0, 40):
+        got = {r.i: r.n for r in line_quality._repeat_words(df, "w", "n", spare).select("i", F.col("n")).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+    assert sum(map(bool, want)) > 100
