@@ -185,6 +185,16 @@ def _(t):
     return fs.inventory(paths(t), F.element_at(F.split("path", "/"), -2))
 
 
+@query("src10_listed_files", "SELECT DISTINCT p_brand AS folder, 1 AS files, true AS sized, 0 AS error_logs FROM part")
+def _(t):
+    work = work_folder(t.spark, "listed")
+    t.videos().repartition("account_id").write.partitionBy("account_id").parquet(work)
+    # the folder of a partition is escaped once more than its path
+    folder = F.try_url_decode(F.element_at(F.split(F.element_at(F.split(fs.plain_path("path"), "/"), -2), "="), -1))
+    found = fs.inventory(fs.listing(t.spark, work, "*.parquet"), folder)
+    return found.select("folder", "files", (F.col("total_bytes") > 0).alias("sized"), "error_logs")
+
+
 @query("src11_latest_of_kind", f"WITH {_P} SELECT folder AS kind, arg_max(path, row(ts, path)) AS path FROM p GROUP BY 1")
 def _(t):
     p = paths(t).withColumn("kind", F.element_at(F.split("path", "/"), -2))
