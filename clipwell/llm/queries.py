@@ -95,7 +95,7 @@ def op8_line_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op9_line_chunks", sql.LINE_CHUNKS)
 def op9_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    """Every occurrence of a repeated multi-line chunk but the first one."""
+    """Every run of lines that repeats chunks of an earlier place."""
     return line_chunks.repeated_chunks(read(spark, folder, "documents")).drop("row_key")
 
 

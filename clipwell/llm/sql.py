@@ -70,27 +70,30 @@ FROM x
 """
 
 LINE_CHUNKS = r"""
-WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) lines FROM documents),
+WITH d AS (SELECT row_number() OVER () rid, doc_id, string_split(coalesce(text, ''), chr(10)) lines FROM documents),
 l AS (
-  SELECT doc_id, i, lines[i + 1] line, len(lines) n, ('0x' || substr(md5(lines[i + 1]), 1, 15))::BIGINT h,
-    len(regexp_extract_all(lines[i + 1], '[^\x20\x09-\x0D]+')) w
-  FROM (SELECT doc_id, lines, unnest(range(len(lines))) i FROM d)),
-r AS (
-  SELECT *, xor((coalesce(lag(h) OVER p, 0) & 576460752303423487) << 1, h) roll, coalesce(lead(w) OVER p, 50) after
-  FROM l WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
-e AS (SELECT *, c, ((roll >> (7 * c)) & 1) = 0 OR w >= 50 OR after >= 50 AS is_end FROM r, (SELECT unnest(range(4)) c)),
+  SELECT rid, i, w, sum(w) OVER (PARTITION BY rid ORDER BY i)::BIGINT c
+  FROM (SELECT rid, i, len(regexp_extract_all(lines[i + 1], '[^\x20\x09-\x0D]+')) w FROM (SELECT rid, lines, unnest(range(len(lines))) i FROM d))
+  WHERE w > 0),
+f AS (
+  SELECT a.rid, a.i first_line, greatest(b.i, a.i + 1) last_line FROM (SELECT *, c - w + 20 need FROM l) a ASOF JOIN l b ON a.rid = b.rid AND a.need <= b.c),
 k AS (
-  SELECT *, coalesce(sum(is_end::INT) OVER (PARTITION BY doc_id, c ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) k FROM e),
+  SELECT a.rid, least(b.i, a.i - 1) first_line, a.i last_line
+  FROM (SELECT *, c - 20 need FROM l) a ASOF JOIN (SELECT *, c - w c0 FROM l) b ON a.rid = b.rid AND a.need >= b.c0),
+r AS (FROM f UNION FROM k UNION SELECT rid, i, i FROM l WHERE w >= 50),
 g AS (
-  SELECT DISTINCT doc_id, start_line, end_line, words, body FROM (
-    SELECT doc_id, c, k, min(i) start_line, max(i) end_line, sum(w)::BIGINT words, string_agg(line, chr(10) ORDER BY i) body
-    FROM k GROUP BY doc_id, c, k)
-  WHERE end_line > start_line AND words >= 20 OR words >= 50),
+  SELECT rid, doc_id, first_line, last_line, array_to_string(lines[first_line + 1:last_line + 1], chr(10)) body
+  FROM r JOIN d USING (rid) WHERE first_line >= 0 AND last_line < len(lines)),
 o AS (
-  SELECT *, count(*) OVER (PARTITION BY body) occurrences, row_number() OVER (PARTITION BY body ORDER BY doc_id, start_line) place,
-    first_value(doc_id) OVER (PARTITION BY body ORDER BY doc_id, start_line) first_doc_id
-  FROM g)
-SELECT doc_id, start_line::BIGINT start_line, end_line::BIGINT end_line, words, first_doc_id, occurrences FROM o WHERE place > 1
+  SELECT rid, doc_id, first_line, last_line, count(*) OVER (PARTITION BY body, last_line - first_line) occurrences,
+    first_value(rid) OVER p first_rid, first_value(doc_id) OVER p first_id, first_value(first_line) OVER p first_start
+  FROM g WINDOW p AS (PARTITION BY body, last_line - first_line ORDER BY doc_id NULLS FIRST, rid, first_line)),
+gone AS (
+  SELECT *, max(last_line) OVER (PARTITION BY rid ORDER BY first_line, last_line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) reach
+  FROM o WHERE occurrences > 1 AND (rid <> first_rid OR first_line > first_start + last_line - first_line)),
+run AS (SELECT *, sum(coalesce(first_line > reach + 1, true)::INT) OVER (PARTITION BY rid ORDER BY first_line, last_line ROWS UNBOUNDED PRECEDING) run FROM gone)
+SELECT doc_id, min(first_line)::BIGINT start_line, max(last_line)::BIGINT end_line, min(first_id) first_doc_id, max(occurrences)::BIGINT occurrences
+FROM run GROUP BY rid, doc_id, run
 """
 
 HARD_NEGATIVES = r"""

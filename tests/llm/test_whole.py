@@ -80,7 +80,8 @@ def lines_seen_before(docs):
     return gone
 
 
-def test_op9_runs_equal_brute_force(spark):
+def passages_in_contexts():
+    """Documents that share passages of many shapes between lines of their own."""
     rng, docs = random.Random(9), []
     line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
     passages = [[line(30) for _ in range(2)], [line(20) for _ in range(3)], [line(6) for _ in range(12)], [line(15), line(15), line(1)], [line(55)], [line(9), line(9)]]
@@ -91,16 +92,53 @@ def test_op9_runs_equal_brute_force(spark):
             body += [line(rng.randint(1, 14)) for _ in range(rng.randint(0, 3))] + rng.choice(passages)[rng.randint(0, 1) :]
         docs.append((i, "\n".join(body)))
     docs.append((60, "\n".join(["ten words " * 6] * 5)))
+    docs += [(61, "\n" * 40 + passages[0][0] + "\n" * 300), (62, "own\n" + "\n" * 9 + passages[0][0] + "\nother")]
+    return docs
+
+
+def lines_of(found):
+    return {(r.doc_id, x) for r in found.collect() for x in range(r.start_line, r.end_line + 1)}
+
+
+def test_op9_chunks_equal_brute_force(spark):
+    docs = passages_in_contexts()
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {(r.doc_id, x) for r in line_chunks.repeated_runs(df).collect() for x in range(r.start_line, r.end_line + 1)}
+    got = lines_of(line_chunks.repeated_chunks(df))
     text = {(i, x): v for i, t in docs for x, v in enumerate(t.split("\n"))}
     full = lambda found: {x for x in found if text[x].strip()}
     want = lines_seen_before(docs)
     assert got <= want and full(got) == full(want) and len(want) > 200
+    assert got == lines_of(line_chunks.repeated_runs(df))
     left = {r.doc_id: r.text for r in line_chunks.without_repeats(df).collect()}
     assert all(left[i].split("\n") == ([v for x, v in enumerate(t.split("\n")) if (i, x) not in got] or [""]) for i, t in docs)
 
 
+def test_op9_boundaries_are_few_and_the_same_in_every_copy(spark):
+    rng = random.Random(4)
+    line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(4))
+    shared = [line() for _ in range(400)]
+    before = [[line() for _ in range(n)] for n in (0, 3, 17)]
+    df = spark.createDataFrame([(i, "\n".join(b + shared)) for i, b in enumerate(before)], "doc_id long, text string")
+    keys = {r.row_key: r.doc_id for r in line_chunks.windows(df, "doc_id", "text").collect()}
+    places = [set() for _ in before]
+    for r in line_chunks.boundaries(df, "doc_id", "text").collect():
+        i = keys[r.row_key]
+        if r.p >= len(before[i]) + 5:
+            places[i].add(r.p - len(before[i]))
+    assert places[0] == places[1] == places[2] and 100 < len(places[0]) < 200
+
+
+def test_op9_lines_of_equal_digests_are_compared(spark, monkeypatch):
+    """With digests of one hexadecimal figure, different lines share one: what cannot be told apart stays."""
+    docs = passages_in_contexts()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(line_chunks, "_line_digest", lambda x: F.concat(F.lit("0"), F.substring(F.md5(x.cast("binary")), 1, 1)))
+    assert lines_of(line_chunks.repeated_chunks(df)) <= lines_seen_before(docs)
+    alike = df.where("doc_id in (0, 60)").unionByName(spark.createDataFrame([(99, docs[0][1])], "doc_id long, text string"))
+    monkeypatch.undo()
+    assert lines_of(line_chunks.repeated_chunks(alike)) >= {(99, x) for x in range(docs[0][1].count("\n") + 1) if docs[0][1].split("\n")[x].strip()}
+
+
 def test_op8_repeats_are_compared_word_by_word(spark):
     """With hashes cut to 16 bits, so that different windows share one."""
     rng = random.Random(12)
