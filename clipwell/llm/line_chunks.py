@@ -14,9 +14,9 @@ repeated ones are read again: a repeated boundary grows over its neighbours to
 every shortest window, forward and backward, that holds it. A passage is the union
 of such windows, so none is missed. The windows are counted by the SHA-256 of
 their line digests; the bytes of the lines under every digest of a repeated window
-are compared (smallest and largest line, aggregated before the shuffle, so that a
-line in a third of all documents is one row per task), and a window with a line
-whose digest stands for two texts stays. Of equal windows the first one stays
+are compared (distinct lines, aggregated before the shuffle, so that a line in a
+third of all documents is one row per task), and a window with a line whose digest
+stands for two texts stays. Of equal windows the first one stays
 (smallest id, then place), as does one that overlaps its own first occurrence. The
 others go; windows that touch are one run. Lines without words at the ends of a
 passage stay, and so do passages that begin or end inside a line.
@@ -62,11 +62,10 @@ def _bound(value: Column, use) -> Column:
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc_id, row_key, lines, at, w, back, m): lines, and places and words of those that have words."""
-    df = docs.select(
+    return _measured(docs.select(
         F.col(f"`{key}`").alias("doc_id"), row_key(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("row_key"),
         F.split(text_of(f"`{text}`"), "\n").alias("lines"),
-    )
-    return _measured(df)
+    ))
 
 
 def _measured(df: DataFrame) -> DataFrame:
@@ -116,12 +115,20 @@ def boundaries(docs: DataFrame, key: str, text: str, min_words: int = MIN_WORDS,
     return df.select("row_key", F.explode_outer(all_of).alias("b")).where("b is not null").select("row_key", "b.h", "b.p")
 
 
-def _grown(docs: DataFrame, own: DataFrame, key: str, text: str, min_words: int, long_words: int) -> DataFrame:
-    """(doc_id, row_key, start, end, digest): windows that hold one of the ``places`` that ``own`` lists by row_key."""
+def _holders(docs: DataFrame, own: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_id, row_key, text, marks) of the documents whose ``places`` ``own`` lists by row_key; stored, as most have none."""
     zeros = lambda v: F.transform(v, lambda p, i: F.concat(F.repeat(F.lit("0"), p - F.coalesce(F.get(v, i - 1), F.lit(-1)) - 1), F.lit("1")))
     # one byte a line, 1 where a repeated boundary stands
     marks = F.array_join(_bound(F.array_sort(F.filter("places", lambda p: p >= 0)), zeros), "").cast("binary")
-    df = _measured(_of_rows(docs, own.select("row_key", marks.alias("marks")), key, text, "marks"))
+    rows = docs.select(
+        F.col(f"`{key}`").alias("doc_id"), row_key(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("row_key"), text_of(f"`{text}`").alias("text")
+    )
+    return durable(rows.join(own.select("row_key", marks.alias("marks")), "row_key"))
+
+
+def _grown(holders: DataFrame, min_words: int, long_words: int) -> DataFrame:
+    """(doc_id, row_key, start, end, digest): windows that hold a marked boundary, and long lines."""
+    df = _measured(holders.select("doc_id", "row_key", F.split("text", "\n").alias("lines"), "marks"))
     cut = lambda r: F.substring(F.col("marks"), r["start"] + 1, r["end"] - r["start"])
     held = F.filter(_ranges(min_words, long_words), lambda r: (r["start"] == r["end"]) | F.contains(cut(r), F.lit(b"1")))
 
@@ -134,14 +141,6 @@ def _grown(docs: DataFrame, own: DataFrame, key: str, text: str, min_words: int,
     return df.select("doc_id", "row_key", "r.*")
 
 
-def _of_rows(docs: DataFrame, own: DataFrame, key: str, text: str, *columns: str) -> DataFrame:
-    """(doc_id, row_key, lines, columns of ``own``) of the documents that ``own`` names."""
-    wide = docs.select(
-        F.col(f"`{key}`").alias("doc_id"), row_key(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("row_key"), text_of(f"`{text}`").alias("text")
-    ).join(own.withColumnRenamed("row_key", "__own"), F.col("row_key") == F.col("__own"))
-    return wide.select("doc_id", "row_key", F.split("text", "\n").alias("lines"), *columns)
-
-
 def _runs(ranges: DataFrame, *more: Column) -> DataFrame:
     """(doc_id, row_key, start_line, end_line, more): ranges that touch, merged per document."""
     before = Window.partitionBy("row_key").orderBy("start", "end")
@@ -152,15 +151,15 @@ def _runs(ranges: DataFrame, *more: Column) -> DataFrame:
     return merged.agg(F.min("start").cast("long").alias("start_line"), F.max("end").cast("long").alias("end_line"), *more).drop("run")
 
 
-def _same_bytes(docs: DataFrame, again: DataFrame, key: str, text: str) -> DataFrame:
+def _same_bytes(holders: DataFrame, again: DataFrame) -> DataFrame:
     """``again`` without windows that hold a line whose digest stands for two different texts."""
     own = _runs(again).groupBy("row_key").agg(F.collect_set(F.struct("start_line", "end_line")).alias("runs"))
-    runs = _of_rows(docs, own, key, text, "runs").select("row_key", "lines", F.explode("runs").alias("r"))
+    runs = holders.join(own, "row_key").select("row_key", F.split("text", "\n").alias("lines"), F.explode("runs").alias("r"))
     cut = F.slice("lines", F.col("r.start_line").cast("int") + 1, (F.col("r.end_line") - F.col("r.start_line") + 1).cast("int"))
     lines = runs.select("row_key", "r.start_line", F.posexplode(cut).alias("i", "line"))
     lines = lines.select("row_key", (F.col("start_line") + F.col("i")).alias("at"), "line", F.unhex(_line_digest(F.col("line"))).alias("id"))
-    mixed = lines.groupBy("id").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high")
-    mixed = durable(mixed.select("id"))
+    # equal lines meet as bytes, once per task; a digest with two of them is mixed
+    mixed = durable(lines.select("id", "line").distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"))
     if mixed.isEmpty():
         return again
     bad = lines.join(mixed, "id").select(F.col("row_key").alias("__bad"), "at").distinct()
@@ -178,10 +177,11 @@ def repeated_chunks(
     chosen = durable(boundaries(docs, key, text, min_words, long_words))
     often = chosen.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     own = chosen.join(often.select("h"), "h").groupBy("row_key").agg(F.collect_set("p").alias("places"))
-    found = durable(_grown(docs, own, key, text, min_words, long_words))
+    holders = _holders(docs, own, key, text)
+    found = durable(_grown(holders, min_words, long_words))
     often = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     again = durable(found.join(often.select("digest"), "digest"))
-    gone = _later(_same_bytes(docs, again, key, text))
+    gone = _later(_same_bytes(holders, again))
     return _runs(gone, F.min("first")["doc_id"].alias("first_doc_id"), F.max("occurrences").alias("occurrences"))
 
 
