@@ -14,10 +14,12 @@ run has four, or all are three long and 1110111 meets two of them; items of 6 to
 11 tokens are covered by enumeration, with 111001011 for 3-2-3. Looser bounds
 find only what a mask hits.
 
-Items are the small side. They are read in blocks of a bounded number of tokens,
-each block is broadcast and compared with all documents, so the small side may
-grow without a larger broadcast; one item is never divided. Items of fewer than
-six tokens cannot be told from chance and match nothing.
+Items are the small side. Each different text is searched once, however many items
+have it, and their ids are joined back. A running sum of the texts' tokens cuts them
+into blocks of ``block_tokens``. Each block is broadcast and compared with all
+documents, so the small side may grow without a larger broadcast; one text is never
+divided, so a block may pass the bound by its last text. Items of fewer than six
+tokens cannot be told from chance and match nothing.
 
 Null or empty texts have no tokens and match nothing, null ids stay null,
 repeated rows are each reported, empty tables give no rows, other columns play
@@ -36,7 +38,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipwell.llm.common import durable, row_key, small, text_of
+from clipwell.llm.common import digest, durable, row_key, small, text_of
+from clipwell.operators.ordering import with_running_total
 
 #: Kept (1) and ignored (0) positions.
 MASKS = ("1111", "1110111", "111001011", "110100111")
@@ -46,7 +49,9 @@ BLOCK_TOKENS = 500_000
 #: Keys of 16 bytes that may be broadcast; more are joined by a shuffle.
 MAX_BROADCAST = 500_000
 _PUNCTUATION = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256))
-SCHEMA = "doc_id string, row_key binary, item_id bigint, matched_words bigint, substitutions bigint, item_words bigint, start_word bigint, end_word bigint"
+#: What ``tokens`` keeps, for counting.
+_TOKEN = r"[A-Za-z0-9[^\x00-\x7F]]+"
+SCHEMA = "doc_id string, row_key binary, item_key binary, matched_words bigint, substitutions bigint, item_words bigint, start_word bigint, end_word bigint"
 
 
 def tokens(text: str) -> list[bytes]:
@@ -77,7 +82,7 @@ def _hashes(ids: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
 class Block:
     """Items with the seed table of their windows; broadcast to the tasks."""
 
-    def __init__(self, items: list[tuple[int | None, str]]):
+    def __init__(self, items: list[tuple[bytes | int | None, str]]):
         words = [tokens(t or "") for _, t in items]
         self.item_ids = [i for i, _ in items]
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for ws in words for w in ws}))}
@@ -141,12 +146,41 @@ def _search(block, min_words: int, min_same: float):
             for doc_id, key, text in zip(f.doc_id, f.row_key, f.text):
                 for k, *rest in b.overlaps(text, min_words, min_same):
                     out.append((doc_id, key, b.item_ids[k], *rest))
-            frame = pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-            yield frame.astype({"item_id": "Int64"})
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return run
 
 
+def blocks_of(items: DataFrame, text: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """(item_key, t, block): the different texts of at least ``LEAST`` tokens, dealt to blocks by a running sum of their tokens."""
+    texts = items.select(text_of(f"`{text}`").alias("t")).distinct()
+    texts = texts.select(digest(F.col("t")).alias("item_key"), "t", F.regexp_count("t", F.lit(_TOKEN)).cast("long").alias("size")).where(f"size >= {LEAST}")
+    placed = with_running_total(texts, ["item_key"], "size", "upto")
+    return placed.select("item_key", "t", F.floor((F.col("upto") - F.col("size")) / block_tokens).cast("long").alias("block"))
+
+
+def overlapping(
+    docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_text: str = "text",
+    min_words: int = 10, min_same: float = 0.8, block_tokens: int = BLOCK_TOKENS,
+) -> DataFrame:
+    """One row per document and item text that overlap: row_key, item_key and the columns of ``contaminated``."""
+    spark = docs.sparkSession
+    blocks = durable(blocks_of(items, item_text, block_tokens))
+    rows = docs.select(
+        F.col(f"`{key}`").cast("string").alias("doc_id"), row_key(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("row_key"),
+        text_of(f"`{text}`").alias("text"),
+    )
+    out = spark.createDataFrame([], SCHEMA)
+    last = blocks.agg(F.max("block")).first()[0]
+    for b in range(0 if last is None else last + 1):
+        own = blocks.where(F.col("block") == b).select("item_key", "t").orderBy("item_key").collect()  # at most block_tokens and one text
+        if own:
+            block = spark.sparkContext.broadcast(Block([(bytes(k), t) for k, t in own]))
+            found = rows.mapInPandas(_search(block, min_words, min_same), SCHEMA)
+            out = found if b == 0 else out.unionByName(found)
+    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[key].dataType))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -154,31 +188,18 @@ def contaminated(
     text: str = "text",
     item_key: str = "item_id",
     item_text: str = "text",
-    min_words: int = 10,
-    min_same: float = 0.8,
-    block_tokens: int = BLOCK_TOKENS,
+    **bounds,
 ) -> DataFrame:
     """One row per document and item that overlap: the words that match, are substituted, and their span in tokens."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(f"`{item_key}`").cast("long").alias("i"), text_of(f"`{item_text}`").alias("t"))
-    size = items.agg(F.sum(F.size(F.split("t", " ")))).first()[0] or 0
-    blocks = max(1, ceil(size / block_tokens))
-    rows = docs.select(
-        F.col(f"`{key}`").cast("string").alias("doc_id"), row_key(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("row_key"),
-        text_of(f"`{text}`").alias("text"),
-    )
-    out = None
-    for b in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b).orderBy("i", "t").collect()  # one block of items
-        block = spark.sparkContext.broadcast(Block([tuple(r) for r in own]))
-        found = rows.mapInPandas(_search(block, min_words, min_same), SCHEMA)
-        out = found if out is None else out.unionByName(found)
-    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[key].dataType))
+    found = overlapping(docs, benchmark, key, text, item_text, **bounds)
+    items = benchmark.select(F.col(f"`{item_key}`").cast("long").alias("item_id"), digest(F.col(f"`{item_text}`")).alias("item_key"))
+    columns = [c for c in found.columns if c != "item_key"]
+    return found.join(items, "item_key").select(*columns[:2], "item_id", *columns[2:])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that overlap no item, columns as they are."""
-    bad = contaminated(docs, benchmark, key, text, **how).select(F.col("row_key").alias("__bad")).distinct()
+    bad = overlapping(docs, benchmark, key, text, **how).select(F.col("row_key").alias("__bad")).distinct()
     bad = small(durable(bad), MAX_BROADCAST)
     wide = docs.withColumn("__key", row_key(F.col(f"`{key}`"), F.col(f"`{text}`")))
     return wide.join(bad, F.col("__key") == F.col("__bad"), "left_anti").drop("__key")

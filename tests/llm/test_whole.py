@@ -54,6 +54,27 @@ def test_op10_items_of_six_and_seven_tokens():
         assert [x[1] for x in decontamination.Block([(1, "a b c d e f g")]).overlaps(text, 10, 0.8)] == [6]
 
 
+def test_op10_blocks_hold_each_text_once_and_keep_their_bound(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(rng.randint(8, 60))) for _ in range(80)]
+    copies = spark.range(100_000).select(F.col("id").alias("item_id"), F.lit(texts[0]).alias("text"))
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string").unionByName(copies)
+    blocks = decontamination.blocks_of(items, "text", 400).collect()
+    assert sorted(r.t for r in blocks) == sorted(set(texts))
+    sizes = {}
+    for r in blocks:
+        sizes.setdefault(r.block, []).append(len(decontamination.tokens(r.t)))
+    assert len(sizes) > 5 and all(sum(x) - max(x) <= 400 for x in sizes.values())
+    docs = spark.createDataFrame([(i, f"own words {t} end") for i, t in enumerate(texts)] + [(500, "nothing here")], "doc_id long, text string")
+    few = items.where("item_id < 80").unionByName(copies.limit(0))
+    one, many = (decontamination.contaminated(docs, few, block_tokens=n) for n in (10**6, 400))
+    assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, many.collect()), key=repr)
+    assert {(r.doc_id, r.item_id) for r in many.collect()} >= {(i, i) for i in range(80)}
+    assert decontamination.clean(docs, items, block_tokens=400).select("doc_id").collect() == [(500,)]
+    again = decontamination.contaminated(docs.where("doc_id = 0"), items).groupBy("item_id").count()
+    assert again.where("item_id >= 80").count() == 100_000 - 80
+
+
 def test_op6_every_account_of_a_run():
     de, gb = "DE89370400440532013000", "GB82WEST12345698765432"
     ibans = lambda t: [t[s:e] for k, s, e, _ in personal_data.spans_of(t) if k == "iban"]
