@@ -32,7 +32,7 @@ def current_version(spark: SparkSession, folder: str) -> str | None:
         with_.close()
 
 
-def _switch(spark: SparkSession, folder: str, version: str) -> None:
+def switch_version(spark: SparkSession, folder: str, version: str) -> None:
     """Write the pointer beside its place and put it there in one step."""
     jvm = spark._jvm
     conf, path = spark._jsc.hadoopConfiguration(), jvm.org.apache.hadoop.fs.Path(f"{folder}/{POINTER}")
@@ -57,7 +57,7 @@ def write_dataset(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parq
     spark, version = next(iter(tables.values())).sparkSession, f"v-{uuid.uuid4().hex}"
     for name, df in tables.items():
         _save(df, f"{folder}/{version}/{name}", fmt)
-    _switch(spark, folder, version)
+    switch_version(spark, folder, version)
     return f"{folder}/{version}"
 
 
@@ -80,7 +80,7 @@ def write_pool(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet
         _save(df, first, fmt)
         read = spark.read.schema(df.schema)
         _save(read.csv(first, header=True) if fmt == "csv" else read.format(fmt).load(first), f"{folder}/{version}/{name}", fmt)
-    _switch(spark, folder, version)
+    switch_version(spark, folder, version)
     return f"{folder}/{version}"
 
 

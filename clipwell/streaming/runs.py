@@ -3,8 +3,12 @@
 Each micro-batch writes the rows it changed as one epoch folder, overwritten
 when the batch is replayed; the latest image per key is the table. A batch
 reads only earlier epochs, so replays after a failure give the same result. It
-scans the images' key columns and takes on only those rows whose keys it shares;
-no row is dropped for being late.
+takes on only those rows whose keys it shares; no row is dropped for being late.
+
+``compact`` folds old epochs into a base: the latest image of every row in buckets
+of the row key, and for every key that batches look up a narrow index of rows in
+buckets of that key. A batch then reads the index buckets of its keys, the row
+buckets of the rows found there, and the few epochs after the base.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from pyspark.sql.types import StructType
 from clipwell.operators.joins import resolve_parents
 from clipwell.operators.ordering import checkpoint_folder
 from clipwell.operators.picking import one_per_key
+from clipwell.sources.sinks import current_version, switch_version
 from clipwell.streaming import upserts as up
 
 
@@ -32,12 +37,28 @@ def write_epoch(images: DataFrame, path: str, epoch: int) -> None:
 
 
 def read_images(spark: SparkSession, path: str, schema: StructType, before: int | None = None) -> DataFrame:
-    """All row images, or those of earlier epochs; an empty frame when there are none."""
-    full = StructType(schema.fields).add("epoch", "long")
+    """The base's and all later row images, or those of earlier epochs; an empty frame when there are none."""
+    recent, base = _recent(spark, path, schema, before), base_of(spark, path)
+    return recent if base is None else recent.unionByName(_base_part(spark, base, "rows", _full(schema)))
+
+
+def _full(schema: StructType) -> StructType:
+    return StructType([*schema.fields]).add("epoch", "long")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        return spark.createDataFrame([], full)
-    found = spark.read.schema(full).parquet(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _recent(spark: SparkSession, path: str, schema: StructType, before: int | None) -> DataFrame:
+    """Images of the epochs that the base does not hold."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], _full(schema))
+    upto = folded_upto(spark, path)
+    if before is not None and upto >= before:
+        raise ValueError(f"the base of {path} holds epoch {upto}, so epoch {before} cannot be run again")
+    found = spark.read.schema(_full(schema)).parquet(path).where(F.col("epoch") > upto)
     return found if before is None else found.where(F.col("epoch") < before)
 
 
@@ -51,11 +72,106 @@ def touched(images: DataFrame, row_key: str, *matches: tuple[DataFrame, str]) ->
     The keys select row ids first and the ids select images, so that only these
     rows meet in the window that finds the latest one.
     """
+    return latest(images.join(_ids(images, row_key, *matches).distinct(), row_key, "left_semi"), [row_key])
+
+
+def _ids(images: DataFrame, row_key: str, *matches: tuple[DataFrame, str]) -> DataFrame:
     found = [images.join(b.select(k).distinct(), k, "left_semi").select(row_key) for b, k in matches]
     ids = found[0]
     for more in found[1:]:
         ids = ids.unionByName(more)
-    return latest(images.join(ids.distinct(), row_key, "left_semi"), [row_key])
+    return ids
+
+
+# -- compaction -----------------------------------------------------------------------
+
+ROWS_PER_BUCKET = 1_000_000
+
+
+def base_of(spark: SparkSession, path: str) -> str | None:
+    """Folder of the current base of a table; None before the first ``compact``."""
+    return current_version(spark, f"{path}/_base")
+
+
+def folded_upto(spark: SparkSession, path: str) -> int:
+    """The last epoch that the base holds; -1 without a base."""
+    base = base_of(spark, path)
+    return -1 if base is None else int(base.rsplit("/", 1)[1].split("-")[1])
+
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _base_part(spark: SparkSession, base: str, part: str, schema: StructType, needed: tuple[DataFrame, str] | None = None) -> DataFrame:
+    """A part of the base; with ``needed`` = (rows, key) only the buckets that hold these keys are read."""
+    found = spark.read.schema(StructType([*schema.fields]).add("bucket", "integer")).parquet(f"{base}/{part}")
+    if needed is not None:
+        rows, key = needed
+        buckets = int(base.rsplit("-", 1)[1])
+        numbers = [r.b for r in rows.select(_bucket(F.col(key).cast(schema[key].dataType), buckets).alias("b")).distinct().collect()]  # at most ``buckets`` numbers
+        found = found.where(F.col("bucket").isin(numbers) if numbers else F.lit(False))
+    return found.drop("bucket")
+
+
+def compact(spark: SparkSession, path: str, schema: StructType, row_key: str, keys: Sequence[str], before: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> None:
+    """Fold the epochs before ``before`` and the last base into a new base; readers see it when its pointer is switched.
+
+    ``before`` is the first epoch that may still be run, so that a replay reads what its first run read. A failure
+    leaves the old base. The number of buckets follows the rows, so a bucket does not grow with the table; files are
+    sorted ranges of (bucket, key). Folded epochs are no longer read; ``remove_folded`` deletes them and older bases. ``keys`` are those that batches look rows up by.
+    """
+    images = read_images(spark, path, schema, before)
+    rows = one_per_key(images, [row_key], [F.col("epoch").desc()])
+    buckets = -(-max(1, images.count()) // rows_per_bucket)
+    version = f"v-{before - 1}-{uuid.uuid4().hex}-{buckets}"
+    into = f"{path}/_base/{version}"
+
+    def save(df: DataFrame, key: str, part: str) -> None:
+        placed = df.withColumn("bucket", _bucket(F.col(key), buckets))
+        placed.repartitionByRange("bucket", key, row_key).sortWithinPartitions("bucket", key, row_key).write.partitionBy("bucket").parquet(f"{into}/{part}")
+
+    save(rows, row_key, "rows")
+    stored = spark.read.schema(_full(schema)).parquet(f"{into}/rows")
+    for key in keys:
+        save(stored.select(*dict.fromkeys((key, row_key))), key, f"by_{key}")
+    switch_version(spark, f"{path}/_base", version)
+
+
+def remove_folded(spark: SparkSession, path: str) -> None:
+    """Delete the epochs that the base holds and the bases before it. No job may still read them."""
+    base, upto = base_of(spark, path), folded_upto(spark, path)
+    if base is None:
+        return
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = lambda folder: [x.getPath().getName() for x in fs.listStatus(hadoop.Path(folder)) if x.isDirectory()]
+    for name in names(path):
+        if name.startswith("epoch=") and int(name.removeprefix("epoch=")) <= upto:
+            fs.delete(hadoop.Path(f"{path}/{name}"), True)
+    for name in names(f"{path}/_base"):
+        if name.startswith("v-") and name != base.rsplit("/", 1)[1]:
+            fs.delete(hadoop.Path(f"{path}/_base/{name}"), True)
+
+
+def stored_rows(spark: SparkSession, path: str, schema: StructType, row_key: str, before: int, *matches: tuple[DataFrame, str]) -> DataFrame:
+    """``touched`` over base and later epochs; of the base only the buckets of the batch's keys and of the rows they name are read."""
+    recent, base = _recent(spark, path, schema, before), base_of(spark, path)
+    if base is None:
+        return touched(recent, row_key, *matches)
+    ids = _ids(recent, row_key, *matches)
+    for b, key in matches:
+        index = StructType([schema[key]] if key == row_key else [schema[key], schema[row_key]])
+        ids = ids.unionByName(_ids(_base_part(spark, base, f"by_{key}", index, (b, key)), row_key, (b, key)))
+    ids = ids.distinct()
+    old = _base_part(spark, base, "rows", _full(schema), (ids, row_key))
+    return latest(recent.unionByName(old).join(ids, row_key, "left_semi"), [row_key])
+
+
+def _compact_due(spark: SparkSession, path: str, schema: StructType, row_key: str, keys: Sequence[str], epoch: int, every: int | None) -> None:
+    """Fold when ``every`` epochs have come since the last base. Earlier epochs are committed, only ``epoch`` may be run again."""
+    if every and epoch - 1 - folded_upto(spark, path) >= every:
+        compact(spark, path, schema, row_key, keys, epoch)
 
 
 def run_available(stream: DataFrame, step: Callable[[DataFrame, int], None], work: str, mode: str = "append") -> None:
@@ -87,19 +203,21 @@ COMMENT_SCHEMA = (
 )
 
 
-def comment_stream(stream: DataFrame, work: str) -> DataFrame:
+def comment_stream(stream: DataFrame, work: str, compact_every: int | None = None) -> DataFrame:
     """Upsert per micro-batch by platform id, else by hash; returns the table.
 
     Old comments and comments without an id are kept: there is no watermark, a
-    delivery that repeats an identity updates its row.
+    delivery that repeats an identity updates its row. ``compact_every`` folds
+    the epochs whenever so many have come.
     """
     spark = stream.sparkSession
     schema = StructType.fromDDL(COMMENT_SCHEMA)
     path = f"{work}/comments"
 
     def step(batch: DataFrame, epoch: int) -> None:
-        images = read_images(batch.sparkSession, path, schema, epoch)
-        new = up.upsert_comments(touched(images, "row_id", (batch, "video_key")), batch, "commented_at").where(F.col(up.CHANGE) != "kept")
+        _compact_due(batch.sparkSession, path, schema, "row_id", ["video_key"], epoch, compact_every)
+        stored = stored_rows(batch.sparkSession, path, schema, "row_id", epoch, (batch, "video_key"))
+        new = up.upsert_comments(stored, batch, "commented_at").where(F.col(up.CHANGE) != "kept")
         write_epoch(new.drop(up.CHANGE), path, epoch)
 
     run_available(stream, step, work)
@@ -192,14 +310,15 @@ def _write_counted(rows: DataFrame, path: str, epoch: int, **counts: Column) ->
     return seen.get
 
 
-def persist_stream(stream: DataFrame, work: str) -> DataFrame:
+def persist_stream(stream: DataFrame, work: str, compact_every: int | None = None) -> DataFrame:
     """Crawl items (one target, its video, comment and reply) into five tables and a quarantine.
 
     Items need homepage_url, source_name, ok, error, seen_at, video_id, title,
     metrics and comment columns; a reply column is optional. Failed items are set aside and counted; they
     never stop the batch. A reply that comes before its parent waits: each batch
     tries new replies with all comments of their videos, and waiting ones with the comments
-    that the batch wrote. Returns the counters of all epochs, taken by the jobs that wrote them; ``persisted`` reads the tables.
+    that the batch wrote. ``compact_every`` folds the epochs of targets, videos and comments
+    whenever so many have come. Returns the counters of all epochs, taken by the jobs that wrote them; ``persisted`` reads the tables.
     """
     spark = stream.sparkSession
     schemas = {n: StructType.fromDDL(s) for n, (s, _) in TABLES.items()}
@@ -215,18 +334,16 @@ def persist_stream(stream: DataFrame, work: str) -> DataFrame:
         videos = good.select(F.col("homepage_url").alias("target_id"), "video_id", "video_url", "title", "seen_at")
         comments = good.where(F.col("comment").isNotNull()).select("comment.*")
         parts = {
-            "targets": lambda s: up.upsert_targets(
-                touched(s, "homepage_url", (good, "homepage_url")), good.select("homepage_url", "source_name", "seen_at"), "seen_at"
-            ),
+            "targets": lambda s: up.upsert_targets(s, good.select("homepage_url", "source_name", "seen_at"), "seen_at"),
             # A video may be met by its URL under another target, so both keys select the stored rows.
-            "videos": lambda s: up.upsert_videos(
-                touched(s, "row_id", (videos, "target_id"), (videos, "video_url")), videos, "seen_at"
-            ),
-            "comments": lambda s: up.upsert_comments(touched(s, "row_id", (comments, "video_key")), comments, "commented_at"),
+            "videos": lambda s: up.upsert_videos(s, videos, "seen_at"),
+            "comments": lambda s: up.upsert_comments(s, comments, "commented_at"),
         }
+        matches = {"targets": [(good, "homepage_url")], "videos": [(videos, "target_id"), (videos, "video_url")], "comments": [(comments, "video_key")]}
         for name, build in parts.items():
-            images = read_images(session, f"{work}/{name}", schemas[name], epoch)
-            counts[name] = _write_counted(build(images).where(F.col(up.CHANGE) != "kept"), f"{work}/{name}", epoch, **changed)
+            at = (session, f"{work}/{name}", schemas[name], TABLES[name][1][0])
+            _compact_due(*at, [k for _, k in matches[name]], epoch, compact_every)
+            counts[name] = _write_counted(build(stored_rows(*at, epoch, *matches[name])).where(F.col(up.CHANGE) != "kept"), f"{work}/{name}", epoch, **changed)
         rows = up.snapshots(good, ["homepage_url", "video_id", "seen_at"])
         counts["snapshots"] = _write_counted(rows, f"{work}/snapshots", epoch, **every)
         if "reply" in batch.columns:
@@ -238,9 +355,8 @@ def persist_stream(stream: DataFrame, work: str) -> DataFrame:
     def _step_replies(session: SparkSession, rows: DataFrame, epoch: int) -> None:
         named = [c.split()[0] for c in REPLY_SCHEMA.split(", ")]
         new = rows.select(*named).withColumn("reply_id", F.sha2(F.to_json(F.struct(*named)), 256))
-        images = read_images(session, f"{work}/comments", schemas["comments"], epoch + 1)
-        fresh = _parented(new, touched(images, "row_id", (new, "video_key")))
-        written = images.where(F.col("epoch") == epoch).drop("epoch")
+        fresh = _parented(new, stored_rows(session, f"{work}/comments", schemas["comments"], "row_id", epoch + 1, (new, "video_key")))
+        written = _recent(session, f"{work}/comments", schemas["comments"], epoch + 1).where(F.col("epoch") == epoch).drop("epoch")
         waiting = unresolved(session, work, epoch).join(written.select("video_key").distinct(), "video_key", "left_semi")
         late = _parented(waiting, written)
         found = fresh.withColumn("__new", F.lit(True)).unionByName(late.withColumn("__new", F.lit(False))).persist()

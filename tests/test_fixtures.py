@@ -11,6 +11,7 @@ import sys
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clipwell.functions import coerce as co
 from clipwell.functions import lexicons as lx
@@ -567,3 +568,76 @@ def test_replies_wait_for_their_parents_in_any_order(spark, tmp_path):
         tables.append(sorted((r.platform_id, r.content) for r in runs.persisted(spark, work, "replies").collect()))
         assert sorted(r.platform_id for r in runs.unresolved(spark, work).collect()) == ["q2", "q4"]
     assert tables == [[("q1", "second"), ("q3", "same")]] * 3
+
+
+def test_compacted_epochs_give_the_same_table_and_bounded_reads(spark, tmp_path):
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    own.conf.set("spark.sql.shuffle.partitions", "2")
+    schema, path = StructType.fromDDL("row_id string, video_key bigint, url string, content string"), str(tmp_path / "table")
+
+    def read_bytes(df):
+        leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+        sizes = [leaves.apply(i).metrics().get("filesSize") for i in range(leaves.size())]
+        return sum(x.get().value() for x in sizes if x.isDefined())
+
+    state, read = {}, []
+    for epoch in range(50):
+        if epoch % 5 == 0 and epoch:
+            runs.compact(own, path, schema, "row_id", ["video_key", "url"], epoch, rows_per_bucket=4)
+        rows = [(f"r{epoch}-{i}", epoch // 2, f"u{epoch}-{i}", f"c{epoch}" * 50) for i in range(4)]
+        if epoch > 3:
+            rows.append((f"r{epoch - 3}-1", (epoch - 3) // 2, f"moved{epoch}", "again"))
+        runs.write_epoch(own.createDataFrame(rows, schema), path, epoch)
+        state |= {r[0]: r for r in rows}
+        if epoch % 5 == 2:
+            # keys of another width than the table's
+            by_key, by_url = own.createDataFrame([(epoch // 4,)], "video_key int"), own.createDataFrame([(f"u{epoch // 3}-2",)], "url string")
+            got = runs.stored_rows(own, path, schema, "row_id", epoch + 1, (by_key, "video_key"), (by_url, "url"))
+            want = {r for r in state.values() if r[1] == epoch // 4 or r[2] == f"u{epoch // 3}-2"}
+            assert {tuple(r) for r in got.collect()} == want
+            read.append(read_bytes(got))
+    assert max(read[5:]) <= 2 * max(read[1:5])
+    table = lambda: {tuple(r) for r in runs.latest(runs.read_images(own, path, schema), ["row_id"]).collect()}
+    assert table() == set(state.values()) and runs.folded_upto(own, path) == 44
+    runs.remove_folded(own, path)
+    assert table() == set(state.values())
+    left = sorted(x.name for x in (tmp_path / "table").iterdir() if x.name.startswith("epoch="))
+    assert left == [f"epoch={n}" for n in range(45, 50)]
+    with pytest.raises(ValueError):
+        runs.read_images(own, path, schema, 44)
+
+
+def test_a_failed_compaction_leaves_the_table(spark, tmp_path, monkeypatch):
+    schema, path = StructType.fromDDL("row_id string, v bigint"), str(tmp_path / "table")
+    for epoch in range(3):
+        runs.write_epoch(spark.createDataFrame([("a", epoch), (f"b{epoch}", 0)], schema), path, epoch)
+    seen = lambda: {tuple(r) for r in runs.latest(runs.read_images(spark, path, schema), ["row_id"]).collect()}
+    before = seen()
+
+    def broken(*_):
+        raise OSError("no pointer")
+
+    monkeypatch.setattr(runs, "switch_version", broken)
+    with pytest.raises(OSError):
+        runs.compact(spark, path, schema, "row_id", ["row_id"], 2)
+    assert seen() == before == {("a", 2), ("b0", 0), ("b1", 0), ("b2", 0)} and runs.folded_upto(spark, path) == -1
+    monkeypatch.undo()
+    runs.compact(spark, path, schema, "row_id", ["row_id"], 2)
+    assert seen() == before and runs.folded_upto(spark, path) == 1
+
+
+def test_streams_that_compact_give_the_same_tables(spark, tmp_path):
+    schema = StructType.fromDDL(runs.COMMENT_SCHEMA.removeprefix("row_id string, "))
+    at = datetime.datetime(2026, 1, 1)
+    for i in range(7):
+        rows = [(v, f"p{v}-{i % 3}", "u", "n", f"text {i}", i, at + datetime.timedelta(minutes=i), None) for v in range(i, i + 3)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / str(i)))
+    tables = []
+    for every in (None, 2):
+        stream = runs.stateful_session(spark, 2).readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
+        work = str(tmp_path / f"work{every}")
+        table = runs.comment_stream(stream, work, compact_every=every)
+        tables.append(sorted(map(tuple, table.drop("commented_at").collect()), key=repr))
+        assert (runs.folded_upto(spark, f"{work}/comments") >= 3) == bool(every)
+    assert tables[0] == tables[1] and len(tables[0]) > 10
