@@ -116,6 +116,7 @@ def slug(c: str | Column, size: int = 80) -> Column:
 # -- cleaning -----------------------------------------------------------------
 
 ENTITY = r"&(?:#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]{1,31};?)"
+TERMINATED_ENTITY = ENTITY.replace(";?", ";")
 
 
 def _constant_map(pairs: Mapping[str, str]) -> Column:
@@ -133,9 +134,14 @@ def _decoded(mark: Column) -> Column:
     return F.when(mark.startswith("&#"), char).otherwise(F.coalesce(name, mark))
 
 
-def unescaped(c: Column) -> Column:
-    """All numeric and named HTML entities decoded; texts without an ampersand are left alone."""
-    pieces, marks = F.split(c, ENTITY), F.regexp_extract_all(c, F.lit(ENTITY), F.lit(0))
+def unescaped(c: Column, terminated: bool = False) -> Column:
+    """All numeric and named HTML entities decoded; texts without an ampersand are left alone.
+
+    The standard also reads old names and numbers without their semicolon (``&amp``, as a cut text ends);
+    with ``terminated`` these stay as they are.
+    """
+    entity = TERMINATED_ENTITY if terminated else ENTITY
+    pieces, marks = F.split(c, entity), F.regexp_extract_all(c, F.lit(entity), F.lit(0))
     joined = F.zip_with(pieces, marks, lambda p, m: F.concat(p, F.coalesce(_decoded(m), F.lit(""))))
     return F.when(c.contains("&"), F.array_join(joined, "")).otherwise(c)
 
@@ -145,15 +151,15 @@ def single_spaced(c: Column) -> Column:
     return F.btrim(F.regexp_replace(c, r"[\s\x{a0}\x{3000}]{2,}|[\t\n\x0B\f\r\x{a0}\x{3000}]", " "))
 
 
-def clean_comment(c: str | Column) -> Column:
+def clean_comment(c: str | Column, terminated: bool = False) -> Column:
     """Entities decoded, zero-width marks and blanks collapsed."""
-    return single_spaced(F.translate(unescaped(F.coalesce(col(c).cast("string"), F.lit(""))), "​﻿", "  "))
+    return single_spaced(F.translate(unescaped(F.coalesce(col(c).cast("string"), F.lit("")), terminated), "​﻿", "  "))
 
 
-def visible_text(c: str | Column) -> Column:
+def visible_text(c: str | Column, terminated: bool = False) -> Column:
     """HTML without scripts, styles and tags."""
     bare = F.regexp_replace(col(c), r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
-    return single_spaced(unescaped(F.regexp_replace(bare, r"(?is)<[^>]+>", " ")))
+    return single_spaced(unescaped(F.regexp_replace(bare, r"(?is)<[^>]+>", " "), terminated))
 
 
 def plausible_comment(c: Column) -> Column:
@@ -273,8 +279,8 @@ def char_overlap(left: Column, right: Column) -> Column:
 
 # -- identity -----------------------------------------------------------------
 
-def content_hash(c: str | Column) -> Column:
-    return F.sha1(clean_comment(c).cast("binary"))
+def content_hash(c: str | Column, terminated: bool = False) -> Column:
+    return F.sha1(clean_comment(c, terminated).cast("binary"))
 
 
 def identity_hash(kind: str, *parts: Column) -> Column:

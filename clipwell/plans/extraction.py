@@ -383,12 +383,15 @@ def _unescaped_json(c: Column) -> Column:
 
 
 def html_comments(pages: DataFrame, key: str, html: str, hint: str = COMMENT_HINT, words: Sequence[str] = ("text", "content", "comment"),
-                  script_hint: str = "(?i)comment|application/json|ld\\+json|__next_data__", cap: int | None = None) -> DataFrame:
-    """Texts of comment-like fragments and of comment strings in scripts, one row per distinct text and page."""
+                  script_hint: str = "(?i)comment|application/json|ld\\+json|__next_data__", cap: int | None = None, terminated: bool = False) -> DataFrame:
+    """Texts of comment-like fragments and of comment strings in scripts, one row per distinct text and page.
+
+    ``terminated`` leaves entities without their semicolon as they are.
+    """
     names = "|".join(words)
     fragments = F.regexp_extract_all(html, F.lit(FRAGMENT), 0)
     hinted = F.filter(fragments, lambda f: F.regexp_extract(f, r"(?is)^<\w+([^>]*)>", 1).rlike(hint))
-    texts = F.transform(hinted, lambda f: visible_text(F.regexp_extract(f, FRAGMENT, 3)))
+    texts = F.transform(hinted, lambda f: visible_text(F.regexp_extract(f, FRAGMENT, 3), terminated))
     blocks = F.filter(F.regexp_extract_all(html, F.lit(r"(?is)<script\b[^>]*>.*?</script>"), 0), lambda s: s.rlike(script_hint))
     quoted = [rf"(?is)\"(?:{names})\"\s*:\s*\"((?:\\.|[^\"\\]){{2,500}}?)\"", rf"(?is)'(?:{names})'\s*:\s*'((?:\\.|[^'\\]){{2,500}}?)'"]
     strings = F.flatten(F.transform(blocks, lambda s: F.concat(*[F.regexp_extract_all(s, F.lit(q), 1) for q in quoted])))
@@ -397,21 +400,21 @@ def html_comments(pages: DataFrame, key: str, html: str, hint: str = COMMENT_HIN
         F.transform(strings, lambda x: F.struct(F.lit("dom_json").alias("source"), _unescaped_json(x).alias("raw"))),
     )
     found = exploded(pages, [key], pairs, "hit", "position").select(
-        key, "position", "hit.source", clean_comment("hit.raw").alias("content")
+        key, "position", "hit.source", clean_comment("hit.raw", terminated).alias("content")
     )
-    found = found.where(plausible_comment(F.col("content"))).withColumn("content_hash", content_hash("content"))
+    found = found.where(plausible_comment(F.col("content"))).withColumn("content_hash", content_hash("content", terminated))
     first = one_per_key(found, [key, "content_hash"], [F.col("position").asc()])
     kept = first if cap is None else top_per_key(first, [key], [F.col("position").asc()], cap, "__pos").drop("__pos")
-    return kept.withColumns(comment_signals(F.col("content")))
+    return kept.withColumns(comment_signals(F.col("content"), terminated))
 
 
 def hit_counters(found: DataFrame, source: str = "source") -> DataFrame:
     return found.groupBy(source).agg(F.count(F.lit(1)).alias("n"))
 
 
-def comment_signals(c: Column) -> dict[str, Column]:
+def comment_signals(c: Column, terminated: bool = False) -> dict[str, Column]:
     """Author, like and reply counts mentioned inside a comment text."""
-    t = clean_comment(c)
+    t = clean_comment(c, terminated)
     reply = F.coalesce(
         F.nullif(F.regexp_extract(t, r"(?i)回复\s*([0-9]+(?:\.[0-9]+)?(?:w|万)?)", 1), F.lit("")),
         F.nullif(F.regexp_extract(t, r"(?i)([0-9]+(?:\.[0-9]+)?(?:w|万)?)\s*条?回复", 1), F.lit("")), F.lit(""),

@@ -9,10 +9,12 @@ import statistics
 import subprocess
 import sys
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from clipwell.catalog import load
 from clipwell.functions import coerce as co
 from clipwell.functions import lexicons as lx
 from clipwell.functions import numbers as nm
@@ -34,6 +36,7 @@ from clipwell.plans import visual_fit as vi
 from clipwell.sources import files as fs
 from clipwell.streaming import runs
 from clipwell.streaming import upserts as up
+from tests.oracle import compare
 
 METRICS = "view_count bigint, like_count bigint, comment_count bigint, share_count bigint"
 
@@ -641,3 +644,20 @@ def test_streams_that_compact_give_the_same_tables(spark, tmp_path):
         tables.append(sorted(map(tuple, table.drop("commented_at").collect()), key=repr))
         assert (runs.folded_upto(spark, f"{work}/comments") >= 3) == bool(every)
     assert tables[0] == tables[1] and len(tables[0]) > 10
+
+
+#: A title cut inside an entity, as the crawl leaves it, and whole entities beside it.
+CUT = '<html><title>a &amp;&copy; b&am</title><div class="ad">x &lt;y&gt; &amp</div><article><h1>cut &amp;&amp;&amp</h1> &quot &#39 z</article></html>'
+
+
+def as_its_sql(spark, tmp_path, name):
+    """A query over the cut page alone gives the rows of its SQL."""
+    spark.createDataFrame([(1, "u", CUT), (2, "u", "<h1>no entity</h1>")], "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    ok, got, want, note = compare(spark, con, str(tmp_path), load().QUERIES[name], load().ORACLES[name])
+    assert ok and got, f"{got} rows against {want}: {note}"
+
+
+def test_cut_entities_in_html_comments(spark, tmp_path):
+    as_its_sql(spark, tmp_path, "ext8_html_comments")
