@@ -14,11 +14,15 @@ buckets of the rows found there, and the few epochs after the base.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.util import inheritable_thread_target
 
 from clipwell.operators.joins import resolve_parents
 from clipwell.operators.ordering import checkpoint_folder
@@ -168,6 +172,23 @@ def stored_rows(spark: SparkSession, path: str, schema: StructType, row_key: str
     return latest(recent.unionByName(old).join(ids, row_key, "left_semi"), [row_key])
 
 
+@contextmanager
+def held(rows: DataFrame) -> Iterator[DataFrame]:
+    """Rows that one batch uses several times, computed once; what does not fit in memory goes to disk."""
+    rows.persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
+def at_once(session: SparkSession, writes: Mapping[str, Callable[[], dict[str, int]]]) -> dict[str, dict[str, int]]:
+    """Writes of one batch that do not need each other, submitted together: one fills the cores that another leaves."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(session)(write)) for name, write in writes.items()}
+        return {name: r.result() for name, r in running.items()}
+
+
 def _compact_due(spark: SparkSession, path: str, schema: StructType, row_key: str, keys: Sequence[str], epoch: int, every: int | None) -> None:
     """Fold when ``every`` epochs have come since the last base. Earlier epochs are committed, only ``epoch`` may be run again."""
     if every and epoch - 1 - folded_upto(spark, path) >= every:
@@ -216,9 +237,9 @@ def comment_stream(stream: DataFrame, work: str, compact_every: int | None = Non
 
     def step(batch: DataFrame, epoch: int) -> None:
         _compact_due(batch.sparkSession, path, schema, "row_id", ["video_key"], epoch, compact_every)
-        stored = stored_rows(batch.sparkSession, path, schema, "row_id", epoch, (batch, "video_key"))
-        new = up.upsert_comments(stored, batch, "commented_at").where(F.col(up.CHANGE) != "kept")
-        write_epoch(new.drop(up.CHANGE), path, epoch)
+        with held(batch), held(stored_rows(batch.sparkSession, path, schema, "row_id", epoch, (batch, "video_key"))) as stored:
+            new = up.upsert_comments(stored, batch, "commented_at").where(F.col(up.CHANGE) != "kept")
+            write_epoch(new.drop(up.CHANGE), path, epoch)
 
     run_available(stream, step, work)
     return latest(read_images(spark, path, schema), ["row_id"])
@@ -340,14 +361,21 @@ def persist_stream(stream: DataFrame, work: str, compact_every: int | None = Non
             "comments": lambda s: up.upsert_comments(s, comments, "commented_at"),
         }
         matches = {"targets": [(good, "homepage_url")], "videos": [(videos, "target_id"), (videos, "video_url")], "comments": [(comments, "video_key")]}
-        for name, build in parts.items():
+
+        def upserted(name: str) -> dict[str, int]:
             at = (session, f"{work}/{name}", schemas[name], TABLES[name][1][0])
             _compact_due(*at, [k for _, k in matches[name]], epoch, compact_every)
-            counts[name] = _write_counted(build(stored_rows(*at, epoch, *matches[name])).where(F.col(up.CHANGE) != "kept"), f"{work}/{name}", epoch, **changed)
+            with held(stored_rows(*at, epoch, *matches[name])) as stored:
+                told = _write_counted(parts[name](stored).where(F.col(up.CHANGE) != "kept"), f"{work}/{name}", epoch, **changed)
+            if name == "comments" and "reply" in batch.columns:
+                _step_replies(session, good.where(F.col("reply").isNotNull()).select("reply.*", "seen_at"), epoch)
+            return told
+
         rows = up.snapshots(good, ["homepage_url", "video_id", "seen_at"])
-        counts["snapshots"] = _write_counted(rows, f"{work}/snapshots", epoch, **every)
-        if "reply" in batch.columns:
-            _step_replies(session, good.where(F.col("reply").isNotNull()).select("reply.*", "seen_at"), epoch)
+        counts |= at_once(session, {
+            **{name: partial(upserted, name) for name in parts},
+            "snapshots": lambda: _write_counted(rows, f"{work}/snapshots", epoch, **every),
+        })
         told = [(n, c["created"], c.get("updated", 0)) for n, c in counts.items()]
         write_epoch(session.createDataFrame(told, "part string, created bigint, updated bigint"), f"{work}/counts", epoch)
         batch.unpersist()
@@ -355,16 +383,18 @@ def persist_stream(stream: DataFrame, work: str, compact_every: int | None = Non
     def _step_replies(session: SparkSession, rows: DataFrame, epoch: int) -> None:
         named = [c.split()[0] for c in REPLY_SCHEMA.split(", ")]
         new = rows.select(*named).withColumn("reply_id", F.sha2(F.to_json(F.struct(*named)), 256))
-        fresh = _parented(new, stored_rows(session, f"{work}/comments", schemas["comments"], "row_id", epoch + 1, (new, "video_key")))
         written = _recent(session, f"{work}/comments", schemas["comments"], epoch + 1).where(F.col("epoch") == epoch).drop("epoch")
-        waiting = unresolved(session, work, epoch).join(written.select("video_key").distinct(), "video_key", "left_semi")
-        late = _parented(waiting, written)
-        found = fresh.withColumn("__new", F.lit(True)).unionByName(late.withColumn("__new", F.lit(False))).persist()
-        known = F.col("comment_key").isNotNull()
-        write_epoch(found.where(known).select(*named, "comment_key"), f"{work}/replies", epoch)
-        write_epoch(found.where(~known & F.col("__new")).select(*named, "reply_id"), f"{work}/waiting", epoch)
-        write_epoch(found.where(known & ~F.col("__new")).select("reply_id"), f"{work}/settled", epoch)
-        found.unpersist()
+        tried = unresolved(session, work, epoch).join(written.select("video_key").distinct(), "video_key", "left_semi")
+        with held(new), held(tried) as waiting:
+            parts = [_parented(waiting, written).where(F.col("comment_key").isNotNull()).withColumn("__new", F.lit(False))]
+            if not new.isEmpty():  # a batch without replies does not read the stored comments for them
+                stored = stored_rows(session, f"{work}/comments", schemas["comments"], "row_id", epoch + 1, (new, "video_key"))
+                parts.append(_parented(new, stored).withColumn("__new", F.lit(True)))
+            known = F.col("comment_key").isNotNull()
+            with held(reduce(DataFrame.unionByName, parts)) as found:
+                write_epoch(found.where(known).select(*named, "comment_key"), f"{work}/replies", epoch)
+                write_epoch(found.where(~known & F.col("__new")).select(*named, "reply_id"), f"{work}/waiting", epoch)
+                write_epoch(found.where(known & ~F.col("__new")).select("reply_id"), f"{work}/settled", epoch)
 
     run_available(stream, step, work)
     sums = spark.read.parquet(f"{work}/counts").groupBy("part").agg(F.sum("created").alias("created"), F.sum("updated").alias("updated"))

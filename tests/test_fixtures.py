@@ -669,3 +669,30 @@ def test_cut_entities_in_clean_comment(spark, tmp_path):
 
 def test_cut_entities_in_visible_text(spark, tmp_path):
     as_its_sql(spark, tmp_path, "str5_visible_text")
+
+
+def test_a_batch_computes_its_stored_rows_once(spark, tmp_path, monkeypatch):
+    row = ["'u' || (id % 3) as homepage_url", "cast(null as string) as source_name", "true as ok", "cast(null as string) as error", "timestamp'2024-01-01' as seen_at"]
+    comment = "named_struct('video_key', id, 'platform_id', 'p' || id, 'user_id', cast(null as string), 'nickname', cast(null as string), 'content', 'c', 'like_count', 0L, 'commented_at', timestamp'2024-01-01', 'unique_hash', cast(null as string)) as comment"
+    row += ["cast(id as string) as video_id", "'u' || (id % 3) || '/video/' || id as video_url", "'t' as title", "named_struct('view_count', '1') as metrics", comment]
+    passed, found = spark.sparkContext.accumulator(0), []
+
+    def counted(*a, stored_rows=runs.stored_rows):
+        out = stored_rows(*a)
+        found.append(out.count())
+
+        def each(parts):
+            for p in parts:
+                passed.add(p.num_rows)
+                yield p
+
+        return out.mapInArrow(each, out.schema)
+
+    monkeypatch.setattr(runs, "stored_rows", counted)
+    work = str(tmp_path / "work")
+    for i in range(2):
+        spark.range(30).selectExpr(*row).write.parquet(f"{tmp_path}/in/{i}")
+        stream = runs.stateful_session(spark, 2).readStream.schema(spark.range(0).selectExpr(*row).schema).parquet(f"{tmp_path}/in/*")
+        told = {r.part: (r.created, r.updated) for r in runs.persist_stream(stream, work).collect()}
+    assert told["videos"] == told["comments"] == (30, 30) and told["targets"] == (3, 3)
+    assert sorted(found) == [0, 0, 0, 3, 30, 30] and passed.value == sum(found)
